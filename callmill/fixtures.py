@@ -1,0 +1,64 @@
+"""The given test tables seen as curated tables and as booking documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callmill.plans.curated import channel_map
+from callmill.plans.marts import Curated
+
+# Two event types of the test tables stay unmapped on purpose.
+CHANNELS = [("click", "facebook_ads"), ("purchase", "tiktok_ads"), ("signup", "youtube_ads")]
+ALLOWED_EVENT_TYPES = [event_type for event_type, _ in CHANNELS]
+
+SPEND_CHANNEL = """CASE o_orderpriority WHEN '1-URGENT' THEN 'facebook_ads' WHEN '2-HIGH' THEN 'tiktok_ads'
+    ELSE 'youtube_ads' END"""
+SPEND_KEPT = "o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "event_type",
+        "ts AS booking_datetime",
+        "ts + make_dt_interval(0, CAST(event_id % 168 AS INT), 0, 0) AS event_datetime",
+    )
+
+
+def channels(spark: SparkSession) -> DataFrame:
+    return channel_map(spark, CHANNELS)
+
+
+def spends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "orders")
+        .where(SPEND_KEPT)
+        .groupBy(
+            F.expr("date_add(DATE'2024-01-01', CAST(o_orderkey % 30 AS INT))").alias("date"),
+            F.expr(SPEND_CHANNEL).alias("channel"),
+        )
+        .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("spend"))
+    )
+
+
+def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey AS event_id", "l_suppkey AS employee_id")
+
+
+def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS employee_id", "s_name AS employee_name")
+
+
+def curated(spark: SparkSession, sf_dir: str) -> Curated:
+    return Curated(
+        bookings=bookings(spark, sf_dir),
+        channel_map=channels(spark),
+        spends=spends(spark, sf_dir),
+        memberships=memberships(spark, sf_dir),
+        employees=employees(spark, sf_dir),
+    )
