@@ -62,3 +62,131 @@ def curated(spark: SparkSession, sf_dir: str) -> Curated:
         memberships=memberships(spark, sf_dir),
         employees=employees(spark, sf_dir),
     )
+
+
+# Booking documents made of the events table: one per event, and a later canceled
+# copy of every tenth. Expressions below run alike in Spark and in DuckDB.
+
+_ID = "CAST(event_id AS STRING)"
+_USER = "CAST(user_id AS STRING)"
+
+COPIES = "event_id % 10 = 0"
+
+# Staged text columns under the payload, apart from timestamps.
+PAYLOAD_TEXTS = {
+    "cancel_url": f"'https://book.example/cancel/' || {_ID}",
+    "email": f"'user' || {_USER} || '@mail.example'",
+    "event": f"'e' || {_ID}",
+    "first_name": f"'First' || {_USER}",
+    "invitee_scheduled_by": f"CASE WHEN event_id % 6 = 0 THEN 'host' || {_USER} END",
+    "last_name": f"'Last' || {_USER}",
+    "name": f"CASE WHEN event_id % 17 = 0 THEN '{{First Last}} ' ELSE 'First Last ' END || {_USER}",
+    "reschedule_url": f"'https://book.example/move/' || {_ID}",
+    "scheduling_method": "CASE WHEN event_id % 2 = 0 THEN 'web' ELSE 'phone' END",
+    "status": "CASE WHEN copy = 1 THEN 'canceled' ELSE 'active' END",
+    "text_reminder_number": "CASE WHEN event_id % 8 = 0 THEN '+1 555 0100' END",
+    "timezone": "CASE WHEN event_id % 2 = 0 THEN 'Europe/Berlin' ELSE 'America/New_York' END",
+    "uri": f"'https://book.example/invitee/' || {_ID}",
+}
+EVENT_TEXTS = {
+    "event_type": "event_type",
+    "name": "'Call about ' || event_type",
+    "status": "CASE WHEN copy = 1 THEN 'canceled' ELSE 'active' END",
+    "uri": f"'https://book.example/event/' || {_ID}",
+    "meeting_notes_plain": "CASE WHEN event_id % 9 = 0 THEN 'line one' || chr(10) || '\"two\"' END",
+    "meeting_notes_html": "CASE WHEN event_id % 9 = 0 THEN '<p>one</p>' END",
+}
+COUNTER_INTS = {"total": "event_id % 5", "active": "event_id % 3", "limit": "10"}
+LOCATION_TEXTS = {"location": f"'Room ' || {_USER}", "type": "CASE WHEN event_id % 2 = 0 THEN 'physical' ELSE 'call' END"}
+TRACKING_TEXTS = {
+    "utm_campaign": "CASE WHEN event_id % 5 = 0 THEN 'spring' END",
+    "utm_source": "'src' || CAST(event_id % 7 AS STRING)",
+    "utm_medium": "'cpc'",
+    "utm_content": f"'ad' || {_ID}",
+    "utm_term": "CASE WHEN event_id % 4 = 0 THEN 'call' END",
+    "salesforce_uuid": "CASE WHEN event_id % 12 = 0 THEN 'sf' || CAST(event_id AS STRING) END",
+}
+
+# Damage, the first that applies: (events it hits, the body).
+DAMAGE = [
+    ("event_id % 97 = 0", "CAST(NULL AS STRING)"),
+    ("event_id % 89 = 0", "'not json'"),
+    ("event_id % 83 = 0", "'{\"payload\":null}'"),
+    ("event_id % 79 = 0", "'{\"other\":1}'"),
+]
+NULL_TRACKING = "event_id % 73 = 0"
+
+_STAMP = "yyyy-MM-dd''T''HH:mm:ss.SSSSSS''Z''"
+
+
+def _stamp(ts: str) -> str:
+    return f"date_format({ts}, '{_STAMP}')".replace("''", "\\'")
+
+
+def _fields(texts: dict[str, str]) -> list[str]:
+    return [part for name, sql in texts.items() for part in (f"'{name}'", sql)]
+
+
+def _object(*parts: str) -> str:
+    return f"named_struct({', '.join(parts)})"
+
+
+def _document_sql() -> str:
+    start = "ts + make_dt_interval(0, CAST(event_id % 168 AS INT), 0, 0)"
+    changed = "ts + make_dt_interval(0, copy, 0, 0)"
+    event = _object(
+        *_fields(EVENT_TEXTS),
+        *("'created_at'", _stamp("ts"), "'updated_at'", _stamp(changed)),
+        *("'start_time'", _stamp(start), "'end_time'", _stamp(f"{start} + INTERVAL 30 MINUTES")),
+        # Two guests, none, not given, or given as null.
+        "'event_guests'",
+        "CASE event_id % 4 WHEN 0 THEN parse_json('[\"a@mail.example\",\"b@mail.example\"]')"
+        " WHEN 1 THEN parse_json('[]') WHEN 3 THEN parse_json('null') END",
+        "'event_memberships'",
+        f"array({_object(*_fields({'user': f"'u' || {_USER}", 'user_email': f"'host' || {_USER} || '@mail.example'", 'user_name': f"'User ' || {_USER}", 'buffered_end_time': "'extra'"}))})",
+        "'invitees_counter'",
+        _object(*_fields(COUNTER_INTS)),
+        "'location'",
+        _object(*_fields(LOCATION_TEXTS)),
+    )
+    payload = _object(
+        *_fields(PAYLOAD_TEXTS),
+        *("'created_at'", _stamp("ts"), "'updated_at'", _stamp(changed)),
+        *("'rescheduled'", "event_id % 3 = 0"),
+        # An object on a text column, and a number on one.
+        *("'no_show'", "CASE WHEN event_id % 13 = 0 THEN parse_json('{\"uri\":\"x\"}') END"),
+        *("'payment'", "CASE WHEN event_id % 11 = 0 THEN event_id END"),
+        "'questions_and_answers'",
+        f"array({_object(*_fields({'answer': f"'a' || {_ID}", 'position': '0', 'question': "'Why?'"}))},"
+        f" {_object(*_fields({'answer': 'CAST(NULL AS STRING)', 'position': '1', 'question': "'When?'"}))})",
+        "'scheduled_event'",
+        event,
+        "'tracking'",
+        f"CASE WHEN {NULL_TRACKING} THEN parse_json('null') ELSE to_variant_object({_object(*_fields(TRACKING_TEXTS))}) END",
+    )
+    damage = " ".join(f"WHEN {hit} THEN {body}" for hit, body in DAMAGE)
+    return f"CASE {damage} ELSE to_json({_object("'event'", "'invitee.created'", "'payload'", payload)}) END"
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, copy, event_date (text) and body (NULL where a request had none)."""
+    copied = table(spark, sf_dir, "events").withColumn(
+        "copy", F.explode(F.expr(f"CASE WHEN {COPIES} THEN array(0, 1) ELSE array(0) END"))
+    )
+    return copied.selectExpr(
+        "event_id", "copy", "CAST(to_date(ts) AS STRING) AS event_date", f"{_document_sql()} AS body"
+    )
+
+
+def spend_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spend rows as snapshot files hold them: each of the last five days has a file with
+    that day and the two before it."""
+    rows = spends(spark, sf_dir)
+    last = rows.agg(F.max("date").alias("last"))
+    days = last.select(F.explode(F.expr("sequence(date_sub(last, 4), last)")).alias("day"))
+    return rows.join(days, rows["date"].between(F.date_sub("day", 2), F.col("day"))).select(
+        F.concat(F.lit("spend_data_"), F.col("day").cast("string"), F.lit(".json")).alias("file"),
+        F.col("date").cast("string").alias("date"),
+        "channel",
+        "spend",
+    )

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from callmill.plans.marts import Curated
 
-CHANNEL_MAP_SCHEMA = "event_type string, channel_name string"
-
 
 def within(staging: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Only the folders from ``start`` to ``end``, both included; prunes partitions."""
@@ -30,7 +28,8 @@ def bookings(staging: DataFrame) -> DataFrame:
 
 def channel_map(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
     """The event type to channel dimension, from the deployment's settings."""
-    return spark.createDataFrame(pairs, CHANNEL_MAP_SCHEMA)
+    rows = [F.struct(F.lit(t).alias("event_type"), F.lit(c).alias("channel_name")) for t, c in pairs]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def spends(landed: DataFrame) -> DataFrame:

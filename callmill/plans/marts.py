@@ -99,8 +99,8 @@ def meetings_by_hour(curated: Curated) -> DataFrame:
     return _by_hour(curated, "event_datetime", "event_hour")
 
 
-def meetings_per_employee_per_day(curated: Curated) -> DataFrame:
-    """Distinct events over distinct meeting days, per employee name.
+def employee_activity(curated: Curated) -> DataFrame:
+    """Distinct events and distinct meeting days per employee name.
 
     Copies are dropped on both sides before the join (partial aggregates do most
     of it ahead of the shuffle), so a hot event costs its days times its employees
@@ -119,9 +119,13 @@ def meetings_per_employee_per_day(curated: Curated) -> DataFrame:
         curated.memberships.join(curated.employees, "employee_id").select("event_id", "employee_name").distinct()
     )
     per_day = staffed.join(days, "event_id").groupBy("employee_name", "day").agg(F.sum("first_day").alias("events"))
+    return per_day.groupBy("employee_name").agg(F.sum("events").alias("events"), F.count("day").alias("days"))
+
+
+def meetings_per_employee_per_day(curated: Curated) -> DataFrame:
+    """Days without meetings do not count."""
     return (
-        per_day.groupBy("employee_name")
-        .agg(F.sum("events").alias("events"), F.count("day").alias("days"))
+        employee_activity(curated)
         .select("employee_name", whole_ratio(F.col("events"), F.col("days")).alias("meetings_per_day"))
         .orderBy(F.col("meetings_per_day").desc_nulls_last())
     )
