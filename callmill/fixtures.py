@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """All cores for a table of fewer splits than that; only a small one has so few."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id",
@@ -170,7 +176,8 @@ def _document_sql() -> str:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, copy, event_date (text) and body (NULL where a request had none)."""
-    copied = table(spark, sf_dir, "events").withColumn(
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    copied = spread(events).withColumn(
         "copy", F.explode(F.expr(f"CASE WHEN {COPIES} THEN array(0, 1) ELSE array(0) END"))
     )
     return copied.selectExpr(
@@ -182,9 +189,9 @@ def spend_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spend rows as snapshot files hold them: each of the last five days has a file with
     that day and the two before it."""
     rows = spends(spark, sf_dir)
-    last = rows.agg(F.max("date").alias("last"))
-    days = last.select(F.explode(F.expr("sequence(date_sub(last, 4), last)")).alias("day"))
-    return rows.join(days, rows["date"].between(F.date_sub("day", 2), F.col("day"))).select(
+    last = rows.agg(F.max("date")).scalar()
+    shown = rows.withColumn("day", F.explode(F.sequence("date", F.date_add("date", 2))))
+    return shown.where(F.col("day").between(F.date_sub(last, 4), last)).select(
         F.concat(F.lit("spend_data_"), F.col("day").cast("string"), F.lit(".json")).alias("file"),
         F.col("date").cast("string").alias("date"),
         "channel",

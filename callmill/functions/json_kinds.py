@@ -29,19 +29,24 @@ def kind(value: Column) -> Column:
     return F.coalesce(F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0), F.lit(MISSING))
 
 
+def is_object(value: Column) -> Column:
+    """Like asking for the kind, but looks at the top level only; never NULL."""
+    return F.try_variant_get(value, "$", "map<string, variant>").isNotNull()
+
+
+def object_if_given(value: Column) -> Column:
+    return value.isNull() | is_object(value)
+
+
 def is_empty(value: Column) -> Column:
     """Whether a value is null, false, zero, or empty; absent counts as empty."""
     text = value.cast("string")
-    number = F.coalesce(text.try_cast("double") == 0, F.lit(False))
-    by_kind = F.struct(kind(value).alias("kind"), text.alias("text"), number.alias("zero"))
-    same = F.transform(
-        F.array(by_kind),
-        lambda v: F.when(v["kind"].isin(MISSING, NULL), True)
-        .when(v["kind"] == STRING, v["text"] == "")
-        .when(v["kind"].isin(ARRAY, OBJECT, BOOLEAN), v["text"].isin("[]", "{}", "false"))
-        .otherwise(v["zero"]),
+    return (
+        F.when(kind(value).isin(MISSING, NULL), True)
+        .when(kind(value) == STRING, text == "")
+        .when(kind(value).isin(ARRAY, OBJECT, BOOLEAN), text.isin("[]", "{}", "false"))
+        .otherwise(F.coalesce(text.try_cast("double") == 0, F.lit(False)))
     )
-    return same[0]
 
 
 def elements(value: Column) -> Column:

@@ -8,24 +8,57 @@ sees one row per group. No pair is built, and no channel is too hot.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Which of the two times of a booking an hourly count is by.
+COUNTED_BY = "counted_by"
+
+
+def _by(keys: Mapping[str, Column]) -> list:
+    return ["event_type", *[column.alias(name) for name, column in keys.items()]]
+
+
 def count_bookings(bookings: DataFrame, keys: Mapping[str, Column]) -> DataFrame:
     """Rows and non-null ids per event type and key, before any join.
 
     The partial aggregate shrinks each input split to one row per group, so one
     event type that holds most bookings costs no more than the others.
     """
-    return bookings.groupBy("event_type", *[column.alias(name) for name, column in keys.items()]).agg(
+    return bookings.groupBy(*_by(keys)).agg(
         F.count("event_id").alias("ids"),
         F.count(F.lit(1)).alias("rows"),
     )
 
 
+def hourly_counts(bookings: DataFrame, times: Sequence[str]) -> DataFrame:
+    """The counts above per event type and hour, once by each time, in one scan.
+
+    Every day, weekday and hour key can be taken from the hour again, so all marts
+    of a refresh share this small table in place of the bookings.
+    """
+    hours = bookings.select("event_type", "event_id", *[F.date_trunc("hour", time).alias(time) for time in times])
+    sets = [["event_type", time] for time in times]
+    counted_by = F.when(F.grouping(times[0]) == 0, times[0])
+    for time in times[1:]:
+        counted_by = counted_by.when(F.grouping(time) == 0, time)
+    return hours.groupingSets(sets, "event_type", *times).agg(
+        F.count("event_id").alias("ids"), F.count(F.lit(1)).alias("rows"), counted_by.alias(COUNTED_BY)
+    )
+
+
+def sum_hours(hourly: DataFrame, time: str, keys: Mapping[str, Column]) -> DataFrame:
+    """``count_bookings`` from hourly counts."""
+    return (
+        hourly.where(F.col(COUNTED_BY) == time)
+        .groupBy(*_by(keys))
+        .agg(F.sum("ids").alias("ids"), F.sum("rows").alias("rows"))
+    )
+
+
 def channel_totals(spends: DataFrame) -> DataFrame:
     """One row per channel: summed spend and number of spend rows."""
     return spends.groupBy("channel").agg(

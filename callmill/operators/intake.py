@@ -23,13 +23,8 @@ _INTAKE_SCHEMA = f"payload struct<scheduled_event: struct<event_type: variant>>,
 
 def _wrong_root(raw: Column) -> Column:
     """The document, the payload or the event is there but is no object."""
-    optional_object = [K.MISSING, K.OBJECT]
-    return (
-        raw.isNull()
-        | (K.kind(raw) != K.OBJECT)
-        | ~K.kind(K.child(raw, "$.payload")).isin(optional_object)
-        | ~K.kind(K.child(raw, "$.payload.scheduled_event")).isin(optional_object)
-    )
+    parts = [K.child(raw, path) for path in ("$.payload", "$.payload.scheduled_event")]
+    return ~(K.is_object(raw) & K.object_if_given(parts[0]) & K.object_if_given(parts[1]))
 
 
 def read_event_types(requests: DataFrame) -> DataFrame:

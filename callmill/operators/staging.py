@@ -1,9 +1,10 @@
 """Documents to typed staging rows, with a reason for every document refused.
 
 Every document is read once by ``from_json`` with the document schema. A document that
-fits it and has all its parts needs no more. Only for the others the text is
-also parsed to VARIANT, to tell an absent part from one given as null and a wrong
-kind from a harmless one; the CASE keeps that cost off the regular documents.
+fits it and has all its parts needs no more. If a part is NULL the text is also
+parsed to VARIANT, to tell absent from given as null. Only a document that does
+not fit the schema is searched for the value of a wrong kind, since some of them
+are harmless. CASE keeps each cost off the documents that do not need it.
 """
 
 from __future__ import annotations
@@ -70,23 +71,40 @@ def _wrong_answer(answer: Column) -> Column:
     return _wrong_member(answer) | _wrong_int(K.child(answer, "$.position"))
 
 
-def _reason(raw: Column) -> Column:
-    """Why an irregular document is refused; NULL if it is not."""
-    payload = K.child(raw, _PAYLOAD)
+def _null_part(raw: Column) -> Column:
+    """For documents that fit the schema: the part that was given as null, if any."""
+    payload = F.col("doc.payload")
+    event = payload["scheduled_event"]
+
+    def given_as_null(part: Column, path: str) -> Column:
+        return part.isNull() & F.is_variant_null(K.child(raw, path))
+
+    return (
+        F.when(raw.isNull(), "malformed")
+        .when(given_as_null(payload, _PAYLOAD), "payload_not_object")
+        .when(
+            event.isNotNull() & given_as_null(event["invitees_counter"], f"{_EVENT}.invitees_counter"),
+            "invitees_counter_not_object",
+        )
+        .when(event.isNotNull() & given_as_null(event["location"], f"{_EVENT}.location"), "location_not_object")
+        .when(given_as_null(payload["tracking"], f"{_PAYLOAD}.tracking"), "tracking_not_object")
+    )
+
+
+def _misfit(raw: Column) -> Column:
+    """For documents that do not fit the schema: why, or NULL if it does no harm."""
     event = K.child(raw, _EVENT)
     counter = K.child(raw, f"{_EVENT}.invitees_counter")
-    location = K.child(raw, f"{_EVENT}.location")
     rescheduled = K.child(raw, f"{_PAYLOAD}.rescheduled")
-    part_of_event = K.kind(event) == K.OBJECT
-    optional_object = [K.MISSING, K.OBJECT]
+    has_event = K.is_object(event)
     return (
         F.when(raw.isNull(), "malformed")
-        .when(K.kind(raw) != K.OBJECT, "document_not_object")
-        .when(~K.kind(payload).isin(optional_object), "payload_not_object")
-        .when(~part_of_event & ~K.is_empty(event), "scheduled_event_not_object")
-        .when(part_of_event & ~K.kind(counter).isin(optional_object), "invitees_counter_not_object")
-        .when(part_of_event & ~K.kind(location).isin(optional_object), "location_not_object")
-        .when(~K.kind(K.child(raw, f"{_PAYLOAD}.tracking")).isin(optional_object), "tracking_not_object")
+        .when(~K.is_object(raw), "document_not_object")
+        .when(~K.object_if_given(K.child(raw, _PAYLOAD)), "payload_not_object")
+        .when(~has_event & ~K.is_empty(event), "scheduled_event_not_object")
+        .when(has_event & ~K.object_if_given(counter), "invitees_counter_not_object")
+        .when(has_event & ~K.object_if_given(K.child(raw, f"{_EVENT}.location")), "location_not_object")
+        .when(~K.object_if_given(K.child(raw, f"{_PAYLOAD}.tracking")), "tracking_not_object")
         .when(~K.kind(rescheduled).isin(K.MISSING, K.NULL, K.BOOLEAN, K.OBJECT), "rescheduled_wrong_type")
         .when(
             _any([_wrong_int(K.child(counter, f"$.{name}")) for name in ("total", "active", "limit")]),
@@ -96,8 +114,8 @@ def _reason(raw: Column) -> Column:
             _wrong_list(K.child(raw, f"{_PAYLOAD}.questions_and_answers"), _wrong_answer, object_is_fine=True),
             "questions_wrong_type",
         )
-        .when(part_of_event & _wrong_list(K.child(event, "$.event_guests")), "guests_wrong_type")
-        .when(part_of_event & _wrong_list(K.child(event, "$.event_memberships"), _wrong_member), "members_wrong_type")
+        .when(has_event & _wrong_list(K.child(event, "$.event_guests")), "guests_wrong_type")
+        .when(has_event & _wrong_list(K.child(event, "$.event_memberships"), _wrong_member), "members_wrong_type")
     )
 
 
@@ -114,14 +132,18 @@ def _staged(name: str, type_: T.DataType, path: str) -> Column:
 
 def _list_or_empty(value: Column, type_: T.DataType, path: str) -> Column:
     """An absent list of a given event is empty; a null list, or one of no event, is NULL."""
-    absent = K.child(F.col("raw"), f"{_PAYLOAD}.{path}").isNull() & ~K.is_empty(K.child(F.col("raw"), _EVENT))
-    return F.when(value.isNull() & F.col("raw").isNotNull() & absent, F.array().cast(type_)).otherwise(value)
+    raw = F.col("raw")
+    event = F.col("doc.payload.scheduled_event")
+    # An event without any key counts as none.
+    given = event["event_type"].isNotNull() | (K.child(raw, _EVENT).cast("string") != "{}")
+    absent = event.isNotNull() & K.child(raw, f"{_PAYLOAD}.{path}").isNull() & given
+    return F.when(value.isNull() & raw.isNotNull() & absent, F.array().cast(type_)).otherwise(value)
 
 
 def _text_not_object(value: Column, path: str) -> Column:
     """Text of a scalar or list; an object's leaves have other names, so it is NULL."""
-    given = K.kind(K.child(F.col("raw"), f"{_PAYLOAD}.{path}"))
-    return F.when(_looks_like_object(value) & (given == K.OBJECT), F.lit(None).cast("string")).otherwise(value)
+    given_as_object = K.is_object(K.child(F.col("raw"), f"{_PAYLOAD}.{path}"))
+    return F.when(_looks_like_object(value) & given_as_object, F.lit(None).cast("string")).otherwise(value)
 
 
 def read_documents(documents: DataFrame) -> DataFrame:
@@ -129,7 +151,12 @@ def read_documents(documents: DataFrame) -> DataFrame:
     body = F.col("body")
     readable = F.coalesce(F.is_valid_utf8(body) & K.ends_cleanly(body), F.lit(False))
     irregular = ~F.coalesce(_is_regular(), F.lit(False))
-    reason = F.when(~F.col("readable"), "malformed").when(F.col("irregular"), _reason(F.col("raw")))
+    fits = F.col(f"doc.{CORRUPT}").isNull()
+    reason = (
+        F.when(~F.col("readable"), "malformed")
+        .when(F.col("irregular") & fits, _null_part(F.col("raw")))
+        .when(F.col("irregular"), _misfit(F.col("raw")))
+    )
     read = (
         documents.withColumn("doc", F.from_json(body, DOCUMENT_SCHEMA, STRICT_JSON))
         .withColumns({"readable": readable, "irregular": irregular})

@@ -10,23 +10,37 @@ from pyspark.sql import functions as F
 
 from callmill.functions.calendar import day_name, hour_of_day, iso_weekday
 from callmill.functions.ratios import mean_cost, whole, whole_ratio
-from callmill.operators.fanout import channel_totals, count_bookings, pair_totals
+from callmill.operators.fanout import channel_totals, count_bookings, hourly_counts, pair_totals, sum_hours
+
+BOOKED = "booking_datetime"
+MEETING = "event_datetime"
 
 
 @dataclass(frozen=True)
 class Curated:
-    """The five curated tables."""
+    """The five curated tables, and the bookings per hour if already counted."""
 
     bookings: DataFrame
     channel_map: DataFrame
     spends: DataFrame
     memberships: DataFrame
     employees: DataFrame
+    hourly: DataFrame | None = None
+
+
+def bookings_per_hour(curated: Curated) -> DataFrame:
+    return hourly_counts(curated.bookings, [BOOKED, MEETING])
+
+
+def _counts(curated: Curated, keys: Mapping[str, Column], ts: str = BOOKED) -> DataFrame:
+    if curated.hourly is None:
+        return count_bookings(curated.bookings, keys)
+    return sum_hours(curated.hourly, ts, keys)
 
 
-def _paired(curated: Curated, keys: Mapping[str, Column], by_channel: bool) -> DataFrame:
+def _paired(curated: Curated, keys: Mapping[str, Column], by_channel: bool, ts: str = BOOKED) -> DataFrame:
     return pair_totals(
-        count_bookings(curated.bookings, keys),
+        _counts(curated, keys, ts),
         curated.channel_map,
         channel_totals(curated.spends),
         (["channel"] if by_channel else []) + list(keys),
@@ -47,7 +61,7 @@ def cost_per_lead(curated: Curated) -> DataFrame:
 
 def daily_leads_by_channel(curated: Curated) -> DataFrame:
     return (
-        _paired(curated, {"booking_date": F.to_date("booking_datetime")}, by_channel=True)
+        _paired(curated, {"booking_date": F.to_date(BOOKED)}, by_channel=True)
         .select("channel", "booking_date", F.col("paired_ids").alias("n_events"))
         .orderBy(F.col("channel").asc_nulls_last(), F.col("booking_date").asc_nulls_last())
     )
@@ -69,7 +83,7 @@ def channel_leaderboard(curated: Curated) -> DataFrame:
 def _by_weekday(curated: Curated, ts: str, label: str) -> DataFrame:
     keys = {label: day_name(F.col(ts)), "weekday": iso_weekday(F.col(ts))}
     return (
-        _paired(curated, keys, by_channel=False)
+        _paired(curated, keys, by_channel=False, ts=ts)
         .orderBy(F.col("weekday").asc_nulls_last())
         .select(label, F.col("paired_ids").alias("bookings"))
     )
@@ -77,26 +91,26 @@ def _by_weekday(curated: Curated, ts: str, label: str) -> DataFrame:
 
 def _by_hour(curated: Curated, ts: str, label: str) -> DataFrame:
     return (
-        _paired(curated, {label: hour_of_day(F.col(ts))}, by_channel=False)
+        _paired(curated, {label: hour_of_day(F.col(ts))}, by_channel=False, ts=ts)
         .select(label, F.col("paired_ids").alias("bookings"))
         .orderBy(F.col(label).asc_nulls_last())
     )
 
 
 def bookings_by_day(curated: Curated) -> DataFrame:
-    return _by_weekday(curated, "booking_datetime", "booking_day")
+    return _by_weekday(curated, BOOKED, "booking_day")
 
 
 def bookings_by_hour(curated: Curated) -> DataFrame:
-    return _by_hour(curated, "booking_datetime", "booking_hour")
+    return _by_hour(curated, BOOKED, "booking_hour")
 
 
 def meetings_by_day(curated: Curated) -> DataFrame:
-    return _by_weekday(curated, "event_datetime", "meeting_day")
+    return _by_weekday(curated, MEETING, "meeting_day")
 
 
 def meetings_by_hour(curated: Curated) -> DataFrame:
-    return _by_hour(curated, "event_datetime", "event_hour")
+    return _by_hour(curated, MEETING, "event_hour")
 
 
 def employee_activity(curated: Curated) -> DataFrame:
@@ -110,7 +124,7 @@ def employee_activity(curated: Curated) -> DataFrame:
     """
     days = (
         curated.bookings.where(F.col("event_id").isNotNull())
-        .select("event_id", F.to_date("event_datetime").alias("day"))
+        .select("event_id", F.to_date(MEETING).alias("day"))
         .distinct()
     )
     first = F.row_number().over(Window.partitionBy("event_id").orderBy("day")) == 1
@@ -147,7 +161,7 @@ MARTS = {
 
 
 def _leads(curated: Curated, keys: Mapping[str, Column]) -> DataFrame:
-    counts = count_bookings(curated.bookings, keys).join(curated.channel_map, "event_type")
+    counts = _counts(curated, keys).join(curated.channel_map, "event_type")
     return counts.groupBy(F.col("channel_name").alias("channel"), *keys).agg(F.sum("ids").alias("leads"))
 
 
@@ -161,7 +175,7 @@ def true_cost_per_lead(curated: Curated) -> DataFrame:
 
 
 def daily_spend_vs_leads(curated: Curated) -> DataFrame:
-    leads = _leads(curated, {"date": F.to_date("booking_datetime")})
+    leads = _leads(curated, {"date": F.to_date(BOOKED)})
     spent = curated.spends.groupBy("channel", "date").agg(F.sum("spend").alias("spend"))
     return (
         spent.join(leads, ["channel", "date"], "full_outer")
@@ -176,7 +190,7 @@ def daily_spend_vs_leads(curated: Curated) -> DataFrame:
 
 
 def leads_by_day(curated: Curated) -> DataFrame:
-    ts = F.col("booking_datetime")
+    ts = F.col(BOOKED)
     return (
         _leads(curated, {"booking_day": day_name(ts), "weekday": iso_weekday(ts)})
         .groupBy("booking_day", "weekday")
@@ -188,7 +202,7 @@ def leads_by_day(curated: Curated) -> DataFrame:
 
 def leads_by_hour(curated: Curated) -> DataFrame:
     return (
-        _leads(curated, {"booking_hour": hour_of_day(F.col("booking_datetime"))})
+        _leads(curated, {"booking_hour": hour_of_day(F.col(BOOKED))})
         .groupBy("booking_hour")
         .agg(F.sum("leads").alias("leads"))
         .orderBy(F.col("booking_hour").asc_nulls_last())

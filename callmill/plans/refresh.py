@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmill.plans.marts import MARTS, Curated
+from callmill.plans.marts import MARTS, Curated, bookings_per_hour
 from callmill.sources import files
 
 # Fixed value: how long a result stays fresh.
 FRESH_FOR = timedelta(seconds=86_400)
 
 REFRESHED_AT = "refreshed_at"
+HOURLY = "bookings_per_hour"
 
 
 def mart_path(root: str, name: str) -> str:
@@ -44,11 +46,16 @@ def refresh(
 ) -> list[str]:
     """Overwrite every mart that is stale; returns their names.
 
-    Each snapshot is one small file that keeps the mart's order. A refresh that
-    dies half-way leaves no ``_SUCCESS``, so the next one takes that mart again.
+    The bookings are counted per hour first, in one scan, and the marts are built
+    on that table; only the employee mart reads the bookings again. Each snapshot
+    is one small file that keeps the mart's order. A refresh that dies half-way
+    leaves no ``_SUCCESS``, so the next one takes that mart again.
     """
     now = now or datetime.now(timezone.utc)
     stale = [name for name in marts if force or _is_stale(refreshed_at(spark, root, name), now)]
+    if stale:
+        bookings_per_hour(curated).write.mode("overwrite").parquet(mart_path(root, HOURLY))
+        curated = replace(curated, hourly=spark.read.parquet(mart_path(root, HOURLY)))
     for name in stale:
         snapshot = marts[name](curated).withColumn(REFRESHED_AT, F.lit(now))
         snapshot.coalesce(1).write.mode("overwrite").parquet(mart_path(root, name))

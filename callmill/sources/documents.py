@@ -61,16 +61,15 @@ def one_line(body: Column) -> Column:
     return F.translate(body, "\r\n", "  ")
 
 
-def arriving(accepted: DataFrame, arrival: Column | None = None) -> DataFrame:
+def arriving(accepted: DataFrame) -> DataFrame:
     """Accepted documents ready to land: the arrival date and the text as one line."""
-    arrival = arrival_date() if arrival is None else arrival
-    return accepted.select(arrival.alias(ARRIVAL), one_line(F.col("body")).alias("value"))
+    return accepted.select(arrival_date().alias(ARRIVAL), one_line(F.col("body")).alias("value"))
 
 
-def land(accepted: DataFrame, root: str, arrival: Column | None = None) -> None:
+def land(accepted: DataFrame, root: str) -> None:
     """Append accepted documents to the folder of their UTC arrival date.
 
-    Spark names the part files uniquely and packs many documents into each; runtime
-    sizes set their number, so a large date gets many.
+    Every task writes one uniquely named file of many documents. They share one
+    date, so there is nothing to shuffle.
     """
-    arriving(accepted, arrival).hint("rebalance", ARRIVAL).write.mode("append").partitionBy(ARRIVAL).text(root)
+    arriving(accepted).write.mode("append").partitionBy(ARRIVAL).text(root)

@@ -81,14 +81,15 @@ def _stores(spark: SparkSession, label: str, table: str | None = None) -> daily.
     return daily.Stores(f"{root}/raw", f"{root}/staging", f"{root}/quarantine", f"{root}/work", table)
 
 
-def _arrive(rows: DataFrame, stores: daily.Stores, date: str = "event_date") -> None:
+def _arrive(rows: DataFrame, root: str, date: str = "event_date") -> None:
     """Land documents as if they had arrived on their own date."""
-    documents.land(rows, stores.raw, F.col(date))
+    dated = rows.select(F.col(date).alias(documents.ARRIVAL), documents.one_line(F.col("body")).alias("value"))
+    dated.hint("rebalance", documents.ARRIVAL).write.mode("append").partitionBy(documents.ARRIVAL).text(root)
 
 
 def _ran(spark: SparkSession, sf_dir: str, label: str, mode: str = daily.REBUILD) -> daily.Stores:
     stores = _stores(spark, label)
-    _arrive(_with_body(spark, sf_dir), stores)
+    _arrive(_with_body(spark, sf_dir), stores.raw)
     daily.run_daily(spark, stores, documents.LINES, mode)
     return stores
 
@@ -110,7 +111,7 @@ def _snapshot_root(spark: SparkSession, sf_dir: str, label: str) -> str:
 
 def a1_json_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "a1")
-    _arrive(_with_body(spark, sf_dir), stores)
+    _arrive(_with_body(spark, sf_dir), stores.raw)
     read = intake.read_event_types(documents.bodies(spark, stores.raw, documents.LINES))
     return _count(read, "event_type", "fault")
 
@@ -141,7 +142,7 @@ def a4_land_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def a4_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "a4-stream")
-    documents.land(_with_body(spark, sf_dir), f"{root}/requests", F.col("event_date"))
+    _arrive(_with_body(spark, sf_dir), f"{root}/requests")
     land_stream(
         spark, f"{root}/requests", f"{root}/raw", f"{root}/checkpoint", ALLOWED, documents.LINES
     ).awaitTermination()
@@ -211,7 +212,7 @@ def a12_landed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def a13_folder_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "a13")
-    _arrive(_with_body(spark, sf_dir), stores)
+    _arrive(_with_body(spark, sf_dir), stores.raw)
     return _count(documents.raw_documents(spark, stores.raw, documents.LINES), "event_date")
 
 
@@ -219,7 +220,7 @@ def a14_suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first copies land as .json, the others as .txt; only .json is read."""
     stores = _stores(spark, "a14")
     rows = _with_body(spark, sf_dir)
-    _arrive(rows.where("copy = 1"), stores)
+    _arrive(rows.where("copy = 1"), stores.raw)
     named = rows.where("copy = 0").select(F.col("event_date").alias(documents.ARRIVAL), "event_id")
     named.write.mode("append").partitionBy(documents.ARRIVAL).json(stores.raw)
     json_lines = documents.Layout(documents.FILES.suffix, per_file=False)
@@ -237,7 +238,7 @@ def a16_empty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _with_body(spark, sf_dir).withColumn(
         "arrived", F.when(F.col("body") == "not json", "unreadable").otherwise(F.col("event_date"))
     )
-    _arrive(rows, stores, "arrived")
+    _arrive(rows, stores.raw, "arrived")
     daily.run_daily(spark, stores, documents.LINES)
     names = [path.rsplit("=", 1)[1] for path in files.child_folders(spark, stores.staging)]
     partitions = spark.range(1).select(F.explode(F.array(*[F.lit(name) for name in names])).alias("event_date"))
@@ -267,7 +268,7 @@ def a19_registered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "a19")
     table = f"events_{root[-32:]}"
     stores = daily.Stores(f"{root}/raw", f"{root}/staging", f"{root}/quarantine", f"{root}/work", table)
-    _arrive(_with_body(spark, sf_dir), stores)
+    _arrive(_with_body(spark, sf_dir), stores.raw)
     daily.run_daily(spark, stores, documents.LINES)
     tables.register_all(spark, table)  # finds nothing new
     return spark.sql(f"SHOW PARTITIONS {table}")
@@ -276,7 +277,7 @@ def a19_registered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a20_consume_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stream runs in append mode: the second finds no file left to take."""
     stores = _stores(spark, "a20")
-    _arrive(_with_body(spark, sf_dir), stores)
+    _arrive(_with_body(spark, sf_dir), stores.raw)
     for _ in range(2):
         daily_stream(spark, stores, f"{stores.work}-checkpoint", documents.LINES, daily.APPEND).awaitTermination()
     return _count(tables.read_staging(spark, stores.staging), "event_date", name="bookings")
@@ -291,7 +292,7 @@ def b1_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def b2_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "b2")
-    _arrive(_with_body(spark, sf_dir), stores)
+    _arrive(_with_body(spark, sf_dir), stores.raw)
     flat = flatten(spark.read.json(stores.raw, pathGlobFilter="*.txt", recursiveFileLookup=True))
     return flat.where("payload_event IS NOT NULL").select(
         "payload_event",
@@ -454,7 +455,7 @@ def v5_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _pipeline(spark: SparkSession, sf_dir: str, label: str) -> marts.Curated:
     """Intake, landing, the daily job, then the curated tables of what it stored."""
     stores = _stores(spark, label)
-    _arrive(_accepted(spark, sf_dir), stores)
+    _arrive(_accepted(spark, sf_dir), stores.raw)
     daily.run_daily(spark, stores, documents.LINES)
     stored = tables.read_staging(spark, stores.staging)
     return curated.curate(stored, fixtures.channels(spark), fixtures.spends(spark, sf_dir))
@@ -491,7 +492,7 @@ def x5_rebuild_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "x5")
     rows = _with_body(spark, sf_dir)
     for copy in (0, 1):
-        _arrive(rows.where(F.col("copy") == copy), stores)
+        _arrive(rows.where(F.col("copy") == copy), stores.raw)
         daily.run_daily(spark, stores, documents.LINES)
     stored = tables.read_staging(spark, stores.staging)
     return stored.select("event_date", "event", "status")

@@ -1,0 +1,338 @@
+"""Files in, tables out: batch and streaming, repeats, late files and recovery."""
+
+import json
+import os
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from callmill.operators.staging import stage_documents, staged_rows
+from callmill.plans import curated, daily, landing, marts, refresh, spend
+from callmill.sources import documents, files, snapshots, tables
+from callmill.streaming.daily import daily_stream
+from callmill.streaming.intake import land_stream, outcomes_of
+
+
+def body(event, status="active", hour=1, event_type="A"):
+    payload = {
+        "event": event,
+        "status": status,
+        "created_at": "2024-01-01T00:00:00.000000Z",
+        "updated_at": f"2024-01-01T{hour:02d}:00:00.000000Z",
+        "scheduled_event": {"event_type": event_type, "start_time": "2024-01-02T10:00:00.000000Z"},
+        "tracking": {},
+    }
+    return json.dumps({"payload": payload})
+
+
+@pytest.fixture
+def stores(tmp_path):
+    return daily.Stores(*[str(tmp_path / name) for name in ("raw", "staging", "quarantine", "work")])
+
+
+def drop(stores, name, text):
+    path = os.path.join(stores.raw, name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def stored(spark, stores):
+    rows = tables.read_staging(spark, stores.staging).select("event_date", "event", "status").collect()
+    return sorted((tuple(row) for row in rows), key=repr)
+
+
+def refused(spark, stores):
+    rows = spark.read.parquet(stores.quarantine).select("event_date", "reason", "body").collect()
+    return sorted(tuple(row) for row in rows)
+
+
+def fill(stores):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    drop(stores, "2024-01-01/b.json", body("e1", "canceled", 2))
+    drop(stores, "2024-01-01/deep/er/c.json", json.dumps(json.loads(body("e2")), indent=2))
+    drop(stores, "2024-01-01/d.JSON", body("upper"))
+    drop(stores, "2024-01-01/d.json.txt", body("other"))
+    drop(stores, "2024-01-01/bad.json", "not json")
+    drop(stores, "2024-01-02/a.json", body("e1"))
+    drop(stores, "2024-01-02/n1.json", '{"payload":{}}')
+    drop(stores, "2024-01-02/n2.json", "{}")
+    drop(stores, "loose.json", body("loose"))
+    drop(stores, "2024-01-03/only_bad.json", "[]")
+    drop(stores, "2024-01-04/readme.md", "no documents here")
+    drop(stores, "undated/a.json", body("e9"))
+
+
+FILLED = [
+    ("2024-01-01", "e1", "canceled"),
+    ("2024-01-01", "e2", "active"),
+    ("2024-01-02", "e1", "active"),
+    ("2024-01-02", None, None),
+    ("undated", "e9", "active"),
+]
+FILLED_REFUSED = [("2024-01-01", "malformed", "not json"), ("2024-01-03", "document_not_object", "[]")]
+
+
+def test_daily_run(spark, stores):
+    fill(stores)
+    assert daily.run_daily(spark, stores) == ["2024-01-01", "2024-01-02", "undated"]
+    assert stored(spark, stores) == sorted(FILLED, key=repr)
+    assert refused(spark, stores) == FILLED_REFUSED
+    # Batches without rows get no partition; nothing stays in the work folder.
+    assert [os.path.basename(p) for p in files.child_folders(spark, stores.staging)] == [
+        "event_date=2024-01-01",
+        "event_date=2024-01-02",
+        "event_date=undated",
+    ]
+    assert files.child_folders(spark, stores.work) == []
+
+
+def test_daily_run_twice_changes_nothing(spark, stores):
+    fill(stores)
+    daily.run_daily(spark, stores)
+    daily.run_daily(spark, stores)
+    assert stored(spark, stores) == sorted(FILLED, key=repr)
+
+
+def test_same_run_id_replaces_its_refusals(spark, stores):
+    fill(stores)
+    for _ in range(2):
+        daily.ingest(spark, documents.raw_documents(spark, stores.raw), stores, "monday")
+    assert refused(spark, stores) == FILLED_REFUSED
+
+
+def test_late_files_replace_older_rows_and_leave_other_dates(spark, stores):
+    drop(stores, "2024-01-01/a.json", body("e1", "active", 2))
+    drop(stores, "2024-01-02/a.json", body("e5"))
+    daily.run_daily(spark, stores)
+    os.remove(os.path.join(stores.raw, "2024-01-01/a.json"))
+    os.remove(os.path.join(stores.raw, "2024-01-02/a.json"))
+    untouched = os.listdir(os.path.join(stores.staging, "event_date=2024-01-02"))
+    drop(stores, "2024-01-01/b.json", body("e1", "older", 1))
+    drop(stores, "2024-01-01/c.json", body("e2"))
+    daily.run_daily(spark, stores)
+    assert stored(spark, stores) == [("2024-01-01", "e1", "active"), ("2024-01-01", "e2", "active"), ("2024-01-02", "e5", "active")]
+    assert os.listdir(os.path.join(stores.staging, "event_date=2024-01-02")) == untouched
+
+
+def test_append_mode_dedups_one_run_only(spark, stores):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    drop(stores, "2024-01-01/b.json", body("e1", "canceled", 2))
+    daily.run_daily(spark, stores, mode=daily.APPEND)
+    daily.run_daily(spark, stores, mode=daily.APPEND)
+    assert stored(spark, stores) == [("2024-01-01", "e1", "canceled")] * 2
+
+
+def test_nothing_pending(spark, stores):
+    drop(stores, "2024-01-01/readme.md", "x")
+    assert daily.run_daily(spark, stores) == []
+    assert tables.read_staging(spark, stores.staging).count() == 0
+
+
+def test_a_dead_run_is_published_by_the_next(spark, stores, monkeypatch):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    daily.run_daily(spark, stores)
+    os.remove(os.path.join(stores.raw, "2024-01-01/a.json"))
+    drop(stores, "2024-01-01/b.json", body("e2"))
+
+    def die(rows, path):
+        # The worst moment: the stored date is gone, its replacement not there yet.
+        files.remove(spark, f"{path}/event_date=2024-01-01")
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "replace_dates", die)
+        with pytest.raises(RuntimeError):
+            daily.run_daily(spark, stores)
+    os.remove(os.path.join(stores.raw, "2024-01-01/b.json"))
+    drop(stores, "2024-01-02/c.json", body("e3"))
+    daily.run_daily(spark, stores)
+    assert [row[:2] for row in stored(spark, stores)] == [("2024-01-01", "e1"), ("2024-01-01", "e2"), ("2024-01-02", "e3")]
+
+
+def test_registered_partitions(spark, stores, tmp_path):
+    fill(stores)
+    stores = daily.Stores(stores.raw, stores.staging, stores.quarantine, stores.work, "pipeline_events")
+    daily.run_daily(spark, stores)
+    daily.run_daily(spark, stores)
+    assert [row[0] for row in spark.sql("SHOW PARTITIONS pipeline_events").collect()] == [
+        "event_date=2024-01-01",
+        "event_date=2024-01-02",
+        "event_date=undated",
+    ]
+    assert spark.table("pipeline_events").where("event_date = '2024-01-01'").count() == 2
+    spark.sql("DROP TABLE pipeline_events")
+
+
+def test_stream_in_steps_equals_one_batch(spark, stores, tmp_path):
+    batch = daily.Stores(stores.raw, *[str(tmp_path / f"batch-{n}") for n in ("staging", "quarantine", "work")])
+    checkpoint = str(tmp_path / "checkpoint")
+    for step in range(3):
+        drop(stores, f"2024-01-01/{step}.json", body("e1", f"s{step}", hour=step + 1))
+        drop(stores, f"2024-01-0{step + 1}/x{step}.json", body(f"x{step}"))
+        drop(stores, f"2024-01-01/bad{step}.json", f"bad {step}")
+        daily_stream(spark, stores, checkpoint, files_per_batch=2).awaitTermination()
+    daily.run_daily(spark, batch)
+    assert stored(spark, stores) == stored(spark, batch)
+    assert refused(spark, stores) == refused(spark, batch)
+
+
+def test_stream_takes_each_file_once(spark, stores, tmp_path):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    for _ in range(3):
+        daily_stream(spark, stores, str(tmp_path / "checkpoint"), mode=daily.APPEND).awaitTermination()
+    assert stored(spark, stores) == [("2024-01-01", "e1", "active")]
+
+
+def test_stream_archives_taken_files(spark, stores, tmp_path):
+    archive = str(tmp_path / "archive")
+    for step in range(3):
+        drop(stores, f"2024-01-01/{step}.json", body(f"e{step}"))
+        daily_stream(spark, stores, str(tmp_path / "checkpoint"), archive=archive).awaitTermination()
+    assert [row[1] for row in stored(spark, stores)] == ["e0", "e1", "e2"]
+    archived = [name for _, _, names in os.walk(archive) for name in names if name.endswith(".json")]
+    assert "0.json" in archived
+
+
+def test_stream_batch_repeated_after_a_crash(spark, stores):
+    """The engine hands the same batch over again; the second try changes nothing."""
+    fill(stores)
+    rows = documents.raw_documents(spark, stores.raw)
+    daily.ingest(spark, rows, stores, "batch-0")
+    daily.ingest(spark, rows, stores, "batch-0")
+    assert stored(spark, stores) == sorted(FILLED, key=repr)
+    assert refused(spark, stores) == FILLED_REFUSED
+
+
+REQUESTS = [body("e1"), body("e2", event_type="B"), "not json", "{}", json.dumps(json.loads(body("e3")), indent=1)]
+
+
+def test_batch_landing(spark, tmp_path):
+    requests = spark.createDataFrame([(text,) for text in [*REQUESTS, None]], "body string")
+    counts = landing.intake(requests, ["A"], str(tmp_path / "raw"))
+    assert counts == {"missing_body": 1, "error": 1, "skipped": 2, "accepted": 2}
+    landed = documents.raw_documents(spark, str(tmp_path / "raw"), documents.LINES)
+    rows = staged_rows(stage_documents(landed)).select("event", "event_date").collect()
+    assert sorted(row.event for row in rows) == ["e1", "e3"]
+    today = datetime.now(timezone.utc).date()
+    assert {row.event_date for row in rows} <= {str(today), str(today - timedelta(days=1))}
+
+
+def test_landed_text_is_kept_whole(spark, tmp_path):
+    text = '{"payload":{"scheduled_event":{"event_type":"A"},\r\n"n":5.0,"n":1e3,"t":"a\\nb"},\n"extra":[1, 2]}'
+    landing.intake(spark.createDataFrame([(text,)], "body string"), ["A"], str(tmp_path / "raw"))
+    found = documents.bodies(spark, str(tmp_path / "raw"), documents.LINES).first().body
+    assert found == text.replace("\r", " ").replace("\n", " ")
+
+
+def test_streamed_landing(spark, tmp_path):
+    root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+    totals = {}
+    for step, texts in enumerate((REQUESTS[:2], REQUESTS[2:])):
+        os.makedirs(tmp_path / "in", exist_ok=True)
+        for i, text in enumerate(texts):
+            (tmp_path / "in" / f"{step}-{i}.json").write_text(text)
+        query = land_stream(spark, str(tmp_path / "in"), root, checkpoint, ["A"])
+        query.awaitTermination()
+        for outcome, count in outcomes_of(query).items():
+            totals[outcome] = totals.get(outcome, 0) + count
+    assert totals == {"missing_body": 0, "error": 1, "skipped": 2, "accepted": 2}
+    rows = stage_documents(documents.raw_documents(spark, root, documents.LINES)).select("event", "event_date")
+    assert sorted(row.event for row in rows.collect()) == ["e1", "e3"]
+
+
+RECORDS = [
+    {"date": "2024-01-02", "channel": "A", "spend": 10.25, "note": "kept"},
+    {"date": "2024-01-01", "channel": "A", "spend": 9},
+    {"channel": "undated", "spend": 1},
+    {"date": "2024-01-02", "channel": "B", "spend": 3},
+]
+
+
+@pytest.fixture
+def snapshot(put, tmp_path):
+    def write(names, records=RECORDS):
+        put("in/index.json", json.dumps({"files": names}, indent=1))
+        for name in names:
+            put(f"in/{name}", json.dumps(records, indent=1))
+        return str(tmp_path / "in"), str(tmp_path / "in" / "index.json"), str(tmp_path / "landed")
+
+    return write
+
+
+def test_spend_load(spark, snapshot, tmp_path):
+    paths = snapshot(["spend_data_2024-01-01.json", "spend_data_2024-01-02.json"])
+    for _ in range(2):
+        assert spend.load_latest_spend(spark, *paths) == spend.SpendLoad("spend_data_2024-01-02.json", "2024-01-02", 2)
+    rows = tables.read_spends(spark, paths[2]).orderBy("channel").collect()
+    assert [(str(row.date), row.channel, str(row.spend), str(row.file_date)) for row in rows] == [
+        ("2024-01-02", "A", "10.25", "2024-01-02"),
+        ("2024-01-02", "B", "3.00", "2024-01-02"),
+    ]
+    # Fields the pipeline does not know stay in the files.
+    assert spark.read.json(paths[2]).where("note = 'kept'").count() == 1
+
+
+def test_spend_load_keeps_other_dates(spark, snapshot):
+    paths = snapshot(["spend_data_2024-01-01.json"])
+    spend.load_latest_spend(spark, *paths)
+    paths = snapshot(["spend_data_2024-01-01.json", "spend_data_2024-01-02.json"])
+    spend.load_latest_spend(spark, *paths)
+    assert tables.read_spends(spark, paths[2]).count() == 3
+
+
+@pytest.mark.parametrize(
+    "names, records, message",
+    [
+        ([], RECORDS, "no files"),
+        (["spend_data.json"], RECORDS, "no date"),
+        (["spend_data_2024-03-01.json"], RECORDS, "no records"),
+        (["spend_data_2024-03-01.json"], [{"channel": "A"}], "no records"),
+    ],
+)
+def test_spend_guards(spark, snapshot, names, records, message):
+    paths = snapshot(names, records)
+    with pytest.raises(snapshots.EmptySnapshot, match=message):
+        spend.load_latest_spend(spark, *paths)
+    assert not os.path.exists(paths[2])
+
+
+def test_refresh(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    noon = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+    built = []
+
+    def mart(name):
+        def build(_):
+            built.append(name)
+            return spark.range(3).orderBy(F.desc("id"))
+
+        return build
+
+    chosen = {"a": mart("a"), "b": mart("b")}
+    rows = spark.createDataFrame([("A", "e1", noon, None)], "event_type string, event_id string, booking_datetime timestamp, event_datetime timestamp")
+    tables_ = marts.Curated(rows, None, None, None, None)
+    assert refresh.refresh(spark, tables_, root, now=noon, marts=chosen) == ["a", "b"]
+    assert refresh.refreshed_at(spark, root, "a") == noon
+    assert [row[0] for row in refresh.read_mart(spark, root, "a").collect()] == [2, 1, 0]
+    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=23), marts=chosen) == []
+    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=24), marts=chosen) == ["a", "b"]
+    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=24), force=True, marts=chosen) == ["a", "b"]
+    os.remove(os.path.join(root, "b", "_SUCCESS"))
+    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=25), marts=chosen) == ["b"]
+    assert built == ["a", "b"] * 3 + ["b"]
+
+
+def test_date_range_prunes_partitions(spark, stores):
+    for day in (1, 2, 3):
+        drop(stores, f"2024-01-0{day}/a.json", body(f"e{day}"))
+    daily.run_daily(spark, stores)
+    staging = tables.read_staging(spark, stores.staging)
+    found = curated.bookings(curated.within(staging, "2024-01-02", "2024-01-02"))
+    assert [row.event_id for row in found.collect()] == ["e2"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert marts.leads_by_hour(
+        marts.Curated(found, curated.channel_map(spark, [("A", "ads")]), None, None, None)
+    ).collect()[0].leads == 1
