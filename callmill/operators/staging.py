@@ -23,6 +23,9 @@ REASON = "reason"
 
 TOP_TEXTS = [path for type_, path in STAGED.values() if isinstance(type_, T.StringType) and "." not in path]
 
+# Lists of an event, and the flag that says one is absent.
+LISTS = {"scheduled_event.event_guests": "no_guests", "scheduled_event.event_memberships": "no_members"}
+
 _PAYLOAD = "$.payload"
 _EVENT = "$.payload.scheduled_event"
 
@@ -31,8 +34,8 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left | right, conditions)
 
 
-def _looks_like_object(value: Column) -> Column:
-    return F.coalesce(value.startswith("{"), F.lit(False))
+def _has_object_like_text() -> Column:
+    return F.coalesce(_any([F.col(f"doc.payload.{path}").startswith("{") for path in TOP_TEXTS]), F.lit(False))
 
 
 def _is_regular() -> Column:
@@ -45,7 +48,7 @@ def _is_regular() -> Column:
         & F.col(f"doc.{CORRUPT}").isNull()
         & payload["tracking"].isNotNull()
         & (event.isNull() | reduce(lambda a, b: a & b, [event[part].isNotNull() for part in parts]))
-        & ~_any([_looks_like_object(payload[path]) for path in TOP_TEXTS])
+        & ~_has_object_like_text()
     )
 
 
@@ -120,34 +123,38 @@ def _misfit(raw: Column) -> Column:
 
 
 def _staged(name: str, type_: T.DataType, path: str) -> Column:
-    value = F.col(f"doc.payload.{path}")
+    value = F.col(f"read.doc.payload.{path}")
     if isinstance(type_, T.TimestampType):
-        return document_timestamp(value).alias(name)
-    if name in ("scheduled_event_event_guests", "scheduled_event_event_memberships"):
-        return _list_or_empty(value, type_, path).alias(name)
-    if path in TOP_TEXTS:
-        return _text_not_object(value, path).alias(name)
+        value = document_timestamp(value)
+    elif path in LISTS:
+        # An absent list of a given event is empty; a null list, or one of no event, is NULL.
+        value = F.when(F.col(f"read.fixes.{LISTS[path]}"), F.array().cast(type_)).otherwise(value)
+    elif path in TOP_TEXTS:
+        # Text of a scalar or list; an object's leaves have other names, so it is NULL.
+        is_object = F.array_contains(F.col("read.fixes.objects"), path)
+        value = F.when(is_object, F.lit(None).cast("string")).otherwise(value)
     return value.alias(name)
 
 
-def _list_or_empty(value: Column, type_: T.DataType, path: str) -> Column:
-    """An absent list of a given event is empty; a null list, or one of no event, is NULL."""
-    raw = F.col("raw")
-    event = F.col("doc.payload.scheduled_event")
+def _fixes(raw: Column) -> Column:
+    """What the typed read cannot tell, for irregular documents; NULL for the others."""
+    payload = F.col("doc.payload")
+    event = payload["scheduled_event"]
     # An event without any key counts as none.
-    given = event["event_type"].isNotNull() | (K.child(raw, _EVENT).cast("string") != "{}")
-    absent = event.isNotNull() & K.child(raw, f"{_PAYLOAD}.{path}").isNull() & given
-    return F.when(value.isNull() & raw.isNotNull() & absent, F.array().cast(type_)).otherwise(value)
-
-
-def _text_not_object(value: Column, path: str) -> Column:
-    """Text of a scalar or list; an object's leaves have other names, so it is NULL."""
-    given_as_object = K.is_object(K.child(F.col("raw"), f"{_PAYLOAD}.{path}"))
-    return F.when(_looks_like_object(value) & given_as_object, F.lit(None).cast("string")).otherwise(value)
+    given = event.isNotNull() & (event["event_type"].isNotNull() | (K.child(raw, _EVENT).cast("string") != "{}"))
+    fields = F.try_variant_get(raw, _PAYLOAD, "map<string, variant>")
+    objects = F.map_keys(F.map_filter(fields, lambda _, field: K.is_object(field)))
+    return F.when(
+        raw.isNotNull(),
+        F.struct(
+            F.when(_has_object_like_text(), objects).alias("objects"),
+            *[(given & K.child(raw, f"{_PAYLOAD}.{path}").isNull()).alias(flag) for path, flag in LISTS.items()],
+        ),
+    )
 
 
 def read_documents(documents: DataFrame) -> DataFrame:
-    """Add ``doc`` (typed), ``raw`` (VARIANT, irregular documents only) and ``reason``."""
+    """Add ``read``: the typed document, its fixes, and the reason it is refused, if any."""
     body = F.col("body")
     readable = F.coalesce(F.is_valid_utf8(body) & K.ends_cleanly(body), F.lit(False))
     irregular = ~F.coalesce(_is_regular(), F.lit(False))
@@ -162,9 +169,10 @@ def read_documents(documents: DataFrame) -> DataFrame:
         .withColumns({"readable": readable, "irregular": irregular})
         .withColumn("raw", F.when(F.col("readable") & F.col("irregular"), F.try_parse_json(body)))
     )
+    found = F.struct("doc", _fixes(F.col("raw")).alias("fixes"), reason.alias(REASON))
     # One row in, one row out. A filter on the reason stays above this step; pushed
     # below, it would read every document a second time.
-    return read.select(*documents.columns, F.inline(F.array(F.struct("doc", "raw", reason.alias(REASON)))))
+    return read.select(*documents.columns, F.explode(F.array(found)).alias("read"))
 
 
 def stage_documents(documents: DataFrame) -> DataFrame:
@@ -177,8 +185,8 @@ def stage_documents(documents: DataFrame) -> DataFrame:
     kept = [name for name in documents.columns if name not in ("body", PARTITION)]
     return read.select(
         *kept,
-        REASON,
-        F.when(F.col(REASON).isNotNull(), F.col("body")).alias("body"),
+        F.col(f"read.{REASON}"),
+        F.when(F.col(f"read.{REASON}").isNotNull(), F.col("body")).alias("body"),
         *[_staged(name, type_, path) for name, (type_, path) in STAGED.items()],
         F.col(PARTITION).cast("string").alias(PARTITION),
     )

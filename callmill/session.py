@@ -20,6 +20,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # HotSpot never compiles a longer method; the wide staging projection would
+    # run interpreted instead of falling back to split methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

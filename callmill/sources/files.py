@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def modified(spark: SparkSession, path: str) -> datetime | None:
+    """When the file was last written; None if it is not there."""
+    file_system, hadoop_path = _open(spark, path)
+    if not file_system.exists(hadoop_path):
+        return None
+    return datetime.fromtimestamp(file_system.getFileStatus(hadoop_path).getModificationTime() / 1000, timezone.utc)
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Direct sub-folders, sorted by name; none if the folder is not there."""
     file_system, hadoop_path = _open(spark, path)

@@ -21,7 +21,7 @@ def land_stream(
     requests: str,
     root: str,
     checkpoint: str,
-    allowed: Sequence[str],
+    allowed: Sequence[str] | DataFrame,
     layout: Layout = FILES,
 ) -> StreamingQuery:
     """Take all bodies waiting in ``requests``; stops when none are left.

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from callmill import jobs
 from callmill.operators.staging import stage_documents, staged_rows
 from callmill.plans import curated, daily, landing, marts, refresh, spend
 from callmill.sources import documents, files, snapshots, tables
@@ -303,25 +304,32 @@ def test_refresh(spark, tmp_path):
     noon = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
     built = []
 
-    def mart(name):
+    def mart(name, rows=3):
         def build(_):
             built.append(name)
-            return spark.range(3).orderBy(F.desc("id"))
+            return spark.range(rows).orderBy(F.desc("id"))
 
         return build
 
-    chosen = {"a": mart("a"), "b": mart("b")}
+    chosen = {"a": mart("a"), "b": mart("b"), "empty": mart("empty", rows=0)}
     rows = spark.createDataFrame([("A", "e1", noon, None)], "event_type string, event_id string, booking_datetime timestamp, event_datetime timestamp")
     tables_ = marts.Curated(rows, None, None, None, None)
-    assert refresh.refresh(spark, tables_, root, now=noon, marts=chosen) == ["a", "b"]
-    assert refresh.refreshed_at(spark, root, "a") == noon
+    start = datetime.now(timezone.utc)
+
+    def after(hours, **options):
+        return refresh.refresh(spark, tables_, root, now=start + timedelta(hours=hours), marts=chosen, **options)
+
+    assert after(0) == ["a", "b", "empty"]
     assert [row[0] for row in refresh.read_mart(spark, root, "a").collect()] == [2, 1, 0]
-    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=23), marts=chosen) == []
-    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=24), marts=chosen) == ["a", "b"]
-    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=24), force=True, marts=chosen) == ["a", "b"]
+    assert refresh.read_mart(spark, root, "empty").count() == 0
+    assert after(23) == []
+    assert after(23, force=True) == ["a", "b", "empty"]
+    assert after(25) == ["a", "b", "empty"]
     os.remove(os.path.join(root, "b", "_SUCCESS"))
-    assert refresh.refresh(spark, tables_, root, now=noon + timedelta(hours=25), marts=chosen) == ["b"]
-    assert built == ["a", "b"] * 3 + ["b"]
+    assert after(1) == ["b"]
+    assert built == ["a", "b", "empty"] * 3 + ["b"]
+    taken = spark.read.parquet(f"{root}/a").select(F.max("refreshed_at")).first()[0]
+    assert taken == (start + timedelta(hours=25)).replace(tzinfo=None)
 
 
 def test_date_range_prunes_partitions(spark, stores):
@@ -336,3 +344,30 @@ def test_date_range_prunes_partitions(spark, stores):
     assert marts.leads_by_hour(
         marts.Curated(found, curated.channel_map(spark, [("A", "ads")]), None, None, None)
     ).collect()[0].leads == 1
+
+
+def test_jobs_end_to_end(spark, put, tmp_path, snapshot):
+    at = lambda name: str(tmp_path / name)
+    channels = put("channels.json", '{"event_type":"A","channel_name":"A"}\n{"event_type":"C","channel_name":"B"}\n')
+    for i, text in enumerate([body("e1"), body("e1", "canceled", 2), body("e2", event_type="C"), body("e3", event_type="B"), "x"]):
+        put(f"requests/{i}.json", text)
+    snapshots_, index, landed = snapshot(["spend_data_2024-01-02.json"])
+
+    def run(command, **options):
+        flags = [part for name, value in options.items() for part in (f"--{name}", value)]
+        return jobs.main([command, *flags], spark)
+
+    assert run("intake", requests=at("requests"), raw=at("raw"), checkpoint=at("c1"), channels=channels) == {
+        "missing_body": 0,
+        "error": 1,
+        "skipped": 1,
+        "accepted": 3,
+    }
+    for _ in range(2):
+        run("daily", raw=at("raw"), staging=at("staging"), quarantine=at("quarantine"), work=at("work"), checkpoint=at("c2"))
+    assert run("spend", snapshots=snapshots_, index=index, landed=landed).records == 2
+    inputs = {"staging": at("staging"), "landed": landed, "channels": channels, "marts": at("marts")}
+    assert run("refresh", **inputs) == list(marts.MARTS)
+    assert run("refresh", **inputs) == []
+    leaderboard = refresh.read_mart(spark, at("marts"), "channel_leaderboard").collect()
+    assert [tuple(row) for row in leaderboard] == [("B", 3.0, 1, 3.0), ("A", 10.0, 1, 10.0)]
