@@ -34,8 +34,8 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(lambda left, right: left | right, conditions)
 
 
-def _has_object_like_text() -> Column:
-    return F.coalesce(_any([F.col(f"doc.payload.{path}").startswith("{") for path in TOP_TEXTS]), F.lit(False))
+# Any text that may stand for an object, as its first character says.
+_OBJECT_LIKE = f"coalesce({' OR '.join(f"startswith(doc.payload.{path}, '{{')" for path in TOP_TEXTS)}, false)"
 
 
 def _is_regular() -> Column:
@@ -48,7 +48,7 @@ def _is_regular() -> Column:
         & F.col(f"doc.{CORRUPT}").isNull()
         & payload["tracking"].isNotNull()
         & (event.isNull() | reduce(lambda a, b: a & b, [event[part].isNotNull() for part in parts]))
-        & ~_has_object_like_text()
+        & ~F.col("object_like")
     )
 
 
@@ -123,17 +123,16 @@ def _misfit(raw: Column) -> Column:
 
 
 def _staged(name: str, type_: T.DataType, path: str) -> Column:
-    value = F.col(f"read.doc.payload.{path}")
+    value = f"read.doc.payload.{path}"
     if isinstance(type_, T.TimestampType):
-        value = document_timestamp(value)
-    elif path in LISTS:
+        return document_timestamp(F.col(value)).alias(name)
+    if path in LISTS:
         # An absent list of a given event is empty; a null list, or one of no event, is NULL.
-        value = F.when(F.col(f"read.fixes.{LISTS[path]}"), F.array().cast(type_)).otherwise(value)
+        value = f"if(read.fixes.{LISTS[path]}, CAST(array() AS {type_.simpleString()}), {value})"
     elif path in TOP_TEXTS:
         # Text of a scalar or list; an object's leaves have other names, so it is NULL.
-        is_object = F.array_contains(F.col("read.fixes.objects"), path)
-        value = F.when(is_object, F.lit(None).cast("string")).otherwise(value)
-    return value.alias(name)
+        value = f"if(array_contains(read.fixes.objects, '{path}'), NULL, {value})"
+    return F.expr(f"{value} AS {name}")
 
 
 def _fixes(raw: Column) -> Column:
@@ -147,7 +146,7 @@ def _fixes(raw: Column) -> Column:
     return F.when(
         raw.isNotNull(),
         F.struct(
-            F.when(_has_object_like_text(), objects).alias("objects"),
+            F.when(F.col("object_like"), objects).alias("objects"),
             *[(given & K.child(raw, f"{_PAYLOAD}.{path}").isNull()).alias(flag) for path, flag in LISTS.items()],
         ),
     )
@@ -166,7 +165,8 @@ def read_documents(documents: DataFrame) -> DataFrame:
     )
     read = (
         documents.withColumn("doc", F.from_json(body, DOCUMENT_SCHEMA, STRICT_JSON))
-        .withColumns({"readable": readable, "irregular": irregular})
+        .withColumns({"readable": readable, "object_like": F.expr(_OBJECT_LIKE)})
+        .withColumn("irregular", irregular)
         .withColumn("raw", F.when(F.col("readable") & F.col("irregular"), F.try_parse_json(body)))
     )
     found = F.struct("doc", _fixes(F.col("raw")).alias("fixes"), reason.alias(REASON))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
@@ -55,9 +56,14 @@ def refresh(
     if stale:
         bookings_per_hour(curated).write.mode("overwrite").parquet(mart_path(root, HOURLY))
         curated = replace(curated, hourly=spark.read.parquet(mart_path(root, HOURLY)))
-    for name in stale:
+
+    def write(name: str) -> None:
         snapshot = marts[name](curated).withColumn(REFRESHED_AT, F.lit(now))
         snapshot.coalesce(1).write.mode("overwrite").parquet(mart_path(root, name))
+
+    # Small jobs for the most part; side by side they fill the gaps of the large one.
+    with ThreadPoolExecutor() as pool:
+        list(pool.map(write, stale))
     return stale
 
 
