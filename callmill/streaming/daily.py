@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callmill.plans.daily import REBUILD, Stores, ingest
 from callmill.sources.documents import FILES, Layout, stream_bodies, with_folder
+from callmill.streaming import batch_name
 
 
 def daily_stream(
@@ -31,7 +32,7 @@ def daily_stream(
     documents = with_folder(spark, stream_bodies(spark, stores.raw, layout, **options), stores.raw)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        ingest(spark, batch, stores, f"batch-{batch_id}", mode)
+        ingest(spark, batch, stores, batch_name(spark, checkpoint, batch_id), mode)
 
     return (
         documents.writeStream.foreachBatch(take)

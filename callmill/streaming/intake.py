@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from callmill.operators.intake import accepted, classify
 from callmill.plans.landing import outcome_metrics
 from callmill.sources.documents import ARRIVAL, FILES, Layout, arriving, stream_bodies
+from callmill.streaming import batch_name
 
 METRICS = "intake"
 BATCH = "batch"
@@ -34,7 +35,7 @@ def land_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
-            batch.withColumn(BATCH, F.lit(batch_id))
+            batch.withColumn(BATCH, F.lit(batch_name(spark, checkpoint, batch_id)))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(ARRIVAL, BATCH)

@@ -243,6 +243,15 @@ def test_streamed_landing(spark, tmp_path):
     assert sorted(row.event for row in rows.collect()) == ["e1", "e3"]
 
 
+def test_a_new_checkpoint_does_not_replace_landed_batches(spark, tmp_path):
+    for step in range(2):
+        (tmp_path / f"in{step}").mkdir()
+        (tmp_path / f"in{step}" / "a.json").write_text(body(f"e{step}"))
+        land_stream(spark, str(tmp_path / f"in{step}"), str(tmp_path / "raw"), str(tmp_path / f"cp{step}"), ["A"]).awaitTermination()
+    rows = stage_documents(documents.raw_documents(spark, str(tmp_path / "raw"), documents.LINES)).select("event")
+    assert sorted(row.event for row in rows.collect()) == ["e0", "e1"]
+
+
 RECORDS = [
     {"date": "2024-01-02", "channel": "A", "spend": 10.25, "note": "kept"},
     {"date": "2024-01-01", "channel": "A", "spend": 9},
