@@ -1,9 +1,11 @@
+import os
+
 import pytest
 
 import __spark_entry__ as contract
 from tests.compare import oracle_rows, spark_rows
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 QUERIES = contract.queries()
 ORACLES = contract.oracle_sql()
 
