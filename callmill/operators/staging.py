@@ -21,6 +21,9 @@ from callmill.schemas import CORRUPT, DOCUMENT_SCHEMA, PARTITION, STAGED, STRICT
 
 REASON = "reason"
 
+# A document that lies in no batch folder has no date to be stored under.
+NO_FOLDER = "no_batch_folder"
+
 TOP_TEXTS = [path for type_, path in STAGED.values() if isinstance(type_, T.StringType) and "." not in path]
 
 # Lists of an event, and the flag that says one is absent.
@@ -183,10 +186,11 @@ def stage_documents(documents: DataFrame) -> DataFrame:
     """
     read = read_documents(documents)
     kept = [name for name in documents.columns if name not in ("body", PARTITION)]
+    reason = F.when(F.col(PARTITION) == "", NO_FOLDER).otherwise(F.col(f"read.{REASON}"))
     return read.select(
         *kept,
-        F.col(f"read.{REASON}"),
-        F.when(F.col(f"read.{REASON}").isNotNull(), F.col("body")).alias("body"),
+        reason.alias(REASON),
+        F.when(reason.isNotNull(), F.col("body")).alias("body"),
         *[_staged(name, type_, path) for name, (type_, path) in STAGED.items()],
         F.col(PARTITION).cast("string").alias(PARTITION),
     )

@@ -4,30 +4,54 @@ Three steps, each leaving a written table behind, so a lost executor costs tasks
 and a lost driver costs at most the step it was in:
 
 1. read every raw document once, write rows and refusals with their reasons;
-2. dedup the new rows together with the stored rows of the same dates;
-3. replace those dates in the table.
+2. dedup the new rows together with the stored rows of the same dates, written in
+   date folders;
+3. put those folders in the place of the table's.
 
-Step 3 reads what step 2 wrote and never the table it replaces. A run that dies in
-step 3 has left step 2's table complete, and the next run publishes it first.
+Step 3 renames what step 2 wrote. A run that dies in it has left step 2's folders
+complete, and the next run moves those that are still there first.
+
+One run at a time: a lock in the work folder says which. Of the work folder's children
+only those that a run has marked as its own are ever published or removed.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmill.operators.dedup import latest_bookings
 from callmill.operators.staging import refused_rows, stage_documents, staged_rows
-from callmill.schemas import PARTITION
+from callmill.schemas import PARTITION, QUARANTINE_SCHEMA
 from callmill.sources import files, tables
 from callmill.sources.documents import FILES, Layout, raw_documents
 
 REBUILD = "rebuild"
 APPEND = "append"
 
+# The run id of batch runs in rebuild mode: each reads the whole raw folder.
+BATCH = "batch"
+
+LOCK = "_lock"
+MARK = "_callmill_run"
+# A lock that no step has renewed for so long belongs to a driver that is gone.
+LEASE = timedelta(hours=6)
+
+# Folder of refusals by the date of their batch; loose files have none.
+FOLDER = "folder"
+NO_DATE = "none"
+
+
+class Busy(RuntimeError):
+    """Another run holds the work folder."""
+
 
 @dataclass(frozen=True)
 class Stores:
@@ -39,61 +63,128 @@ class Stores:
     work: str
     table: str | None = None
 
-
-def run_daily(spark: SparkSession, stores: Stores, layout: Layout = FILES, mode: str = REBUILD) -> list[str]:
-    """Process every pending batch folder; returns the dates that got rows."""
-    return ingest(spark, raw_documents(spark, stores.raw, layout), stores, uuid.uuid4().hex, mode)
+    def check(self, spark: SparkSession) -> None:
+        """Refuse stores that lie in one another: one's files would be taken for the other's."""
+        paths = {name: files.qualified(spark, getattr(self, name)) for name in ("raw", "staging", "quarantine", "work")}
+        for (a, x), (b, y) in combinations(paths.items(), 2):
+            if f"{x}/".startswith(f"{y}/") or f"{y}/".startswith(f"{x}/"):
+                raise ValueError(f"{a} ({x}) and {b} ({y}) must not contain each other")
 
 
-def ingest(spark: SparkSession, documents: DataFrame, stores: Stores, run_id: str, mode: str = REBUILD) -> list[str]:
+def run_daily(
+    spark: SparkSession, stores: Stores, layout: Layout = FILES, mode: str = REBUILD, take_over: bool = False
+) -> list[str]:
+    """Process every pending batch folder; returns the dates that got rows."""
+    stores.check(spark)
+    run_id = BATCH if mode == REBUILD else uuid.uuid4().hex
+    return ingest(spark, raw_documents(spark, stores.raw, layout), stores, run_id, mode, take_over)
+
+
+def ingest(
+    spark: SparkSession,
+    documents: DataFrame,
+    stores: Stores,
+    run_id: str,
+    mode: str = REBUILD,
+    take_over: bool = False,
+) -> list[str]:
     """Take documents (source_file, body, event_date) through to the table.
 
-    The same ``run_id`` replaces what an earlier try of it left. In ``rebuild`` mode
+    The same ``run_id`` replaces the refusals it left for the same dates. In ``rebuild`` mode
     repeating a run changes nothing; ``append`` adds each run's rows as they are,
-    deduplicated only among themselves.
+    deduplicated only among themselves. ``take_over`` ignores the lock of a run that is known to be dead.
     """
-    recover(spark, stores)
-    run = f"{stores.work.rstrip('/')}/run={run_id}"
-    stage_documents(documents).write.mode("overwrite").parquet(f"{run}/read")
-    read = spark.read.parquet(f"{run}/read")
-    _quarantine(read, stores, run_id)
-    new = staged_rows(read)
-    dates = tables.dates_in(new)
-    if dates:
+    stores.check(spark)
+    with _locked(spark, stores, take_over) as renew:
+        _recover(spark, stores)
+        run = f"{stores.work.rstrip('/')}/run={run_id}"
+        files.create_new(spark, f"{run}/{MARK}")
+        stage_documents(documents).write.mode("overwrite").parquet(f"{run}/read")
+        read = spark.read.parquet(f"{run}/read")
+        renew()
+        _quarantine(spark, read, run, stores, run_id)
+        new = staged_rows(read)
         if mode == APPEND:
-            tables.append_by_date(latest_bookings(new), stores.staging)
+            dates = tables.dates_in(new)
+            if dates:
+                tables.append_by_date(latest_bookings(new), stores.staging)
         else:
-            stored = tables.read_staging(spark, stores.staging).where(F.col(PARTITION).isin(dates))
-            merged = latest_bookings(stored.unionByName(new))
-            merged.write.mode("overwrite").parquet(f"{run}/merged")
-            _publish(spark, run, stores)
+            # Only stored dates that new rows have are read.
+            stored = tables.read_staging(spark, stores.staging).join(
+                new.select(PARTITION).distinct(), PARTITION, "left_semi"
+            )
+            tables.write_by_date(latest_bookings(stored.select(*new.columns).unionByName(new)), f"{run}/merged")
+            renew()
+            dates = tables.move_dates(spark, f"{run}/merged", stores.staging)
         _register(spark, stores, dates)
-    files.remove(spark, run)
-    return dates
-
-
-def recover(spark: SparkSession, stores: Stores) -> None:
-    """Publish what a dead run had merged; drop what it had not."""
+        files.remove(spark, run)
+        return sorted(dates)
+
+
+@contextmanager
+def _locked(spark: SparkSession, stores: Stores, take_over: bool) -> Iterator:
+    """Hold the work folder's lock. An error gives it back; a driver that dies keeps it for the lease."""
+    lock = f"{stores.work.rstrip('/')}/{LOCK}"
+    owner = uuid.uuid4().hex
+    taken = files.modified(spark, lock)
+    if taken and (take_over or datetime.now(timezone.utc) - taken > LEASE):
+        files.remove(spark, lock)
+    if not files.create_new(spark, lock, owner):
+        raise Busy(f"{lock} is held by a run that began its last step at {files.modified(spark, lock)}")
+
+    def renew() -> None:
+        if files.read_text(spark, lock) != owner:
+            raise Busy(f"{lock} was taken over by another run")
+        files.replace_text(spark, lock, owner)
+
+    try:
+        yield renew
+    finally:
+        if files.read_text(spark, lock) == owner:
+            files.remove(spark, lock)
+
+
+def _recover(spark: SparkSession, stores: Stores) -> None:
+    """Publish what a dead run had merged; drop what it had not. Folders of others are left alone."""
     for run in files.child_folders(spark, stores.work):
+        if not run.rsplit("/", 1)[1].startswith("run=") or not files.exists(spark, f"{run}/{MARK}"):
+            continue
         if files.exists(spark, f"{run}/merged/_SUCCESS"):
-            _publish(spark, run, stores)
-            _register(spark, stores, tables.dates_in(spark.read.parquet(f"{run}/merged")))
+            _register(spark, stores, tables.move_dates(spark, f"{run}/merged", stores.staging))
         files.remove(spark, run)
 
 
-def _publish(spark: SparkSession, run: str, stores: Stores) -> None:
-    tables.replace_dates(spark.read.parquet(f"{run}/merged"), stores.staging)
+def _quarantine(spark: SparkSession, read: DataFrame, run: str, stores: Stores, run_id: str) -> None:
+    """Replace this run id's refusals of every date that was read, also where none are left."""
+    folder = F.when(F.col(PARTITION) == "", NO_DATE).otherwise(F.col(PARTITION)).alias(FOLDER)
+    refused_rows(read).select("*", folder).write.mode("overwrite").partitionBy(FOLDER).parquet(f"{run}/refused")
+    fresh = {path.rsplit("/", 1)[1]: path for path in files.child_folders(spark, f"{run}/refused")}
+    place = f"{stores.quarantine.rstrip('/')}/run_id={run_id}"
+    # One value per date folder, small on any input.
+    seen = {row[0] for row in read.select(folder).distinct().collect()}
+    for old in files.child_folders(spark, place):
+        if unquote_folder(old) in seen:
+            files.remove(spark, old)
+    for name, path in fresh.items():
+        files.move(spark, path, f"{place}/{name}")
+
+
+def unquote_folder(path: str) -> str:
+    return tables.unquote(path.rsplit("/", 1)[1].split("=", 1)[1])
 
 
-def _quarantine(read: DataFrame, stores: Stores, run_id: str) -> None:
-    """One folder per run, so a repeated run replaces its own refusals."""
-    refused_rows(read).write.mode("overwrite").parquet(f"{stores.quarantine.rstrip('/')}/run_id={run_id}")
+def read_quarantine(spark: SparkSession, stores: Stores) -> DataFrame:
+    """All refusals; empty if nothing was ever refused."""
+    if not files.child_folders(spark, stores.quarantine):
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(stores.quarantine).select(*QUARANTINE_SCHEMA.names)
 
 
 def _register(spark: SparkSession, stores: Stores, dates: list[str]) -> None:
-    if stores.table:
+    if stores.table and dates:
         tables.declare_table(spark, stores.table, stores.staging)
         tables.register_dates(spark, stores.table, dates)
+        spark.catalog.refreshTable(stores.table)
 
 
 def quarantine_reasons(quarantine: DataFrame) -> DataFrame:

@@ -43,12 +43,12 @@ def _reader(reader, layout: Layout):
 
 
 def with_folder(spark: SparkSession, documents: DataFrame, root: str) -> DataFrame:
-    """Add the batch folder as ``event_date`` and the file name; loose files drop."""
+    """Add the batch folder as ``event_date`` ('' for a loose file) and the file name."""
     return documents.select(
         F.col("_metadata.file_path").alias("source_file"),
         "body",
         batch_folder(spark, root).alias(PARTITION),
-    ).where(F.col(PARTITION) != "")
+    )
 
 
 def raw_documents(spark: SparkSession, root: str, layout: Layout = FILES) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,60 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    return _open(spark, path)[1].toUri().toString().rstrip("/")
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder to a place where nothing is."""
+    file_system, hadoop_path = _open(spark, source)
+    _, to = _open(spark, target)
+    file_system.mkdirs(to.getParent())
+    if not file_system.rename(hadoop_path, to):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def create_new(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Write a small file unless it is there; whether this call wrote it."""
+    file_system, hadoop_path = _open(spark, path)
+    try:
+        out = file_system.create(hadoop_path, False)
+    except Py4JJavaError:
+        if file_system.exists(hadoop_path):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file in one step: readers see the old text or the new one."""
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    create_new(spark, fresh, text)
+    _, source = _open(spark, fresh)
+    _, target = _open(spark, path)
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        target.toUri(), spark._jsparkSession.sessionState().newHadoopConf()
+    )
+    rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context.rename(source, target, options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if it is not there."""
+    file_system, hadoop_path = _open(spark, path)
+    if not file_system.exists(hadoop_path):
+        return None
+    stream = file_system.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def batch_folder(spark: SparkSession, root: str, file_path: Column | None = None) -> Column:
     """Name of the direct sub-folder of ``root`` a file lies in, '' for none.
 

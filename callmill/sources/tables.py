@@ -2,27 +2,41 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callmill.schemas import PARTITION, SPEND_SCHEMA, STAGING_SCHEMA
-from callmill.sources.files import child_folders, exists
+from callmill.sources.files import child_folders, exists, move, remove
 
 
 def append_by_date(rows: DataFrame, path: str) -> None:
     _by_date(rows).write.mode("append").partitionBy(PARTITION).parquet(path)
 
 
-def replace_dates(rows: DataFrame, path: str) -> None:
-    """Replace exactly the dates present in ``rows``; other dates stay."""
-    (
-        _by_date(rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION)
-        .parquet(path)
-    )
+def write_by_date(rows: DataFrame, path: str) -> None:
+    """A new table in date folders, sized as they will be read."""
+    _by_date(rows).write.mode("overwrite").partitionBy(PARTITION).parquet(path)
+
+
+def move_dates(spark: SparkSession, source: str, target: str) -> list[str]:
+    """Put each date folder of ``source`` in the place of ``target``'s; other dates stay.
+
+    Folders are renamed, rows are not written again. Repeating it after a crash
+    finishes what is left. Returns the dates that ``source`` still held.
+    """
+    dates = []
+    for folder in child_folders(spark, source):
+        name = folder.rsplit("/", 1)[1]
+        if not name.startswith(f"{PARTITION}="):
+            continue
+        place = f"{target.rstrip('/')}/{name}"
+        remove(spark, place)
+        move(spark, folder, place)
+        dates.append(unquote(name.split("=", 1)[1]))
+    return dates
 
 
 def _by_date(rows: DataFrame) -> DataFrame:
@@ -41,17 +55,23 @@ def read_spends(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SPEND_SCHEMA).json(path)
 
 
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def declare_table(spark: SparkSession, name: str, path: str, schema: T.StructType = STAGING_SCHEMA) -> None:
     """An external table over ``path``; it sees the partitions that are registered."""
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({PARTITION}) LOCATION '{path}'")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({PARTITION}) LOCATION {quoted(path)}"
+    )
 
 
 def register_dates(spark: SparkSession, name: str, dates: list[str]) -> None:
     """Register the given dates in one statement; known ones are left alone."""
     if dates:
-        escaped = [date.replace("\\", "\\\\").replace("'", "\\'") for date in sorted(dates)]
-        partitions = " ".join(f"PARTITION ({PARTITION} = '{date}')" for date in escaped)
+        partitions = " ".join(f"PARTITION ({PARTITION} = {quoted(date)})" for date in sorted(dates))
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partitions}")
 
 

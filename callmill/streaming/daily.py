@@ -18,6 +18,7 @@ def daily_stream(
     mode: str = REBUILD,
     archive: str | None = None,
     files_per_batch: int | None = None,
+    take_over: bool = False,
 ) -> StreamingQuery:
     """Take all raw files not taken before; stops when none are left.
 
@@ -32,7 +33,7 @@ def daily_stream(
     documents = with_folder(spark, stream_bodies(spark, stores.raw, layout, **options), stores.raw)
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        ingest(spark, batch, stores, batch_name(spark, checkpoint, batch_id), mode)
+        ingest(spark, batch, stores, batch_name(spark, checkpoint, batch_id), mode, take_over)
 
     return (
         documents.writeStream.foreachBatch(take)
