@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from callmill.plans.marts import Curated
 
 
-def within(staging: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Only the folders from ``start`` to ``end``, both included; prunes partitions."""
+def within(rows: DataFrame, start: str | None = None, end: str | None = None, date: str = "event_date") -> DataFrame:
+    """Only the dates from ``start`` to ``end``, both included; prunes partitions."""
     if start is not None:
-        staging = staging.where(F.col("event_date") >= start)
+        rows = rows.where(F.col(date) >= start)
     if end is not None:
-        staging = staging.where(F.col("event_date") <= end)
-    return staging
+        rows = rows.where(F.col(date) <= end)
+    return rows
 
 
 def bookings(staging: DataFrame) -> DataFrame:
@@ -67,11 +67,18 @@ def employees(staging: DataFrame) -> DataFrame:
 def curate(
     staging: DataFrame, channels: DataFrame, landed_spends: DataFrame, start: str | None = None, end: str | None = None
 ) -> Curated:
+    """The curated tables, bookings from ``start`` to ``end``.
+
+    The eight marts pair bookings with all spends; the companions, which set a day's spends against its
+    leads, get the spends of the same days.
+    """
     staging = within(staging, start, end)
+    spent = spends(landed_spends)
     return Curated(
         bookings=bookings(staging),
         channel_map=channels,
-        spends=spends(landed_spends),
+        spends=spent,
         memberships=memberships(staging),
         employees=employees(staging),
+        period_spends=within(spent, start, end, "date") if start or end else None,
     )

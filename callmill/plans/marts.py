@@ -18,7 +18,7 @@ MEETING = "event_datetime"
 
 @dataclass(frozen=True)
 class Curated:
-    """The five curated tables, and the bookings per hour if already counted."""
+    """The five curated tables; what is already counted of them; the spends of the period, if it is not all time."""
 
     bookings: DataFrame
     channel_map: DataFrame
@@ -26,6 +26,16 @@ class Curated:
     memberships: DataFrame
     employees: DataFrame
     hourly: DataFrame | None = None
+    totals: DataFrame | None = None
+    period_spends: DataFrame | None = None
+
+
+def _totals(curated: Curated) -> DataFrame:
+    return channel_totals(curated.spends) if curated.totals is None else curated.totals
+
+
+def _period_spends(curated: Curated) -> DataFrame:
+    return curated.spends if curated.period_spends is None else curated.period_spends
 
 
 def bookings_per_hour(curated: Curated) -> DataFrame:
@@ -42,7 +52,7 @@ def _paired(curated: Curated, keys: Mapping[str, Column], by_channel: bool, ts:
     return pair_totals(
         _counts(curated, keys, ts),
         curated.channel_map,
-        channel_totals(curated.spends),
+        _totals(curated),
         (["channel"] if by_channel else []) + list(keys),
     )
 
@@ -113,14 +123,17 @@ def meetings_by_hour(curated: Curated) -> DataFrame:
     return _by_hour(curated, MEETING, "event_hour")
 
 
-def employee_activity(curated: Curated) -> DataFrame:
-    """Distinct events and distinct meeting days per employee name.
+def staffed(curated: Curated) -> DataFrame:
+    """Each event with each name of its members, once."""
+    return curated.memberships.join(curated.employees, "employee_id").select("event_id", "employee_name").distinct()
+
+
+def staffed_days(curated: Curated) -> DataFrame:
+    """Each event's names with each of its meeting days; ``first_day`` is 1 on one day of an event.
 
     Copies are dropped on both sides before the join (partial aggregates do most
     of it ahead of the shuffle), so a hot event costs its days times its employees
-    and not its copies squared. One day per event is marked as its first; summing
-    the marks counts events without a distinct over the joined rows, which then
-    shrink to one row per name and day before they move again.
+    and not its copies squared.
     """
     days = (
         curated.bookings.where(F.col("event_id").isNotNull())
@@ -129,10 +142,16 @@ def employee_activity(curated: Curated) -> DataFrame:
     )
     first = F.row_number().over(Window.partitionBy("event_id").orderBy("day")) == 1
     days = days.select("event_id", "day", first.cast("int").alias("first_day"))
-    staffed = (
-        curated.memberships.join(curated.employees, "employee_id").select("event_id", "employee_name").distinct()
-    )
-    per_day = staffed.join(days, "event_id").groupBy("employee_name", "day").agg(F.sum("first_day").alias("events"))
+    return staffed(curated).join(days, "event_id")
+
+
+def employee_activity(curated: Curated) -> DataFrame:
+    """Distinct events and distinct meeting days per employee name.
+
+    Summing the marks counts events without a distinct over the joined rows, which then
+    shrink to one row per name and day before they move again.
+    """
+    per_day = staffed_days(curated).groupBy("employee_name", "day").agg(F.sum("first_day").alias("events"))
     return per_day.groupBy("employee_name").agg(F.sum("events").alias("events"), F.count("day").alias("days"))
 
 
@@ -168,7 +187,7 @@ def _leads(curated: Curated, keys: Mapping[str, Column]) -> DataFrame:
 def true_cost_per_lead(curated: Curated) -> DataFrame:
     return (
         _leads(curated, {})
-        .join(channel_totals(curated.spends), "channel")
+        .join(channel_totals(_period_spends(curated)), "channel")
         .select("channel", whole(mean_cost(F.col("channel_spend"), F.col("leads"))).alias("cost_per_lead"))
         .orderBy(F.col("cost_per_lead").asc_nulls_last())
     )
@@ -176,7 +195,7 @@ def true_cost_per_lead(curated: Curated) -> DataFrame:
 
 def daily_spend_vs_leads(curated: Curated) -> DataFrame:
     leads = _leads(curated, {"date": F.to_date(BOOKED)})
-    spent = curated.spends.groupBy("channel", "date").agg(F.sum("spend").alias("spend"))
+    spent = _period_spends(curated).groupBy("channel", "date").agg(F.sum("spend").alias("spend"))
     return (
         spent.join(leads, ["channel", "date"], "full_outer")
         .select(
