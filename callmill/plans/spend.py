@@ -18,8 +18,14 @@ class SpendLoad:
 
 
 def load_latest_spend(spark: SparkSession, snapshot_root: str, index_path: str, landed_root: str) -> SpendLoad:
-    """Land the latest snapshot's own date; a second run replaces it with the same."""
-    file, date = snapshots.require_latest(snapshots.index_files(spark, index_path))
-    records = snapshots.snapshot_records(spark, f"{snapshot_root.rstrip('/')}/{file}")
-    count = snapshots.land_records(snapshots.of_date(records, F.lit(date)), date, landed_root)
+    """Land the latest snapshot's own date; a second run replaces it with the same.
+
+    A file that is no array of objects, or has a spend that is no number, raises and leaves the landed
+    folder as it was.
+    """
+    listed = snapshots.index_files(spark, index_path)
+    file, date = snapshots.require_latest(listed)
+    read = snapshots.read_snapshots(spark, f"{snapshot_root.rstrip('/')}/{file}").withColumn("file", F.lit(file))
+    snapshots.require_sound(snapshots.guards(listed.where(F.col("file") == file), read))
+    count = snapshots.land_records(snapshots.of_date(read, F.lit(date)), date, landed_root)
     return SpendLoad(file, date, count)

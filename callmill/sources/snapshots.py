@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from callmill.functions import json_kinds as K
 from callmill.sources.files import file_date
 
 INDEX_SCHEMA = "files array<string>"
@@ -14,6 +15,10 @@ class EmptySnapshot(ValueError):
     """Nothing to load: no file, no date in its name, or no record of that date."""
 
 
+class BrokenSnapshot(ValueError):
+    """A file that is not one JSON array of objects, or a spend that is no number."""
+
+
 def index_files(spark: SparkSession, index_path: str) -> DataFrame:
     """File names listed in ``{"files": [...]}``."""
     index = spark.read.schema(INDEX_SCHEMA).json(index_path, multiLine=True)
@@ -34,20 +39,69 @@ def require_latest(files: DataFrame) -> tuple[str, str]:
     return file, date
 
 
-def snapshot_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records of a JSON array, every field kept."""
-    return spark.read.json(path, multiLine=True)
+def _fault(element: Column) -> Column:
+    spend = K.child(element, "$.spend")
+    number = K.kind(spend).isin(K.MISSING, K.NULL, K.INTEGER, "DECIMAL", "DOUBLE", "FLOAT")
+    return F.when(~K.is_object(element), "record_not_object").when(~number, "spend_not_number")
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """Every element of every file, with ``fault`` where something is wrong; columns found by folder stay.
+
+    A file is read as one text and must be one JSON array and nothing else; one that is not gives a single row with the
+    fault ``file_not_array``. ``line`` is the element's JSON with every field kept.
+    """
+    text = F.col("value")
+    array = K.elements(F.try_parse_json(text))
+    sound = F.coalesce(F.is_valid_utf8(text) & K.ends_cleanly(text), F.lit(False)) & array.isNotNull()
+    texts = spark.read.text(path, wholetext=True)
+    kept = [name for name in texts.columns if name != "value"]
+    files = texts.withColumn("elements", F.when(sound, array))
+    nothing = F.array(F.lit(None).cast("variant"))
+    elements = files.select(
+        *kept,
+        F.col("elements").isNull().alias("broken"),
+        F.explode(F.coalesce("elements", nothing)).alias("element"),
+    )
+    element = F.col("element")
+    return elements.select(
+        *kept,
+        F.when(F.col("broken"), "file_not_array").otherwise(_fault(element)).alias("fault"),
+        F.try_variant_get(element, "$.date", "string").alias("date"),
+        F.try_variant_get(element, "$.channel", "string").alias("channel"),
+        F.try_variant_get(element, "$.spend", "double").alias("spend"),
+        F.to_json(element).alias("line"),
+    )
+
+
+def guards(files: DataFrame, read: DataFrame) -> DataFrame:
+    """For each listed file its date (''), faults, and records of its own date: what decides whether it loads."""
+    date = file_date(F.col("file"))
+    found = read.groupBy("file").agg(
+        F.min("fault").alias("fault"),
+        F.count_if(F.col("fault").isNull() & (F.col("date") == date)).alias("records"),
+    )
+    return files.select("file").distinct().join(found, "file", "left").select(
+        "file", date.alias("file_date"), "fault", F.coalesce("records", F.lit(0)).cast("bigint").alias("records")
+    )
+
+
+def require_sound(guarded: DataFrame) -> None:
+    """Raise for a guarded file that must not be loaded."""
+    row = guarded.first()
+    if row.fault:
+        raise BrokenSnapshot(f"{row.file}: {row.fault}")
+    if not row.records:
+        raise EmptySnapshot(f"no records of {row.file_date}")
 
 
 def of_date(records: DataFrame, date: Column) -> DataFrame:
     """Records whose ``date`` equals the file's as text; a missing date drops."""
-    if "date" not in records.columns:
-        return records.where(F.lit(False))
     return records.where(F.col("date") == date)
 
 
 def land_records(records: DataFrame, date: str, root: str) -> int:
-    """Replace the date's folder with these records, one JSON object per line.
+    """Replace the date's folder with these records, one JSON object per line, every field kept.
 
     Raises and leaves the folder as it was when there is none. Returns the count,
     taken while writing.
@@ -57,10 +111,10 @@ def land_records(records: DataFrame, date: str, root: str) -> int:
     landed = Observation("landed")
     (
         records.observe(landed, F.count(F.lit(1)).alias("records"))
-        .withColumn("file_date", F.lit(date))
+        .select(F.col("line").alias("value"), F.lit(date).alias("file_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("file_date")
-        .json(root)
+        .text(root)
     )
     return landed.get["records"]
