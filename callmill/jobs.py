@@ -12,6 +12,7 @@ the ones the intake accepts.
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,17 +33,25 @@ def _channels(spark: SparkSession, path: str) -> DataFrame:
 
 
 def run_intake(spark: SparkSession, args: argparse.Namespace) -> dict[str, int]:
-    layout = LAYOUTS[args.layout]
-    query = land_stream(spark, args.requests, args.raw, args.checkpoint, _channels(spark, args.channels), layout)
-    query.awaitTermination()
-    return outcomes_of(query)
+    """Requests per outcome of this run."""
+    before = outcomes_of(spark, args.checkpoint)
+    land_stream(
+        spark,
+        args.requests,
+        args.raw,
+        args.checkpoint,
+        _channels(spark, args.channels),
+        LAYOUTS[args.layout],
+        args.files_per_batch,
+    ).awaitTermination()
+    return {outcome: n - before[outcome] for outcome, n in outcomes_of(spark, args.checkpoint).items()}
 
 
 def run_daily(spark: SparkSession, args: argparse.Namespace) -> None:
     stores = daily.Stores(args.raw, args.staging, args.quarantine, args.work, args.table)
     mode = daily.APPEND if args.append else daily.REBUILD
     daily_stream(
-        spark, stores, args.checkpoint, LAYOUTS[args.layout], mode, args.archive, args.files_per_batch
+        spark, stores, args.checkpoint, LAYOUTS[args.layout], mode, args.archive, args.files_per_batch, args.take_over
     ).awaitTermination()
 
 
@@ -54,7 +63,8 @@ def run_refresh(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     staging = tables.read_staging(spark, args.staging)
     landed = tables.read_spends(spark, args.landed)
     marts_in = curated.curate(staging, _channels(spark, args.channels), landed, args.start, args.end)
-    return refresh.refresh(spark, marts_in, args.marts, args.force)
+    scope = json.dumps([args.start, args.end, args.staging, args.landed, args.channels])
+    return refresh.refresh(spark, marts_in, args.marts, args.force, scope=scope)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -70,16 +80,18 @@ def _parser() -> argparse.ArgumentParser:
 
     intake = command("intake", run_intake, "requests", "raw", "checkpoint", "channels")
     intake.add_argument("--layout", choices=LAYOUTS, default="files")
+    intake.add_argument("--files-per-batch", type=int)
     job = command("daily", run_daily, "raw", "staging", "quarantine", "work", "checkpoint")
     job.add_argument("--layout", choices=LAYOUTS, default="lines")
     job.add_argument("--table", help="catalog table that gets the new partitions")
     job.add_argument("--archive", help="where taken raw files move")
     job.add_argument("--files-per-batch", type=int)
     job.add_argument("--append", action="store_true", help="add rows as they are, without dedup across runs")
+    job.add_argument("--take-over", action="store_true", help="ignore the lock of a run that is known to be dead")
     command("spend", run_spend, "snapshots", "index", "landed")
     marts = command("refresh", run_refresh, "staging", "landed", "channels", "marts")
-    marts.add_argument("--start", help="first folder date of the bookings")
-    marts.add_argument("--end", help="last folder date of the bookings")
+    marts.add_argument("--start", help="first folder date of the bookings, and first day of the companions' spends")
+    marts.add_argument("--end", help="last folder date, likewise")
     marts.add_argument("--force", action="store_true", help="also refresh what is younger than a day")
     return parser
 
