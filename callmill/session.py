@@ -45,10 +45,13 @@ def build_session(master: str | None = None, app: str = "callmill", **extra: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a session that names none (a test) gets a folder of its own.
+    Only a local session (a test) that names none gets a folder of its own: on a
+    cluster that would be one machine's disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="callmill-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
