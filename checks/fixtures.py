@@ -5,28 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callmill.functions.calendar import DOCUMENT_TIMESTAMP
 from callmill.plans.curated import channel_map
 from callmill.plans.marts import Curated
+from callmill.sources.tables import quoted
 
-# Two event types of the test tables stay unmapped on purpose.
+# Two event types of the test tables stay unmapped on purpose, and two channels have no event type.
 CHANNELS = [("click", "facebook_ads"), ("purchase", "tiktok_ads"), ("signup", "youtube_ads")]
 ALLOWED_EVENT_TYPES = [event_type for event_type, _ in CHANNELS]
 
 SPEND_CHANNEL = """CASE o_orderpriority WHEN '1-URGENT' THEN 'facebook_ads' WHEN '2-HIGH' THEN 'tiktok_ads'
-    ELSE 'youtube_ads' END"""
-SPEND_KEPT = "o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')"
+    WHEN '3-MEDIUM' THEN 'youtube_ads' WHEN '5-LOW' THEN 'radio' ELSE 'print' END"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """All cores for a table of fewer splits than that; only a small one has so few."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(
         "event_id",
@@ -43,7 +38,6 @@ def channels(spark: SparkSession) -> DataFrame:
 def spends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "orders")
-        .where(SPEND_KEPT)
         .groupBy(
             F.expr("date_add(DATE'2024-01-01', CAST(o_orderkey % 30 AS INT))").alias("date"),
             F.expr(SPEND_CHANNEL).alias("channel"),
@@ -122,11 +116,9 @@ DAMAGE = [
 ]
 NULL_TRACKING = "event_id % 73 = 0"
 
-_STAMP = "yyyy-MM-dd''T''HH:mm:ss.SSSSSS''Z''"
-
 
 def _stamp(ts: str) -> str:
-    return f"date_format({ts}, '{_STAMP}')".replace("''", "\\'")
+    return f"date_format({ts}, {quoted(DOCUMENT_TIMESTAMP)})"
 
 
 def _fields(texts: dict[str, str]) -> list[str]:
@@ -177,7 +169,7 @@ def _document_sql() -> str:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, copy, event_date (text) and body (NULL where a request had none)."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    copied = spread(events).withColumn(
+    copied = events.withColumn(
         "copy", F.explode(F.expr(f"CASE WHEN {COPIES} THEN array(0, 1) ELSE array(0) END"))
     )
     return copied.selectExpr(
@@ -186,12 +178,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spend_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spend rows as snapshot files hold them: each of the last five days has a file with
-    that day and the two before it."""
+    """Spend rows as snapshot files hold them: each day has a file with that day and the two before it."""
     rows = spends(spark, sf_dir)
-    last = rows.agg(F.max("date")).scalar()
+    last = rows.select(F.max("date").alias("last"))
     shown = rows.withColumn("day", F.explode(F.sequence("date", F.date_add("date", 2))))
-    return shown.where(F.col("day").between(F.date_sub(last, 4), last)).select(
+    # One row with the last day: there is no file of a later one.
+    return shown.join(last, F.col("day") <= F.col("last")).select(
         F.concat(F.lit("spend_data_"), F.col("day").cast("string"), F.lit(".json")).alias("file"),
         F.col("date").cast("string").alias("date"),
         "channel",

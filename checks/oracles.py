@@ -6,8 +6,9 @@ so the factored form in the library is what gets tested.
 
 from __future__ import annotations
 
-from callmill import fixtures
-from callmill.fixtures import SPEND_CHANNEL, SPEND_KEPT
+from checks import fixtures
+from checks.fixtures import SPEND_CHANNEL
+from checks.queries import MART_COLUMNS
 
 BOOKINGS = """
 bookings AS (
@@ -24,7 +25,7 @@ SPENDS = f"""
 spends AS (
   SELECT DATE '2024-01-01' + CAST(o_orderkey % 30 AS INT) AS date, {SPEND_CHANNEL} AS channel,
          SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS spend
-  FROM orders WHERE {SPEND_KEPT} GROUP BY 1, 2)"""
+  FROM orders GROUP BY 1, 2)"""
 
 STAFF = """
 memberships AS (SELECT l_orderkey AS event_id, l_suppkey AS employee_id FROM lineitem),
@@ -153,8 +154,8 @@ snapshots AS (
   SELECT 'spend_data_' || CAST(d.day AS VARCHAR) || '.json' AS file, CAST(d.day AS VARCHAR) AS file_date,
          CAST(s.date AS VARCHAR) AS date, s.channel, CAST(s.spend AS DOUBLE) AS spend
   FROM spends s
-  JOIN (SELECT MAX(date) - CAST(k AS INT) AS day FROM spends, range(5) AS r(k) GROUP BY k) d
-    ON s.date BETWEEN d.day - 2 AND d.day)"""
+  JOIN (SELECT DISTINCT date + CAST(k AS INT) AS day FROM spends, range(3) AS r(k)) d
+    ON s.date BETWEEN d.day - 2 AND d.day AND d.day <= (SELECT MAX(date) FROM spends))"""
 WITH_SNAPSHOTS = f"WITH {SNAPSHOTS}"
 
 _LATEST = "WHERE file = (SELECT MAX(file) FROM snapshots)"
@@ -192,12 +193,14 @@ ORACLES |= {
     "a8_snapshot_records": f"{WITH_SNAPSHOTS} SELECT file, date, channel, spend FROM snapshots",
     "a9_snapshot_filter": f"{WITH_SNAPSHOTS} SELECT file, date, channel, spend FROM snapshots WHERE date = file_date",
     "a10_guarded_files": f"""{WITH_SNAPSHOTS}
-        SELECT file, TRUE AS has_date, COUNT(*) FILTER (date = file_date) AS records FROM snapshots GROUP BY 1""",
+        SELECT file, TRUE AS has_date, CAST(NULL AS VARCHAR) AS fault, COUNT(*) FILTER (date = file_date) AS records
+        FROM snapshots GROUP BY 1""",
     "a11_spend_readback": f"""{WITH_SNAPSHOTS}
         SELECT CAST(date AS DATE) AS date, channel, spend, CAST(file_date AS DATE) AS file_date
         FROM snapshots {_LATEST} AND date = file_date""",
     "a12_landed_count": f"""{WITH_SNAPSHOTS}
-        SELECT file, file_date, COUNT(*) AS records FROM snapshots {_LATEST} AND date = file_date GROUP BY 1, 2""",
+        SELECT CAST(file_date AS DATE) AS file_date, COUNT(*) AS records
+        FROM snapshots {_LATEST} AND date = file_date GROUP BY 1""",
     "a13_folder_dates": f"""{WITH_REQUESTS}
         SELECT CAST(day AS VARCHAR) AS event_date, COUNT(*) AS documents FROM requests WHERE document <> 'missing' GROUP BY 1""",
     "a14_suffix_filter": f"""{WITH_REQUESTS}
@@ -209,7 +212,7 @@ ORACLES |= {
     "a16_empty_batches": f"{WITH_REQUESTS} SELECT DISTINCT CAST(day AS VARCHAR) AS event_date {_ROWS}",
     "a17_daily_run": _BOOKINGS_PER_DATE,
     "a18_partition_readback": f"""{WITH_REQUESTS}
-        SELECT {_staged('event', 'status', 'updated_at')}, day AS event_date {_ROWS}
+        SELECT {_staged(*_VALUES)}, CAST(day AS VARCHAR) AS event_date {_ROWS}
         QUALIFY row_number() OVER (PARTITION BY day, CASE WHEN document = 'full' THEN event_id END ORDER BY copy DESC) = 1""",
     "a18_append": f"""WITH {REQUESTS}, {PER_DATE}
         SELECT CAST(day AS VARCHAR) AS event_date, 2 * COUNT(*) AS bookings FROM per_date GROUP BY 1""",
@@ -218,12 +221,13 @@ ORACLES |= {
     "a20_consume_once": _BOOKINGS_PER_DATE,
     "b1_payload": f"{WITH_REQUESTS} SELECT document = 'full' AS has_event, COUNT(*) AS rows {_ROWS} GROUP BY 1",
     "b2_flatten": f"""{WITH_REQUESTS}
-        SELECT {_VALUES['event']} AS payload_event, CASE WHEN event_id % 13 = 0 THEN 'x' END AS payload_no_show_uri,
-               {fixtures.LOCATION_TEXTS['type']} AS payload_scheduled_event_location_type,
-               event_id % 5 AS payload_scheduled_event_invitees_counter_total,
+        SELECT CASE WHEN given THEN {_VALUES['event']} END AS payload_event,
+               CASE WHEN given AND event_id % 13 = 0 THEN 'x' END AS payload_no_show_uri,
+               CASE WHEN given THEN {fixtures.LOCATION_TEXTS['type']} END AS payload_scheduled_event_location_type,
+               CASE WHEN given THEN event_id % 5 END AS payload_scheduled_event_invitees_counter_total,
                CASE WHEN document = 'full' THEN {fixtures.TRACKING_TEXTS['utm_source']} END AS payload_tracking_utm_source,
-               CAST(1 AS BIGINT) AS memberships
-        FROM requests WHERE document IN ('full', 'tracking_not_object')""",
+               CASE WHEN given THEN CAST(1 AS BIGINT) END AS memberships
+        FROM (SELECT *, document IN ('full', 'tracking_not_object') AS given FROM requests) WHERE document <> 'missing'""",
     "b3_scheduled_event": f"{WITH_REQUESTS} SELECT {_staged(*_EVENT_COLUMNS)} {_ROWS}",
     "b4_tracking": f"{WITH_REQUESTS} SELECT {_staged('event', *_TRACKING_COLUMNS)} {_ROWS}",
     "b5_staging": f"{WITH_REQUESTS} SELECT {_staged(*_VALUES)}, CAST(day AS VARCHAR) AS event_date {_ROWS}",
@@ -246,9 +250,10 @@ ORACLES |= {
     "c2_spend_fanout": f"""{WITH_BASE}
         SELECT channel, COUNT(event_id) AS pairs, CAST(SUM(spend) AS DOUBLE) AS spend {BASE} GROUP BY 1""",
     "c3_memberships_join": f"""WITH {BOOKINGS}, {STAFF}
-        SELECT event_id, employee_id, booking_datetime FROM bookings JOIN memberships USING (event_id)""",
+        SELECT DISTINCT event_id, employee_name, CAST(event_datetime AS DATE) AS day
+        FROM bookings JOIN memberships USING (event_id) JOIN employees USING (employee_id)""",
     "c4_employees_join": f"""WITH {STAFF}
-        SELECT event_id, employee_id, employee_name FROM memberships JOIN employees USING (employee_id)""",
+        SELECT DISTINCT event_id, employee_name FROM memberships JOIN employees USING (employee_id)""",
     "c5_semi_join": f"""WITH {BOOKINGS}, {CHANNEL_MAP}
         SELECT event_id, event_type FROM bookings WHERE event_type IN (SELECT event_type FROM channel_map)""",
     "d1_sum_spend": f"""WITH {SPENDS}
@@ -284,7 +289,7 @@ ORACLES |= {
         SELECT document AS reason, COUNT(*) AS documents FROM requests
         WHERE document NOT IN ('missing', 'full', 'no_payload') GROUP BY 1""",
     "x5_rebuild_across_runs": f"""{WITH_REQUESTS}
-        SELECT CAST(day AS VARCHAR) AS event_date, {_staged('event', 'status')} {_ROWS}
+        SELECT {_staged(*_VALUES)}, CAST(day AS VARCHAR) AS event_date {_ROWS}
         QUALIFY row_number() OVER (PARTITION BY day, CASE WHEN document = 'full' THEN event_id END ORDER BY copy DESC) = 1""",
 }
 
@@ -292,6 +297,15 @@ ORACLES["a3_outcomes_by_table"] = ORACLES["a3_outcomes"]
 ORACLES["a4_stream_landing"] = ORACLES["a4_land_readback"]
 
 _MARTS = [name for name in ORACLES if name[0] == "m" and name[1].isdigit() and not name.endswith("_from_documents")]
-ORACLES["m9_refresh"] = " UNION ALL ".join(
-    f"SELECT '{name.split('_', 1)[1]}' AS mart, COUNT(*) AS rows FROM ({ORACLES[name]})" for name in _MARTS
-)
+
+
+def _mart_values(query: str) -> str:
+    mart = query.split("_", 1)[1]
+    labels, numbers = MART_COLUMNS[mart]
+    label = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in labels)
+    values = [f"CAST({c} AS DOUBLE)" for c in numbers] + ["CAST(NULL AS DOUBLE)"] * (3 - len(numbers))
+    listed = ", ".join(f"{v} AS value{i}" for i, v in enumerate(values))
+    return f"SELECT '{mart}' AS mart, {label} AS label, {listed} FROM ({ORACLES[query]})"
+
+
+ORACLES["m9_refresh"] = " UNION ALL ".join(_mart_values(name) for name in _MARTS)

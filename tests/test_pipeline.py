@@ -12,7 +12,7 @@ from callmill.operators.staging import stage_documents, staged_rows
 from callmill.plans import curated, daily, landing, marts, refresh, spend
 from callmill.sources import documents, files, snapshots, tables
 from callmill.streaming.daily import daily_stream
-from callmill.streaming.intake import land_stream, outcomes_of
+from callmill.streaming.intake import batch_outcomes, land_stream, outcomes_of
 
 
 def body(event, status="active", hour=1, event_type="A"):
@@ -45,7 +45,7 @@ def stored(spark, stores):
 
 
 def refused(spark, stores):
-    rows = spark.read.parquet(stores.quarantine).select("event_date", "reason", "body").collect()
+    rows = daily.read_quarantine(spark, stores).select("event_date", "reason", "body").collect()
     return sorted(tuple(row) for row in rows)
 
 
@@ -72,7 +72,7 @@ FILLED = [
     ("2024-01-02", None, None),
     ("undated", "e9", "active"),
 ]
-FILLED_REFUSED = [("2024-01-01", "malformed", "not json"), ("2024-01-03", "document_not_object", "[]")]
+FILLED_REFUSED = [("", "no_batch_folder", body("loose")), ("2024-01-01", "malformed", "not json"), ("2024-01-03", "document_not_object", "[]")]
 
 
 def test_daily_run(spark, stores):
@@ -94,6 +94,44 @@ def test_daily_run_twice_changes_nothing(spark, stores):
     daily.run_daily(spark, stores)
     daily.run_daily(spark, stores)
     assert stored(spark, stores) == sorted(FILLED, key=repr)
+    assert refused(spark, stores) == FILLED_REFUSED
+    os.remove(os.path.join(stores.raw, "2024-01-01/bad.json"))
+    daily.run_daily(spark, stores)
+    assert refused(spark, stores) == [row for row in FILLED_REFUSED if row[0] != "2024-01-01"]
+
+
+def test_foreign_folders_in_the_work_folder_stay(spark, stores):
+    for name in ("other", "run=mine"):
+        os.makedirs(os.path.join(stores.work, name))
+        with open(os.path.join(stores.work, name, "keep"), "w") as f:
+            f.write("x")
+    fill(stores)
+    daily.run_daily(spark, stores)
+    assert sorted(n for n in os.listdir(stores.work) if not n.startswith(".")) == ["other", "run=mine"]
+
+
+@pytest.mark.parametrize("a, b", [("work", "raw"), ("staging", "raw"), ("quarantine", "work")])
+def test_stores_must_not_contain_each_other(spark, tmp_path, a, b):
+    paths = {name: str(tmp_path / name) for name in ("raw", "staging", "quarantine", "work")}
+    for paths[a] in (str(tmp_path), paths[b], f"{paths[b]}/inside"):
+        with pytest.raises(ValueError, match="must not contain"):
+            daily.run_daily(spark, daily.Stores(**paths))
+
+
+def test_a_live_run_is_left_alone(spark, stores):
+    fill(stores)
+    lock = os.path.join(stores.work, daily.LOCK)
+    live = os.path.join(stores.work, "run=live")
+    os.makedirs(live)
+    for path in (lock, os.path.join(live, daily.MARK)):
+        open(path, "w").close()
+    with pytest.raises(daily.Busy):
+        daily.run_daily(spark, stores)
+    assert os.path.exists(live) and not os.path.exists(stores.staging)
+    old = (datetime.now() - daily.LEASE - timedelta(minutes=1)).timestamp()
+    os.utime(lock, (old, old))
+    assert daily.run_daily(spark, stores) == ["2024-01-01", "2024-01-02", "undated"]
+    assert not os.path.exists(live) and not os.path.exists(lock)
 
 
 def test_same_run_id_replaces_its_refusals(spark, stores):
@@ -137,13 +175,13 @@ def test_a_dead_run_is_published_by_the_next(spark, stores, monkeypatch):
     os.remove(os.path.join(stores.raw, "2024-01-01/a.json"))
     drop(stores, "2024-01-01/b.json", body("e2"))
 
-    def die(rows, path):
+    def die(_, source, target):
         # The worst moment: the stored date is gone, its replacement not there yet.
-        files.remove(spark, f"{path}/event_date=2024-01-01")
+        files.remove(spark, f"{target}/event_date=2024-01-01")
         raise RuntimeError("driver lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(tables, "replace_dates", die)
+        patch.setattr(tables, "move_dates", die)
         with pytest.raises(RuntimeError):
             daily.run_daily(spark, stores)
     os.remove(os.path.join(stores.raw, "2024-01-01/b.json"))
@@ -229,20 +267,33 @@ def test_landed_text_is_kept_whole(spark, tmp_path):
 
 def test_streamed_landing(spark, tmp_path):
     root, checkpoint = str(tmp_path / "raw"), str(tmp_path / "checkpoint")
-    totals = {}
     for step, texts in enumerate((REQUESTS[:2], REQUESTS[2:])):
         os.makedirs(tmp_path / "in", exist_ok=True)
         for i, text in enumerate(texts):
             (tmp_path / "in" / f"{step}-{i}.json").write_text(text)
-        query = land_stream(spark, str(tmp_path / "in"), root, checkpoint, ["A"])
-        query.awaitTermination()
-        for outcome, count in outcomes_of(query).items():
-            totals[outcome] = totals.get(outcome, 0) + count
+        land_stream(spark, str(tmp_path / "in"), root, checkpoint, ["A"]).awaitTermination()
+    totals = outcomes_of(spark, checkpoint)
     assert totals == {"missing_body": 0, "error": 1, "skipped": 2, "accepted": 2}
     rows = stage_documents(documents.raw_documents(spark, root, documents.LINES)).select("event", "event_date")
     assert sorted(row.event for row in rows.collect()) == ["e1", "e3"]
 
 
+def test_outcomes_of_more_batches_than_progress_is_kept_for(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(5):
+        (tmp_path / "in" / f"{i}.json").write_text(body(f"e{i}"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        where = (str(tmp_path / "in"), str(tmp_path / "raw"), str(tmp_path / "checkpoint"))
+        query = land_stream(spark, *where, ["A"], files_per_batch=1)
+        query.awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert len(query.recentProgress) < 5
+    assert batch_outcomes(spark, where[2]).count() == 5
+    assert outcomes_of(spark, where[2])["accepted"] == 5
+
+
 def test_a_new_checkpoint_does_not_replace_landed_batches(spark, tmp_path):
     for step in range(2):
         (tmp_path / f"in{step}").mkdir()
@@ -308,6 +359,65 @@ def test_spend_guards(spark, snapshot, names, records, message):
     assert not os.path.exists(paths[2])
 
 
+@pytest.mark.parametrize(
+    "text, fault",
+    [
+        (json.dumps(RECORDS) + " junk", "file_not_array"),
+        ("not json", "file_not_array"),
+        ("", "file_not_array"),
+        ('{"date": "2024-01-02", "spend": 1}', "file_not_array"),
+        ('[{"date": "2024-01-02", "spend": 1}, 2]', "record_not_object"),
+        ('[{"date": "2024-01-02", "channel": "A", "spend": "n/a"}]', "spend_not_number"),
+        ('[{"date": "2024-01-02", "spend": 1}, {"date": "2024-01-02", "spend": [1]}]', "spend_not_number"),
+    ],
+)
+def test_broken_snapshots_are_refused(spark, snapshot, put, text, fault):
+    paths = snapshot(["spend_data_2024-01-02.json"])
+    spend.load_latest_spend(spark, *paths)
+    put("in/spend_data_2024-01-02.json", text)
+    if text:
+        with pytest.raises(snapshots.BrokenSnapshot, match=fault):
+            spend.load_latest_spend(spark, *paths)
+    else:
+        # Spark's text source gives no row for a file without bytes.
+        with pytest.raises(snapshots.EmptySnapshot):
+            spend.load_latest_spend(spark, *paths)
+    assert tables.read_spends(spark, paths[2]).count() == 2
+
+
+def test_refresh_of_another_period(spark, tmp_path, stores):
+    """Bookings of part of the time, then of all of it, then of the part again."""
+    for day in (1, 2, 3):
+        drop(stores, f"2024-01-0{day}/a.json", body(f"e{day}"))
+    daily.run_daily(spark, stores)
+    staging = tables.read_staging(spark, stores.staging)
+    channels = curated.channel_map(spark, [("A", "ads")])
+    spends_ = spark.sql(
+        "SELECT explode(sequence(DATE'2024-01-01', DATE'2024-01-03')) AS date, 'ads' AS channel, 6.00BD AS spend"
+    )
+    root, found = str(tmp_path / "marts"), []
+    for start, end in (("2024-01-02", "2024-01-02"), (None, None), ("2024-01-02", "2024-01-02")):
+        given = curated.curate(staging, channels, spends_, start, end)
+        assert refresh.refresh(spark, given, root, scope=f"{start} {end}") == list(marts.MARTS)
+        assert refresh.refresh(spark, given, root, scope=f"{start} {end}") == []
+        found.append(refresh.read_mart(spark, root, "channel_leaderboard").first().bookings)
+        lead = marts.true_cost_per_lead(given).first().cost_per_lead
+        assert lead == 6.0  # spends and leads of the same days
+    assert found == [3, 9, 3]  # one booking or three, with three spend rows each
+
+
+def test_a_failed_refresh_leaves_the_old_snapshot(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    given = marts.Curated(
+        spark.sql("SELECT 'A' event_type, 'e' event_id, TIMESTAMP'2024-01-01' booking_datetime, TIMESTAMP'2024-01-01' event_datetime"),
+        None, None, None, None,
+    )
+    refresh.refresh(spark, given, root, marts={"a": lambda _: spark.range(2)})
+    with pytest.raises(Exception, match="lost"):
+        refresh.refresh(spark, given, root, True, marts={"a": lambda _: spark.range(3).select(F.expr("raise_error('lost')"))})
+    assert refresh.read_mart(spark, root, "a").count() == 2
+
+
 def test_refresh(spark, tmp_path):
     root = str(tmp_path / "marts")
     noon = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
@@ -334,11 +444,15 @@ def test_refresh(spark, tmp_path):
     assert after(23) == []
     assert after(23, force=True) == ["a", "b", "empty"]
     assert after(25) == ["a", "b", "empty"]
-    os.remove(os.path.join(root, "b", "_SUCCESS"))
+    os.remove(os.path.join(root, "b", refresh.CURRENT))
     assert after(1) == ["b"]
     assert sorted(built) == ["a"] * 3 + ["b"] * 4 + ["empty"] * 3
-    taken = spark.read.parquet(f"{root}/a").select(F.max("refreshed_at")).first()[0]
+    assert start <= refresh.refreshed_at(spark, root, "a") <= datetime.now(timezone.utc)
+    version = refresh.current(spark, root, "a")["version"]
+    taken = spark.read.parquet(f"{root}/a/{refresh.VERSION}{version}").select(F.max("refreshed_at")).first()[0]
     assert taken == (start + timedelta(hours=25)).replace(tzinfo=None)
+    # The snapshot before the current one is kept for its readers.
+    assert sum(name.startswith(refresh.VERSION) for name in os.listdir(f"{root}/a")) == 2
 
 
 def test_date_range_prunes_partitions(spark, stores):
