@@ -34,11 +34,20 @@ REOPEN_BELOW = 0.98
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+# Bytes that are neither blanks, letters nor digits; of characters beyond ASCII only the last byte is looked at, and counts.
+_OTHER = np.array([not (chr(b).isalnum() or b in b" \n\t\r") if b < 0x80 else True for b in range(256)])
+
+
 class Ids:
     """Token ids of texts as little-endian 32-bit bytes.
 
     The tokenizer's pattern never joins characters across blanks or line ends and leaves those out, so the ids of a text are
-    those of the stretches between them. The lookup of stretches is bounded and only saves time.
+    those of the stretches between them. It never joins letters with other signs either: where no comma or full stop
+    stands behind another sign, those before a blank are stretches of their own. Case is ignored, which is
+    settled here for plain ASCII.
+
+    Stretches met before are looked up, among recent ones first and then among older ones, which are forgotten
+    in time. That only saves time.
     """
 
     def __init__(self, path: str):
@@ -46,58 +55,54 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tails = {t: self._encoded([t])[0] for t in ",."}
-        self.known: dict[str, bytes] = {"": b"", **self.tails}
+        self.comma = self._encoded([","])[0]
+        self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _stretches(self, text: str) -> list[str]:
+        plain = text.isascii()
+        data = np.frombuffer(text.encode(), np.uint8)
+        text = (text.lower() if plain else text).replace("\n", " ").replace("\t", " ").replace("\r", " ")
+        signs = (data[1:] == 0x2C) | (data[1:] == 0x2E)
+        if not (signs & _OTHER[data[:-1]]).any():
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
+
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-            known.update({"": b"", **self.tails})
-        own = self._learn(set().union(*split).difference(known))
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {"": b""}
+        known, older = self.known, self.older
+        split = [self._stretches(t) for t in texts]
+        missing = set().union(*split).difference(known)
+        known.update({w: older[w] for w in missing if w in older})
+        own = self._learn(missing.difference(known))
         get = (lambda w: known[w] if w in known else own[w]) if own else known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
     def _learn(self, missing: set[str]) -> dict[str, bytes]:
         """Put stretches into the lookup; long ones, which hardly come again, are returned instead.
 
-        Words of letters alone are encoded many at a time with commas between: the pattern never joins
-        letters with others, so the comma's id, which no such word has, tells them apart again. A comma
-        or full stop behind a letter is a stretch of its own for the same reason.
+        Words of letters alone are encoded many at a time with commas between: no such word has the comma's id.
         """
-        comma, known, own = self.tails[","], self.known, {}
-        parts = []
-        for word in missing:
-            stem = word.lower() if word.isascii() else word
-            tail = stem[-1] if stem[-1] in ",." and stem[:-1].lower()[-1:].isalpha() else ""
-            parts.append((word, stem[:-1] if tail else stem, tail))
-        words = {stem for _, stem, _ in parts if len(stem) < 64 and stem.isalpha()}.difference(known)
-        plain = list(words)
+        known, own = self.known, {}
+        plain = [w for w in missing if len(w) < 64 and w.isalpha()]
         for i in range(0, len(plain), 1000):
             some = plain[i : i + 1000]
             found = self._encoded([" , ".join(some)])[0]
-            if len(comma) != 4:
-                known.update(zip(some, self._encoded(some)))
-                continue
-            cuts = np.flatnonzero(np.frombuffer(found, "<u4") == int.from_bytes(comma, "little")).tolist()
-            if len(cuts) != len(some) - 1:
+            cuts = np.flatnonzero(np.frombuffer(found, "<u4") == int.from_bytes(self.comma, "little")) * 4
+            if len(self.comma) != 4 or len(cuts) != len(some) - 1:
                 known.update(zip(some, self._encoded(some)))
                 continue
-            for word, a, b in zip(some, [0, *[c + 1 for c in cuts]], [*cuts, len(found) // 4]):
-                known[word] = found[4 * a : 4 * b]
-        other = list({stem for _, stem, _ in parts if not (len(stem) < 64 and stem.isalpha())}.difference(known))
+            known.update(zip(some, [found[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(found)])]))
+        other = list(missing.difference(plain))
         for i in range(0, len(other), 10_000):
             some = other[i : i + 10_000]
-            for stem, ids in zip(some, self._encoded(some)):
-                (known if len(stem) < 64 else own)[stem] = ids
-        for word, stem, tail in parts:
-            ids = (known[stem] if stem in known else own[stem]) + self.tails.get(tail, b"")
-            (known if len(word) < 64 else own)[word] = ids
+            for word, ids in zip(some, self._encoded(some)):
+                (known if len(word) < 64 else own)[word] = ids
         return own
 
 
