@@ -8,6 +8,7 @@ import statistics
 import time
 
 from callmill.session import build_session
+from checks import fixtures
 from checks.queries import QUERIES
 
 HEADLINES = [
@@ -48,6 +49,7 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
+    fixtures.prepare(spark, sf_dir)
     seconds(QUERIES[HEADLINES[0]], spark, sf_dir)  # warm up the JVM
     times = {}
     for name in HEADLINES:

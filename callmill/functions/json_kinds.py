@@ -54,6 +54,29 @@ def elements(value: Column) -> Column:
     return F.try_variant_get(value, "$", "array<variant>")
 
 
+# The key under which a wrapped text's document is read.
+DOCUMENT = "document"
+
+
+def wrapped(text: Column) -> Column:
+    """A JSON text whose ``w`` has exactly two keys, DOCUMENT and the text's own hash, if the text is one JSON value.
+
+    A text that goes on behind its first value adds keys or breaks the JSON; it can't bring the hash along and
+    close ``w`` early, as the hash is its own.
+    """
+    return F.concat(F.lit('{"w":{"' + DOCUMENT + '":'), text, F.lit(',"'), _mark(text), F.lit('":null}}'))
+
+
+def read_wrapped(read: Column, text: Column) -> Column:
+    """The document of a ``wrapped`` text that was read as struct of a map ``w``; NULL if the text is no single value."""
+    whole = (F.size(read["w"]) == 2) & F.array_contains(F.map_keys(read["w"]), _mark(text))
+    return F.when(whole, read["w"][DOCUMENT])
+
+
+def _mark(text: Column) -> Column:
+    return F.xxhash64(text).cast("string")
+
+
 def ends_cleanly(text: Column) -> Column:
     """Whether nothing but blanks follows the first JSON value of a text.
 
@@ -61,6 +84,6 @@ def ends_cleanly(text: Column) -> Column:
     behind it: the mark is the second element only if the text is one value. The
     mark is the text's own hash, so no text can bring it along.
     """
-    mark = F.xxhash64(text).cast("string")
+    mark = _mark(text)
     seen = F.get_json_object(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")), "$[1]")
     return F.coalesce(seen == mark, F.lit(False))

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callmill.functions import json_kinds as K
-from callmill.schemas import CORRUPT, STRICT_JSON
+from callmill.schemas import CORRUPT, STRICT_JSON, wrapped
 
 MISSING_BODY = "missing_body"
 ERROR = "error"
@@ -18,7 +19,9 @@ ACCEPTED = "accepted"
 # The reply each outcome stands for.
 STATUS_CODES = {MISSING_BODY: 400, ERROR: 500, SKIPPED: 200, ACCEPTED: 200}
 
-_INTAKE_SCHEMA = f"payload struct<scheduled_event: struct<event_type: variant>>, {CORRUPT} string"
+_EVENT_TYPE = T.StructType().add(
+    "payload", T.StructType().add("scheduled_event", T.StructType().add("event_type", T.VariantType()))
+)
 
 
 def _wrong_root(raw: Column) -> Column:
@@ -30,14 +33,14 @@ def _wrong_root(raw: Column) -> Column:
 def read_event_types(requests: DataFrame) -> DataFrame:
     """Add ``event_type`` (a string, else NULL) and ``fault`` to request bodies.
 
-    The typed read walks the text once; only a body it cannot fully read, or one
-    without an event, is parsed again to see what is wrong with it.
+    The typed read walks the text once, and its wrapping shows whether the text ends with it; only a body
+    it cannot fully read, or one without an event, is parsed again to see what is wrong with it.
     """
     body = F.col("body")
     given = F.col("doc.payload.scheduled_event.event_type")
-    regular = F.col(f"doc.{CORRUPT}").isNull() & F.col("doc.payload.scheduled_event").isNotNull()
-    regular = F.coalesce(regular, F.lit(False))
-    clean = F.coalesce(F.is_valid_utf8(body) & K.ends_cleanly(body), F.lit(False))
+    regular = F.col(f"outer.{CORRUPT}").isNull() & F.col("doc.payload.scheduled_event").isNotNull()
+    regular = F.coalesce(F.is_valid_utf8(body) & regular, F.lit(False))
+    clean = F.coalesce(F.col("regular") | (F.is_valid_utf8(body) & K.ends_cleanly(body)), F.lit(False))
     type_kind = K.kind(given)
     fault = (
         F.when(~F.col("clean"), True)
@@ -46,8 +49,10 @@ def read_event_types(requests: DataFrame) -> DataFrame:
     )
     event_type = F.when(F.col("regular") & (type_kind == K.STRING), given.cast("string"))
     read = (
-        requests.withColumn("doc", F.from_json(body, _INTAKE_SCHEMA, STRICT_JSON))
-        .withColumns({"clean": clean, "regular": regular})
+        requests.withColumn("outer", F.from_json(K.wrapped(body), wrapped(_EVENT_TYPE), STRICT_JSON))
+        .withColumn("doc", K.read_wrapped(F.col("outer"), body))
+        .withColumn("regular", regular)
+        .withColumn("clean", clean)
         .withColumn("raw", F.when(F.col("clean") & ~F.col("regular"), F.try_parse_json(body)))
     )
     # Keeps filters on the result above the reading, as in the staging step.

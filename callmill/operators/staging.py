@@ -1,10 +1,10 @@
 """Documents to typed staging rows, with a reason for every document refused.
 
-Every document is read once by ``from_json`` with the document schema. A document that
-fits it and has all its parts needs no more. If a part is NULL the text is also
-parsed to VARIANT, to tell absent from given as null. Only a document that does
-not fit the schema is searched for the value of a wrong kind, since some of them
-are harmless. CASE keeps each cost off the documents that do not need it.
+Every document is read once by ``from_json``, in a wrapping that also shows whether the text
+ends with it. A document that fits the schema and has all its parts needs no more. Any other
+is read again by itself. If a part is NULL the text is also parsed to VARIANT, to tell absent
+from given as null. Only a document that does not fit the schema is searched for the value of a
+wrong kind, since some of them are harmless. CASE keeps each cost off the documents that do not need it.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from callmill.functions import json_kinds as K
 from callmill.functions.calendar import document_timestamp
-from callmill.schemas import CORRUPT, DOCUMENT_SCHEMA, PARTITION, STAGED, STRICT_JSON
+from callmill.schemas import CORRUPT, DOCUMENT, DOCUMENT_SCHEMA, PARTITION, STAGED, STRICT_JSON, wrapped
 
 REASON = "reason"
 
@@ -38,20 +38,21 @@ def _any(conditions: list[Column]) -> Column:
 
 
 # Any text that may stand for an object, as its first character says.
-_OBJECT_LIKE = f"coalesce({' OR '.join(f"startswith(doc.payload.{path}, '{{')" for path in TOP_TEXTS)}, false)"
+def _object_like(doc: str) -> Column:
+    return F.expr(f"coalesce({' OR '.join(f"startswith({doc}.payload.{path}, '{{')" for path in TOP_TEXTS)}, false)")
 
 
 def _is_regular() -> Column:
-    """Fits the schema, has every part, and no text that may stand for an object."""
-    payload = F.col("doc.payload")
+    """Was read whole, fits the schema, has every part, and no text that may stand for an object."""
+    payload = F.col("first.payload")
     event = payload["scheduled_event"]
     parts = ("event_guests", "event_memberships", "invitees_counter", "location")
     return (
-        F.col("doc").isNotNull()
-        & F.col(f"doc.{CORRUPT}").isNull()
+        F.col("first").isNotNull()
+        & F.col(f"outer.{CORRUPT}").isNull()
         & payload["tracking"].isNotNull()
         & (event.isNull() | reduce(lambda a, b: a & b, [event[part].isNotNull() for part in parts]))
-        & ~F.col("object_like")
+        & ~_object_like("first")
     )
 
 
@@ -158,8 +159,10 @@ def _fixes(raw: Column) -> Column:
 def read_documents(documents: DataFrame) -> DataFrame:
     """Add ``read``: the typed document, its fixes, and the reason it is refused, if any."""
     body = F.col("body")
-    readable = F.coalesce(F.is_valid_utf8(body) & K.ends_cleanly(body), F.lit(False))
-    irregular = ~F.coalesce(_is_regular(), F.lit(False))
+    irregular = ~F.coalesce(F.is_valid_utf8(body) & _is_regular(), F.lit(False))
+    readable = F.coalesce(F.is_valid_utf8(body) & (~F.col("irregular") | K.ends_cleanly(body)), F.lit(False))
+    regular = F.struct(F.col("first.payload").alias("payload"), F.lit(None).cast("string").alias(CORRUPT))
+    again = F.from_json(body, DOCUMENT_SCHEMA, STRICT_JSON)
     fits = F.col(f"doc.{CORRUPT}").isNull()
     reason = (
         F.when(~F.col("readable"), "malformed")
@@ -167,9 +170,11 @@ def read_documents(documents: DataFrame) -> DataFrame:
         .when(F.col("irregular"), _misfit(F.col("raw")))
     )
     read = (
-        documents.withColumn("doc", F.from_json(body, DOCUMENT_SCHEMA, STRICT_JSON))
-        .withColumns({"readable": readable, "object_like": F.expr(_OBJECT_LIKE)})
+        documents.withColumn("outer", F.from_json(K.wrapped(body), wrapped(DOCUMENT), STRICT_JSON))
+        .withColumn("first", K.read_wrapped(F.col("outer"), body))
         .withColumn("irregular", irregular)
+        .withColumn("doc", F.when(F.col("irregular"), again).otherwise(regular))
+        .withColumns({"readable": readable, "object_like": F.col("irregular") & _object_like("doc")})
         .withColumn("raw", F.when(F.col("readable") & F.col("irregular"), F.try_parse_json(body)))
     )
     found = F.struct("doc", _fixes(F.col("raw")).alias("fixes"), reason.alias(REASON))

@@ -100,15 +100,25 @@ def _document_schema() -> T.StructType:
                 event[name] = nested[name] if rest else leaf
     top["scheduled_event"] = _struct(event)
     top["tracking"] = _struct(tracking)
-    return _struct({"payload": _struct(top), CORRUPT: TEXT})
+    return _struct({"payload": _struct(top)})
 
 
 def _struct(fields: dict[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, type_) for name, type_ in fields.items()])
 
 
+def unread(fields: T.StructType) -> T.StructType:
+    """With the column that is filled where a text does not fit."""
+    return T.StructType([*fields, T.StructField(CORRUPT, TEXT)])
 
-DOCUMENT_SCHEMA = _document_schema()
+
+def wrapped(fields: T.StructType) -> T.StructType:
+    """The same documents inside a wrapping that shows where they end."""
+    return unread(_struct({"w": T.MapType(TEXT, fields)}))
+
+
+DOCUMENT = _document_schema()
+DOCUMENT_SCHEMA = unread(DOCUMENT)
 
 # Strict JSON, as the documents' own reader has it.
 STRICT_JSON = {
