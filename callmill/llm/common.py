@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +47,15 @@ def matched(left: DataFrame, right: DataFrame, names: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"_right_{c}" for c in names])
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """doc_id and text of every row, and the row itself as the struct `_row`, whatever else it is made of."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_of().alias("_text"),
+    )
+
+
 def with_text(df: DataFrame, columns: list[str], text: Column) -> DataFrame:
     """`columns` of the struct `_row` with another text; n_chars follows a text that changed."""
     df = df.withColumn("_new", text)
@@ -71,4 +82,8 @@ def settled(spark: SparkSession) -> None:
     It does so when the driver's garbage collector finds them unused, which on a quiet driver may be
     long after; between the large steps of one operator that would hold a multiple of the input on disk.
     """
-    spark.sparkContext._jvm.System.gc()
+    gc.collect()  # DataFrames that Python still holds in cycles hold their shuffles
+    spark.range(1).count()  # the last job's plan is held until there is another
+    for _ in range(2):
+        time.sleep(1)  # the JVM is told of freed objects by a thread of its own, and files go a little later
+        spark.sparkContext._jvm.System.gc()

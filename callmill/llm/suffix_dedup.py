@@ -9,7 +9,7 @@ Comparing. All windows with one anchor meet in one bucket. A bucket's segments a
 transform, and the transforms are merged by refining their interleave: it starts with the shards one after another, and a turn
 replaces the shard numbers by those of the predecessors, dealt by symbol. After h turns the rows are in the order of their first
 h symbols, and rows that no turn has parted have these in common. No suffixes are sorted for the merge. The symbols here are blocks of
-20 bytes, so five turns give common prefixes of 100 bytes, and the repeated intervals are the groups that
+25 bytes, so four turns give common prefixes of 100 bytes, and the repeated intervals are the groups that
 are still together then. Names of blocks come from 64-bit hashes; the bytes of each interval are compared afterwards.
 
 Copies. A task hands on each different segment once, with its earliest place; the others are known to repeat. So a segment that
@@ -32,7 +32,7 @@ from callmill.llm.common import prepare, removed, matched, saved, settled, text_
 
 LENGTH = 100
 ANCHOR = 24
-BLOCK = 20
+BLOCK = 25
 TURNS = LENGTH // BLOCK
 # An anchor of more runs than this is dealt by windows.
 HOT = 20_000
@@ -131,7 +131,7 @@ def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first: dict[tuple[int, bytes], tuple] = {}
 
     def flushed() -> pa.RecordBatch:
-        rows = [(route, segment, *place, place[2] + len(segment)) for (route, segment), place in first.items()]
+        rows = [(*key, *place, None) for key, place in first.items()]
         first.clear()
         return _batch(rows)
 
@@ -159,7 +159,11 @@ def _segmented(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     late = place
                     if _before(place, held):
                         first[key], late = place, held
-                    gone.append((route, None, *late, late[2] + len(segment)))
+                    until = late[2] + len(segment)
+                    if gone and late is place and gone[-1][2:4] == late[:2] and gone[-1][4] <= late[2] <= gone[-1][5]:
+                        gone[-1] = (*gone[-1][:5], max(gone[-1][5], until))  # a copy's segments overlap
+                    else:
+                        gone.append((0, None, *late, until))
         if gone:
             yield _batch(gone)
         if len(first) >= REMEMBERED:
@@ -173,29 +177,29 @@ class ShardTransform:
     Position p is followed by p + BLOCK: a segment is BLOCK interlaced strings. Symbol 0 ends a string.
     """
 
-    def __init__(self, names: np.ndarray, before: np.ndarray, positions: np.ndarray, after: np.ndarray):
-        # names: symbol at each position of the bucket; after: the next position's index, or -1 at an end.
-        order = np.arange(len(positions))
-        local = np.where(after[positions] >= 0, after[positions] - positions[0], -1)
-        symbols = names[positions]
-        # Order of the first TURNS symbols, last one first.
-        chain = [order]
-        for _ in range(TURNS - 1):
-            chain.append(np.where(chain[-1] >= 0, local[chain[-1]], -1))
-        ranked = order
-        for at in reversed(chain):
-            ranked = ranked[_sorted_by(np.where(at >= 0, symbols[at], 0)[ranked])]
+    def __init__(self, names: np.ndarray, before: np.ndarray, positions: np.ndarray):
+        # names: the symbol at each position of the bucket; before: the symbol of its predecessor, 0 for none.
+        # Order of the first TURNS symbols, last one first. A step over an end gives symbols 0 from there on.
+        steps = [names[positions]]
+        for k in range(1, TURNS):
+            ahead = np.zeros_like(steps[0])
+            ahead[: max(len(positions) - k * BLOCK, 0)] = steps[0][k * BLOCK :]
+            ahead[steps[-1] == 0] = 0
+            steps.append(ahead)
+        ranked = _sorted_by(steps[-1])
+        for symbols in reversed(steps[:-1]):
+            ranked = ranked[_sorted_by(symbols[ranked])]
         self.suffixes = positions[ranked]
-        self.symbols = np.where(before[self.suffixes] >= 0, names[before[self.suffixes]], 0)
-        self.ends = int(np.count_nonzero(symbols == 0))
+        self.symbols = before[self.suffixes]
+        self.ends = int(np.count_nonzero(steps[0] == 0))
 
 
 def _sorted_by(values: np.ndarray) -> np.ndarray:
-    """Stable order of small non-negative integers, by 16 bits at a time."""
-    order = np.argsort((values & 0xFFFF).astype(np.uint16), kind="stable")
-    if len(values) and values.max() > 0xFFFF:
-        order = order[np.argsort((values[order] >> 16).astype(np.uint16), kind="stable")]
-    return order
+    """Stable order of 32-bit non-negative integers, by 16 bits at a time."""
+    halves = np.ascontiguousarray(values, "<u4").view("<u2").reshape(-1, 2)
+    order = np.argsort(halves[:, 0], kind="stable")
+    high = halves[order, 1]
+    return order[np.argsort(high, kind="stable")] if high.any() else order
 
 
 def merged(shards: list[ShardTransform]) -> tuple[np.ndarray, np.ndarray]:
@@ -231,22 +235,21 @@ def repeated_windows(segments: list[bytes], key: np.ndarray) -> np.ndarray:
     lengths = np.array([len(s) + 1 for s in segments])
     ends = np.repeat(np.cumsum(lengths), lengths)
     place = np.arange(len(data))
-    after = np.where(place + BLOCK < ends, place + BLOCK, -1)
-    starts = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    before = np.where(place - BLOCK >= starts, place - BLOCK, -1)
     windows = place + LENGTH < ends
+    whole = place + BLOCK < ends
     edges = np.cumsum(lengths)
     for base in (_ODD, _ODD ^ 0x5555555555555554, 0xD6E8FEB86659FD93):
         hashes = np.zeros(len(data), np.uint64)
         hashes[: len(data) - BLOCK + 1] = string_hashes(data, BLOCK, base)
-        whole = after >= 0
-        names = np.zeros(len(data), np.int64)
+        names = np.zeros(len(data), np.int32)
         names[whole] = np.unique(hashes[whole], return_inverse=True)[1] + 1
+        before = np.zeros(len(data), np.int32)
+        before[BLOCK:] = np.where(whole[:-BLOCK], names[:-BLOCK], 0)
         shards = []
         for i in range(0, len(segments), SHARD_SEGMENTS):
             a = int(edges[i - 1]) if i else 0
             b = int(edges[min(i + SHARD_SEGMENTS, len(segments)) - 1])
-            shards.append(ShardTransform(names, before, place[a:b], after))
+            shards.append(ShardTransform(names, before, place[a:b]))
         suffixes, group = merged(shards)
         inside = windows[suffixes]
         suffixes, group = suffixes[inside], group[inside]
@@ -277,7 +280,10 @@ SPANS = "doc_id long, _text_hash long, start long, until long"
 
 
 def _spans_of(rows: list[tuple]) -> list[tuple]:
-    """Removals (doc_id, text hash, start, until) within the earliest places of a bucket's segments."""
+    """Removals (doc_id, text hash, start, until) within the earliest places of a bucket's segments.
+
+    Rows are (segment, doc_id, text hash, start).
+    """
     segments = [r[0] for r in rows]
     documents = sorted({(r[1] is not None, r[1] or 0, r[2]) for r in rows})
     rank = {d: i for i, d in enumerate(documents)}
@@ -297,33 +303,50 @@ def _spans_of(rows: list[tuple]) -> list[tuple]:
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket, segment and place; removals pass through."""
+    """Rows come sorted by bucket, route, segment and place; removals pass through.
+
+    A segment that is alone on its route has copies at most, which go: no other segment has a window in common with it.
+    """
     names = ["doc_id", "_text_hash", "start", "until"]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    bucket, kept, last = None, [], None
+    bucket = route = last = None
+    kept: list[tuple] = []  # of the bucket's routes with several segments
+    alone: list[tuple] = []  # the route's segments so far
+
+    def settle() -> None:
+        if len(alone) > 1:
+            kept.extend(alone)
+        alone.clear()
+
     for batch in batches:
         out: list[tuple] = []
-        columns = [batch.column(c).to_pylist() for c in ("_bucket", "segment", *names)]
-        for here, segment, doc, text_hash, start, until in zip(*columns):
+        columns = [batch.column(c).to_pylist() for c in ("_bucket", "route", "segment", *names)]
+        for here, way, segment, doc, text_hash, start, until in zip(*columns):
             if segment is None:
                 out.append((doc, text_hash, start, until))
                 continue
-            if here != bucket:
-                if kept:
-                    out += _spans_of(kept)
-                bucket, kept, last = here, [], None
+            if here != bucket or way != route:
+                settle()
+                last = None
+                if here != bucket:
+                    if kept:
+                        out += _spans_of(kept)
+                        kept.clear()
+                    bucket = here
+                route = way
             if segment == last:
-                if (doc, text_hash, start) != kept[-1][1:]:
-                    out.append((doc, text_hash, start, until))
+                if (doc, text_hash, start) != alone[-1][1:]:
+                    out.append((doc, text_hash, start, start + len(segment)))
                 continue
-            kept.append((segment, doc, text_hash, start))
+            alone.append((segment, doc, text_hash, start))
             last = segment
         if out:
             yield batch_of(out)
+    settle()
     yield batch_of(_spans_of(kept) if kept else [])
 
 
@@ -382,16 +405,17 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     anchors = saved(
         numbered.select("_doc", "_text").mapInArrow(_anchored, "_doc long, place long, anchor long"), "anchors"
     )
-    shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
+    # A table of its own, so that the join below reads two plain shuffles and can split a hot anchor.
+    shared = saved(anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
     listed = saved(
         anchors.join(shared, "anchor")
         .groupBy("_doc")
-        .agg(F.collect_set(F.struct("place", "anchor", (F.col("n") > HOT).alias("hot"))).alias("_runs")),
+        .agg(F.array_sort(F.collect_set(F.struct("place", "anchor", (F.col("n") > HOT).alias("hot")))).alias("_runs")),
         "runs",
     )
     removed(anchors)
-    settled(spark)
     n = listed.agg(F.coalesce(F.sum(F.size("_runs")), F.lit(0)).alias("n")).first().n
+    settled(spark)
     buckets = max(1, -(-n // BUCKET_SEGMENTS))
     cut = numbered.join(listed, "_doc").select("doc_id", "_text_hash", "_text", "_runs").mapInArrow(_segmented, SEGMENTS)
     spans = (
@@ -402,7 +426,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
             .otherwise(F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets))),
         )
         .repartition("_bucket")
-        .sortWithinPartitions("_bucket", "segment", "doc_id", "_text_hash", "start")
+        .sortWithinPartitions("_bucket", "route", "segment", "doc_id", "_text_hash", "start")
         .mapInArrow(_compared, SPANS)
     )
     found = saved(
