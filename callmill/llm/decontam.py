@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmill.llm.common import prepare, matched, saved, text_of, with_text
+from callmill.llm.common import prepare, matched, saved, text_of, whole_rows, with_text
 
 WINDOW = 13
 KEY = ("doc_id", "_text_hash")
@@ -353,15 +353,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     gone = verdicts.filter("contaminated").select("doc_id", "_text_hash").distinct()
     touched = verdicts.filter(~F.col("contaminated")).select("doc_id", "_text_hash", "ranges")
     touched = touched.dropDuplicates(KEY)
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    rows = rows.select(
-        "_row",
-        F.col("_row.doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col("_row.text").cast("string"), F.lit(""))).alias("_text_hash"),
-    )
+    rows = whole_rows(docs).select("_row", "doc_id", F.xxhash64("_text").alias("_text_hash"), "_text")
     clean = matched(rows, gone, KEY, "left_anti")
     # Only the few touched texts go through Python.
-    bodies = rows.select("doc_id", "_text_hash", F.coalesce(F.col("_row.text"), F.lit("")).alias("_text"))
+    bodies = rows.drop("_row")
     bodies = matched(bodies, touched, KEY)
     cuts = saved(bodies.mapInArrow(_cut, "doc_id long, _text_hash long, _cut string"), "cuts").dropDuplicates(KEY)
     joined = matched(clean, cuts, KEY, "left")

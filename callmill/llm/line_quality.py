@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmill.llm.common import matched, saved, text_of, with_text
+from callmill.llm.common import matched, saved, text_of, whole_rows, with_text
 
 SPACES = r"[ \t\n\x0B\f\r]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -84,7 +84,7 @@ def statistics(docs: DataFrame, limits: Limits) -> DataFrame:
         ),
     ).otherwise(F.array().cast("array<bigint>"))
     worded = F.filter(F.split(F.col("_text"), "\n"), _has_word)
-    texts = docs.select("doc_id", F.col("source").cast("string").alias("_host"), text_of().alias("_text"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("_host"), text_of().alias("_text"))
     base = (
         texts.select("*", _words().alias("_words"), worded.alias("_lines"))
         .select(
@@ -179,10 +179,8 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     A text without frequent lines is returned unchanged (null never is kept: it has no words).
     """
     verdicts = line_verdicts(docs, limits).filter("kept").dropDuplicates(["doc_id", "_host", "_text_hash"])
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    rows = rows.select(
-        "_row", F.col("_row.doc_id").alias("doc_id"), F.col("_row.source").cast("string").alias("_host"),
-        F.xxhash64(F.coalesce(F.col("_row.text"), F.lit(""))).alias("_text_hash"),
+    rows = whole_rows(docs).select(
+        "_row", "doc_id", F.col("_row.source").cast("string").alias("_host"), F.xxhash64("_text").alias("_text_hash")
     )
     joined = matched(rows, verdicts, ["doc_id", "_host", "_text_hash"]).select("_row", "removed")
     left = F.array_join(
