@@ -54,6 +54,12 @@ REFUSED = [
     ('{"payload":{}}{"payload":{}}', "malformed"),
     ('{"payload":{}},{"payload":{}}', "malformed"),
     ('{"payload":{}}]', "malformed"),
+    # Texts that would go on inside or behind the wrapping in which a document is read.
+    (doc() + ',"k":null', "malformed"),
+    (doc() + ',"document":' + doc(), "malformed"),
+    (doc() + '},"x":{"w":{"k":1}', "malformed"),
+    (doc() + ',"k":null},"x":{"y":1', "malformed"),
+    (doc()[:-1], "malformed"),
     ('﻿{"payload":{}}', "malformed"),
     ("[]", "document_not_object"),
     ('[{"payload":{}}]', "document_not_object"),
