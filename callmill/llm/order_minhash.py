@@ -6,10 +6,13 @@ have them in the same order. At a similarity of 0.8 a sketch meets with a probab
 (1 - 0.512) ** 24 < 4e-8.
 
 Equal texts are one node from the start. Nodes that meet in a sketch form a bucket. A bucket is never expanded into all pairs:
-its first node is compared with the others, and who is similar gets linked. Others go on to the next turn with a new first
-node, together with those of the class that could still be similar to one of them. Multiset Jaccard distance obeys
-the triangle inequality, so a node x at most 0.2 from y has a distance to the first node within 0.2 of y's. Buckets whose nodes are in one
-class are done. After some turns the number of first nodes doubles with each, so that buckets of unlike texts end, too.
+its first node is compared with the others, and who is similar joins its class. Buckets whose nodes are then in one class
+are done. In the others, two nodes of different classes are only compared if they share one of their rarest k-mers.
+
+Both steps leave out only what can't be similar. A similar pair shares at least 0.8 / 1.8 of both texts' k-mers, `a` together.
+So each must have `a` that some other candidate has, too; and of the k-mers they share, the rarest is among the `n - a + 1`
+rarest of either. This rules out most comparisons: texts that only have a passage in common, and copies of one
+text with many changes of their own each.
 
 Two texts are similar if the aligned shingles are at least 0.8 of all: with `c` shingles in the longest common
 subsequence, c / (n + m - c) >= 0.8. That bounds how far an alignment strays from the diagonal, hence the band.
@@ -22,19 +25,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmill.llm.common import matched, prepare, saved, text_of
+from callmill.llm.common import matched, prepare, saved, settled, text_of, whole_rows
 from callmill.llm.decontam import words_of
 
 SHINGLE = 5
 TAKEN = 3
 SKETCHES = 24
 SIMILAR = 0.8
-# Nodes that are compared with one first node in one task, and turns with a single first node per bucket.
+LISTED = 100_000
+# Counters of k-mers: they set the order in which rare k-mers come first. Any order gives the same pairs in the end.
+COUNTERS = 1 << 20
+# Nodes that are compared with one first node in one task.
 COMPARED = 500
-SINGLE_TURNS = 4
 REMEMBERED = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -151,13 +156,62 @@ def aligned(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> float:
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = [sketches(shingles(t)) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+        kmers = [shingles(t) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("_node"), pa.array(keys, pa.list_(pa.int64()))],
-            names=["doc_id", "_node", "_keys"],
+            [
+                batch.column("doc_id"),
+                batch.column("_node"),
+                pa.array([len(k) for k in kmers], pa.int64()),
+                pa.array([sketches(k) for k in kmers], pa.list_(pa.int64())),
+            ],
+            names=["doc_id", "_node", "_size", "_keys"],
         )
 
 
+def _kmers_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    kmers = [shingles(t) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+    return [labelled(k) if len(k) else k for k in kmers]
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every labelled k-mer with its text's number."""
+    for batch in batches:
+        kmers = _kmers_of(batch)
+        number = np.repeat(batch.column("_id").to_numpy(), [len(k) for k in kmers])
+        joined = np.concatenate(kmers).view(np.int64) if kmers else np.zeros(0, np.int64)
+        for i in range(0, len(joined), LISTED):
+            at = slice(i, i + LISTED)
+            yield pa.RecordBatch.from_arrays([pa.array(joined[at]), pa.array(number[at])], names=["kmer", "_id"])
+
+
+def _rarest(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            row, rest, kmer, lists = [], [], [], []
+            for r, mine in enumerate(_kmers_of(batch)):
+                n = counts[mine % np.uint64(COUNTERS)]
+                order = np.lexsort((mine, n))[: int((1 - SIMILAR) * len(mine)) + 2]
+                places = np.flatnonzero(n[order] > 1)  # a count of one is of this text alone
+                listed = mine[order[places]].view(np.int64)
+                row += [r] * len(places)
+                rest += (len(mine) - places).tolist()
+                kmer.append(listed)
+                lists += [listed] * len(places)
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c).take(at) for c in ("_v", "_root", "_size")],
+                    pa.array(rest, pa.int64()),
+                    pa.array(np.concatenate(kmer) if kmer else np.zeros(0, np.int64)),
+                    pa.array(lists, pa.list_(pa.int64())),
+                ],
+                names=["_v", "_root", "_size", "_rest", "kmer", "_rarest"],
+            )
+
+    return run
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted: a first node's own row, then those to compare with it."""
     first = kmers = tagged = None
@@ -188,62 +242,55 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-# A node: the least id among equal texts, and 128 bits of the text's digest, which tell nodes apart.
-NODE = "struct<first:bigint,digest:binary>"
+# A node: the least id among equal texts, and a hash of the text's digest to tell apart nodes of one id.
+NODE = "struct<first:bigint,id:bigint>"
 
 
-def _digest():
-    return F.unhex(F.substring(F.sha2(F.encode(text_of(), "UTF-8"), 256), 1, 32))
+def _digest(column: str = "text") -> Column:
+    return F.unhex(F.substring(F.sha2(F.encode(text_of(column), "UTF-8"), 256), 1, 32))
 
 
 def components(links: DataFrame) -> DataFrame:
     """(_v, _root) for every end of the links (_lead, _v): its component's least node.
 
-    Large-star and small-star in turns; a turn is two narrow joins, and the turns are few as the links are stars already.
+    Large-star and small-star in turns, until every node hangs on a root that hangs on none.
     """
     edges = saved(links.select(F.greatest("_lead", "_v").alias("_v"), F.least("_lead", "_v").alias("_m")), "edges")
-    before = None
-    while True:
-        for small in (False, True):
-            both = edges.unionByName(edges.select(F.col("_m").alias("_v"), F.col("_v").alias("_m")))
-            if small:
-                mins = edges.groupBy("_v").agg(F.min("_m").alias("_least"))
-                moved = edges.join(mins, "_v").filter(F.col("_m") > F.col("_least")).select(
-                    F.col("_m").alias("_v"), F.col("_least").alias("_m")
-                )
-                edges = moved.unionByName(mins.select("_v", F.col("_least").alias("_m"))).distinct()
-            else:
-                mins = both.groupBy("_v").agg(F.min("_m").alias("_n")).select(
-                    F.col("_v"), F.least("_v", "_n").alias("_least")
-                )
-                edges = both.join(mins, "_v").filter(F.col("_m") > F.col("_v")).select(
-                    F.col("_m").alias("_v"), F.col("_least").alias("_m")
-                ).distinct()
-        edges = saved(edges, "edges")
-        now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("_v", "_m"))).first()
-        if now == before:
-            break
-        before = now
+    while not _are_stars(edges):
+        both = edges.unionByName(edges.select(F.col("_m").alias("_v"), F.col("_v").alias("_m")))
+        least = both.groupBy("_v").agg(F.min("_m").alias("_n")).select("_v", F.least("_v", "_n").alias("_least"))
+        large = both.join(least, "_v").filter(F.col("_m") > F.col("_v")).select(
+            F.col("_m").alias("_v"), F.col("_least").alias("_m")
+        )
+        edges = saved(large.distinct(), "edges")
+        least = edges.groupBy("_v").agg(F.min("_m").alias("_least"))
+        small = edges.join(least, "_v").filter(F.col("_m") > F.col("_least")).select(
+            F.col("_m").alias("_v"), F.col("_least").alias("_m")
+        )
+        edges = saved(small.unionByName(least.select("_v", F.col("_least").alias("_m"))).distinct(), "edges")
     roots = edges.select("_m").distinct().select(F.col("_m").alias("_v"), F.col("_m").alias("_root"))
     return edges.select("_v", F.col("_m").alias("_root")).unionByName(roots)
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    ends = edges.select("_v", F.lit(1).alias("hangs")).unionByName(
+        edges.select(F.col("_m").alias("_v"), F.lit(0).alias("hangs")).distinct()
+    )
+    seen = ends.groupBy("_v").agg(F.sum("hangs").alias("hangs"), F.count("*").alias("n"))
+    return seen.filter("hangs > 0 AND n > 1").isEmpty()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(_lead, _v, jaccard, similar) of the pairs (_lead, _v). A first node's comparisons are dealt over tasks."""
     groups = pairs.groupBy("_lead").agg(F.ceil(F.count("*") / COMPARED).cast("int").alias("_groups"))
-    dealt = pairs.join(groups, "_lead").select(
-        "_lead", "_v", F.pmod(F.xxhash64("_v", "_lead"), F.col("_groups")).cast("int").alias("_salt")
-    )
-    others = dealt.join(texts, "_v").select("_lead", "_salt", F.lit(False).alias("_own"), "_v", "_text")
-    own = groups.join(texts.withColumnRenamed("_v", "_lead"), "_lead").select(
-        "_lead",
-        F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_salt"),
-        F.lit(True).alias("_own"),
-        F.col("_lead").alias("_v"),
-        "_text",
-    )
+    salts = F.explode(F.sequence(F.lit(0), F.col("_groups") - 1)).alias("_salt")
+    own = groups.select("_lead", salts, F.lit(True).alias("_own"), F.col("_lead").alias("_v"))
+    salt = F.pmod(F.xxhash64("_v", "_lead"), F.col("_groups")).cast("int").alias("_salt")
+    others = pairs.join(groups, "_lead").select("_lead", salt, F.lit(False).alias("_own"), "_v")
     return (
         own.unionByName(others)
+        .join(texts.select("_v", "_text"), "_v")
+        .select("_lead", "_salt", "_own", "_v", "_text")
         .repartition("_lead", "_salt")
         .sortWithinPartitions("_lead", "_salt", F.desc("_own"))
         .mapInArrow(_compared, f"_lead {NODE}, _v {NODE}, jaccard double, similar boolean")
@@ -262,85 +309,137 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), _digest().alias("_node"), text_of().alias("_text")
     )
-    sketched = rows.mapInArrow(_sketched, "doc_id long, _node binary, _keys array<long>")
+    sketched = rows.mapInArrow(_sketched, "doc_id long, _node binary, _size long, _keys array<long>")
     nodes = saved(
         sketched.groupBy("_node")
-        .agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("_least"), F.first("_keys").alias("_keys"))
-        .select(F.struct(F.col("_least.doc_id").alias("first"), F.col("_node").alias("digest")).alias("_v"), "_keys"),
+        .agg(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("_least"), F.first("_size").alias("_size"), F.first("_keys").alias("_keys"))
+        .select(
+            F.struct(F.col("_least.doc_id").alias("first"), F.xxhash64("_node").alias("id")).alias("_v"),
+            "_node",
+            "_size",
+            "_keys",
+        ),
         "sketches",
     )
-    links = _links(rows, nodes)
-    roots = components(links)
-    classes = nodes.select("_v").join(roots, "_v", "left").select(
-        F.col("_v.digest").alias("_node"), F.coalesce("_root", "_v").alias("_root")
+    classes = nodes.select("_v", "_node").join(_roots(rows, nodes), "_v", "left").select(
+        "_node", F.coalesce("_root", "_v").alias("_root"), (F.col("_root").isNull() | (F.col("_root") == F.col("_v"))).alias("_first")
     )
     # Equal texts may be a third of all rows: the right side has each digest once, so skewed parts can be split.
     return rows.select("doc_id", "_node").join(classes, "_node").select(
         "doc_id",
         F.col("_root.first").alias("class_id"),
         F.col("_node").alias("_digest"),
-        ((F.col("_node") == F.col("_root.digest")) & F.col("doc_id").eqNullSafe(F.col("_root.first"))).alias(
-            "representative"
-        ),
+        (F.col("_first") & F.col("doc_id").eqNullSafe(F.col("_root.first"))).alias("representative"),
     )
 
 
-def _links(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(_lead, _v) of similar nodes, enough to connect every class."""
-    members = nodes.select("_v", F.explode("_keys").alias("_key"))
-    shared = members.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key")
-    active = saved(members.join(shared, "_key"), "buckets")
-    wanted = active.select("_v").distinct().select(
-        "_v", F.col("_v.digest").alias("_node"), F.col("_v.first").alias("doc_id")
+def _supported(texts: DataFrame) -> DataFrame:
+    """(_id, _v, _size, _others): of each candidate's k-mers, how many another candidate has, too; those with too few are left out."""
+    listed = texts.select(F.col("_v.id").alias("_id"), "_text").mapInArrow(_listed, "kmer long, _id long")
+    # In a group of one, the maximum is of that one.
+    alone = listed.groupBy("kmer").agg(F.count("*").alias("n"), F.max("_id").alias("_id")).filter("n = 1")
+    own = alone.groupBy("_id").agg(F.count("*").alias("_own"))
+    others = (F.col("_size") - F.coalesce("_own", F.lit(0))).alias("_others")
+    wanted = texts.select(F.col("_v.id").alias("_id"), "_v", "_size").distinct()
+    counted = wanted.join(own, "_id", "left").select("_id", "_v", "_size", others)
+    return counted.filter(F.col("_others") >= SIMILAR * F.col("_size") - 1e-9)
+
+
+def _may_be_similar() -> Column:
+    """Enough k-mers that others have, for both texts' sizes; that bounds the ratio of the sizes, too."""
+    shared = F.least("_others", "_lead_others", "_size", "_lead_size")
+    return shared * (1 + SIMILAR) >= SIMILAR * (F.col("_size") + F.col("_lead_size")) - 1e-9
+
+
+def _roots(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(_v, _root) of the nodes that are similar to others; _root is the class's least node."""
+    # A number stands for the node while buckets form. Two nodes with one number would only be compared in vain.
+    members = nodes.select(F.col("_v.id").alias("_id"), F.explode("_keys").alias("_key"))
+    # A table of its own, so that the join below reads two plain shuffles and can split a hot bucket.
+    shared = saved(members.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key"), "shared")
+    met = saved(members.join(shared, "_key"), "buckets")
+    numbered = nodes.select("_v", F.col("_v.id").alias("_id"), "_size", "_node", F.col("_v.first").alias("doc_id"))
+    named = numbered.join(met.select("_id").distinct(), "_id").drop("_id")
+    texts = saved(matched(rows, named, ["_node", "doc_id"]).select("_v", "_size", "_text"), "candidates")
+    supported = saved(_supported(texts), "supported")
+    labels = supported.select("_v", F.col("_v").alias("_root"))
+    active = _undecided(met.join(supported, "_id").select("_key", "_v", "_size", "_others", F.col("_v").alias("_root")))
+    settled(rows.sparkSession)
+    leads = _leads(active)
+    pairs = saved(
+        active.join(leads, "_key")
+        .filter((F.col("_v") > F.col("_lead")) & _may_be_similar())
+        .select("_lead", "_v", F.col("_lead").alias("_lead_root"), "_root")
+        .distinct(),
+        "pairs",
+    )
+    moved = _joined(pairs, texts)
+    labels = saved(_relabelled(labels, moved), "labels")
+    done = leads.select("_key", F.col("_lead").alias("_v"))
+    left = _undecided(_relabelled(active, moved).join(done, ["_key", "_v"], "left_anti"))
+    pairs = saved(_rare_pairs(left.select("_v", "_root", "_size").distinct(), texts), "pairs")
+    return _relabelled(labels, _joined(pairs, texts))
+
+
+def _joined(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(_root, _to): the classes that similar pairs (_lead, _v) join, and the class that they become."""
+    similar = _verified(pairs.select("_lead", "_v"), texts).filter("similar").select("_lead", "_v")
+    new = pairs.join(saved(similar, "similar"), ["_lead", "_v"]).select(
+        F.col("_lead_root").alias("_lead"), F.col("_root").alias("_v")
+    )
+    moved = components(new.distinct()).select(F.col("_v").alias("_root"), F.col("_root").alias("_to"))
+    return saved(moved, "moved")
+
+
+def _rare_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(_lead, _v, _lead_root, _root): nodes of different classes that share one of the rarest k-mers of both."""
+    mine = saved(texts.select("_v", "_text").join(nodes, "_v"), "undecided")
+    counter = F.expr(f"CAST(CAST(kmer AS BIGINT) & {COUNTERS - 1} AS INT)").alias("counter")
+    listed = mine.select(F.col("_v.id").alias("_id"), "_text").mapInArrow(_listed, "kmer long, _id long")
+    counted = listed.groupBy(counter).agg(F.count("*").alias("n")).toArrow()  # one row per counter at most
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[counted.column("counter").to_numpy()] = counted.column("n").to_numpy()
+    schema = f"_v {NODE}, _root {NODE}, _size long, _rest long, kmer long, _rarest array<long>"
+    given = mine.select("_v", "_root", "_size", "_text")
+    rare = saved(given.mapInArrow(_rarest(nodes.sparkSession.sparkContext.broadcast(counts)), schema), "rare")
+    several = rare.groupBy("kmer").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a != _b")
+    rare = saved(rare.join(several.select("kmer"), "kmer"), "rare")
+    others = [F.col(c).alias(f"_lead{c}") for c in ("_root", "_size", "_rest", "_rarest")]
+    leads = rare.select("kmer", F.col("_v").alias("_lead"), *others)
+    # A pair comes out once, by the rarest k-mer that it shares.
+    rarest = F.col("kmer") == F.get(F.array_intersect("_rarest", "_lead_rarest"), 0)
+    shared = F.least("_rest", "_lead_rest") * (1 + SIMILAR) >= SIMILAR * (F.col("_size") + F.col("_lead_size")) - 1e-9
+    apart = (F.col("_v") > F.col("_lead")) & (F.col("_root") != F.col("_lead_root"))
+    return rare.join(leads, "kmer").filter(apart & shared & rarest).select("_lead", "_v", "_lead_root", "_root")
+
+
+def _undecided(active: DataFrame) -> DataFrame:
+    """The nodes that may be similar to one of another class in their bucket.
+
+    A node has too few k-mers that others have if they don't suffice for the bucket's smallest text.
+    """
+    bounds = active.groupBy("_key").agg(
+        F.min("_root").alias("_a"), F.max("_root").alias("_b"), F.min("_size").alias("_least")
+    )
+    enough = (1 + SIMILAR) * F.col("_others") >= SIMILAR * (F.col("_size") + F.col("_least")) - 1e-9
+    able = active.join(bounds.filter("_a != _b"), "_key").filter(enough).select(*active.columns)
+    classes = able.groupBy("_key").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b"))
+    return saved(able.join(classes.filter("_a != _b").select("_key"), "_key"), "buckets")
+
+
+def _leads(active: DataFrame) -> DataFrame:
+    """The first node of each bucket, with what is known of it."""
+    least = active.groupBy("_key").agg(F.min(F.struct("_v", "_size", "_others")).alias("_least"))
+    return least.select(
+        "_key",
+        F.col("_least._v").alias("_lead"),
+        F.col("_least._size").alias("_lead_size"),
+        F.col("_least._others").alias("_lead_others"),
     )
-    texts = saved(matched(rows, wanted, ["_node", "doc_id"]).select("_v", "_text"), "candidates")
-    known = None
-    turn = 0
-    while True:
-        firsts = 1 if turn < SINGLE_TURNS else 2 ** (turn - SINGLE_TURNS + 1)
-        order = Window.partitionBy("_key").orderBy("_v")
-        if firsts == 1:
-            leads = active.groupBy("_key").agg(F.min("_v").alias("_lead"))
-        else:
-            leads = active.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= firsts).select(
-                "_key", F.col("_v").alias("_lead")
-            )
-        met = active.join(leads, "_key").filter(F.col("_v") > F.col("_lead"))
-        pairs = met.select("_lead", "_v").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["_lead", "_v"], "left_anti")
-        found = saved(_verified(saved(pairs, "pairs"), texts), "compared").dropDuplicates(["_lead", "_v"])
-        known = found if known is None else known.unionByName(found)
-        links = known.filter("similar").select("_lead", "_v")
-
-        roots = components(links)
-        classed = (
-            active.join(roots, "_v", "left")
-            .select("_key", "_v", F.coalesce("_root", "_v").alias("_root"))
-        )
-        mixed = classed.groupBy("_key").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a != _b")
-        left = classed.join(mixed.select("_key"), "_key").join(leads, "_key")
-        if firsts == 1:
-            # Of the first node's class only those stay that may be similar to a node of another class.
-            lead_roots = classed.select(F.col("_v").alias("_lead"), F.col("_root").alias("_lead_root")).distinct()
-            measured = (
-                left.filter(F.col("_v") != F.col("_lead"))
-                .join(known, ["_lead", "_v"])
-                .join(lead_roots, "_lead")
-                .withColumn("_inside", F.col("_root") == F.col("_lead_root"))
-            )
-            nearest = measured.filter("NOT _inside").groupBy("_key").agg(F.max("jaccard").alias("_nearest"))
-            left = measured.join(nearest, "_key").filter(
-                ~F.col("_inside") | (F.col("jaccard") <= F.col("_nearest") + (1 - SIMILAR) + 1e-9)
-            )
-        else:
-            left = left.groupBy("_key", "_v").agg(F.max(F.col("_v") == F.col("_lead")).alias("_first")).filter("NOT _first")
-        left = saved(left.select("_key", "_v"), "buckets")
-        again = left.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key")
-        active = saved(left.join(again, "_key"), "buckets")
-        turn += 1
-        if active.isEmpty():
-            return links
+
+
+def _relabelled(rows: DataFrame, moved: DataFrame) -> DataFrame:
+    return rows.join(moved, "_root", "left").withColumn("_root", F.coalesce("_to", "_root")).select(*rows.columns)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -349,13 +448,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     keep = saved(
         verdicts.filter("representative").groupBy("doc_id", "_digest").agg(F.count("*").alias("_rows")), "kept"
     )
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
-    rows = rows.select(
-        "_row",
-        F.col("_row.doc_id").cast("long").alias("doc_id"),
-        F.unhex(F.substring(F.sha2(F.encode(text, "UTF-8"), 256), 1, 32)).alias("_digest"),
-    )
+    rows = whole_rows(docs).select("_row", "doc_id", _digest("_text").alias("_digest"))
     kept = matched(rows, keep, ["doc_id", "_digest"])
     if keep.filter("_rows > 1").isEmpty():
         return kept.select("_row.*")
