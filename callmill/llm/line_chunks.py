@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmill.llm.common import prepare, matched, saved, text_of, with_text
+from callmill.llm.common import prepare, matched, saved, text_of, whole_rows, with_text
 
 KEY = ("doc_id", "_text_hash")
 
@@ -94,7 +94,8 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     narrow = stats.dropDuplicates(KEY).select(*KEY, F.explode("_chunks").alias("c")).select(
         *KEY, F.col("c.h").alias("h"), F.col("c.k").alias("k"), F.col("c.from").alias("from"), F.col("c.to").alias("to")
     )
-    repeated = narrow.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h")
+    # Tables of their own, here and below, so that the joins read two plain shuffles and can split a hot chunk.
+    repeated = saved(narrow.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"), "repeated")
     # A document's list is as long as the document.
     candidates = (
         narrow.join(repeated, "h").groupBy(*KEY).agg(F.collect_list(F.struct("k", "from", "to", "h")).alias("_maybe"))
@@ -109,7 +110,7 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         _chunk_text("c").alias("bytes"),
     )
     place = F.struct(*[F.col(c) for c in (*KEY, "k")])
-    firsts = chunks.groupBy("h", "bytes").agg(F.min(place).alias("first"))
+    firsts = saved(chunks.groupBy("h", "bytes").agg(F.min(place).alias("first")), "firsts")
     # The join compares the bytes of every occurrence with those of the first one.
     gone = (
         chunks.join(firsts, ["h", "bytes"])
@@ -151,12 +152,7 @@ def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
     had none before."""
     _, changed = removals(docs)
     left = changed.select(*KEY, F.col("_left"))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
-    rows = rows.select(
-        "_row",
-        F.col("_row.doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(F.coalesce(F.col("_row.text").cast("string"), F.lit(""))).alias("_text_hash"),
-    )
+    rows = whole_rows(docs).select("_row", "doc_id", F.xxhash64("_text").alias("_text_hash"))
     joined = matched(rows, left, KEY, "left").select("_row", "_left")
     joined = joined.filter(F.col("_left").isNull() | F.col("_left").rlike(r"\S"))
     return with_text(joined, docs.columns, F.coalesce(F.col("_left"), F.col("_row.text")))
