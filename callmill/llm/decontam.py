@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callmill.llm.common import prepare, matched, saved, text_of, whole_rows, with_text
 
@@ -338,10 +339,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left.append(text[at:a])
                 at = b
             out.append(b"".join(left) + text[at:])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("_text_hash"), pa.array(out, pa.binary()).cast(pa.string())],
-            names=["doc_id", "_text_hash", "_cut"],
-        )
+        cut = pa.array(out, pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([batch.column("_row"), cut], names=["_row", "_cut"])
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -350,17 +349,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     All columns stay. Documents without a hit are returned as they are.
     """
     verdicts = saved(contamination(docs, benchmark).filter("n_hit > 0"), "contamination")
-    gone = verdicts.filter("contaminated").select("doc_id", "_text_hash").distinct()
-    touched = verdicts.filter(~F.col("contaminated")).select("doc_id", "_text_hash", "ranges")
-    touched = touched.dropDuplicates(KEY)
+    # Small tables of their own: while they are small, the texts stay where they are.
+    hit = saved(verdicts.select(*KEY).distinct(), "hit")
+    touched = verdicts.filter(~F.col("contaminated")).select(*KEY, "ranges").dropDuplicates(KEY)
+    touched = saved(touched, "touched")
     rows = whole_rows(docs).select("_row", "doc_id", F.xxhash64("_text").alias("_text_hash"), "_text")
-    clean = matched(rows, gone, KEY, "left_anti")
+    clean = matched(rows.drop("_text"), hit, KEY, "left_anti").select("_row", F.lit(None).cast("string").alias("_cut"))
     # Only the few touched texts go through Python.
-    bodies = rows.drop("_row")
-    bodies = matched(bodies, touched, KEY)
-    cuts = saved(bodies.mapInArrow(_cut, "doc_id long, _text_hash long, _cut string"), "cuts").dropDuplicates(KEY)
-    joined = matched(clean, cuts, KEY, "left")
-    return with_text(joined.select("_row", "_cut"), docs.columns, F.coalesce(F.col("_cut"), F.col("_row.text")))
+    schema = T.StructType([rows.schema["_row"], T.StructField("_cut", T.StringType())])
+    cut = matched(rows, touched, KEY).select("_row", "_text", "ranges").mapInArrow(_cut, schema)
+    return with_text(clean.unionByName(cut), docs.columns, F.coalesce(F.col("_cut"), F.col("_row.text")))
 
 
 def digest(verdicts: DataFrame) -> DataFrame:

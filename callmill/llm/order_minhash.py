@@ -444,15 +444,17 @@ def _relabelled(rows: DataFrame, moved: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """`docs` with the representative of each class alone, all columns; of rows that repeat id and text one stays."""
-    verdicts = saved(near_duplicates(docs), "classes")
-    keep = saved(
-        verdicts.filter("representative").groupBy("doc_id", "_digest").agg(F.count("*").alias("_rows")), "kept"
+    keys = ("doc_id", "_text_hash")
+    verdicts = saved(
+        near_duplicates(docs).select("doc_id", F.xxhash64("_digest").alias("_text_hash"), "representative"), "classes"
     )
-    rows = whole_rows(docs).select("_row", "doc_id", _digest("_text").alias("_digest"))
-    kept = matched(rows, keep, ["doc_id", "_digest"])
-    if keep.filter("_rows > 1").isEmpty():
+    # Small tables of their own: while they are small, the texts stay where they are.
+    gone = saved(verdicts.filter("NOT representative").select(*keys).distinct(), "gone")
+    repeated = verdicts.filter("representative").groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = saved(repeated.select(*keys), "repeated")
+    rows = whole_rows(docs).select("_row", "doc_id", F.xxhash64(_digest("_text")).alias("_text_hash"))
+    kept = matched(rows, gone, keys, "left_anti")
+    if repeated.isEmpty():
         return kept.select("_row.*")
-    # Texts are only moved again for rows that the table repeats.
-    single = kept.filter("_rows = 1").select("_row")
-    repeated = kept.filter("_rows > 1").dropDuplicates(["doc_id", "_digest"]).select("_row")
-    return single.unionByName(repeated).select("_row.*")
+    several = matched(kept, repeated, keys, "left_semi").dropDuplicates(keys)
+    return matched(kept, repeated, keys, "left_anti").unionByName(several).select("_row.*")
