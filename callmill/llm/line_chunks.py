@@ -1,20 +1,30 @@
-"""Removal of multi-line chunks that occur elsewhere in the corpus.
+"""Removal of multi-line chunks and of passages that occur elsewhere in the corpus.
 
 Lines are hashed, a rolling hash over each two neighbouring line hashes marks every line, and a chunk ends where that mark
 is a local minimum. Boundaries depend on the lines around them alone, so a passage is cut the same way wherever it
-stands. Local minima are at least two lines apart: a chunk has two lines or more, three on average.
+stands, but for its margins. Local minima are at least two lines apart: a chunk has two lines or more, three on average.
 
-Chunks whose hash occurs once never move. Of the others the bytes are compared, and all but the first occurrence go.
+A passage is a run of lines of over PASSAGE_WORDS words. It need not hold a whole chunk, so the shortest passages that
+start or end at each line are looked up besides. Their union is the text itself: every line of a passage, short or
+long, one line or many, lies in a shortest passage inside it. So a repeated passage goes whole, whatever surrounds it.
+
+Chunks and passages whose hash occurs once never move. Of the others the bytes are compared (those of passages, which
+overlap, by SHA-256), and all but the first occurrence go. A passage that overlaps its first occurrence stays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmill.llm.common import prepare, matched, saved, text_of, whole_rows, with_text
 
 KEY = ("doc_id", "_text_hash")
+PASSAGE_WORDS = 50
 
 
 def _starts() -> Column:
@@ -40,11 +50,36 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def spans_of(words: np.ndarray) -> np.ndarray:
+    """The shortest passages that start or end at each line, by the lines' word counts: from * 2**32 + to, sorted."""
+    before = np.concatenate(([0], np.cumsum(words, dtype="int64")))
+    # Line ends by which a passage is over the limit, and the last starts from which it is.
+    ends = np.searchsorted(before, before[:-1] + PASSAGE_WORDS, "right")
+    starts = np.searchsorted(before, before[1:] - PASSAGE_WORDS, "left") - 1
+    at = np.arange(len(words))
+    worded = np.asarray(words) > 0
+    forward, backward = worded & (ends <= len(words)), worded & (starts >= 0)
+    return np.unique(np.concatenate(((at[forward] << 32) + ends[forward], (starts[backward] << 32) + at[backward] + 1)))
+
+
+def _spans() -> Callable:
+    @F.arrow_udf("array<bigint>")
+    def spans(counts: pa.Array) -> pa.Array:
+        flat, cuts = counts.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *counts.value_lengths().to_pylist()])
+        found = [spans_of(flat[a:b]) for a, b in zip(cuts, cuts[1:])]
+        offsets = np.cumsum([0, *map(len, found)]).astype("int32")
+        return pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, "int64"), *found]))
+
+    return spans
+
+
 def chunked(rows: DataFrame) -> DataFrame:
-    """`rows` with _lines and _chunks (k, from, to, h); chunks of one line or without a word have no hash."""
+    """`rows` with _lines, _chunks and _passages (k, from, to, h). Chunks of one line or without a word have no
+    hash; passages have no k."""
     split = rows.withColumn("_lines", F.split("_text", "\n")).withColumn(
         "_hashes", F.transform("_lines", lambda x: F.xxhash64(x))
     )
+    words = F.transform("_lines", lambda x: F.regexp_count(x, F.lit(r"\S+")))
     started = split.withColumn("_starts", _starts())
 
     def chunk(start: Column, k: Column) -> Column:
@@ -58,27 +93,38 @@ def chunked(rows: DataFrame) -> DataFrame:
             F.when((end - start >= 2) & worded, F.xxhash64(part)).alias("h"),
         )
 
-    return started.withColumn("_chunks", F.transform("_starts", chunk)).drop("_hashes", "_starts")
+    def passage(span: Column) -> Column:
+        start, end = F.shiftright(span, 32).cast("int"), span.bitwiseAND(0xFFFFFFFF).cast("int")
+        return F.struct(
+            F.lit(None).cast("int").alias("k"),
+            start.alias("from"),
+            end.alias("to"),
+            F.xxhash64(F.lit("passage"), F.slice("_hashes", start + 1, end - start)).alias("h"),
+        )
+
+    return (
+        started.withColumn("_chunks", F.transform("_starts", chunk))
+        .withColumn("_passages", F.transform(_spans()(words), passage))
+        .drop("_hashes", "_starts")
+    )
 
 
 def _chunk_text(chunk: str) -> Column:
     return F.array_join(F.slice("_lines", F.col(f"{chunk}.from") + 1, F.col(f"{chunk}.to") - F.col(f"{chunk}.from")), "\n")
 
 
-def _left(removed: Column) -> Column:
-    """The lines outside the removed [from, to) ranges, which are sorted by `from`."""
-    stays = F.filter(
-        F.transform("_lines", lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-        lambda e: ~F.exists(removed, lambda r: (r["from"] <= e["i"]) & (e["i"] < r["to"])),
-    )
-    return F.array_join(F.transform(stays, lambda e: e["x"]), "\n")
+def _left(gone: Column) -> Column:
+    """The lines that are not among the numbers `gone`."""
+    stays = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), gone)
+    return F.array_join(F.transform(stays, lambda i: F.get("_lines", i)), "\n")
 
 
 def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Statistics of every document, and the documents that lose chunks with their ranges and what is left.
+    """Statistics of every document, and the documents that lose lines with their counts and what is left.
 
     The first occurrence, by doc_id, text hash and place, is kept; rows that repeat id and text are one
-    document. Null ids come first. Null texts count as empty; one line alone is never a chunk.
+    document. Null ids come first. Null texts count as empty; one line alone is never a chunk, and a passage
+    only if it has over PASSAGE_WORDS words.
     """
     prepare(docs.sparkSession)
     stats = saved(
@@ -87,11 +133,11 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             F.size("_lines").cast("long").alias("n_lines"),
             F.size("_chunks").cast("long").alias("n_chunks"),
             F.md5(F.encode("_text", "UTF-8")).alias("_md5"),
-            F.filter("_chunks", lambda c: c["h"].isNotNull()).alias("_chunks"),
+            F.concat(F.filter("_chunks", lambda c: c["h"].isNotNull()), "_passages").alias("_parts"),
         ),
         "chunks",
     )
-    narrow = stats.dropDuplicates(KEY).select(*KEY, F.explode("_chunks").alias("c")).select(
+    narrow = stats.dropDuplicates(KEY).select(*KEY, F.explode("_parts").alias("c")).select(
         *KEY, F.col("c.h").alias("h"), F.col("c.k").alias("k"), F.col("c.from").alias("from"), F.col("c.to").alias("to")
     )
     # Tables of their own, here and below, so that the joins read two plain shuffles and can split a hot chunk.
@@ -107,33 +153,47 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ).withColumn("_lines", F.split("_text", "\n"))
     chunks = texts.select(*KEY, "_lines", F.explode("_maybe").alias("c")).select(
         *KEY, F.col("c.k").alias("k"), F.col("c.from").alias("from"), F.col("c.to").alias("to"), F.col("c.h").alias("h"),
-        _chunk_text("c").alias("bytes"),
+        F.when(F.col("c.k").isNull(), F.sha2(_chunk_text("c"), 256)).otherwise(_chunk_text("c")).alias("bytes"),
     )
-    place = F.struct(*[F.col(c) for c in (*KEY, "k")])
+    place = F.struct(*[F.col(c) for c in (*KEY, "from", "to")])
+    same = F.lit(True)
+    for c in KEY:
+        same = same & F.col(c).eqNullSafe(F.col(f"first.{c}"))
     firsts = saved(chunks.groupBy("h", "bytes").agg(F.min(place).alias("first")), "firsts")
     # The join compares the bytes of every occurrence with those of the first one.
     gone = (
         chunks.join(firsts, ["h", "bytes"])
-        .filter(~place.eqNullSafe(F.col("first")))
+        .filter(~(same & (F.col("first.to") > F.col("from"))))
         .groupBy(*KEY)
-        .agg(F.array_sort(F.collect_set(F.struct("from", "to"))).alias("_removed"))
+        .agg(
+            F.count_distinct("k").alias("n_removed_chunks"),
+            F.collect_set(F.struct("from", "to")).alias("_removed"),
+        )
+        .select(
+            *KEY,
+            "n_removed_chunks",
+            F.array_distinct(
+                F.flatten(F.transform("_removed", lambda r: F.sequence(r["from"], r["to"] - 1)))
+            ).alias("_gone"),
+        )
+    )
+    changed = matched(texts, gone, KEY).select(
+        *KEY, "n_removed_chunks", F.size("_gone").cast("long").alias("n_removed_lines"), _left(F.col("_gone")).alias("_left")
     )
-    changed = matched(texts, gone, KEY).select(*KEY, "_removed", _left(F.col("_removed")).alias("_left"))
     return stats, saved(changed.dropDuplicates(KEY), "changed")
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines, kept_md5.
 
-    kept_md5 is of the lines that are left, joined by line ends. Repeated rows each keep their row, an empty
+    n_removed_lines counts the lines of repeated chunks and passages. kept_md5 is of the lines that are left, joined by line ends. Repeated rows each keep their row, an empty
     table gives none, other columns are ignored.
     """
     stats, changed = removals(docs)
-    lines = F.aggregate("_removed", F.lit(0).cast("long"), lambda a, r: a + (r["to"] - r["from"]))
     counts = changed.select(
         *KEY,
-        F.size("_removed").cast("long").alias("n_removed_chunks"),
-        lines.alias("n_removed_lines"),
+        "n_removed_chunks",
+        "n_removed_lines",
         F.md5(F.encode("_left", "UTF-8")).alias("_new_md5"),
     )
     zero = F.lit(0).cast("long")
@@ -148,7 +208,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
 
 def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
-    """`docs` without repeated chunks, all columns; n_chars follows. Documents with no word left go, unless they
+    """`docs` without repeated chunks and passages, all columns; n_chars follows. Documents with no word left go, unless they
     had none before."""
     _, changed = removals(docs)
     left = changed.select(*KEY, F.col("_left"))

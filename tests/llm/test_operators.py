@@ -163,6 +163,64 @@ def test_documents_of_repeated_chunks_alone_go(spark):
     assert left[5].text is None
 
 
+def plain_passages(lines):
+    """The shortest runs of lines of over 50 words that start or end at a line."""
+    c, out = [len(x.split()) for x in lines], set()
+    for i in range(len(lines)):
+        for step in (1, -1):
+            j, words = i, 0
+            while 0 <= j < len(lines) and words <= 50:
+                words, j = words + c[j], j + step
+            if words > 50 and c[i]:
+                out.add((i, j) if step > 0 else (j + 1, i + 1))
+    return sorted(out)
+
+
+def test_repeated_passages_go_whole(spark, documents):
+    first, place, expected = {}, {}, {}
+    for doc, text in sorted(documents, key=lambda d: (d[0], spark_hash(d[1] or ""))):
+        lines, gone = (text or "").split("\n"), set()
+        for a, b in plain_chunks(text or ""):
+            part = "\n".join(lines[a:b])
+            if b - a >= 2 and part.strip() and first.setdefault(part, (doc, a)) != (doc, a):
+                gone.update(range(a, b))
+        for a, b in plain_passages(lines):
+            d, _, end = place.setdefault("\n".join(lines[a:b]), (doc, a, b))
+            if d != doc or end <= a:
+                gone.update(range(a, b))
+        left = "\n".join(x for i, x in enumerate(lines) if i not in gone)
+        expected[doc] = (len(gone), hashlib.md5(left.encode()).hexdigest())
+    got = queries.op2_line_dedup(spark, SF_DIR).collect()
+    assert {r.doc_id: (r.n_removed_lines, r.kept_md5) for r in got} == expected
+
+
+@pytest.mark.parametrize("n_lines", range(1, 7))
+def test_planted_passages_go_whole(spark, n_lines):
+    """Passages of 51 words and more in unrelated surroundings, with lines of unequal lengths."""
+    r = random.Random(n_lines)
+    line = lambda n: " ".join(f"w{r.randrange(10**9)}" for _ in range(n))
+    around = lambda: [line(r.randint(1, 30)) for _ in range(r.randint(0, 6))]
+    texts, rest = [], []
+    for _ in range(20):
+        sizes = [r.randint(1, 60) for _ in range(n_lines)]
+        sizes[r.randrange(n_lines)] += max(0, 51 - sum(sizes))
+        passage = [line(n) for n in sizes]
+        before, after = around(), around()
+        texts += ["\n".join([*around(), *passage, *around()]), "\n".join([*before, *passage, *after])]
+        rest += [texts[-2], "\n".join([*before, *after])]
+    left = {x.doc_id: x.text for x in line_chunks.drop_repeated_chunks(frame(spark, texts)).collect()}
+    assert left == {i: t for i, t in enumerate(rest) if t}
+
+
+def test_passages_that_overlap_their_first_occurrence(spark):
+    """Four equal lines, three of which make a passage: the second passage overlaps the first."""
+    line = lambda k: " ".join(f"w{i}" for i in range(20)) + f" {k}"
+    same = next(line(k) for k in range(99) if len(plain_chunks("\n".join([line(k)] * 4))) == 1)
+    texts = ["\n".join([same] * 4), "\n".join(["own", *[same] * 3, "own end"]), "\n".join([same] * 7)]
+    left = {x.doc_id: x.text for x in line_chunks.drop_repeated_chunks(frame(spark, texts)).collect()}
+    assert left == {0: texts[0], 1: "own\nown end"}
+
+
 # --- op3 ---
 
 
