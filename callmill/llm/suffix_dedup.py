@@ -87,7 +87,15 @@ def runs(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # The place in the low bits: equal strings inside one window are different anchors, or a text that
     # repeats itself within a window would pass for one run.
     tagged = hashes & ~_PLACE | np.arange(len(hashes), dtype=np.uint64) & _PLACE
-    least = _least_of(tagged, LENGTH - ANCHOR + 1)
+    width = LENGTH - ANCHOR + 1
+    least = _least_of(tagged, width)
+    # Where the place starts again from 0 inside a window, half its range is added for the comparison.
+    turn = int(_PLACE) + 1
+    half = np.uint64(turn // 2)
+    for at in range(turn, len(hashes), turn):
+        near = np.arange(at - width + 1, min(at + width - 1, len(hashes)), dtype=np.uint64)
+        moved = _least_of(hashes[near[0] : near[-1] + 1] & ~_PLACE | (near + half) & _PLACE, width)
+        least[near[0] : near[0] + len(moved)] = moved & ~_PLACE | (moved - half) & _PLACE
     start = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
     return start, np.diff(np.append(start, len(least))), least[start] >> np.uint64(12)
 

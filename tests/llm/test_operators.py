@@ -107,6 +107,26 @@ def test_merged_transforms(monkeypatch, per_shard):
         assert got == expected
 
 
+def test_runs_hold_no_equal_windows_around_4096(spark):
+    r = random.Random(5)
+    for before in (1, 30, 50, 60, 76, 77, 100, 150):
+        for length in (150, 4096):
+            noise = [bytes(r.randrange(97, 123) for _ in range(n)) for n in (4096 * 2 - before, 300)]
+            text = noise[0] + b"=" * length + noise[1]
+            for start, size, _ in zip(*suffix_dedup.runs(text)):
+                windows = [text[i : i + 100] for i in range(start, start + size)]
+                assert len(set(windows)) == len(windows)
+
+
+def test_periodic_bytes_around_4096(spark):
+    r = random.Random(6)
+    noise = ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in (4096 - 60, 300)]
+    text = noise[0] + "=" * 150 + noise[1]
+    got = suffix_dedup.suffix_dedup(frame(spark, [text])).collect()
+    assert [(x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got] == brute.repeated_bytes([(0, text)])
+    assert got[0].n_removed > 100
+
+
 # --- op2 ---
 
 
