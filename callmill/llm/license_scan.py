@@ -1,5 +1,5 @@
-"""License statements in texts: MinHash bands over overlapping word windows find templates, exact
-shingle containment confirms them. Built-in functions only.
+"""License statements in texts: an exact lookup of the templates' shingles finds them, MinHash bands and exact
+shingle containment over overlapping word windows confirm them. Built-in functions only.
 
 Templates are grouped by size. For templates of `t` shingles the windows hold `2 t` shingles and start every `t`, so
 any `t` neighbouring shingles lie inside one window whole. A window that contains 0.8 of a template has a Jaccard
