@@ -10,12 +10,15 @@ from callmill.llm import (
     license_scan,
     line_chunks,
     line_quality,
+    merkle,
     order_minhash,
     packing,
+    passage_quality,
     sharding,
     suffix_dedup,
     token_count,
     toxicity,
+    whitening,
 )
 from callmill.llm.common import table
 
@@ -72,6 +75,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = passage_quality.train(docs, table(spark, sf_dir, "labels"))
+    held_out = toxicity.in_test_fold(F.col("doc_id"))
+    return passage_quality.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted", "n_passages", "top_passage"
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -85,6 +105,9 @@ QUERIES = {
         op8_sharding,
         op9_minhash_near_dedup,
         op10_token_counts,
+        op11_quality_classifier,
+        op12_merkle_manifest,
+        op13_embedding_whitening,
     )
 }
 
@@ -187,8 +210,72 @@ FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id
 """
 
 
+_OP12 = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, text, coalesce(CAST(doc_id AS VARCHAR), '') AS digits,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+      || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered
+  FROM documents
+), checked AS (
+  SELECT *, xor(4294967295, list_reduce(
+      flatten(list_transform(string_split(digits, ''), lambda c:
+        CASE WHEN c = '' THEN CAST([] AS BIGINT[]) ELSE [ord(c), -1, -1, -1, -1, -1, -1, -1, -1] END)),
+      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+        WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, CAST(4294967295 AS BIGINT))) AS crc
+  FROM fields
+), leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN crc % 3 = 0 THEN sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-'))
+      ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS now
+  FROM checked
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM leaves
+), built AS (
+  SELECT tree, 0 AS height, idx, leaf AS digest FROM placed
+  UNION ALL
+  SELECT tree, height + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM built) WHERE n > 1 GROUP BY tree, height, idx // 8
+), subroots AS (
+  SELECT tree, max(height) AS height, arg_max(digest, height) AS subroot FROM built GROUP BY tree
+), topped AS (
+  SELECT 0 AS height, row_number() OVER (ORDER BY tree) - 1 AS idx, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT height + 1, idx // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM (SELECT *, count(*) OVER () AS n FROM topped) WHERE n > 1 GROUP BY height, idx // 8
+), every_node AS (
+  SELECT b.tree, b.height, b.idx, b.digest, FALSE AS top FROM built b JOIN subroots s ON b.tree = s.tree AND b.height < s.height
+  UNION ALL
+  SELECT '', t.height, t.idx, t.digest, TRUE FROM topped t WHERE t.height < (SELECT max(height) FROM topped)
+), siblings AS (
+  SELECT a.tree, a.top, a.height, a.idx,
+    coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+    coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM every_node a JOIN every_node b
+    ON a.tree = b.tree AND a.top = b.top AND a.height = b.height AND a.idx // 8 = b.idx // 8
+  GROUP BY a.tree, a.top, a.height, a.idx
+), climb AS (
+  SELECT p.doc_id, p.leaf, p.tree AS lang_tree, p.tree, s.height = 0 AS top, 0 AS height,
+    CASE WHEN s.height = 0 THEN k.idx ELSE p.idx END AS idx, p.now AS folded, '' AS proof, s.height AS high, k.idx AS rank
+  FROM placed p JOIN subroots s ON p.tree = s.tree
+  JOIN (SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS idx FROM subroots) k ON p.tree = k.tree
+  UNION ALL
+  SELECT c.doc_id, c.leaf, c.lang_tree, c.tree, c.top OR c.height + 1 = c.high,
+    CASE WHEN NOT c.top AND c.height + 1 = c.high THEN 0 ELSE c.height + 1 END,
+    CASE WHEN NOT c.top AND c.height + 1 = c.high THEN c.rank ELSE c.idx // 8 END,
+    sha256(s.l || c.folded || s.r), c.proof || s.l || s.r, c.high, c.rank
+  FROM climb c JOIN siblings s ON c.top = s.top AND (c.top OR c.tree = s.tree) AND c.height = s.height AND c.idx = s.idx
+), root AS (SELECT arg_max(digest, height) AS root, max(height) AS height FROM topped)
+SELECT c.doc_id, c.leaf, s.subroot, r.root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root,
+  c.folded = r.root AS verified
+FROM climb c JOIN subroots s ON c.lang_tree = s.tree JOIN root r ON c.top AND c.height = r.height
+"""
+
+
 ORACLES = {
     "op4_benchmark_decontamination": _OP4,
     "op5_quality_rules": _OP5,
     "op6_license_scans": _op6(),
+    "op12_merkle_manifest": _OP12,
 }

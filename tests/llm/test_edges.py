@@ -11,8 +11,10 @@ from callmill.llm import (
     license_scan,
     line_chunks,
     line_quality,
+    merkle,
     order_minhash,
     packing,
+    passage_quality,
     sharding,
     suffix_dedup,
     token_count,
@@ -83,6 +85,8 @@ OPERATORS = {
     "op8": lambda d, b, t: sharding.shard_by_bytes(d, 4),
     "op9": lambda d, b, t: order_minhash.near_duplicates(d),
     "op10": lambda d, b, t: token_count.count_tokens(d),
+    "op11": lambda d, b, t: passage_quality.score(d, passage_quality.train(d, t)),
+    "op12": lambda d, b, t: merkle.manifest(d),
 }
 
 
@@ -98,7 +102,7 @@ def test_every_row_has_a_row(spark, docs, benchmark, labels, name):
 def test_empty_tables(spark, docs, benchmark, labels, name):
     none = lambda df: df.filter("false")
     assert OPERATORS[name](none(docs), benchmark, labels).count() == 0
-    if name in ("op4", "op7"):
+    if name in ("op4", "op7", "op11"):
         assert OPERATORS[name](docs, none(benchmark), none(labels)).count() == len(ROWS)
 
 
@@ -127,6 +131,8 @@ def test_defined_results(spark, docs, benchmark, labels):
     # The least id among null and empty texts is the null one.
     assert rows_of(got["op9"], "doc_id", "class_id") == [(1, None), (2, None)]
     assert rows_of(got["op10"], "doc_id", "n_bytes", "n_tokens") == [(1, 0, 0), (2, 0, 0)]
+    assert len({r.score for r in got["op11"].collect()}) == 1
+    assert [r[0] for r in rows_of(got["op12"], "doc_id")] == [1, 2]
 
 
 def test_one_of_each_keeps_one_row(spark, docs):
