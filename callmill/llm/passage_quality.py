@@ -147,10 +147,10 @@ def described(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     wide = data.astype(np.uint32)
     trigram = (wide[:-2] << 16) + (wide[1:-1] << 8) + wide[2:]
     bucket = (trigram * np.uint32(0x9E3779B1)) >> np.uint32(32 - 7)
-    # None that reaches into the next piece.
-    own = np.ones(len(data) + 2, bool)
-    own[begins - 1] = own[begins - 2] = False
-    inside = np.flatnonzero((word[:-2] >= 0) & own[: len(data) - 2])
+    # None that reaches into the next piece, or stands before the first word of its own.
+    own = starts[np.maximum(word, 0)] >= np.repeat(begins, np.diff(begins, append=len(data)))
+    own[begins[1:] - 1] = own[begins[1:] - 2] = False
+    inside = np.flatnonzero((word[:-2] >= 0) & own[:-2])
     cell = passage[word[inside]] * BUCKETS + bucket[inside]
     profile = np.bincount(cell, minlength=n * BUCKETS).reshape(n, BUCKETS)
     rows[:, STATISTICS:] = np.sqrt(profile / np.maximum(profile.sum(axis=1, keepdims=True), 1))
