@@ -11,8 +11,11 @@ and dealt anew together with that of the other blocks, until one block is left.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,31 +40,99 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Bytes that are neither blanks, letters nor digits; of characters beyond ASCII only the last byte is looked at, and counts.
 _OTHER = np.array([not (chr(b).isalnum() or b in b" \n\t\r") if b < 0x80 else True for b in range(256)])
 
+# Signs that a word may end with; an apostrophe is none, as the tokenizer's pattern has rules of its own for it.
+_SIGNS = "".join(c for c in map(chr, range(0x21, 0x7F)) if not c.isalnum() and c != "'")
+
+# The settings of a tokenizer file that `Ids` knows how to take apart.
+_KNOWN_SETTINGS = {
+    "truncation": None,
+    "padding": None,
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+
+
+def _as_bytes(ids) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
+class WholeTexts:
+    """Token ids of texts as little-endian 32-bit bytes, by the library alone."""
+
+    def __init__(self, settings: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(settings)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        return [_as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
 
 class Ids:
-    """Token ids of texts as little-endian 32-bit bytes.
+    """The same for a tokenizer of _KNOWN_SETTINGS, from the ids of stretches met before.
 
     The tokenizer's pattern never joins characters across blanks or line ends and leaves those out, so the ids of a text are
     those of the stretches between them. It never joins letters with other signs either: where no comma or full stop
     stands behind another sign, those before a blank are stretches of their own. Case is ignored, which is
     settled here for plain ASCII.
 
+    Special strings are looked for in the text as it is given, before its case is: a tokenizer without them does the rest.
+
     Stretches met before are looked up, among recent ones first and then among older ones, which are forgotten
-    in time. That only saves time.
+    in time. That only saves time. A new word goes to the merges directly, without the search for what is a word.
     """
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.comma = self._encoded([","])[0]
+    def __init__(self, settings: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        made = json.loads(settings)
+        self.special = {t["content"]: _as_bytes([t["id"]]) for t in made["added_tokens"]}
+        self.split = re.compile(f"({'|'.join(map(re.escape, sorted(self.special, key=len, reverse=True)))})")
+        self.tokenizer = Tokenizer.from_str(json.dumps({**made, "added_tokens": []}))
+        self.model = self.tokenizer.model
+        # The characters that stand for bytes, as the library has them.
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {}
+        for point in (*range(0x800), *range(0x1000, 0xD000, 0x1000), 0xE000, 0xF000, *range(0x10000, 0x110000, 0x40000)):
+            raw = chr(point).encode()
+            self.letters.update(zip(raw, byte_level.pre_tokenize_str(chr(point))[0][0]))
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
+    @staticmethod
+    def fits(settings: str) -> bool:
+        made = json.loads(settings)
+        model = made["model"]
+        return (
+            all(made.get(k) == v for k, v in _KNOWN_SETTINGS.items())
+            and (model["type"], model.get("dropout"), model.get("byte_fallback")) == ("BPE", None, False)
+            and bool(made["added_tokens"])
+            and not any(t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"] for t in made["added_tokens"])
+        )
+
     def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [_as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _stretches(self, text: str) -> list[str]:
         plain = text.isascii()
@@ -73,53 +144,83 @@ class Ids:
         return text.split(" ")
 
     def of(self, texts: list[str]) -> list[bytes]:
+        parts, owners = [], []
+        for row, text in enumerate(texts):
+            some = self.split.split(text) if any(s in text for s in self.special) else [text]
+            parts.extend(some)
+            owners.extend([row] * len(some))
+        found = self._of_parts(parts)
+        if len(parts) == len(texts):
+            return found
+        joined = [b""] * len(texts)
+        for row, ids in zip(owners, found):
+            joined[row] += ids
+        return joined
+
+    def _of_parts(self, parts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {"": b""}
         known, older = self.known, self.older
-        split = [self._stretches(t) for t in texts]
+        split = [[] if t in self.special else self._stretches(t) for t in parts]
         missing = set().union(*split).difference(known)
-        known.update({w: older[w] for w in missing if w in older})
-        own = self._learn(missing.difference(known))
+        if older:
+            known.update({w: older[w] for w in missing if w in older})
+            missing.difference_update(known)
+        own = self._learn(missing)
         get = (lambda w: known[w] if w in known else own[w]) if own else known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        return [self.special[t] if t in self.special else b"".join(map(get, words)) for t, words in zip(parts, split)]
+
+    def _word(self, letters: str) -> bytes | None:
+        """The ids of letters alone; None where normal forms or odd cases may matter."""
+        if not letters.isalpha():
+            return None
+        lowered = letters.lower()
+        if not letters.isascii():
+            if max(letters) >= "\u0250" or not lowered.isalpha():
+                return None
+            lowered = lowered.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(lowered)]).tobytes()
 
     def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        """Put stretches into the lookup; long ones, which hardly come again, are returned instead.
-
-        Words of letters alone are encoded many at a time with commas between: no such word has the comma's id.
-        """
-        known, own = self.known, {}
-        plain = [w for w in missing if len(w) < 64 and w.isalpha()]
-        for i in range(0, len(plain), 1000):
-            some = plain[i : i + 1000]
-            found = self._encoded([" , ".join(some)])[0]
-            cuts = np.flatnonzero(np.frombuffer(found, "<u4") == int.from_bytes(self.comma, "little")) * 4
-            if len(self.comma) != 4 or len(cuts) != len(some) - 1:
-                known.update(zip(some, self._encoded(some)))
+        """Put stretches into the lookup; long ones, which hardly come again, are returned instead."""
+        known, own, rest = self.known, {}, []
+        tails: dict[str, bytes] = {"": b""}
+        for word in missing:
+            letters = word.rstrip(_SIGNS)
+            ids = self._word(letters) if letters and len(word) < 64 else None
+            if ids is None:
+                rest.append(word)
                 continue
-            known.update(zip(some, [found[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(found)])]))
-        other = list(missing.difference(plain))
-        for i in range(0, len(other), 10_000):
-            some = other[i : i + 10_000]
+            tail = word[len(letters) :]
+            if tail not in tails:
+                tails[tail] = self._encoded([tail])[0]
+            known[word] = ids + tails[tail]
+        for i in range(0, len(rest), 10_000):
+            some = rest[i : i + 10_000]
             for word, ids in zip(some, self._encoded(some)):
                 (known if len(word) < 64 else own)[word] = ids
         return own
 
 
-_LOADED: dict[str, Ids] = {}
+_LOADED: dict[str, Ids | WholeTexts] = {}
 
 
-def _ids(shipped: str | None) -> Ids:
+def _ids(shipped: str | None) -> Ids | WholeTexts:
     import public_tokenizers
 
     path = SparkFiles.get(shipped) if shipped else public_tokenizers.path(MODEL)
     if path not in _LOADED:
-        _LOADED[path] = Ids(path)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        with open(path, encoding="utf-8") as file:
+            settings = file.read()
+        _LOADED[path] = Ids(settings) if Ids.fits(settings) else WholeTexts(settings)
     return _LOADED[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH) -> DataFrame:
-    """PIECES of every document: its ids and an end id, cut after every `length`."""
+    """PIECES of every document: its ids and an end id, cut after every `length`.
+
+    Special strings of the tokenizer inside a text get their ids, as the library has it by default."""
     spark = prepare(docs.sparkSession)
     if tokenizer_path:
         spark.sparkContext.addFile(tokenizer_path)
