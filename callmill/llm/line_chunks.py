@@ -8,8 +8,10 @@ A passage is a run of lines of over PASSAGE_WORDS words. It need not hold a whol
 start or end at each line are looked up besides. Their union is the text itself: every line of a passage, short or
 long, one line or many, lies in a shortest passage inside it. So a repeated passage goes whole, whatever surrounds it.
 
-Chunks and passages whose hash occurs once never move. Of the others the bytes are compared (those of passages, which
-overlap, by SHA-256), and all but the first occurrence go. A passage that overlaps its first occurrence stays.
+Chunks and passages whose hash occurs once never move. Of the others the bytes are compared line by line: every line of
+theirs is grouped by its hash and its bytes, and as long as no two lines share a hash, chunks and passages are equal if the lists of their
+lines' hashes are. Should two lines share one, the parts themselves are compared. All but the first occurrence go. A passage that
+overlaps its first occurrence stays.
 """
 
 from __future__ import annotations
@@ -44,6 +46,10 @@ def _starts() -> Column:
     return F.concat(F.array(F.lit(0)), inner)
 
 
+def _line_hash(line: Column) -> Column:
+    return F.xxhash64(line)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("_text_hash"), text_of().alias("_text")
@@ -77,7 +83,7 @@ def chunked(rows: DataFrame) -> DataFrame:
     """`rows` with _lines, _chunks and _passages (k, from, to, h). Chunks of one line or without a word have no
     hash; passages have no k."""
     split = rows.withColumn("_lines", F.split("_text", "\n")).withColumn(
-        "_hashes", F.transform("_lines", lambda x: F.xxhash64(x))
+        "_hashes", F.transform("_lines", lambda x: _line_hash(x))
     )
     words = F.transform("_lines", lambda x: F.regexp_count(x, F.lit(r"\S+")))
     started = split.withColumn("_starts", _starts())
@@ -109,8 +115,15 @@ def chunked(rows: DataFrame) -> DataFrame:
     )
 
 
-def _chunk_text(chunk: str) -> Column:
-    return F.array_join(F.slice("_lines", F.col(f"{chunk}.from") + 1, F.col(f"{chunk}.to") - F.col(f"{chunk}.from")), "\n")
+def _part(values: str, part: str) -> Column:
+    return F.slice(values, F.col(f"{part}.from") + 1, F.col(f"{part}.to") - F.col(f"{part}.from"))
+
+
+def _lines_clash(texts: DataFrame) -> bool:
+    """Whether two different lines of repeated parts share a hash."""
+    inside = F.array_distinct(F.flatten(F.transform("_maybe", lambda c: F.slice("_lines", c["from"] + 1, c["to"] - c["from"]))))
+    lines = texts.select(F.explode(inside).alias("line")).distinct()
+    return not lines.groupBy(_line_hash(F.col("line"))).agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
 
 
 def _left(gone: Column) -> Column:
@@ -124,7 +137,7 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The first occurrence, by doc_id, text hash and place, is kept; rows that repeat id and text are one
     document. Null ids come first. Null texts count as empty; one line alone is never a chunk, and a passage
-    only if it has over PASSAGE_WORDS words.
+    only if it has over PASSAGE_WORDS words. Texts are split whole, whatever their length.
     """
     prepare(docs.sparkSession)
     stats = saved(
@@ -151,16 +164,18 @@ def removals(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         matched(rows, candidates, KEY).select(*KEY, "_text", "_maybe"),
         "repeating",
     ).withColumn("_lines", F.split("_text", "\n"))
+    same_lines = F.transform(_part("_lines", "c"), lambda x: _line_hash(x))
+    same_bytes = _part("_lines", "c")
     chunks = texts.select(*KEY, "_lines", F.explode("_maybe").alias("c")).select(
         *KEY, F.col("c.k").alias("k"), F.col("c.from").alias("from"), F.col("c.to").alias("to"), F.col("c.h").alias("h"),
-        F.when(F.col("c.k").isNull(), F.sha2(_chunk_text("c"), 256)).otherwise(_chunk_text("c")).alias("bytes"),
+        (same_bytes if _lines_clash(texts) else same_lines).alias("bytes"),
     )
     place = F.struct(*[F.col(c) for c in (*KEY, "from", "to")])
     same = F.lit(True)
     for c in KEY:
         same = same & F.col(c).eqNullSafe(F.col(f"first.{c}"))
     firsts = saved(chunks.groupBy("h", "bytes").agg(F.min(place).alias("first")), "firsts")
-    # The join compares the bytes of every occurrence with those of the first one.
+    # The join compares every occurrence with the first one.
     gone = (
         chunks.join(firsts, ["h", "bytes"])
         .filter(~(same & (F.col("first.to") > F.col("from"))))
@@ -209,7 +224,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 
 def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
     """`docs` without repeated chunks and passages, all columns; n_chars follows. Documents with no word left go, unless they
-    had none before."""
+    had none before: null and empty texts stay as they are. Repeated rows stay or change together, an empty table stays empty."""
     _, changed = removals(docs)
     left = changed.select(*KEY, F.col("_left"))
     rows = whole_rows(docs).select("_row", "doc_id", F.xxhash64("_text").alias("_text_hash"))
