@@ -24,11 +24,14 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class Limits:
-    """A line goes if more than `min_docs` documents of its host and more than `max_percent` of them have
-    it; a document goes if less than `min_left_percent` of its word characters are then left."""
+    """A line goes if more than `max_percent` of its host's documents have it, `min_docs` at least, or more than
+    `max_docs` of them whatever their share; a document goes if less than `min_left_percent` of its word characters are
+    then left. The share holds for hosts of any size: `min_docs` only keeps chance out of hosts of a few documents,
+    and `max_docs` keeps a hot host from hiding a line in its size."""
 
-    min_docs: int = 100
+    min_docs: int = 5
     max_percent: int = 5
+    max_docs: int = 10_000
     min_left_percent: int = 50
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -125,12 +128,15 @@ def frequent_lines(measured: DataFrame, limits: Limits) -> DataFrame:
         distinct.select("_host", F.explode("_distinct").alias("line"))
         .groupBy("_host", "line")
         .agg(F.count("*").alias("n_docs"))
-        .filter(F.col("n_docs") > limits.min_docs)
+        .filter(F.col("n_docs") >= min(limits.min_docs, limits.max_docs + 1))
     )
     hosts = distinct.groupBy("_host").agg(F.count("*").alias("host_docs"))
     return (
         matched(per_line, hosts, ["_host"])
-        .filter(100 * F.col("n_docs") > limits.max_percent * F.col("host_docs"))
+        .filter(
+            (F.col("n_docs") >= limits.min_docs) & (100 * F.col("n_docs") > limits.max_percent * F.col("host_docs"))
+            | (F.col("n_docs") > limits.max_docs)
+        )
         .select("_host", "line", "n_docs")
     )
 
@@ -176,7 +182,8 @@ def line_verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that are kept, all columns, without their frequent lines; n_chars follows the text.
 
-    A text without frequent lines is returned unchanged (null never is kept: it has no words).
+    A text without frequent lines is returned unchanged. Null and empty texts are rejected: they have no words. Repeated
+    rows stay or go together, and an empty table stays empty. Texts are looked at whole, whatever their length.
     """
     verdicts = line_verdicts(docs, limits).filter("kept").dropDuplicates(["doc_id", "_host", "_text_hash"])
     rows = whole_rows(docs).select(

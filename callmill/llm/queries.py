@@ -163,7 +163,8 @@ WITH base AS (
   SELECT source, count(DISTINCT text) AS n FROM base GROUP BY source
 ), frequent AS (
   SELECT p.source, p.line FROM plain p JOIN hosts h ON p.source IS NOT DISTINCT FROM h.source
-  GROUP BY p.source, p.line, h.n HAVING count(DISTINCT p.text) > 100 AND 100 * count(DISTINCT p.text) > 5 * h.n
+  GROUP BY p.source, p.line, h.n HAVING
+    count(DISTINCT p.text) >= 5 AND 100 * count(DISTINCT p.text) > 5 * h.n OR count(DISTINCT p.text) > 10000
 ), cut AS (
   SELECT doc_id, count(*) AS n, sum(chars) AS chars
   FROM plain p JOIN frequent f ON p.source IS NOT DISTINCT FROM f.source AND p.line = f.line GROUP BY doc_id
