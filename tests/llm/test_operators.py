@@ -149,23 +149,64 @@ def plain_chunks(text):
     return list(zip(starts, [*starts[1:], n]))
 
 
-def test_line_chunks(spark, documents):
-    first, expected = {}, {}
-    for doc, text in sorted(documents, key=lambda d: (d[0], spark_hash(d[1] or ""))):
-        lines, gone, chunks = (text or "").split("\n"), set(), 0
+def plain_passages(lines):
+    """The shortest runs of lines of over 50 words that start or end at a line."""
+    c, out = [len(x.split()) for x in lines], set()
+    for i in range(len(lines)):
+        for step in (1, -1):
+            j, words = i, 0
+            while 0 <= j < len(lines) and words <= 50:
+                words, j = words + c[j], j + step
+            if words > 50 and c[i]:
+                out.add((i, j) if step > 0 else (j + 1, i + 1))
+    return sorted(out)
+
+
+def plain_removals(docs):
+    """{doc: (lines, removed chunks, numbers of the removed lines, what is left)} of different ids."""
+    chunks, passages, out = {}, {}, {}
+    for doc, text in sorted(docs, key=lambda d: (d[0], spark_hash(d[1] or ""))):
+        lines, gone, n = (text or "").split("\n"), set(), 0
         for a, b in plain_chunks(text or ""):
             part = "\n".join(lines[a:b])
-            if b - a >= 2 and part.strip():
-                if first.setdefault(part, (doc, a)) != (doc, a):
-                    gone.update(range(a, b))
-                    chunks += 1
-        left = "\n".join(x for i, x in enumerate(lines) if i not in gone)
-        expected[doc] = (len(lines), chunks, len(gone), hashlib.md5(left.encode()).hexdigest())
-    got = queries.op2_line_dedup(spark, SF_DIR).collect()
-    assert {r.doc_id: (r.n_lines, r.n_removed_chunks, r.n_removed_lines, r.kept_md5) for r in got} == expected
+            if b - a >= 2 and part.strip() and chunks.setdefault(part, (doc, a)) != (doc, a):
+                gone.update(range(a, b))
+                n += 1
+        for a, b in plain_passages(lines):
+            d, _, end = passages.setdefault("\n".join(lines[a:b]), (doc, a, b))
+            if d != doc or end <= a:
+                gone.update(range(a, b))
+        out[doc] = (len(lines), n, gone, "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def check_removals(rows, docs):
+    expected = {
+        doc: (n, chunks, len(gone), hashlib.md5(left.encode()).hexdigest())
+        for doc, (n, chunks, gone, left) in plain_removals(docs).items()
+    }
+    assert {r.doc_id: (r.n_lines, r.n_removed_chunks, r.n_removed_lines, r.kept_md5) for r in rows} == expected
+    return expected
+
+
+def test_line_chunks(spark, documents):
+    expected = check_removals(queries.op2_line_dedup(spark, SF_DIR).collect(), documents)
     assert sum(v[1] for v in expected.values()) > 50
 
 
+def test_lines_whose_hashes_clash(spark, monkeypatch):
+    """Bytes decide: with a hash that many lines share, only equal lines go."""
+    weak = lambda line: F.when(line.startswith("same"), F.xxhash64(line)).otherwise(F.length(line).cast("long"))
+    r = random.Random(9)
+    line = lambda k: " ".join(f"{k}{r.randrange(10)}" for _ in range(26))
+    twice = [f"same {line('x')}" for _ in range(3)]
+    texts = ["\n".join([*[line("a") for _ in range(3)], *twice, *[line("b") for _ in range(3)]]) for _ in range(8)]
+    monkeypatch.setattr(line_chunks, "_line_hash", weak)
+    left = {x.doc_id: x.text for x in line_chunks.drop_repeated_chunks(frame(spark, texts)).collect()}
+    own = ["\n".join(x for x in t.split("\n") if not x.startswith("same")) for t in texts]
+    assert left == {i: t if i == 0 else own[i] for i, t in enumerate(texts)}
+
+
 def test_chunks_resist_shifts(spark):
     r = random.Random(3)
     lines = [f"line {r.random()}" for _ in range(40)]
@@ -183,37 +224,6 @@ def test_documents_of_repeated_chunks_alone_go(spark):
     assert left[5].text is None
 
 
-def plain_passages(lines):
-    """The shortest runs of lines of over 50 words that start or end at a line."""
-    c, out = [len(x.split()) for x in lines], set()
-    for i in range(len(lines)):
-        for step in (1, -1):
-            j, words = i, 0
-            while 0 <= j < len(lines) and words <= 50:
-                words, j = words + c[j], j + step
-            if words > 50 and c[i]:
-                out.add((i, j) if step > 0 else (j + 1, i + 1))
-    return sorted(out)
-
-
-def test_repeated_passages_go_whole(spark, documents):
-    first, place, expected = {}, {}, {}
-    for doc, text in sorted(documents, key=lambda d: (d[0], spark_hash(d[1] or ""))):
-        lines, gone = (text or "").split("\n"), set()
-        for a, b in plain_chunks(text or ""):
-            part = "\n".join(lines[a:b])
-            if b - a >= 2 and part.strip() and first.setdefault(part, (doc, a)) != (doc, a):
-                gone.update(range(a, b))
-        for a, b in plain_passages(lines):
-            d, _, end = place.setdefault("\n".join(lines[a:b]), (doc, a, b))
-            if d != doc or end <= a:
-                gone.update(range(a, b))
-        left = "\n".join(x for i, x in enumerate(lines) if i not in gone)
-        expected[doc] = (len(gone), hashlib.md5(left.encode()).hexdigest())
-    got = queries.op2_line_dedup(spark, SF_DIR).collect()
-    assert {r.doc_id: (r.n_removed_lines, r.kept_md5) for r in got} == expected
-
-
 @pytest.mark.parametrize("n_lines", range(1, 7))
 def test_planted_passages_go_whole(spark, n_lines):
     """Passages of 51 words and more in unrelated surroundings, with lines of unequal lengths."""
@@ -272,6 +282,57 @@ def test_packing(spark, documents):
     assert len(sequences) <= 1.02 * total / 4096 + 1
 
 
+def library_ids(path, texts):
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+
+# What the tokenizer's rules turn on: letters that change their number or place in another case, marks that join letters,
+# contractions, signs before and behind, blanks of all kinds, and special strings in every spelling.
+PARTS = [
+    "a", "É", "é", "e\u0301", "\u0301", "\u0345", "İ", "ß", "ẞ", "Σ", "ς", "ΑΣ", "ŉ", "ǰ", "ǅ", "ﬁ", "\u212b", "\u212a", "Ⅳ", "½", "ª",
+    "'s", "'LL", "it's", "’", ".", ",", "!!", "$$$", "...", "_", "-", "<|", "|>", "endoftext", "<|endoftext|>", "<|ENDOFTEXT|>",
+    "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>", "\n", "\t", "\r", "\x0b", "\x1c", "\xa0", "\u2003", " ", " ", "  ",
+    "1", "23", "漢字", "\u1112\u1161\u11ab", "\U0001f600", "\x00", "word", "Word", "WORD", "thing,", "The.", "x" * 70,
+]
+
+
+def test_ids_equal_the_library():
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as file:
+        settings = file.read()
+    assert packing.Ids.fits(settings)
+    ids, r = packing.Ids(settings), random.Random(8)
+    for _ in range(20):
+        texts = ["".join(r.choice(PARTS) for _ in range(r.randint(0, 14))) for _ in range(1000)]
+        assert ids.of(texts) == library_ids(path, texts)
+
+
+@pytest.mark.parametrize("special", ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|StartOfText|>"])
+def test_special_strings_in_every_spelling(spark, special):
+    import public_tokenizers
+
+    texts = [special, f"Word{special}word, {special} THE.", f"é {special}É", special * 3]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack_documents(frame(spark, texts)).collect()}
+    whole = [ids + packing.END for ids in library_ids(public_tokenizers.path("word_bpe_49k.json"), texts)]
+    assert got == {i: (len(ids) // 4, zlib.crc32(ids)) for i, ids in enumerate(whole)}
+
+
+def test_packing_by_another_tokenizer(spark):
+    """A file with other rules is left to the library."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Hello World, this  is A Test.", "", "<|endoftext|>x", "É \n\n y"]
+    got = packing.pack_documents(frame(spark, texts), tokenizer_path=path).collect()
+    whole = [ids + packing.END for ids in library_ids(path, texts)]
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in got} == {i: (len(w) // 4, zlib.crc32(w)) for i, w in enumerate(whole)}
+
+
 @pytest.mark.parametrize("block", [7, 100, 10_000])
 def test_packing_in_blocks(spark, block):
     r = random.Random(block)
@@ -360,7 +421,7 @@ def test_benchmark_words_are_cut(spark):
 
 
 def test_frequent_lines_per_host(spark):
-    limits = line_quality.Limits(min_docs=3, max_percent=10, min_words=2)
+    limits = line_quality.Limits(min_docs=4, max_percent=10, min_words=2)
     own = lambda i: f"own words of document {'x' * i if i != 'copy' else i} that no other has"
     rows = [(i, f"Share  this PAGE {i % 7}\n{own(i)}", "en", "a", 0) for i in range(5)]
     rows += [(10 + i, f"Share this page 1\n{own(10 + i)}", "en", "b", 0) for i in range(3)]
@@ -376,6 +437,41 @@ def test_frequent_lines_per_host(spark):
     assert left[0] == own(0) and left[10].startswith("Share") and 20 not in left
 
 
+def test_limits_at_every_size(spark):
+    """With production limits: shares cut in small and large hosts, a few documents never do, and many do without a share."""
+    letters = str.maketrans("0123456789", "abcdefghij")  # as digits don't tell lines apart
+    own = lambda i: " ".join(f"w{i} n{k}" for k in range(30)).translate(letters)
+    rows = []
+
+    def host(name, n, sharing, line):
+        for i in range(n):
+            text = f"{line}\n{own(len(rows))}" if i < sharing else own(len(rows))
+            rows.append((len(rows), text, "en", name, 0))
+
+    host("small", 20, 5, "small host line")  # 25 %
+    host("tiny", 4, 4, "tiny host line")  # all, but under the floor
+    host("large", 300, 16, "large host line")  # 5.3 %
+    host("under", 300, 15, "line at the limit")  # 5 %
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+    def cut(limits=line_quality.Limits()):
+        return {r.source for r in line_quality.keep_good(docs, limits).join(docs.select("doc_id", F.col("text").alias("before")), "doc_id").filter("text != before").collect()}
+
+    assert cut() == {"small", "large"}
+    assert cut(line_quality.Limits(max_docs=14)) == {"small", "large", "under"}
+    assert cut(line_quality.Limits(max_docs=3)) == {"small", "large", "under", "tiny"}
+
+
+@pytest.mark.parametrize("sf_dir", [SF_DIR, "/root/testdata/sf0.1"])
+def test_frequent_lines_of_the_tables(spark, sf_dir):
+    """The production limits act on the given tables, whatever their size."""
+    got = line_quality.line_verdicts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = got.agg(
+        F.count_if(F.col("n_removed_lines") > 0).alias("cut"), F.count_if("depleted").alias("depleted"), F.count("*").alias("n")
+    ).first()
+    assert found.cut > 0.01 * found.n and found.depleted < 0.01 * found.n
+
+
 # --- op6 ---
 
 
