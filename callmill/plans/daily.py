@@ -4,24 +4,24 @@ Three steps, each leaving a written table behind, so a lost executor costs tasks
 and a lost driver costs at most the step it was in:
 
 1. read every raw document once, write rows and refusals with their reasons;
-2. dedup the new rows together with the stored rows of the same dates, written in
-   date folders;
-3. put those folders in the place of the table's.
+2. dedup the new rows together with the stored rows of the same buckets of the same dates, written as
+   folders that the table does not know yet;
+3. publish the table's next state, which names them.
 
-Step 3 renames what step 2 wrote. A run that dies in it has left step 2's folders
-complete, and the next run moves those that are still there first.
+Dates are split into buckets by the hash of the event, more of them the larger a date is, and a merge reads and writes the
+buckets alone that new rows fall into: one late document costs a bucket, not its day. What was published
+stays as it was, and the table's readers see either state whole (see ``sources/versions.py``).
 
-One run at a time: a lock in the work folder says which. Of the work folder's children
-only those that a run has marked as its own are ever published or removed.
+One run at a time: a lease in the work folder says which (see ``plans/lease.py``). Of the work folder's children
+only those that a run has marked as its own are ever removed.
 """
 
 from __future__ import annotations
 
+import json
+import math
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass
-from datetime import datetime, timedelta, timezone
+from dataclasses import asdict, dataclass, replace
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,39 +29,48 @@ from pyspark.sql import functions as F
 
 from callmill.operators.dedup import latest_bookings
 from callmill.operators.staging import refused_rows, stage_documents, staged_rows
-from callmill.schemas import PARTITION, QUARANTINE_SCHEMA
-from callmill.sources import files, tables
-from callmill.sources.documents import FILES, Layout, raw_documents
+from callmill.plans.lease import Busy, Lease
+from callmill.schemas import PARTITION, QUARANTINE_SCHEMA, STAGING_SCHEMA
+from callmill.sources import files, ledger, tables, versions
+from callmill.sources.documents import FILES, Layout, pending_documents, raw_documents
+from callmill.sources.versions import BUCKET, State
+
+__all__ = ["Busy", "Stores", "ingest", "read_quarantine", "quarantine_reasons", "run_daily"]
 
 REBUILD = "rebuild"
 APPEND = "append"
 
-# The run id of batch runs in rebuild mode: each reads the whole raw folder.
+# The run id of batch runs in rebuild mode, whose refusals are those of the raw folder as it is.
 BATCH = "batch"
 
 LOCK = "_lock"
 MARK = "_callmill_run"
-# A lock that no step has renewed for so long belongs to a driver that is gone.
-LEASE = timedelta(hours=6)
+# What a run has written that no state names yet, and the state that it was ready to publish.
+WRITTEN, READY = "_written.json", "_ready.json"
 
 # Folder of refusals by the date of their batch; loose files have none.
 FOLDER = "folder"
 NO_DATE = "none"
 
-
-class Busy(RuntimeError):
-    """Another run holds the work folder."""
+# A date has a bucket for so many rows, and is split anew when it has grown to a multiple of that.
+BUCKET_ROWS = 2_000_000
+MOST_BUCKETS = 1024
+REGROW = 4
 
 
 @dataclass(frozen=True)
 class Stores:
-    """Where a pipeline keeps its data. ``work`` must be shared by all executors."""
+    """Where a pipeline keeps its data. ``work`` must be shared by all executors.
+
+    A catalog ``table`` has one folder for each date, so with one every merge writes its dates whole.
+    """
 
     raw: str
     staging: str
     quarantine: str
     work: str
     table: str | None = None
+    bucket_rows: int = BUCKET_ROWS
 
     def check(self, spark: SparkSession) -> None:
         """Refuse stores that lie in one another: one's files would be taken for the other's."""
@@ -74,10 +83,21 @@ class Stores:
 def run_daily(
     spark: SparkSession, stores: Stores, layout: Layout = FILES, mode: str = REBUILD, take_over: bool = False
 ) -> list[str]:
-    """Process every pending batch folder; returns the dates that got rows."""
+    """Process what is new in the raw folder; returns the dates that got rows.
+
+    In ``rebuild`` mode the files taken are remembered with the rows they gave, by path, size and time of change, and are
+    not read again. A file that went away takes its refusals with it, and one that changed is read anew; the rows of
+    either stay. ``append`` mode takes the whole folder each time.
+    """
     stores.check(spark)
-    run_id = BATCH if mode == REBUILD else uuid.uuid4().hex
-    return ingest(spark, raw_documents(spark, stores.raw, layout), stores, run_id, mode, take_over)
+    if mode == APPEND:
+        documents = raw_documents(spark, stores.raw, layout)
+        return ingest(spark, documents, stores, uuid.uuid4().hex, mode, take_over, remember=False)
+    with _Writer(spark, stores, take_over) as lease:
+        state = versions.current(spark, stores.staging)
+        found = ledger.compare(spark, stores.staging, state.ledger, stores.raw, layout)
+        documents = pending_documents(spark, stores.raw, layout, found.fresh)
+        return _take(spark, documents, stores, BATCH, mode, lease, found)
 
 
 def ingest(
@@ -87,81 +107,202 @@ def ingest(
     run_id: str,
     mode: str = REBUILD,
     take_over: bool = False,
+    remember: bool = True,
 ) -> list[str]:
     """Take documents (source_file, body, event_date) through to the table.
 
     The same ``run_id`` replaces the refusals it left for the same dates. In ``rebuild`` mode
-    repeating a run changes nothing; ``append`` adds each run's rows as they are,
-    deduplicated only among themselves. ``take_over`` ignores the lock of a run that is known to be dead.
+    repeating a run changes nothing. ``append`` adds each run's rows as they are, deduplicated only among themselves, and
+    publishes the run's id with them: a run id whose rows are in adds nothing again. ``remember=False`` is for ids that
+    cannot come back. ``take_over`` ignores the lease of a run that is known to be dead.
     """
     stores.check(spark)
-    with _locked(spark, stores, take_over) as renew:
-        _recover(spark, stores)
-        run = f"{stores.work.rstrip('/')}/run={run_id}"
-        files.create_new(spark, f"{run}/{MARK}")
-        stage_documents(documents).write.mode("overwrite").parquet(f"{run}/read")
-        read = spark.read.parquet(f"{run}/read")
-        renew()
-        _quarantine(spark, read, run, stores, run_id)
-        new = staged_rows(read)
-        if mode == APPEND:
-            dates = tables.dates_in(new)
-            if dates:
-                tables.append_by_date(latest_bookings(new), stores.staging)
+    with _Writer(spark, stores, take_over) as lease:
+        if mode == APPEND and _is_in(versions.current(spark, stores.staging), run_id):
+            return []
+        return _take(spark, documents, stores, run_id, mode, lease, None, remember)
+
+
+class _Writer(Lease):
+    """The lease of a store, whose holder begins by tidying up after dead ones."""
+
+    def __init__(self, spark: SparkSession, stores: Stores, take_over: bool):
+        super().__init__(spark, f"{stores.work.rstrip('/')}/{LOCK}", versions.current(spark, stores.staging).token, take_over)
+        self.stores = stores
+
+    def __enter__(self) -> _Writer:
+        super().__enter__()
+        try:
+            if self.taken_over:
+                # From here on the run before cannot publish, should it still be there.
+                state = versions.current(self.spark, self.stores.staging)
+                versions.publish(self.spark, self.stores.staging, replace(state, token=self.token))
+            _recover(self.spark, self.stores, self)
+        except BaseException:
+            self.__exit__()
+            raise
+        return self
+
+
+def _take(
+    spark: SparkSession,
+    documents: DataFrame,
+    stores: Stores,
+    run_id: str,
+    mode: str,
+    lease: Lease,
+    found: ledger.Found | None,
+    remember: bool = True,
+) -> list[str]:
+    run = f"{stores.work.rstrip('/')}/run={run_id}"
+    files.create_new(spark, f"{run}/{MARK}")
+    stage_documents(documents).write.mode("overwrite").parquet(f"{run}/read")
+    read = spark.read.parquet(f"{run}/read")
+    lease.check()
+    state = versions.current(spark, stores.staging)
+    _quarantine(spark, read, run, stores, run_id, found)
+    new = staged_rows(read)
+    # One row per date folder.
+    counts = {row[0]: row[1] for row in new.groupBy(PARTITION).count().collect()}
+    fresh = replace(state, token=lease.token)
+    if found is not None:
+        fresh = replace(fresh, ledger=found.version)
+    if mode == APPEND and remember:
+        fresh = replace(fresh, batches=_with_batch(fresh.batches, run_id))
+    if counts:
+        fresh = _merged(spark, stores, fresh, new, counts, mode, run)
+    if replace(fresh, token=state.token) != state:
+        files.create_new(spark, f"{run}/{READY}", json.dumps({"state": asdict(fresh), "dates": sorted(counts)}))
+        _publish(spark, stores, fresh, lease, sorted(counts))
+    files.remove(spark, run)
+    return sorted(counts)
+
+
+def _stream(run_id: str) -> tuple[str, int | None]:
+    """A stream's batches are numbered; any other id stands for itself."""
+    name, _, number = run_id.rpartition("-")
+    return (name, int(number)) if name and number.isdigit() else (run_id, None)
+
+
+def _is_in(state: State, run_id: str) -> bool:
+    name, number = _stream(run_id)
+    return name in state.batches and (number is None or number <= state.batches[name])
+
+
+def _with_batch(batches: dict[str, int], run_id: str) -> dict[str, int]:
+    name, number = _stream(run_id)
+    return {**batches, name: number or 0}
+
+
+def _bucketed(rows: DataFrame, spread: dict[str, int]) -> DataFrame:
+    """``rows`` with their bucket, by the number of buckets of their date."""
+    if set(spread.values()) <= {1}:
+        return rows.withColumn(BUCKET, F.lit(0))
+    # One row per date folder.
+    buckets = rows.sparkSession.createDataFrame(sorted(spread.items()), f"{PARTITION} string, _buckets int")
+    bucket = F.pmod(F.xxhash64("event"), F.col("_buckets")).cast("int")
+    return rows.join(buckets, PARTITION).select(*rows.columns, bucket.alias(BUCKET))
+
+
+def _spread(stores: Stores, state: State, added: dict[str, int], merge: bool) -> tuple[dict[str, int], set[str]]:
+    """Buckets of each date, and the dates that are written whole: those that are new, have outgrown their buckets, or
+    belong to a catalog table."""
+    spread, whole = {}, set()
+    for date, n in added.items():
+        stored = state.dates.get(date)
+        rows = n + (stored["rows"] if stored else 0)
+        wanted = 1 if stores.table else max(1, min(MOST_BUCKETS, math.ceil(rows / stores.bucket_rows)))
+        if stored and not stores.table and (not merge or wanted < REGROW * stored["buckets"]):
+            spread[date] = stored["buckets"]
         else:
-            # Only stored dates that new rows have are read.
-            stored = tables.read_staging(spark, stores.staging).join(
-                new.select(PARTITION).distinct(), PARTITION, "left_semi"
-            )
-            tables.write_by_date(latest_bookings(stored.select(*new.columns).unionByName(new)), f"{run}/merged")
-            renew()
-            dates = tables.move_dates(spark, f"{run}/merged", stores.staging)
-        _register(spark, stores, dates)
-        files.remove(spark, run)
-        return sorted(dates)
-
-
-@contextmanager
-def _locked(spark: SparkSession, stores: Stores, take_over: bool) -> Iterator:
-    """Hold the work folder's lock. An error gives it back; a driver that dies keeps it for the lease."""
-    lock = f"{stores.work.rstrip('/')}/{LOCK}"
-    owner = uuid.uuid4().hex
-    taken = files.modified(spark, lock)
-    if taken and (take_over or datetime.now(timezone.utc) - taken > LEASE):
-        files.remove(spark, lock)
-    if not files.create_new(spark, lock, owner):
-        raise Busy(f"{lock} is held by a run that began its last step at {files.modified(spark, lock)}")
-
-    def renew() -> None:
-        if files.read_text(spark, lock) != owner:
-            raise Busy(f"{lock} was taken over by another run")
-        files.replace_text(spark, lock, owner)
-
-    try:
-        yield renew
-    finally:
-        if files.read_text(spark, lock) == owner:
-            files.remove(spark, lock)
-
-
-def _recover(spark: SparkSession, stores: Stores) -> None:
-    """Publish what a dead run had merged; drop what it had not. Folders of others are left alone."""
+            spread[date] = wanted
+            whole.add(date)
+    return spread, whole
+
+
+def _merged(
+    spark: SparkSession, stores: Stores, state: State, new: DataFrame, added: dict[str, int], mode: str, run: str
+) -> State:
+    """Write the new rows, merged with the stored ones they meet, and return the state that names them."""
+    version = uuid.uuid4().hex
+    merge = mode != APPEND or stores.table is not None
+    spread, whole = _spread(stores, state, added, merge)
+    in_buckets = set(added) - whole
+    new = _bucketed(new, spread)
+    met: dict[str, set[int]] = {date: set() for date in in_buckets}
+    if merge and in_buckets:
+        # A row for each bucket of these dates.
+        for date, bucket in new.where(F.col(PARTITION).isin(sorted(in_buckets))).select(PARTITION, BUCKET).distinct().collect():
+            met[date].add(bucket)
+    stored = state.folders(whole) | state.folders(in_buckets, met) if merge else set()
+    old = _bucketed(versions.read(spark, stores.staging, stored, STAGING_SCHEMA).select(*STAGING_SCHEMA.names), spread)
+    old = old.select(*new.columns)
+    rows = old.unionByName(latest_bookings(new)) if mode == APPEND else latest_bookings(old.unionByName(new))
+    # Should this run die, the next one knows what it may have left.
+    files.create_new(spark, f"{run}/{WRITTEN}", json.dumps({"version": version, "dates": sorted(added)}))
+    tables.write_version(rows, stores.staging, version)
+    written = versions.counted(spark, stores.staging, version, sorted(added))
+    dates = dict(state.dates)
+    for date, n in added.items():
+        before = dates.get(date, {"rows": 0, "parts": {}})
+        parts = before["parts"]
+        if merge:
+            parts = {} if date in whole else versions.without(parts, met[date])
+        parts = {**parts, version: {"buckets": sorted(written[date]), "whole": True}}
+        # How many rows a merge dropped is only known where all were written: else a bound.
+        rows_now = sum(written[date].values()) if len(parts) == 1 else before["rows"] + n
+        dates[date] = {"buckets": spread[date], "rows": rows_now, "parts": parts}
+    return replace(state, dates=dates)
+
+
+def _publish(spark: SparkSession, stores: Stores, state: State, lease: Lease, dates: list[str]) -> State:
+    """The step that shows: before it nothing of a run does, after it everything."""
+    lease.check()
+    state = versions.publish(spark, stores.staging, state)
+    _register(spark, stores, state, dates)
+    versions.sweep(spark, stores.staging)
+    return state
+
+
+def _recover(spark: SparkSession, stores: Stores, lease: Lease) -> None:
+    """Publish what a dead run had ready, if nothing was published since; drop what it had not. Folders of others are left
+    alone."""
     for run in files.child_folders(spark, stores.work):
         if not run.rsplit("/", 1)[1].startswith("run=") or not files.exists(spark, f"{run}/{MARK}"):
             continue
-        if files.exists(spark, f"{run}/merged/_SUCCESS"):
-            _register(spark, stores, tables.move_dates(spark, f"{run}/merged", stores.staging))
+        ready, written = (json.loads(files.read_text(spark, f"{run}/{name}") or "null") for name in (READY, WRITTEN))
+        now = versions.current(spark, stores.staging)
+        if ready:
+            state = State(**ready["state"])
+            if versions.unchanged_since(spark, stores.staging, state.number, now):
+                now = _publish(spark, stores, replace(state, number=now.number, token=lease.token), lease, ready["dates"])
+        for date in written["dates"] if written else []:
+            if written["version"] not in now.dates.get(date, {"parts": {}})["parts"]:
+                files.remove(spark, versions.folder(spark, stores.staging, date, written["version"]))
         files.remove(spark, run)
 
 
-def _quarantine(spark: SparkSession, read: DataFrame, run: str, stores: Stores, run_id: str) -> None:
-    """Replace this run id's refusals of every date that was read, also where none are left."""
+def _quarantine(
+    spark: SparkSession, read: DataFrame, run: str, stores: Stores, run_id: str, found: ledger.Found | None
+) -> None:
+    """Replace this run id's refusals of every date that was read, also where none are left.
+
+    Where files are taken once, refusals of the same dates stay whose files are still there as they were.
+    """
     folder = F.when(F.col(PARTITION) == "", NO_DATE).otherwise(F.col(PARTITION)).alias(FOLDER)
-    refused_rows(read).select("*", folder).write.mode("overwrite").partitionBy(FOLDER).parquet(f"{run}/refused")
-    fresh = {path.rsplit("/", 1)[1]: path for path in files.child_folders(spark, f"{run}/refused")}
     place = f"{stores.quarantine.rstrip('/')}/run_id={run_id}"
+    refused = refused_rows(read).select("*", folder)
     # One value per date folder, small on any input.
     seen = {row[0] for row in read.select(folder).distinct().collect()}
+    if found is not None:
+        seen |= {date or NO_DATE for date in found.gone_dates}
+        kept = [path for path in files.child_folders(spark, place) if unquote_folder(path) in seen]
+        if kept:
+            before = spark.read.schema(QUARANTINE_SCHEMA).parquet(*kept).select(*QUARANTINE_SCHEMA.names)
+            unchanged = before.join(found.unchanged, "source_file", "left_semi")
+            refused = refused.unionByName(unchanged.select(*QUARANTINE_SCHEMA.names, folder))
+    refused.write.mode("overwrite").partitionBy(FOLDER).parquet(f"{run}/refused")
+    fresh = {path.rsplit("/", 1)[1]: path for path in files.child_folders(spark, f"{run}/refused")}
     for old in files.child_folders(spark, place):
         if unquote_folder(old) in seen:
             files.remove(spark, old)
@@ -180,10 +321,10 @@ def read_quarantine(spark: SparkSession, stores: Stores) -> DataFrame:
     return spark.read.schema(QUARANTINE_SCHEMA).parquet(stores.quarantine).select(*QUARANTINE_SCHEMA.names)
 
 
-def _register(spark: SparkSession, stores: Stores, dates: list[str]) -> None:
+def _register(spark: SparkSession, stores: Stores, state: State, dates: list[str]) -> None:
     if stores.table and dates:
         tables.declare_table(spark, stores.table, stores.staging)
-        tables.register_dates(spark, stores.table, dates)
+        tables.register_dates(spark, stores.table, stores.staging, state, dates)
         spark.catalog.refreshTable(stores.table)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callmill.functions.calendar import arrival_date
 from callmill.schemas import PARTITION
-from callmill.sources.files import batch_folder
+from callmill.sources.files import batch_folder, literal
 
 
 @dataclass(frozen=True)
@@ -56,6 +56,16 @@ def raw_documents(spark: SparkSession, root: str, layout: Layout = FILES) -> Dat
     return with_folder(spark, bodies(spark, root, layout), root)
 
 
+def pending_documents(spark: SparkSession, root: str, layout: Layout, paths: list[str] | None) -> DataFrame:
+    """The documents of these files of the raw folder; None for all of them."""
+    if paths is None:
+        return raw_documents(spark, root, layout)
+    if not paths:
+        return spark.createDataFrame([], f"source_file string, body string, {PARTITION} string")
+    given = spark.read.text([literal(path) for path in paths], wholetext=layout.per_file)
+    return with_folder(spark, given.withColumnRenamed("value", "body"), root)
+
+
 def one_line(body: Column) -> Column:
     """A JSON text without line breaks; inside strings JSON has none to lose."""
     return F.translate(body, "\r\n", "  ")

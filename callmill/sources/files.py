@@ -34,11 +34,25 @@ def modified(spark: SparkSession, path: str) -> datetime | None:
 
 
 def child_folders(spark: SparkSession, path: str) -> list[str]:
-    """Direct sub-folders, sorted by name; none if the folder is not there."""
+    """Direct sub-folders but hidden ones, sorted by name; none if the folder is not there."""
     file_system, hadoop_path = _open(spark, path)
     if not file_system.exists(hadoop_path):
         return []
-    return sorted(status.getPath().toString() for status in file_system.listStatus(hadoop_path) if status.isDirectory())
+    found = [status.getPath() for status in file_system.listStatus(hadoop_path) if status.isDirectory()]
+    return sorted(path.toString() for path in found if not path.getName().startswith(("_", ".")))
+
+
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Direct files, sorted by name; none if the folder is not there."""
+    file_system, hadoop_path = _open(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().toString() for status in file_system.listStatus(hadoop_path) if status.isFile())
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark's writers name its folder."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -46,6 +60,14 @@ def remove(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def remove_if_empty(spark: SparkSession, path: str) -> None:
+    file_system, hadoop_path = _open(spark, path)
+    try:
+        file_system.delete(hadoop_path, False)
+    except Py4JJavaError:
+        pass  # something is in it
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     return _open(spark, path)[1].toUri().toString().rstrip("/")
 
@@ -73,18 +95,37 @@ def create_new(spark: SparkSession, path: str, text: str = "") -> bool:
     return True
 
 
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in one step unless one is there: readers never see a part of it. Whether this call put it."""
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    create_new(spark, fresh, text)
+    try:
+        _rename(spark, fresh, path)
+    except Py4JJavaError:
+        remove(spark, fresh)
+        if exists(spark, path):
+            return False
+        raise
+    return True
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Replace a small file in one step: readers see the old text or the new one."""
     fresh = f"{path}.{uuid.uuid4().hex}"
     create_new(spark, fresh, text)
-    _, source = _open(spark, fresh)
-    _, target = _open(spark, path)
+    _rename(spark, fresh, path, overwrite=True)
+
+
+def _rename(spark: SparkSession, source: str, target: str, overwrite: bool = False) -> None:
+    """Rename a file in one step; fails if the target is there and must not be overwritten."""
+    _, source = _open(spark, source)
+    _, target = _open(spark, target)
     context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         target.toUri(), spark._jsparkSession.sessionState().newHadoopConf()
     )
     rename = spark._jvm.org.apache.hadoop.fs.Options.Rename
     options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
+    options[0] = rename.OVERWRITE if overwrite else rename.NONE
     context.rename(source, target, options)
 
 
@@ -100,6 +141,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def literal(path: str) -> str:
+    """The path with the signs escaped that a reader would take for a pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def batch_folder(spark: SparkSession, root: str, file_path: Column | None = None) -> Column:
     """Name of the direct sub-folder of ``root`` a file lies in, '' for none.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,46 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callmill.schemas import PARTITION, SPEND_SCHEMA, STAGING_SCHEMA
-from callmill.sources.files import child_folders, exists, move, remove
+from callmill.sources import versions
 
 
-def append_by_date(rows: DataFrame, path: str) -> None:
-    _by_date(rows).write.mode("append").partitionBy(PARTITION).parquet(path)
+def write_version(rows: DataFrame, root: str, version: str) -> None:
+    """Rows (with a bucket) as new folders of a versioned table, sized as they will be read. Nothing refers to them yet."""
+    # Groups each bucket into few files, and splits one too large for one task.
+    dealt = rows.withColumn(versions.VERSION, F.lit(version)).hint("rebalance", PARTITION, versions.BUCKET)
+    dealt.write.mode("append").partitionBy(PARTITION, versions.VERSION, versions.BUCKET).parquet(root)
 
 
-def write_by_date(rows: DataFrame, path: str) -> None:
-    """A new table in date folders, sized as they will be read."""
-    _by_date(rows).write.mode("overwrite").partitionBy(PARTITION).parquet(path)
-
-
-def move_dates(spark: SparkSession, source: str, target: str) -> list[str]:
-    """Put each date folder of ``source`` in the place of ``target``'s; other dates stay.
-
-    Folders are renamed, rows are not written again. Repeating it after a crash
-    finishes what is left. Returns the dates that ``source`` still held.
-    """
-    dates = []
-    for folder in child_folders(spark, source):
-        name = folder.rsplit("/", 1)[1]
-        if not name.startswith(f"{PARTITION}="):
-            continue
-        place = f"{target.rstrip('/')}/{name}"
-        remove(spark, place)
-        move(spark, folder, place)
-        dates.append(unquote(name.split("=", 1)[1]))
-    return dates
-
-
-def _by_date(rows: DataFrame) -> DataFrame:
-    # Groups each date into few files, and splits a date too large for one task.
-    return rows.hint("rebalance", PARTITION)
-
-
-def read_staging(spark: SparkSession, path: str, schema: T.StructType = STAGING_SCHEMA) -> DataFrame:
-    """The table at ``path``; empty if nothing was written yet."""
-    if not exists(spark, path) or not child_folders(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+def read_staging(
+    spark: SparkSession, path: str, schema: T.StructType = STAGING_SCHEMA, state: versions.State | None = None
+) -> DataFrame:
+    """The last state of the table at ``path``, or the one given; empty if nothing was published yet."""
+    state = versions.current(spark, path) if state is None else state
+    return versions.read(spark, path, state.folders(), schema)
 
 
 def read_spends(spark: SparkSession, path: str) -> DataFrame:
@@ -68,18 +45,28 @@ def declare_table(spark: SparkSession, name: str, path: str, schema: T.StructTyp
     )
 
 
-def register_dates(spark: SparkSession, name: str, dates: list[str]) -> None:
-    """Register the given dates in one statement; known ones are left alone."""
-    if dates:
-        partitions = " ".join(f"PARTITION ({PARTITION} = {quoted(date)})" for date in sorted(dates))
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {partitions}")
-
+def register_dates(spark: SparkSession, name: str, path: str, state: versions.State, dates: Iterable[str]) -> None:
+    """Let the partitions of these dates point to their folders in ``state``.
 
-def register_all(spark: SparkSession, name: str) -> None:
-    """Register every date folder found under the table's path."""
-    spark.catalog.recoverPartitions(name)
+    A partition has one folder, so every date must lie in one. Dates that are new are added in one statement, and each of
+    the others is switched in one.
+    """
+    known = {unquote(row[0].split("=", 1)[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    added = []
+    for date in sorted(dates):
+        place = f"LOCATION {quoted(versions.only_folder(spark, path, state, date))}"
+        spec = f"PARTITION ({PARTITION} = {quoted(date)})"
+        if date in known:
+            spark.sql(f"ALTER TABLE {name} {spec} SET {place}")
+        else:
+            added.append(f"{spec} {place}")
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
 
 
-def dates_in(rows: DataFrame) -> list[str]:
-    """The batch dates present: one value per date folder, so small on any input."""
-    return [row[0] for row in rows.select(PARTITION).distinct().orderBy(F.col(PARTITION)).collect()]
+def register_all(spark: SparkSession, name: str) -> None:
+    """Register every date of the last state of the table's folder."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").collect()
+    path = rows[0].data_type
+    state = versions.current(spark, path)
+    register_dates(spark, name, path, state, state.dates)

@@ -2,6 +2,9 @@
 
 import json
 import os
+import threading
+import time
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -9,8 +12,8 @@ from pyspark.sql import functions as F
 
 from callmill import jobs
 from callmill.operators.staging import stage_documents, staged_rows
-from callmill.plans import curated, daily, landing, marts, refresh, spend
-from callmill.sources import documents, files, snapshots, tables
+from callmill.plans import curated, daily, landing, lease, marts, refresh, spend
+from callmill.sources import documents, files, snapshots, tables, versions
 from callmill.streaming.daily import daily_stream
 from callmill.streaming.intake import batch_outcomes, land_stream, outcomes_of
 
@@ -120,18 +123,19 @@ def test_stores_must_not_contain_each_other(spark, tmp_path, a, b):
 
 def test_a_live_run_is_left_alone(spark, stores):
     fill(stores)
-    lock = os.path.join(stores.work, daily.LOCK)
+    held = os.path.join(stores.work, daily.LOCK, f"{1:0{lease.DIGITS}}")
     live = os.path.join(stores.work, "run=live")
     os.makedirs(live)
-    for path in (lock, os.path.join(live, daily.MARK)):
+    os.makedirs(os.path.dirname(held))
+    for path in (held, os.path.join(live, daily.MARK)):
         open(path, "w").close()
     with pytest.raises(daily.Busy):
         daily.run_daily(spark, stores)
     assert os.path.exists(live) and not os.path.exists(stores.staging)
-    old = (datetime.now() - daily.LEASE - timedelta(minutes=1)).timestamp()
-    os.utime(lock, (old, old))
+    old = (datetime.now() - lease.LEASE - timedelta(minutes=1)).timestamp()
+    os.utime(held, (old, old))
     assert daily.run_daily(spark, stores) == ["2024-01-01", "2024-01-02", "undated"]
-    assert not os.path.exists(live) and not os.path.exists(lock)
+    assert not os.path.exists(live) and not os.path.exists(os.path.dirname(held))
 
 
 def test_same_run_id_replaces_its_refusals(spark, stores):
@@ -169,27 +173,283 @@ def test_nothing_pending(spark, stores):
     assert tables.read_staging(spark, stores.staging).count() == 0
 
 
-def test_a_dead_run_is_published_by_the_next(spark, stores, monkeypatch):
+def dies(monkeypatch, module, name, after=False):
+    """The driver is lost at a call of this function, before or after it did its work."""
+    real = getattr(module, name)
+
+    def lost(*args, **options):
+        if after:
+            real(*args, **options)
+        raise RuntimeError("driver lost")
+
+    patch = pytest.MonkeyPatch()
+    patch.setattr(module, name, lost)
+    return patch
+
+
+STEPS = [
+    (daily, "stage_documents", False),
+    (daily, "_quarantine", True),
+    (tables, "write_version", False),
+    (tables, "write_version", True),
+    (versions, "counted", True),
+    (daily, "_publish", False),
+    (versions, "publish", True),
+    (daily, "_register", False),
+    (versions, "sweep", True),
+]
+
+
+@pytest.mark.parametrize("module, name, after", STEPS)
+def test_a_run_that_dies_at_any_step(spark, stores, monkeypatch, module, name, after):
+    """Readers find the old state or the new one, each date once; the next run ends with the same rows whatever was left."""
     drop(stores, "2024-01-01/a.json", body("e1"))
+    drop(stores, "2024-01-02/a.json", body("e1"))
     daily.run_daily(spark, stores)
-    os.remove(os.path.join(stores.raw, "2024-01-01/a.json"))
+    old = stored(spark, stores)
     drop(stores, "2024-01-01/b.json", body("e2"))
+    drop(stores, "2024-01-03/bad.json", "bad")
+    patch = dies(monkeypatch, module, name, after)
+    with pytest.raises(RuntimeError):
+        daily.run_daily(spark, stores)
+    patch.undo()
+    new = sorted([*old, ("2024-01-01", "e2", "active")])
+    assert stored(spark, stores) == (new if name in ("publish", "_register", "sweep") else old)
+    daily.run_daily(spark, stores)
+    assert stored(spark, stores) == new
+    assert refused(spark, stores) == [("2024-01-03", "malformed", "bad")]
+    assert files.child_folders(spark, stores.work) == []
+    # Nothing is left that no kept state names.
+    found = {tuple(p.split("=", 1)[1] for p in path.split(os.sep)[-3:]) for path, _, names in os.walk(stores.staging) if "bucket=" in path and names}
+    kept = [versions.state_of(spark, stores.staging, n) for n in versions.numbers(spark, stores.staging)]
+    assert found == {(d, v, str(b)) for state in kept for d, e in state.dates.items() for v, part in e["parts"].items() for b in part["buckets"]}
 
-    def die(_, source, target):
-        # The worst moment: the stored date is gone, its replacement not there yet.
-        files.remove(spark, f"{target}/event_date=2024-01-01")
-        raise RuntimeError("driver lost")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(tables, "move_dates", die)
-        with pytest.raises(RuntimeError):
-            daily.run_daily(spark, stores)
+def test_a_dead_run_is_published_by_the_next(spark, stores, monkeypatch):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    daily.run_daily(spark, stores)
+    os.remove(os.path.join(stores.raw, "2024-01-01/a.json"))
+    drop(stores, "2024-01-01/b.json", body("e2"))
+    patch = dies(monkeypatch, daily, "_publish")
+    with pytest.raises(RuntimeError):
+        daily.run_daily(spark, stores)
+    patch.undo()
+    assert [row[:2] for row in stored(spark, stores)] == [("2024-01-01", "e1")]
     os.remove(os.path.join(stores.raw, "2024-01-01/b.json"))
     drop(stores, "2024-01-02/c.json", body("e3"))
     daily.run_daily(spark, stores)
     assert [row[:2] for row in stored(spark, stores)] == [("2024-01-01", "e1"), ("2024-01-01", "e2"), ("2024-01-02", "e3")]
 
 
+def test_a_dead_run_that_another_overtook_is_not_published(spark, stores, monkeypatch):
+    """What it had merged does not hold the rows that were published since."""
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    patch = dies(monkeypatch, daily, "_publish")
+    with pytest.raises(RuntimeError):
+        daily.run_daily(spark, stores)
+    patch.undo()
+    aside = os.path.join(stores.work, "aside")
+    os.rename(os.path.join(stores.work, "run=batch"), aside)
+    drop(stores, "2024-01-01/b.json", body("e2"))
+    daily.run_daily(spark, stores)
+    os.rename(aside, os.path.join(stores.work, "run=batch"))
+    daily.run_daily(spark, stores)
+    assert [row[1] for row in stored(spark, stores)] == ["e1", "e2"]
+
+
+def test_a_reader_keeps_the_state_it_began_with(spark, stores):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    daily.run_daily(spark, stores)
+    reader = tables.read_staging(spark, stores.staging)
+    drop(stores, "2024-01-01/b.json", body("e2"))
+    daily.run_daily(spark, stores)
+    assert [row.event for row in reader.collect()] == ["e1"]
+    assert len(stored(spark, stores)) == 2
+
+
+def bucket_files(stores, date):
+    root = os.path.join(stores.staging, f"event_date={date}")
+    return {os.path.join(path, name) for path, _, names in os.walk(root) for name in names if name.endswith(".parquet")}
+
+
+def test_a_late_document_rewrites_one_bucket(spark, stores, tmp_path):
+    small = replace(stores, bucket_rows=10)
+    lines = documents.LINES
+    drop(stores, "2024-01-01/a.txt", "\n".join(body(f"e{i}") for i in range(160)))
+    drop(stores, "2024-01-02/a.txt", "\n".join(body(f"f{i}") for i in range(5)))
+    daily.run_daily(spark, small, lines)
+    state = versions.current(spark, stores.staging)
+    assert {date: entry["buckets"] for date, entry in state.dates.items()} == {"2024-01-01": 16, "2024-01-02": 1}
+    before = bucket_files(stores, "2024-01-01")
+    drop(stores, "2024-01-01/b.txt", body("e7", "canceled", 5))
+    daily.run_daily(spark, small, lines)
+    added = bucket_files(stores, "2024-01-01") - before
+    assert before < bucket_files(stores, "2024-01-01") and len({os.path.dirname(path) for path in added}) == 1
+    assert sum(spark.read.parquet(*added).count() for _ in [0]) < 40
+    plain = replace(stores, staging=str(tmp_path / "plain"), quarantine=str(tmp_path / "q"), work=str(tmp_path / "w"))
+    daily.run_daily(spark, plain, lines)
+    assert stored(spark, small) == stored(spark, plain) and len(stored(spark, small)) == 165
+    # Pruned to the bucket on the way in, too: the folders read are those that the state names for it.
+    last = versions.current(spark, stores.staging).dates["2024-01-01"]["parts"]
+    assert sorted(len(part["buckets"]) for part in last.values()) == [1, 15]
+
+
+def test_a_date_that_outgrows_its_buckets_is_split_anew(spark, stores):
+    small = replace(stores, bucket_rows=10)
+    for step, n in enumerate((8, 30, 200)):
+        drop(stores, f"2024-01-01/{step}.txt", "\n".join(body(f"e{step}-{i % n}") for i in range(n)))
+        daily.run_daily(spark, small, documents.LINES)
+    entry = versions.current(spark, stores.staging).dates["2024-01-01"]
+    assert entry["buckets"] > 16 and len(stored(spark, small)) == 238
+    assert len(entry["parts"]) == 1
+
+
+@pytest.fixture
+def fast(monkeypatch):
+    monkeypatch.setattr(lease, "LEASE", timedelta(seconds=1.5))
+    monkeypatch.setattr(lease, "BEAT", timedelta(seconds=0.2))
+
+
+def test_a_long_step_is_not_taken_for_a_dead_driver(spark, tmp_path, fast):
+    with lease.Lease(spark, str(tmp_path / "lock")) as held:
+        time.sleep(3)
+        with pytest.raises(lease.Busy):
+            lease.Lease(spark, str(tmp_path / "lock")).__enter__()
+        held.check()
+    with lease.Lease(spark, str(tmp_path / "lock"), least=7) as next_:
+        assert next_.token == 8 and not next_.taken_over
+
+
+def test_one_of_two_takes_a_dead_lease(spark, tmp_path, fast):
+    dead = lease.Lease(spark, str(tmp_path / "lock"))
+    dead.__enter__()
+    dead._ended.set()  # its heart stops
+    dead._thread.join()
+    time.sleep(2)
+    got, barrier = [], threading.Barrier(4)
+
+    def contend():
+        barrier.wait()
+        try:
+            got.append(lease.Lease(spark, str(tmp_path / "lock")).__enter__())
+        except lease.Busy:
+            pass
+
+    threads = [threading.Thread(target=contend) for _ in range(4)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert len(got) == 1 and got[0].taken_over and got[0].token > dead.token
+    got[0].check()
+    with pytest.raises(lease.Busy):
+        dead.check()
+    got[0].__exit__()
+
+
+def test_a_run_that_lost_its_lease_cannot_publish(spark, stores, monkeypatch):
+    """It comes back from a long pause when another has taken over, even past the last check of its lease."""
+    for late in (False, True):
+        drop(stores, f"2024-01-01/{late}.json", body(f"e{late}"))
+        real, calls = daily._publish, []
+
+        def paused(spark_, stores_, state, held, dates):
+            if not calls:
+                calls.append(1)
+                daily.run_daily(spark, stores, take_over=True)
+                if late:
+                    monkeypatch.setattr(held, "check", lambda: None)
+            return real(spark_, stores_, state, held, dates)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(daily, "_publish", paused)
+            with pytest.raises(versions.Outdated if late else daily.Busy):
+                daily.run_daily(spark, stores)
+        assert calls
+    assert [row[1] for row in stored(spark, stores)] == ["eFalse", "eTrue"]
+
+
+def test_a_repeated_append_batch_adds_nothing(spark, stores):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    rows = documents.raw_documents(spark, stores.raw)
+    for run_id in ("query-0", "query-0", "query-1", "query-0", "other-0", "monday", "monday"):
+        daily.ingest(spark, rows, stores, run_id, daily.APPEND)
+    assert len(stored(spark, stores)) == 4  # query-0, query-1, other-0, monday
+    assert versions.current(spark, stores.staging).batches == {"query": 1, "other": 0, "monday": 0}
+
+
+def test_a_stream_that_dies_between_write_and_checkpoint(spark, stores, tmp_path, monkeypatch):
+    """In append mode the batch comes again and adds nothing."""
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    for dead in (True, False, False):
+        patch = dies(monkeypatch, daily, "_register", after=True) if dead else pytest.MonkeyPatch()
+        query = daily_stream(spark, stores, str(tmp_path / "checkpoint"), mode=daily.APPEND)
+        if dead:
+            with pytest.raises(Exception, match="driver lost"):
+                query.awaitTermination()
+        else:
+            query.awaitTermination()
+        patch.undo()
+        assert stored(spark, stores) == [("2024-01-01", "e1", "active")]
+
+
+def test_append_then_rebuild(spark, stores):
+    """Rows that were appended are merged when their date is."""
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    for _ in range(3):
+        daily.run_daily(spark, stores, mode=daily.APPEND)
+    assert len(stored(spark, stores)) == 3
+    daily.run_daily(spark, stores)
+    assert stored(spark, stores) == [("2024-01-01", "e1", "active")]
+
+
+def test_a_second_run_reads_new_files_only(spark, stores, monkeypatch):
+    seen = []
+    real = daily.stage_documents
+
+    def counted(documents_):
+        seen.append(sorted(row.source_file.rsplit("/", 1)[1] for row in documents_.select("source_file").collect()))
+        return real(documents_)
+
+    monkeypatch.setattr(daily, "stage_documents", counted)
+    odd = "b [1]{x}*?.json"
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    drop(stores, "2024-01-02/bad.json", "bad")
+    assert daily.run_daily(spark, stores) == ["2024-01-01"]
+    drop(stores, f"2024-01-01/{odd}", body("e2"))
+    drop(stores, "2024-01-02/worse.json", "worse")
+    assert daily.run_daily(spark, stores) == ["2024-01-01"]
+    assert daily.run_daily(spark, stores) == []
+    assert [len(names) for names in seen] == [2, 2, 0]
+    assert [row[1] for row in stored(spark, stores)] == ["e1", "e2"]
+    assert [row[2] for row in refused(spark, stores)] == ["bad", "worse"]
+    # A file that changed is read again, and one that went takes its refusal with it.
+    drop(stores, "2024-01-02/bad.json", "still bad")
+    os.remove(os.path.join(stores.raw, "2024-01-02/worse.json"))
+    daily.run_daily(spark, stores)
+    assert seen[-1] == ["bad.json"] and [row[2] for row in refused(spark, stores)] == ["still bad"]
+
+
+def test_files_of_a_run_that_died_are_read_again(spark, stores, monkeypatch):
+    drop(stores, "2024-01-01/a.json", body("e1"))
+    patch = dies(monkeypatch, tables, "write_version")
+    with pytest.raises(RuntimeError):
+        daily.run_daily(spark, stores)
+    patch.undo()
+    assert daily.run_daily(spark, stores) == ["2024-01-01"]
+
+
+def test_a_registered_date_follows_its_version(spark, stores):
+    stores = replace(stores, table="versioned_events", bucket_rows=1)
+    for step in range(3):
+        drop(stores, f"2024-01-0{1 + step % 2}/{step}.json", body(f"e{step}"))
+        daily.run_daily(spark, stores)
+        assert sorted(row.event for row in spark.table(stores.table).collect()) == [f"e{i}" for i in range(step + 1)]
+    daily.run_daily(spark, stores, mode=daily.APPEND)
+    assert spark.table(stores.table).count() == 6 == len(stored(spark, stores))
+    tables.register_all(spark, stores.table)
+    assert spark.table(stores.table).count() == 6
+    spark.sql(f"DROP TABLE {stores.table}")
+
+
 def test_registered_partitions(spark, stores, tmp_path):
     fill(stores)
     stores = daily.Stores(stores.raw, stores.staging, stores.quarantine, stores.work, "pipeline_events")
