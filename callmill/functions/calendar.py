@@ -12,6 +12,10 @@ DOCUMENT_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 ARRIVAL_DATE = "yyyy-MM-dd"
 ARRIVAL_STAMP = "yyyy-MM-dd'T'HH-mm-ss"
 
+# What they and an id make up.
+LANDED_NAME = r"^\d{4}-\d{2}-\d{2}/\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2}_[0-9a-f-]{36}\.json$"
+LANDED_LENGTH = 10 + 1 + 19 + 1 + 36 + 5
+
 
 def document_timestamp(text: Column) -> Column:
     """Timestamp of a document text; NULL where the text does not fit."""

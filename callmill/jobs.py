@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callmill.plans import curated, daily, refresh, spend
+from callmill.plans import curated, daily, refresh, spend, states
 from callmill.session import build_session, configure
 from callmill.sources import documents, tables
 from callmill.streaming.daily import daily_stream
@@ -55,14 +55,19 @@ def run_daily(spark: SparkSession, args: argparse.Namespace) -> None:
     ).awaitTermination()
 
 
-def run_spend(spark: SparkSession, args: argparse.Namespace) -> spend.SpendLoad:
-    return spend.load_latest_spend(spark, args.snapshots, args.index, args.landed)
+def run_spend(spark: SparkSession, args: argparse.Namespace) -> spend.SpendLoad | list[spend.SpendLoad]:
+    load = spend.load_missing_spends if args.catch_up else spend.load_latest_spend
+    return load(spark, args.snapshots, args.index, args.landed)
 
 
 def run_refresh(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     staging = tables.read_staging(spark, args.staging)
     landed = tables.read_spends(spark, args.landed)
-    marts_in = curated.curate(staging, _channels(spark, args.channels), landed, args.start, args.end)
+    if args.states:
+        renewed = states.renew(spark, args.staging, args.landed, args.states)
+        marts_in = states.curate(spark, renewed, _channels(spark, args.channels), args.start, args.end)
+    else:
+        marts_in = curated.curate(staging, _channels(spark, args.channels), landed, args.start, args.end)
     scope = json.dumps([args.start, args.end, args.staging, args.landed, args.channels])
     return refresh.refresh(spark, marts_in, args.marts, args.force, scope=scope)
 
@@ -88,8 +93,10 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--files-per-batch", type=int)
     job.add_argument("--append", action="store_true", help="add rows as they are, without dedup across runs")
     job.add_argument("--take-over", action="store_true", help="ignore the lock of a run that is known to be dead")
-    command("spend", run_spend, "snapshots", "index", "landed")
+    load = command("spend", run_spend, "snapshots", "index", "landed")
+    load.add_argument("--catch-up", action="store_true", help="land every date that is not there yet, not the latest alone")
     marts = command("refresh", run_refresh, "staging", "landed", "channels", "marts")
+    marts.add_argument("--states", help="folder of per-date partial results: only changed dates are read")
     marts.add_argument("--start", help="first folder date of the bookings, and first day of the companions' spends")
     marts.add_argument("--end", help="last folder date, likewise")
     marts.add_argument("--force", action="store_true", help="also refresh what is younger than a day")

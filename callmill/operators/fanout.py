@@ -34,18 +34,19 @@ def count_bookings(bookings: DataFrame, keys: Mapping[str, Column]) -> DataFrame
     )
 
 
-def hourly_counts(bookings: DataFrame, times: Sequence[str]) -> DataFrame:
-    """The counts above per event type and hour, once by each time, in one scan.
+def hourly_counts(bookings: DataFrame, times: Sequence[str], *also: str) -> DataFrame:
+    """The counts above per event type and hour, and further columns, once by each time, in one scan.
 
     Every day, weekday and hour key can be taken from the hour again, so all marts
     of a refresh share this small table in place of the bookings.
     """
-    hours = bookings.select("event_type", "event_id", *[F.date_trunc("hour", time).alias(time) for time in times])
-    sets = [["event_type", time] for time in times]
+    truncated = [F.date_trunc("hour", time).alias(time) for time in times]
+    hours = bookings.select(*also, "event_type", "event_id", *truncated)
+    sets = [[*also, "event_type", time] for time in times]
     counted_by = F.when(F.grouping(times[0]) == 0, times[0])
     for time in times[1:]:
         counted_by = counted_by.when(F.grouping(time) == 0, time)
-    return hours.groupingSets(sets, "event_type", *times).agg(
+    return hours.groupingSets(sets, *also, "event_type", *times).agg(
         F.count("event_id").alias("ids"), F.count(F.lit(1)).alias("rows"), counted_by.alias(COUNTED_BY)
     )
 
@@ -59,9 +60,9 @@ def sum_hours(hourly: DataFrame, time: str, keys: Mapping[str, Column]) -> DataF
     )
 
 
-def channel_totals(spends: DataFrame) -> DataFrame:
-    """One row per channel: summed spend and number of spend rows."""
-    return spends.groupBy("channel").agg(
+def channel_totals(spends: DataFrame, *also: str) -> DataFrame:
+    """One row per channel (and further columns): summed spend and number of spend rows."""
+    return spends.groupBy(*also, "channel").agg(
         F.sum("spend").alias("channel_spend"),
         F.count(F.lit(1)).alias("spend_rows"),
     )

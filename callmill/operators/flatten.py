@@ -1,11 +1,16 @@
-"""Flatten nested struct columns to leaf columns named by their path."""
+"""Flatten nested struct columns, or documents of undeclared keys, to leaves named by their path."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from callmill.functions import json_kinds as K
+from callmill.session import scratch
+
 
 def _leaves(fields: T.StructType, prefix: str, column_of, sep: str) -> dict[str, Column]:
     leaves: dict[str, Column] = {}
@@ -28,3 +33,59 @@ def flatten(df: DataFrame, sep: str = "_") -> DataFrame:
     """
     leaves = _leaves(df.schema, "", lambda name: F.col(f"`{name.replace('`', '``')}`"), sep)
     return df.select(*[column.alias(name) for name, column in leaves.items()])
+
+
+def flatten_documents(documents: DataFrame, text: str = "body", sep: str = "_") -> DataFrame:
+    """Every leaf of JSON documents whose keys nobody declared: the columns of ``documents`` but ``text``, ``leaf`` (its path
+    joined by ``sep``), ``value`` (its JSON) and ``row``, one number for each document.
+
+    Objects are opened level by level until none is left, so there are as many turns as the deepest document has levels. Lists
+    stay whole, an object without keys vanishes, and a text that is no object has no leaf. Of leaves with
+    one name the last of the document counts, of repeated keys of one object the last value, at the place of the first.
+    """
+    spark = documents.sparkSession
+    kept = [name for name in documents.columns if name != text]
+    place = scratch(spark, "flatten")
+    documents.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{place}/documents")
+    own = spark.read.parquet(f"{place}/documents")
+    opened = own.select("row", F.lit("").alias("leaf"), F.array().cast("array<int>").alias("at"), F.col(text).alias("raw"))
+    levels: list[DataFrame] = []
+    while True:
+        _opened(opened, sep).write.parquet(f"{place}/level={len(levels)}")
+        level = spark.read.parquet(f"{place}/level={len(levels)}")
+        levels.append(level.where("raw IS NULL").drop("raw"))
+        opened = level.where("raw IS NOT NULL").drop("value")
+        if opened.isEmpty():
+            break
+    leaves = reduce(DataFrame.unionByName, levels)
+    last = leaves.groupBy("row", "leaf").agg(F.max_by("value", "at").alias("value"))
+    return own.select("row", *kept).join(last, "row")
+
+
+def _opened(objects: DataFrame, sep: str) -> DataFrame:
+    """One level down: (row, leaf, at, value, raw) of every key; raw is the text of what is an object itself."""
+    # Keys in the order of the text, which VARIANT does not keep; values of a repeated key from VARIANT, which keeps the last.
+    keyed = objects.selectExpr(
+        "row",
+        "leaf AS parent",
+        "at AS above",
+        "json_object_keys(raw) AS keys",
+        "try_variant_get(try_parse_json(raw), '$', 'map<string, variant>') AS parsed",
+        "map_entries(from_json(raw, 'map<string, string>')) AS texts",
+    ).where("parsed IS NOT NULL")
+    each = keyed.select("*", F.posexplode("keys").alias("i", "key")).where("array_position(keys, key) = i + 1")
+    name = F.when(F.col("parent") == "", F.col("key")).otherwise(F.concat("parent", F.lit(sep), "key"))
+    value = F.col("parsed")[F.col("key")]
+    text = F.element_at(F.filter("texts", lambda entry: entry["key"] == F.col("key")), -1)["value"]
+    return each.select(
+        "row",
+        name.alias("leaf"),
+        F.concat("above", F.array("i")).alias("at"),
+        F.to_json(value).alias("value"),
+        F.when(K.is_object(value), text).alias("raw"),
+    )
+
+
+def leaf_names(leaves: DataFrame) -> DataFrame:
+    """Each leaf name and the number of documents that have it."""
+    return leaves.groupBy("leaf").agg(F.count(F.lit(1)).alias("documents"))

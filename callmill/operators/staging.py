@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from callmill.functions import json_kinds as K
 from callmill.functions.calendar import document_timestamp
-from callmill.schemas import CORRUPT, DOCUMENT_SCHEMA, PARTITION, STAGED, STRICT_JSON
+from callmill.schemas import CORRUPT, DOCUMENT_SCHEMA, LANDED, PARTITION, STAGED, STRICT_JSON
 
 REASON = "reason"
 
@@ -201,5 +201,6 @@ def staged_rows(staged: DataFrame) -> DataFrame:
 
 
 def refused_rows(staged: DataFrame) -> DataFrame:
-    """The quarantine branch: what came in, from where, and why it was refused."""
-    return staged.where(F.col(REASON).isNotNull()).select("source_file", REASON, "body", PARTITION)
+    """The quarantine branch: what came in, from where, under which landed name, and why it was refused."""
+    landed = F.col(LANDED) if LANDED in staged.columns else F.lit(None).cast("string").alias(LANDED)
+    return staged.where(F.col(REASON).isNotNull()).select("source_file", landed, REASON, "body", PARTITION)

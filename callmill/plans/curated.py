@@ -17,8 +17,9 @@ def within(rows: DataFrame, start: str | None = None, end: str | None = None, da
     return rows
 
 
-def bookings(staging: DataFrame) -> DataFrame:
+def bookings(staging: DataFrame, *also: str) -> DataFrame:
     return staging.select(
+        *also,
         F.col("event").alias("event_id"),
         F.col("scheduled_event_event_type").alias("event_type"),
         F.col("created_at").alias("booking_datetime"),
@@ -36,29 +37,35 @@ def spends(landed: DataFrame) -> DataFrame:
     return landed.select("date", "channel", "spend")
 
 
-def memberships(staging: DataFrame) -> DataFrame:
+def memberships(staging: DataFrame, *also: str) -> DataFrame:
     """One row per event and member; events without members drop."""
     member = F.explode("scheduled_event_event_memberships")
-    return staging.select(F.col("event").alias("event_id"), member.alias("member")).select(
-        "event_id", F.col("member.user").alias("employee_id")
+    return staging.select(*also, F.col("event").alias("event_id"), member.alias("member")).select(
+        *also, "event_id", F.col("member.user").alias("employee_id")
     )
 
 
+def spellings(staging: DataFrame, *also: str) -> DataFrame:
+    """Each name of each member, and when it was last given."""
+    members = staging.select(
+        *also,
+        F.col("scheduled_event_updated_at").alias("seen"),
+        F.explode("scheduled_event_event_memberships").alias("member"),
+    )
+    spelled = [F.col("member.user").alias("employee_id"), F.col("member.user_name").alias("employee_name")]
+    return members.where(F.col("member.user").isNotNull()).groupBy(*also, *spelled).agg(F.max("seen").alias("seen"))
+
+
 def employees(staging: DataFrame) -> DataFrame:
     """One name per member: the latest one given, the larger text on a tie.
 
     Grouping by id and name first leaves one row per spelling, so a member with a
     third of all events is small before it is ranked.
     """
-    spelled = (
-        staging.select(
-            F.col("scheduled_event_updated_at").alias("seen"),
-            F.explode("scheduled_event_event_memberships").alias("member"),
-        )
-        .where(F.col("member.user").isNotNull())
-        .groupBy(F.col("member.user").alias("employee_id"), F.col("member.user_name").alias("employee_name"))
-        .agg(F.max("seen").alias("seen"))
-    )
+    return latest_names(spellings(staging))
+
+
+def latest_names(spelled: DataFrame) -> DataFrame:
     # A missing name or time ranks below any given one.
     rank = F.struct(F.col("employee_name").isNotNull().alias("named"), F.col("seen"), F.col("employee_name"))
     return spelled.groupBy("employee_id").agg(F.max_by("employee_name", rank).alias("employee_name"))

@@ -70,17 +70,18 @@ def refresh(
 
     ``scope`` says what ``curated`` was made from, dates and inputs: a snapshot of another scope
     is stale whatever its age. The bookings are counted per hour first, in one scan, and the spends
-    per channel, and the marts are built on these; only the employee mart reads the bookings again. The
+    per channel, unless ``curated`` brings these along, and the marts are built on these; only the employee mart reads
+    the bookings again. The
     order is kept by a rank column, so the final sort may be spread over tasks.
     """
     now = now or datetime.now(timezone.utc)
     stale = [name for name in marts if force or _is_stale(current(spark, root, name), now, scope)]
     version = uuid.uuid4().hex
     shared = f"{mart_path(root, '_shared')}/{VERSION}{version}"
-    if stale:
+    if stale and curated.hourly is None:
         bookings_per_hour(curated).write.parquet(f"{shared}/{HOURLY}")
         curated = replace(curated, hourly=spark.read.parquet(f"{shared}/{HOURLY}"))
-        if curated.spends is not None:
+        if curated.spends is not None and curated.totals is None:
             channel_totals(curated.spends).write.parquet(f"{shared}/{TOTALS}")
             curated = replace(curated, totals=spark.read.parquet(f"{shared}/{TOTALS}"))
 

@@ -117,9 +117,13 @@ STRICT_JSON = {
     "allowNonNumericNumbers": "false",
 }
 
+# The name a document landed under, if it came by the intake.
+LANDED = "landed"
+
 QUARANTINE_SCHEMA = T.StructType(
     [
         T.StructField("source_file", TEXT),
+        T.StructField(LANDED, TEXT),
         T.StructField("reason", TEXT),
         T.StructField("body", TEXT),
         T.StructField(PARTITION, TEXT),

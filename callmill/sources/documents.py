@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmill.functions.calendar import arrival_date
-from callmill.schemas import PARTITION
+from callmill.functions.calendar import LANDED_LENGTH, LANDED_NAME, arrival_date, landed_name
+from callmill.schemas import LANDED, PARTITION
 from callmill.sources.files import batch_folder, literal
 
 
@@ -29,12 +29,27 @@ ARRIVAL = "ingest_date"
 
 
 def bodies(spark: SparkSession, path: str, layout: Layout = FILES) -> DataFrame:
-    return _reader(spark.read, layout).text(path, wholetext=layout.per_file).withColumnRenamed("value", "body")
+    """Texts as ``body``, and the name they landed under as ``landed`` if they have one."""
+    return _named(_reader(spark.read, layout).text(path, wholetext=layout.per_file))
 
 
 def stream_bodies(spark: SparkSession, path: str, layout: Layout = FILES, **options: str) -> DataFrame:
     reader = _reader(spark.readStream, layout).options(**options)
-    return reader.text(path, wholetext=layout.per_file).withColumnRenamed("value", "body")
+    return _named(reader.text(path, wholetext=layout.per_file))
+
+
+def _named(texts: DataFrame) -> DataFrame:
+    """A landed line is a name, a tab and the document; any other text is a document alone."""
+    value = F.col("value")
+    # A name has a fixed length, so most texts are told by one character.
+    named = (F.substring(value, LANDED_LENGTH + 1, 1) == "\t") & F.substring(value, 1, LANDED_LENGTH).rlike(LANDED_NAME)
+    named = F.coalesce(named, F.lit(False))
+    return texts.withColumns(
+        {
+            LANDED: F.when(named, F.substring(value, 1, LANDED_LENGTH)),
+            "body": F.when(named, F.substr(value, F.lit(LANDED_LENGTH + 2))).otherwise(value),
+        }
+    ).drop("value")
 
 
 def _reader(reader, layout: Layout):
@@ -46,13 +61,14 @@ def with_folder(spark: SparkSession, documents: DataFrame, root: str) -> DataFra
     """Add the batch folder as ``event_date`` ('' for a loose file) and the file name."""
     return documents.select(
         F.col("_metadata.file_path").alias("source_file"),
+        LANDED,
         "body",
         batch_folder(spark, root).alias(PARTITION),
     )
 
 
 def raw_documents(spark: SparkSession, root: str, layout: Layout = FILES) -> DataFrame:
-    """All pending batches in one scan: source_file, body, event_date."""
+    """All pending batches in one scan: source_file, landed, body, event_date."""
     return with_folder(spark, bodies(spark, root, layout), root)
 
 
@@ -61,9 +77,9 @@ def pending_documents(spark: SparkSession, root: str, layout: Layout, paths: lis
     if paths is None:
         return raw_documents(spark, root, layout)
     if not paths:
-        return spark.createDataFrame([], f"source_file string, body string, {PARTITION} string")
+        return spark.createDataFrame([], f"source_file string, {LANDED} string, body string, {PARTITION} string")
     given = spark.read.text([literal(path) for path in paths], wholetext=layout.per_file)
-    return with_folder(spark, given.withColumnRenamed("value", "body"), root)
+    return with_folder(spark, _named(given), root)
 
 
 def one_line(body: Column) -> Column:
@@ -72,8 +88,12 @@ def one_line(body: Column) -> Column:
 
 
 def arriving(accepted: DataFrame) -> DataFrame:
-    """Accepted documents ready to land: the arrival date and the text as one line."""
-    return accepted.select(arrival_date().alias(ARRIVAL), one_line(F.col("body")).alias("value"))
+    """Accepted documents ready to land: the arrival date, and one line of the name it lands under, a tab and the text.
+
+    The name is the document's own, its stamp that of the batch: a row that is refused later can be traced to it.
+    """
+    line = F.concat(landed_name(), F.lit("\t"), one_line(F.col("body")))
+    return accepted.select(arrival_date().alias(ARRIVAL), line.alias("value"))
 
 
 def land(accepted: DataFrame, root: str) -> None:

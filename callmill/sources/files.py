@@ -50,6 +50,14 @@ def child_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().toString() for status in file_system.listStatus(hadoop_path) if status.isFile())
 
 
+def listed(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, size, time of change) of the files in a folder but hidden ones."""
+    file_system, hadoop_path = _open(spark, path)
+    found = [status for status in file_system.listStatus(hadoop_path) if status.isFile()]
+    named = [(s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found]
+    return sorted(entry for entry in named if not entry[0].startswith(("_", ".")))
+
+
 def escaped(spark: SparkSession, value: str) -> str:
     """A partition value as Spark's writers name its folder."""
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from callmill.functions import json_kinds as K
-from callmill.sources.files import file_date
+from callmill.sources.files import DATE_IN_NAME, file_date
 
 INDEX_SCHEMA = "files array<string>"
 
@@ -45,8 +45,9 @@ def _fault(element: Column) -> Column:
     return F.when(~K.is_object(element), "record_not_object").when(~number, "spend_not_number")
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Every element of every file, with ``fault`` where something is wrong; columns found by folder stay.
+def read_snapshots(spark: SparkSession, path: str | list[str], named: bool = False) -> DataFrame:
+    """Every element of every file, with ``fault`` where something is wrong; columns found by folder stay. ``named`` adds the
+    file's name as ``file``.
 
     A file is read as one text and must be one JSON array and nothing else; one that is not gives a single row with the
     fault ``file_not_array``. ``line`` is the element's JSON with every field kept.
@@ -55,6 +56,8 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     array = K.elements(F.try_parse_json(text))
     sound = F.coalesce(F.is_valid_utf8(text) & K.ends_cleanly(text), F.lit(False)) & array.isNotNull()
     texts = spark.read.text(path, wholetext=True)
+    if named:
+        texts = texts.select("*", F.col("_metadata.file_name").alias("file"))
     kept = [name for name in texts.columns if name != "value"]
     files = texts.withColumn("elements", F.when(sound, array))
     nothing = F.array(F.lit(None).cast("variant"))
@@ -95,11 +98,38 @@ def require_sound(guarded: DataFrame) -> None:
         raise EmptySnapshot(f"no records of {row.file_date}")
 
 
+def require_all_sound(guarded: DataFrame) -> None:
+    """Raise if any guarded file has a fault."""
+    row = guarded.where(F.col("fault").isNotNull()).orderBy("file").first()
+    if row:
+        raise BrokenSnapshot(f"{row.file}: {row.fault}")
+
+
+def latest_of_dates(read: DataFrame) -> DataFrame:
+    """For every date, the records of the latest file that shows it."""
+    dated = read.where(F.col("fault").isNull() & F.col("date").rlike(f"^{DATE_IN_NAME}$"))
+    # As many rows as dates are shown.
+    shown = dated.groupBy("date").agg(F.max("file").alias("file"))
+    return dated.join(shown, ["date", "file"])
+
+
 def of_date(records: DataFrame, date: Column) -> DataFrame:
     """Records whose ``date`` equals the file's as text; a missing date drops."""
     return records.where(F.col("date") == date)
 
 
+def land_dates(records: DataFrame, root: str) -> None:
+    """Replace the folder of every date that has records here."""
+    rows = records.select(F.col("line").alias("value"), F.col("date").alias("file_date"))
+    (
+        rows.hint("rebalance", "file_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("file_date")
+        .text(root)
+    )
+
+
 def land_records(records: DataFrame, date: str, root: str) -> int:
     """Replace the date's folder with these records, one JSON object per line, every field kept.
 

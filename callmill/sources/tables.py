@@ -28,8 +28,10 @@ def read_staging(
     return versions.read(spark, path, state.folders(), schema)
 
 
-def read_spends(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SPEND_SCHEMA).json(path)
+def read_spends(spark: SparkSession, path: str | list[str], root: str | None = None) -> DataFrame:
+    """Landed spends, all of them or, below ``root``, of some date folders."""
+    reader = spark.read.schema(SPEND_SCHEMA)
+    return (reader.option("basePath", root) if root else reader).json(path)
 
 
 def quoted(text: str) -> str:

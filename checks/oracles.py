@@ -293,10 +293,41 @@ ORACLES |= {
         QUALIFY row_number() OVER (PARTITION BY day, CASE WHEN document = 'full' THEN event_id END ORDER BY copy DESC) = 1""",
 }
 
+# Undeclared leaves: what a document has of each. Its writer leaves out null members of structs.
+_LEAVES = {
+    "event": "TRUE",
+    **{f"payload_{name}": f"({sql}) IS NOT NULL" for name, sql in fixtures.PAYLOAD_TEXTS.items()},
+    **{f"payload_{name}": "TRUE" for name in ("created_at", "updated_at", "rescheduled", "questions_and_answers")},
+    "payload_no_show_uri": "event_id % 13 = 0",
+    "payload_payment": "event_id % 11 = 0",
+    "payload_tracking": fixtures.NULL_TRACKING,
+    # As a VARIANT the tracking part keeps its null members.
+    **{f"payload_tracking_{name}": f"NOT {fixtures.NULL_TRACKING}" for name in fixtures.TRACKING_TEXTS},
+    **{f"payload_scheduled_event_{name}": f"({sql}) IS NOT NULL" for name, sql in fixtures.EVENT_TEXTS.items()},
+    **{f"payload_scheduled_event_{name}": "TRUE" for name in ("created_at", "updated_at", "start_time", "end_time", "event_memberships")},
+    "payload_scheduled_event_event_guests": "event_id % 4 <> 2",
+    **{f"payload_scheduled_event_invitees_counter_{name}": "TRUE" for name in fixtures.COUNTER_INTS},
+    **{f"payload_scheduled_event_location_{n}": f"({sql}) IS NOT NULL" for n, sql in fixtures.LOCATION_TEXTS.items()},
+}
+ORACLES["b2_undeclared_leaves"] = f"""{WITH_REQUESTS}, leaves AS (
+        {" UNION ALL ".join(f"SELECT '{name}' AS leaf FROM requests WHERE document IN ('full', 'tracking_not_object') AND {there}" for name, there in _LEAVES.items())}
+        UNION ALL SELECT 'payload' FROM requests WHERE document = 'payload_not_object'
+        UNION ALL SELECT 'other' FROM requests WHERE document = 'no_payload')
+        SELECT leaf, COUNT(*) AS documents FROM leaves GROUP BY 1"""
+
+ORACLES["a9_catch_up"] = f"""WITH {SPENDS}
+        SELECT date, channel, CAST(spend AS DOUBLE) AS spend, date AS file_date FROM spends"""
+ORACLES["a14_new_files"] = f"""{WITH_REQUESTS}
+        SELECT CAST(day AS VARCHAR) AS event_date, COUNT(*) AS documents
+        FROM requests WHERE document <> 'missing' AND copy = 1 GROUP BY 1"""
+ORACLES["a20_repeated_batch"] = ORACLES["a20_consume_once"]
+ORACLES["m3_from_states"] = ORACLES["m3_from_documents"]
+ORACLES["m8_from_states"] = ORACLES["m8_from_documents"]
+ORACLES["x5_bucketed_merge"] = ORACLES["x5_rebuild_across_runs"]
 ORACLES["a3_outcomes_by_table"] = ORACLES["a3_outcomes"]
 ORACLES["a4_stream_landing"] = ORACLES["a4_land_readback"]
 
-_MARTS = [name for name in ORACLES if name[0] == "m" and name[1].isdigit() and not name.endswith("_from_documents")]
+_MARTS = [name for name in ORACLES if name[0] == "m" and name[1].isdigit() and not name.endswith(("_from_documents", "_from_states"))]
 
 
 def _mart_values(query: str) -> str:

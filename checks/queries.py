@@ -7,6 +7,7 @@ a new path, and read it back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +19,11 @@ from callmill.functions import calendar, ratios
 from callmill.operators import intake, staging
 from callmill.operators.dedup import latest_bookings
 from callmill.operators.fanout import channel_totals, count_bookings, pair_totals
-from callmill.operators.flatten import flatten
-from callmill.plans import curated, daily, landing, marts, refresh
+from callmill.operators.flatten import flatten, flatten_documents, leaf_names
+from callmill.plans import curated, daily, landing, marts, refresh, states
 from callmill.schemas import STAGED
 from callmill.session import scratch
-from callmill.sources import documents, files, snapshots, tables
+from callmill.sources import documents, files, ledger, snapshots, tables, versions
 from callmill.streaming.daily import daily_stream
 from callmill.streaming.intake import land_stream
 
@@ -175,6 +176,20 @@ def a9_snapshot_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("file", "date", "channel", "spend")
 
 
+def _land_missing(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Every date landed in one load, each from the latest of the files that show it."""
+    root = _snapshot_root(spark, sf_dir, label)
+    read = snapshots.read_snapshots(spark, f"{root}/snapshots")
+    snapshots.require_all_sound(snapshots.guards(snapshots.index_files(spark, f"{root}/index"), read))
+    snapshots.land_dates(snapshots.latest_of_dates(read), f"{root}/landed")
+    return f"{root}/landed"
+
+
+def a9_catch_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    landed = tables.read_spends(spark, _land_missing(spark, sf_dir, "a9-catch-up"))
+    return landed.withColumn("spend", F.col("spend").cast("double"))
+
+
 def a10_guarded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the load's guards find in each listed file."""
     root = _snapshot_root(spark, sf_dir, "a10")
@@ -220,6 +235,18 @@ def a14_suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count(documents.raw_documents(spark, stores.raw, json_lines), "event_date")
 
 
+def a14_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second copies arrive when the first have been taken: the documents that a second run reads."""
+    stores = _stores(spark, "a14-new")
+    rows = _with_body(spark, sf_dir)
+    _arrive(rows.where("copy = 0"), stores.raw)
+    daily.run_daily(spark, stores, documents.LINES)
+    _arrive(rows.where("copy = 1"), stores.raw)
+    state = versions.current(spark, stores.staging)
+    found = ledger.compare(spark, stores.staging, state.ledger, stores.raw, documents.LINES)
+    return _count(documents.pending_documents(spark, stores.raw, documents.LINES, found.fresh), "event_date")
+
+
 def a15_parse_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = staging.stage_documents(_with_body(spark, sf_dir))
     return _count(staged, F.coalesce("reason", F.lit("row")).alias("result"))
@@ -272,6 +299,16 @@ def a20_consume_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _count(tables.read_staging(spark, stores.staging), "event_date", name="bookings")
 
 
+def a20_repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append mode: a batch that comes again after its rows were published adds nothing."""
+    stores = _stores(spark, "a20-repeated")
+    _arrive(_with_body(spark, sf_dir), stores.raw)
+    rows = documents.raw_documents(spark, stores.raw, documents.LINES)
+    for _ in range(2):
+        daily.ingest(spark, rows, stores, "stream-0", daily.APPEND)
+    return _count(tables.read_staging(spark, stores.staging), "event_date", name="bookings")
+
+
 # --- flattening and scalar functions ---
 
 
@@ -446,6 +483,18 @@ def v5_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated.employees(_staging(spark, sf_dir))
 
 
+def _from_states(spark: SparkSession, sf_dir: str, label: str) -> marts.Curated:
+    """The same from per-date results: first of all originals, then renewed for the dates of the canceled copies."""
+    stores = _stores(spark, label)
+    landed = _land_missing(spark, sf_dir, f"{label}-spends")
+    rows = _accepted(spark, sf_dir)
+    for copy in (0, 1):
+        _arrive(rows.where(F.col("copy") == copy), stores.raw)
+        daily.run_daily(spark, stores, documents.LINES)
+        found = states.renew(spark, stores.staging, landed, f"{stores.work}-states")
+    return states.curate(spark, found, fixtures.channels(spark))
+
+
 def _pipeline(spark: SparkSession, sf_dir: str, label: str) -> marts.Curated:
     """Intake, landing, the daily job, then the curated tables of what it stored."""
     stores = _stores(spark, label)
@@ -463,6 +512,14 @@ def m8_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.meetings_per_employee_per_day(_pipeline(spark, sf_dir, "m8"))
 
 
+def m3_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.channel_leaderboard(_from_states(spark, sf_dir, "m3-states"))
+
+
+def m8_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.meetings_per_employee_per_day(_from_states(spark, sf_dir, "m8-states"))
+
+
 # Columns of each mart: those that name a row, and its numbers.
 MART_COLUMNS = {
     "cost_per_lead": (["channel"], ["cost_per_lead"]),
@@ -503,9 +560,22 @@ def x4_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.quarantine_reasons(daily.read_quarantine(spark, stores))
 
 
+def b2_undeclared_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaves of all documents by name, without a word about their keys."""
+    return leaf_names(flatten_documents(_with_body(spark, sf_dir).select("event_id", "copy", "body")))
+
+
+def x5_bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with dates of many buckets, of which the second run rewrites some."""
+    return _rebuilt(spark, sf_dir, replace(_stores(spark, "x5-buckets"), bucket_rows=20))
+
+
 def x5_rebuild_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canceled copies arrive after a run; the next run lets them replace their originals."""
-    stores = _stores(spark, "x5")
+    return _rebuilt(spark, sf_dir, _stores(spark, "x5"))
+
+
+def _rebuilt(spark: SparkSession, sf_dir: str, stores: daily.Stores) -> DataFrame:
     rows = _with_body(spark, sf_dir)
     for copy in (0, 1):
         _arrive(rows.where(F.col("copy") == copy), stores.raw)
@@ -537,6 +607,8 @@ QUERIES: dict[str, Query] = {
         *(a5_index_files, a6_latest_file, a7_file_date, a8_snapshot_records, a9_snapshot_filter, a10_guarded_files),
         *(a11_spend_readback, a12_landed_count, a13_folder_dates, a14_suffix_filter, a15_parse_valid),
         *(a16_empty_batches, a17_daily_run, a18_partition_readback, a18_append, a19_registered_partitions),
+        *(a9_catch_up, a14_new_files, a20_repeated_batch, b2_undeclared_leaves, x5_bucketed_merge),
+        *(m3_from_states, m8_from_states),
         *(a20_consume_once, b1_payload, b2_flatten, b3_scheduled_event, b4_tracking, b5_staging),
         *(b6_partition_column, b7_timestamps, b12_round, b13_ratio, b14_whole_ratio, b15_landed_names),
         *(b16_json_round_trip, c1_channel_join, c2_spend_fanout, c3_memberships_join, c4_employees_join),
