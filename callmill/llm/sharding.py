@@ -30,12 +30,14 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16) -> DataFrame:
 
     Shards are contiguous in doc_id; the largest and smallest differ by less than twice the largest document.
     Null texts count as empty (size 1, checksum 0). Null ids sort first. Repeated rows and repeated ids
-    are kept, each with a slot of its own, in the order of checksum and size. An empty table gives no rows.
-    Other columns are ignored.
+    are kept, each with a slot of its own, in the order of checksum and size. Texts are measured whole, whatever their
+    length. An empty table gives no rows. Other columns are ignored.
     """
-    # Written narrow first: choosing range bounds reads the input a second time.
-    narrow = saved(measured(docs), "sizes")
-    ranged = saved(narrow.repartitionByRange(*ORDER).withColumn("part", F.spark_partition_id()), "ranges")
+    # Written narrow first: choosing range bounds reads the input a second time. Its row numbers part rows that are
+    # equal in all of ORDER, should one row be repeated a million times.
+    narrow = saved(measured(docs).withColumn("_row", F.monotonically_increasing_id()), "sizes")
+    by = (*ORDER, "_row")
+    ranged = saved(narrow.repartitionByRange(*by).withColumn("part", F.spark_partition_id()), "ranges")
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition, not per document.
@@ -49,7 +51,7 @@ def shard_by_bytes(docs: DataFrame, n_shards: int = 16) -> DataFrame:
             F.sum("bytes").over(Window.partitionBy()).alias("all_bytes"),
         )
     )
-    inside = Window.partitionBy("part").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("part").orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
         ranged.withColumn("_up_to", F.sum("size").over(inside))
         .withColumn("_number", F.count("*").over(inside))
