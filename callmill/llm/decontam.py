@@ -13,6 +13,7 @@ over all documents.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -264,15 +265,18 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("_text_hash"), text_of().alias("_text")
     )
-    parts = [
-        rows.mapInArrow(_searcher(spark.sparkContext.broadcast(block)), HITS) for block in blocks_of(benchmark)
-    ]
-    if len(parts) < 2:
-        return (parts or [rows.mapInArrow(_searcher(spark.sparkContext.broadcast([])), HITS)])[0]
-    # Equal rows give equal hits in each block, so they are counted and dealt out again.
-    union = saved(parts[0].withColumn("_block", F.lit(0)), "hits-0")
-    for k, part in enumerate(parts[1:], 1):
-        union = union.unionByName(saved(part.withColumn("_block", F.lit(k)), f"hits-{k}"))
+    blocks = blocks_of(benchmark)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return rows.mapInArrow(_searcher(spark.sparkContext.broadcast(first)), HITS)
+    # Equal rows give equal hits in each block, so they are counted and dealt out again. A block is searched, its hits
+    # are written, and it is given up before the next one is read: the driver holds one and looks ahead by one.
+    union = None
+    for k, block in enumerate(chain([first, second], blocks)):
+        shared = spark.sparkContext.broadcast(block)
+        part = saved(rows.mapInArrow(_searcher(shared), HITS).withColumn("_block", F.lit(k)), f"hits-{k}")
+        shared.destroy()
+        union = part if union is None else union.unionByName(part)
     keys = ["doc_id", "_text_hash", "n_words"]
     merged = union.groupBy(keys).agg(
         F.count_if(F.col("_block") == 0).alias("_copies"),
@@ -306,7 +310,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A window is 13 neighbouring words of an item, or all words of a shorter one; a word is hit if an occurrence of a
     window covers it, and a document is contaminated if at least one word in twenty is hit. Null or empty texts have no
     words and are clean; items without words are never found; null item ids count as the empty id; repeated items
-    count once per id. Repeated documents each get their row. Empty tables give no hits or no rows.
+    count once per id. Repeated documents each get their row. Texts are searched whole, whatever their length. Empty tables
+    give no hits or no rows.
     """
     n_hit = F.aggregate("ranges", F.lit(0).cast("long"), lambda a, r: a + (r["to"] - r["from"]))
     return hits(docs, benchmark).select(
@@ -346,7 +351,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without contaminated documents; benchmark words in the others are cut out and n_chars follows.
 
-    All columns stay. Documents without a hit are returned as they are.
+    All columns stay. Documents without a hit are returned as they are, null and empty texts among them. Repeated rows stay or
+    go together, and an empty table stays empty.
     """
     verdicts = saved(contamination(docs, benchmark).filter("n_hit > 0"), "contamination")
     # Small tables of their own: while they are small, the texts stay where they are.
