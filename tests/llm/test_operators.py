@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import re
 import struct
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -487,6 +489,63 @@ def test_license_scan(spark):
     assert got[len(names)] == "" and got[len(names) + 1] == "mit-notice" and got[len(names) + 2] == ""
 
 
+def plain_shingles(text):
+    w = [x for x in re.split(r"[^\w]|_", text.lower()) if x]
+    return w, min(5, len(w))
+
+
+def made_templates(r, n, words):
+    return [(f"t{k:02}", " ".join(f"{k}w{r.randrange(40)}" for _ in range(words))) for k in range(n)]
+
+
+def edited(r, template, share):
+    w = template.split()
+    for i in r.sample(range(len(w)), round(share * len(w))):
+        w[i] = "edit"
+    return " ".join(w)
+
+
+def plain_licenses(text, templates):
+    found = set()
+    w, _ = plain_shingles(text)
+    for name, template in templates:
+        t, k = plain_shingles(template)
+        own = {tuple(t[i : i + k]) for i in range(len(t) - k + 1)}
+        places = [tuple(w[i : i + k]) for i in range(len(w) - k + 1)]
+        for start in range(0, len(places) + 1, len(own)):
+            inside = set(places[start : start + 2 * len(own)]) & own
+            if 100 * len(inside) >= 80 * len(own):
+                found.add(name)
+    return ",".join(sorted(found))
+
+
+def test_bands_retrieve_what_containment_finds(spark):
+    """50 templates of 60 words, whole and edited, against a plain scan; without the bands' join nothing is found."""
+    r = random.Random(4)
+    templates = made_templates(r, 50, 60)
+    filler = lambda: " ".join(f"f{r.randrange(10**6)}" for _ in range(r.randrange(200)))
+    texts = [f"{filler()} {edited(r, t, share)} {filler()}" for _, t in templates for share in (0, 0.02, 0.035, 0.05)]
+    docs = frame(spark, texts)
+    expected = [plain_licenses(t, templates) for t in texts]
+    assert [r.licenses for r in license_scan.scan(docs, templates).orderBy("doc_id").collect()] == expected
+    assert 50 <= sum(x != "" for x in expected) < len(texts)
+    sets = license_scan.template_sets(spark, templates)
+    found = license_scan.windows(docs, sets.collect())
+    met = license_scan.retrieved(found, sets)
+    # The join is what retrieves: other minima meet nothing, and most windows and templates never meet.
+    other = sets.withColumn("shingles", F.transform("shingles", lambda h: h + 1))
+    assert license_scan.retrieved(found, other).count() == 0
+    assert 50 <= met.count() <= 4 * len(texts)
+
+
+def test_many_long_templates_take_seconds(spark):
+    r = random.Random(5)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    begun = time.monotonic()
+    assert license_scan.scan(docs, made_templates(r, 50, 60)).filter("n_licenses > 0").count() == 0
+    assert time.monotonic() - begun < 60
+
+
 def test_bands_reach_the_stated_probability():
     j = 0.8 / (2 + 0.2)
     assert (1 - j) ** license_scan.BANDS < 2e-8
