@@ -1,9 +1,10 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A text is read as clauses of classed words: insults, threats, targets, negation, reported speech. Small transducers, one each for
-negation scope, reported speech and target, are composed into one machine that reads a clause and gives
-its weight: an insult that is negated or reported weighs less, one aimed at somebody more, a threat counts
-only where it has a target. Single words are never scored outside their clause.
+A text is read as clauses of classed words: insults, threats, targets, negation, reported speech. Five small transducers, one for
+each class, are composed into one machine that reads a clause and gives its weight: an insult that is negated or reported
+weighs less, one aimed at somebody more, a threat counts only where it has a target, and words of one phrase ("stupid idiot")
+not in full each. A target may stand before or behind what is aimed at it: the target transducer guesses at the start whether one will
+come, and a path that guessed wrong is not accepted. Single words are never scored outside their clause.
 
 The insult lexicon has stated words and, for other languages and slang, words learned from labelled documents: those whose
 share of toxic documents is far above their share of others. A logistic curve over clause features, fitted
@@ -45,7 +46,7 @@ REPORTS = (
 ).split()
 
 NEGATION_SCOPE = 3
-NEGATED, REPORTED, TARGETED, UNTARGETED_THREAT, THREAT_WEIGHT = 0.1, 0.4, 1.25, 0.0, 4.0
+NEGATED, REPORTED, TARGETED, UNTARGETED_THREAT, SAME_PHRASE, THREAT_WEIGHT = 0.1, 0.4, 1.25, 0.0, 0.5, 4.0
 FEATURES = ("bias", "strongest", "log_total", "share")
 
 TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
@@ -53,42 +54,90 @@ CLAUSE_END = frozenset(".!?;:\n")
 
 
 class Transducer:
-    """Deterministic weighted transducer: (state, symbol) -> (state, factor); absent arcs stay in place, factor 1."""
+    """Weighted transducer: (state, symbol) -> the (state, factor) that may follow. A clause is read along all paths from a
+    start state, and counts on those that end in an accepted one."""
 
-    def __init__(self, start, arcs):
-        self.start, self._arcs = start, arcs
+    def __init__(self, starts, arcs, accepts=lambda state: True):
+        self.starts, self._arcs, self._accepts = tuple(starts), arcs, accepts
+        self._known: dict = {}
 
-    def step(self, state, symbol):
-        return self._arcs(state, symbol)
+    def step(self, state, symbol) -> list:
+        """The arcs, made when first needed."""
+        key = (state, symbol)
+        if key not in self._known:
+            self._known[key] = list(self._arcs(state, symbol))
+        return self._known[key]
+
+    def accepts(self, state) -> bool:
+        return self._accepts(state)
 
     def compose(self, other: Transducer) -> Transducer:
         """Both read the same symbols; the factors are multiplied."""
 
         def arcs(state, symbol):
-            a, x = self.step(state[0], symbol)
-            b, y = other.step(state[1], symbol)
-            return (a, b), x * y
+            for a, x in self.step(state[0], symbol):
+                for b, y in other.step(state[1], symbol):
+                    yield (a, b), x * y
+
+        starts = [(a, b) for a in self.starts for b in other.starts]
+        return Transducer(starts, arcs, lambda state: self.accepts(state[0]) and other.accepts(state[1]))
+
+    def weigh(self, clause: list[tuple[str, float]]) -> float:
+        """The largest weight that a path gives to (symbol, weight) words: the sum of weights times factors."""
+        reached = {state: 0.0 for state in self.starts}
+        for symbol, weight in clause:
+            after: dict = {}
+            for state, total in reached.items():
+                for state_, factor in self.step(state, symbol):
+                    value = total + weight * factor
+                    if value > after.get(state_, -1.0):
+                        after[state_] = value
+            reached = after
+        return max((total for state, total in reached.items() if self.accepts(state)), default=0.0)
+
+
+def _phrase_of(own: str):
+    """The state says whether the word before was of the class: the second word of a phrase adds less."""
 
-        return Transducer((self.start, other.start), arcs)
+    def arcs(state: int, symbol: str):
+        yield int(symbol == own), SAME_PHRASE if state and symbol == own else 1.0
+
+    return arcs
 
 
 def _negation(state: int, symbol: str):
     """The state counts the words for which a negation still holds."""
     if symbol == "N":
-        return NEGATION_SCOPE, 1.0
-    return max(state - 1, 0), NEGATED if state and symbol in "IT" else 1.0
+        yield NEGATION_SCOPE, 1.0
+    else:
+        yield max(state - 1, 0), NEGATED if state and symbol in "IT" else 1.0
 
 
 def _reported(state: int, symbol: str):
     """Reported speech lasts until the clause ends."""
-    return (1 if symbol == "R" or state else 0), REPORTED if state and symbol in "IT" else 1.0
+    yield (1 if symbol == "R" or state else 0), REPORTED if state and symbol in "IT" else 1.0
+
+
+# What the target transducer holds: there is no target in the clause, one is to come, there was one.
+NONE, TO_COME, SEEN = range(3)
 
 
 def _target(state: int, symbol: str):
-    return (1 if symbol == "Y" or state else 0), TARGETED if state and symbol in "IT" else 1.0
+    if symbol == "Y":
+        if state != NONE:
+            yield SEEN, 1.0
+    elif symbol in "IT":
+        yield state, TARGETED if state != NONE else UNTARGETED_THREAT if symbol == "T" else 1.0
+    else:
+        yield state, 1.0
 
 
-GRAMMAR = Transducer(0, _negation).compose(Transducer(0, _reported)).compose(Transducer(0, _target))
+INSULT = Transducer([0], _phrase_of("I"))
+THREAT = Transducer([0], _phrase_of("T"))
+TARGET = Transducer([NONE, TO_COME], _target, lambda state: state != TO_COME)
+NEGATION = Transducer([0], _negation)
+REPORT = Transducer([0], _reported)
+GRAMMAR = INSULT.compose(THREAT).compose(TARGET).compose(NEGATION).compose(REPORT)
 
 
 @dataclass
@@ -105,28 +154,10 @@ class Model:
         ):
             self.words.update({w: (symbol, weight) for w in listed})
         self.words.update({w: ("I", max(STATED_WEIGHT, self.learned.get(w, 0.0))) for w in INSULTS})
-        self._steps: dict = {}
-
-    def _step(self, state, symbol):
-        """Composed arcs, made when first needed."""
-        key = (state, symbol)
-        if key not in self._steps:
-            self._steps[key] = GRAMMAR.step(state, symbol)
-        return self._steps[key]
 
     def clause(self, tokens: list[str]) -> float:
         """Weight of a clause."""
-        state, total, aimed = GRAMMAR.start, 0.0, False
-        threat = 0.0
-        for token in tokens:
-            symbol, weight = self.words.get(token, ("o", 0.0))
-            state, factor = self._step(state, symbol)
-            aimed = aimed or symbol == "Y"
-            if symbol == "I":
-                total += weight * factor
-            elif symbol == "T":
-                threat += weight * factor
-        return total + threat * (1.0 if aimed else UNTARGETED_THREAT)
+        return GRAMMAR.weigh([self.words.get(token, ("o", 0.0)) for token in tokens])
 
     def features(self, text: str) -> tuple[float, float, float, int]:
         """(strongest clause, log of the sum over matched clauses, matched share of clauses, matched clauses)."""
@@ -230,8 +261,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, score, predicted, n_clauses (matched clauses).
 
-    Null and empty texts get the score of a text without matches. Repeated rows each keep their row, an
-    empty table gives none, other columns are ignored.
+    Null and empty texts get the score of a text without matches. Texts are read whole, whatever their length. Repeated rows
+    each keep their row, an empty table gives none, other columns are ignored.
     """
     prepare(docs.sparkSession)
     rows = docs.select(
