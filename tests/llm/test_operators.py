@@ -555,22 +555,83 @@ def test_bands_reach_the_stated_probability():
 
 
 def test_clauses():
-    model = toxicity.Model({"gronk": 6.0})
+    model = toxicity.Model({"gronk": 6.0, "snarl": 5.0})
     weight = lambda text: max(model.features(text)[0], 0.0)
     plain = weight("such a gronk")
     assert plain > 0 and weight("you gronk") > plain
+    assert weight("gronk that you are") == weight("you are a gronk") > plain  # a target on either side
     assert weight("not a gronk") < plain / 5 and weight("they are not at all in any way a gronk") > plain
     assert weight("she said he is a gronk") < weight("he is a gronk")
     assert weight("she said hello. he is a gronk") == weight("he is a gronk")  # the report ends with its clause
-    assert weight("kill the process") == 0 and weight("i will kill you") > 0 and weight("") == 0
+    assert weight("kill the process") == 0 and weight("i will kill you") == weight("you i will kill") > 0 and weight("") == 0
+    assert plain < weight("such a gronk snarl") < weight("such a gronk and a snarl")
+
+
+def plain_weight(clause):
+    """The five rules, each by its own words, on a clause of (symbol, weight)."""
+    total, symbols = 0.0, [x for x, _ in clause]
+    for i, (symbol, weight) in enumerate(clause):
+        if symbol not in ("I", "T"):
+            continue
+        aimed = "Y" in symbols
+        factor = (toxicity.TARGETED if aimed else 1.0) if symbol == "I" or aimed else 0.0
+        if "N" in symbols[max(0, i - 3) : i]:
+            factor *= toxicity.NEGATED
+        if "R" in symbols[:i]:
+            factor *= toxicity.REPORTED
+        if i and symbols[i - 1] == symbol:
+            factor *= toxicity.SAME_PHRASE
+        total += weight * factor
+    return total
+
+
+def all_paths(machine, clause):
+    """Every path that is accepted, walked one by one."""
+    def walk(state, at, total):
+        if at == len(clause):
+            return [total] if machine.accepts(state) else []
+        symbol, weight = clause[at]
+        return [x for after, factor in machine.step(state, symbol) for x in walk(after, at + 1, total + weight * factor)]
+
+    return [x for start in machine.starts for x in walk(start, 0, 0.0)]
+
+
+def test_the_composed_machine_equals_its_rules():
+    r = random.Random(12)
+    for _ in range(3000):
+        clause = [(x, r.choice([4.0, 5.0, 7.5]) if x in "IT" else 0.0) for x in r.choices("IIITTYNRoooo", k=r.randint(0, 9))]
+        paths = all_paths(toxicity.GRAMMAR, clause)
+        assert len(paths) == 1  # of the guesses about a target, one is right
+        assert toxicity.GRAMMAR.weigh(clause) == pytest.approx(max(paths)) == pytest.approx(plain_weight(clause))
 
 
 def test_composition_multiplies():
-    a, b = toxicity.Transducer(0, toxicity._negation), toxicity.Transducer(0, toxicity._reported)
-    both, state = a.compose(b), (0, 0)
+    both = toxicity.NEGATION.compose(toxicity.REPORT)
+    [state] = both.starts
     for symbol in "NR":
-        state, _ = both.step(state, symbol)
-    assert both.step(state, "I")[1] == toxicity.NEGATED * toxicity.REPORTED
+        [(state, _)] = both.step(state, symbol)
+    assert both.step(state, "I")[0][1] == toxicity.NEGATED * toxicity.REPORTED
+
+
+def test_the_grammar_tells_apart_what_a_lexicon_does_not():
+    """Clauses with the same words: aimed insults and threats, against negated, reported and aimless ones."""
+    r = random.Random(13)
+    insult, threat = lambda: r.choice(toxicity.INSULTS), lambda: r.choice(toxicity.THREATS[:8])
+    neutral = lambda: " ".join(r.choice("lamp river stone paper window garden".split()) for _ in range(r.randint(3, 9))) + "."
+    toxic = [lambda: f"you are a {insult()}.", lambda: f"{insult()}, that is what they are.", lambda: f"i will {threat()} you."]
+    clean = [lambda: f"nobody here is not a {insult()}.", lambda: f"the report said the word {insult()} twice.",
+             lambda: f"we had to {threat()} the process.", lambda: f"this is never {insult()}."]
+    texts = [(" ".join([neutral(), r.choice(kinds)(), neutral()]), y) for y, kinds in ((1, toxic), (0, clean)) for _ in range(300)]
+    model = toxicity.Model()
+    words = {w for w, (symbol, _) in model.words.items() if symbol in "IT"}
+
+    def auc(value):
+        good, bad = [[value(t) for t, y in texts if y == k] for k in (0, 1)]
+        return np.mean([(b > g) + 0.5 * (b == g) for b in bad for g in good])
+
+    grammar = auc(lambda t: model.score(model.features(t)[:3]))
+    lexicon = auc(lambda t: sum(w in words for w in re.findall(r"\w+", t)))
+    assert grammar > 0.97 and lexicon < 0.6
 
 
 def test_held_out_accuracy(spark):
