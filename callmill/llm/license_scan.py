@@ -198,13 +198,14 @@ def retrieved(found: DataFrame, sets: DataFrame) -> DataFrame:
     """(KEY, WINDOW, inside, license): the windows that share a band's minimum with a template of their size."""
     own = found.select("*", F.posexplode(_minima(F.col("inside"))).alias("band", "least"))
     theirs = sets.select("license", "words", "size", F.posexplode(_minima(F.col("shingles"))).alias("band", "least"))
-    met = own.join(theirs, ["words", "size", "band", "least"])
+    # BANDS rows a template, a list that the caller gives; Spark would rather send the windows, which are small in a file.
+    met = own.join(F.broadcast(theirs), ["words", "size", "band", "least"])
     return met.dropDuplicates([*KEY, *WINDOW, "license"]).select(*KEY, *WINDOW, "inside", "license")
 
 
 def verified(met: DataFrame, sets: DataFrame) -> DataFrame:
     """(KEY, license) of the windows that contain enough of their template."""
-    both = met.join(sets.select("license", "shingles"), "license")
+    both = met.join(F.broadcast(sets.select("license", "shingles")), "license")
     enough = 100 * F.size(F.array_intersect("inside", "shingles")) >= MIN_PERCENT * F.col("size")
     return both.filter(enough).select(*KEY, "license").distinct()
 
