@@ -567,7 +567,7 @@ def b2_undeclared_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def x5_bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with dates of many buckets, of which the second run rewrites some."""
-    return _rebuilt(spark, sf_dir, replace(_stores(spark, "x5-buckets"), bucket_rows=20))
+    return _rebuilt(spark, sf_dir, replace(_stores(spark, "x5-buckets"), bucket_rows=100))
 
 
 def x5_rebuild_across_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
