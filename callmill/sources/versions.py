@@ -152,10 +152,12 @@ def sweep(spark: SparkSession, root: str) -> None:
                 for b in part["buckets"]:
                     if (date, version, b) not in named:
                         files.remove(spark, folder(spark, root, date, version, b))
-        old = state_of(spark, root, number).ledger
-        if old is not None and old not in {state.ledger for state in kept}:
-            files.remove(spark, ledger_folder(root, old))
         files.remove(spark, _manifest(root, number))
+    # Lists of runs that died before they could publish are named by no state at all.
+    lists = {ledger_folder("", state.ledger).rsplit("/", 1)[1] for state in kept if state.ledger is not None}
+    for path in files.child_folders(spark, f"{root.rstrip('/')}/{LEDGERS}"):
+        if path.rsplit("/", 1)[1] not in lists:
+            files.remove(spark, path)
 
 
 def ledger_folder(root: str, version: str) -> str:

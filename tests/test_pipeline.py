@@ -222,6 +222,8 @@ def test_a_run_that_dies_at_any_step(spark, stores, monkeypatch, module, name, a
     # Nothing is left that no kept state names.
     found = {tuple(p.split("=", 1)[1] for p in path.split(os.sep)[-3:]) for path, _, names in os.walk(stores.staging) if "bucket=" in path and names}
     kept = [versions.state_of(spark, stores.staging, n) for n in versions.numbers(spark, stores.staging)]
+    lists = files.child_folders(spark, os.path.join(stores.staging, versions.LEDGERS))
+    assert {path.rsplit("=", 1)[1] for path in lists} == {state.ledger for state in kept if state.ledger}
     assert found == {(d, v, str(b)) for state in kept for d, e in state.dates.items() for v, part in e["parts"].items() for b in part["buckets"]}
 
 
