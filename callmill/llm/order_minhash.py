@@ -5,9 +5,10 @@ the three labelled k-mers with the least hashes and keeps them in text order: tw
 have them in the same order. At a similarity of 0.8 a sketch meets with a probability of about 0.8 ** 3, and all 24 miss with
 (1 - 0.512) ** 24 < 4e-8.
 
-Equal texts are one node from the start. Nodes that meet in a sketch form a bucket. A bucket is never expanded into all pairs:
+Equal texts are one node from the start. Nodes that meet in a sketch form a bucket. A bucket is not expanded into all pairs:
 its first node is compared with the others, and who is similar joins its class. Buckets whose nodes are then in one class
-are done. In the others, two nodes of different classes are only compared if they share one of their rarest k-mers.
+are done. In the others, two nodes of different classes are only compared if they share one of their rarest k-mers. That looks
+at k-mers and not at their order: texts made of the same parts in different orders are still compared pair by pair.
 
 Both steps leave out only what can't be similar. A similar pair shares at least 0.8 / 1.8 of both texts' k-mers, `a` together.
 So each must have `a` that some other candidate has, too; and of the k-mers they share, the rarest is among the `n - a + 1`
