@@ -7,13 +7,14 @@ have them in the same order. At a similarity of 0.8 a sketch meets with a probab
 
 Equal texts are one node from the start. Nodes that meet in a sketch form a bucket. A bucket is not expanded into all pairs:
 its first node is compared with the others, and who is similar joins its class. Buckets whose nodes are then in one class
-are done. In the others, two nodes of different classes are only compared if they share one of their rarest k-mers. That looks
-at k-mers and not at their order: texts made of the same parts in different orders are still compared pair by pair.
+are done. In the others, a node is looked at again if one of its rarest k-mers is among the rarest of a node of another class. Such
+nodes get long sketches: 14 k-mers in text order instead of three. Two nodes of different classes are compared if they meet
+in two of 600. Texts that are made of the same parts in different orders share their k-mers, but hardly ever 14 of them in one order.
 
-Both steps leave out only what can't be similar. A similar pair shares at least 0.8 / 1.8 of both texts' k-mers, `a` together.
+The bounds leave out only what can't be similar. A similar pair shares at least 0.8 / 1.8 of both texts' k-mers, `a` together.
 So each must have `a` that some other candidate has, too; and of the k-mers they share, the rarest is among the `n - a + 1`
 rarest of either. This rules out most comparisons: texts that only have a passage in common, and copies of one
-text with many changes of their own each.
+text with many changes of their own each. A pair of 0.8 meets in fewer than two long sketches with a probability below 1e-7.
 
 Two texts are similar if the aligned shingles are at least 0.8 of all: with `c` shingles in the longest common
 subsequence, c / (n + m - c) >= 0.8. That bounds how far an alignment strays from the diagonal, hence the band.
@@ -42,9 +43,24 @@ COUNTERS = 1 << 20
 # Nodes that are compared with one first node in one task.
 COMPARED = 500
 REMEMBERED = 500_000
+# Long sketches: how many, of how many k-mers, in how many of them two texts must meet.
+LONG_SKETCHES = 600
+LONG_TAKEN = 14
+MEETINGS = 2
+# From this size on, the k-mers of a long sketch are the least of one hash; below, each is the least of a hash of its own:
+# so few texts have that few k-mers that the least 14 of one hash would hold a changed one too often.
+LONG_SIZE = 128
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SEEDS = np.array([xxhash.xxh64_intdigest(f"sketch {j}") | 1 for j in range(SKETCHES)], np.uint64)
+
+
+def _seeds(name: str, n: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f"{name} {j}") | 1 for j in range(n)], np.uint64)
+
+
+_SEEDS = _seeds("sketch", SKETCHES)
+_LONG_SEEDS = _seeds("long", LONG_SKETCHES)
+_SHORT_SEEDS = _seeds("short", LONG_SKETCHES * LONG_TAKEN)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -91,24 +107,64 @@ def labelled(kmers: np.ndarray) -> np.ndarray:
     return out
 
 
+def _hashed(tagged: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """A row of hashes of all k-mers for each seed."""
+    hashed = (tagged[None, :] ^ seeds[:, None]) * seeds[:, None]
+    hashed ^= hashed >> np.uint64(32)
+    hashed *= _BASE
+    return hashed
+
+
+def _folded(seeds: np.ndarray, tagged: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """One hash per row of places: of the k-mers there, in text order."""
+    places.sort(axis=1)
+    out = seeds.copy()
+    for column in range(places.shape[1]):
+        out = _mixed(out * _BASE + tagged[places[:, column]])
+    return out
+
+
+def _least_of_one_hash(tagged: np.ndarray, seeds: np.ndarray, taken: int) -> np.ndarray:
+    n, taken = len(tagged), min(taken, len(tagged))
+    out = np.empty_like(seeds)
+    width = max(1, 1_000_000 // n)
+    for j in range(0, len(seeds), width):
+        some = seeds[j : j + width]
+        if taken < n:
+            places = np.argpartition(_hashed(tagged, some), taken - 1, axis=1)[:, :taken]
+        else:
+            places = np.tile(np.arange(n), (len(some), 1))
+        out[j : j + width] = _folded(some, tagged, places)
+    return out
+
+
 def sketches(kmers: np.ndarray) -> np.ndarray:
     """One hash per sketch: of the labelled k-mers with the least hashes, in text order."""
     if not len(kmers):
         return np.zeros(0, np.int64)
-    tagged = labelled(kmers)
-    n, taken = len(tagged), min(TAKEN, len(tagged))
-    out = _SEEDS.copy()
-    width = max(1, 1_000_000 // n)
-    for j in range(0, SKETCHES, width):
-        seeds = _SEEDS[j : j + width]
-        hashed = (tagged[None, :] ^ seeds[:, None]) * seeds[:, None]
-        hashed ^= hashed >> np.uint64(32)
-        hashed *= _BASE
-        places = np.argpartition(hashed, taken - 1, axis=1)[:, :taken] if taken < n else np.tile(np.arange(n), (len(seeds), 1))
-        places.sort(axis=1)
-        for column in range(taken):
-            out[j : j + width] = _mixed(out[j : j + width] * _BASE + tagged[places[:, column]])
-    return out.view(np.int64)
+    return _least_of_one_hash(labelled(kmers), _SEEDS, TAKEN).view(np.int64)
+
+
+def long_sketches(kmers: np.ndarray) -> np.ndarray:
+    """Hashes of the long sketches of a text's k-mers. Sizes that may meet either kind of text have both kinds of sketch.
+
+    Where a k-mer repeats, one repeat more or less moves the numbers of all later ones. So such a text has the sketches of its
+    different k-mers, in the order in which they first stand, besides.
+    """
+    if not len(kmers):
+        return np.zeros(0, np.int64)
+    places = np.unique(kmers, return_index=True)[1]
+    read = [labelled(kmers)]
+    if len(places) < len(kmers):
+        read.append(kmers[np.sort(places)])
+    out = []
+    for tagged in read:
+        if len(tagged) >= LONG_SIZE:
+            out.append(_least_of_one_hash(tagged, _LONG_SEEDS, LONG_TAKEN))
+        if len(tagged) <= LONG_SIZE / SIMILAR:
+            least = [_hashed(tagged, seeds).argmin(axis=1) for seeds in np.array_split(_SHORT_SEEDS, LONG_TAKEN)]
+            out.append(_folded(_SHORT_SEEDS[:LONG_SKETCHES], tagged, np.stack(least, axis=1)))
+    return np.unique(np.concatenate(out)).view(np.int64)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -186,33 +242,46 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rarest(shared):
+    """The rarest k-mers of each node that others may have, each with how many k-mers are as rare or more common."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            row, rest, kmer, lists = [], [], [], []
+            row, rest, kmer = [], [], [np.zeros(0, np.int64)]
             for r, mine in enumerate(_kmers_of(batch)):
                 n = counts[mine % np.uint64(COUNTERS)]
                 order = np.lexsort((mine, n))[: int((1 - SIMILAR) * len(mine)) + 2]
                 places = np.flatnonzero(n[order] > 1)  # a count of one is of this text alone
-                listed = mine[order[places]].view(np.int64)
+                places = places[len(mine) - places >= SIMILAR * len(mine) - 1e-9]
                 row += [r] * len(places)
                 rest += (len(mine) - places).tolist()
-                kmer.append(listed)
-                lists += [listed] * len(places)
+                kmer.append(mine[order[places]].view(np.int64))
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c).take(at) for c in ("_v", "_root", "_size")],
+                    *[batch.column(c).take(at) for c in ("_v", "_root")],
                     pa.array(rest, pa.int64()),
-                    pa.array(np.concatenate(kmer) if kmer else np.zeros(0, np.int64)),
-                    pa.array(lists, pa.list_(pa.int64())),
+                    pa.array(np.concatenate(kmer)),
                 ],
-                names=["_v", "_root", "_size", "_rest", "kmer", "_rarest"],
+                names=["_v", "_root", "_rest", "kmer"],
             )
 
     return run
 
 
+def _long_sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [long_sketches(shingles(t)) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+        at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[batch.column(c).take(at) for c in ("_v", "_root", "_size", "_rest")],
+                pa.array(np.concatenate([np.zeros(0, np.int64), *keys])),
+            ],
+            names=["_v", "_root", "_size", "_rest", "_key"],
+        )
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted: a first node's own row, then those to compare with it."""
     first = kmers = tagged = None
@@ -378,7 +447,7 @@ def _roots(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     labels = saved(_relabelled(labels, moved), "labels")
     done = leads.select("_key", F.col("_lead").alias("_v"))
     left = _undecided(_relabelled(active, moved).join(done, ["_key", "_v"], "left_anti"))
-    pairs = saved(_rare_pairs(left.select("_v", "_root", "_size").distinct(), texts), "pairs")
+    pairs = saved(_long_pairs(left.select("_v", "_root", "_size").distinct(), texts), "pairs")
     return _relabelled(labels, _joined(pairs, texts))
 
 
@@ -392,26 +461,35 @@ def _joined(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return saved(moved, "moved")
 
 
-def _rare_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(_lead, _v, _lead_root, _root): nodes of different classes that share one of the rarest k-mers of both."""
+def _long_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(_lead, _v, _lead_root, _root): nodes of different classes that meet in long sketches."""
     mine = saved(texts.select("_v", "_text").join(nodes, "_v"), "undecided")
     counter = F.expr(f"CAST(CAST(kmer AS BIGINT) & {COUNTERS - 1} AS INT)").alias("counter")
     listed = mine.select(F.col("_v.id").alias("_id"), "_text").mapInArrow(_listed, "kmer long, _id long")
     counted = listed.groupBy(counter).agg(F.count("*").alias("n")).toArrow()  # one row per counter at most
     counts = np.zeros(COUNTERS, np.int64)
     counts[counted.column("counter").to_numpy()] = counted.column("n").to_numpy()
-    schema = f"_v {NODE}, _root {NODE}, _size long, _rest long, kmer long, _rarest array<long>"
-    given = mine.select("_v", "_root", "_size", "_text")
-    rare = saved(given.mapInArrow(_rarest(nodes.sparkSession.sparkContext.broadcast(counts)), schema), "rare")
-    several = rare.groupBy("kmer").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a != _b")
-    rare = saved(rare.join(several.select("kmer"), "kmer"), "rare")
-    others = [F.col(c).alias(f"_lead{c}") for c in ("_root", "_size", "_rest", "_rarest")]
-    leads = rare.select("kmer", F.col("_v").alias("_lead"), *others)
-    # A pair comes out once, by the rarest k-mer that it shares.
-    rarest = F.col("kmer") == F.get(F.array_intersect("_rarest", "_lead_rarest"), 0)
+    given = mine.select("_v", "_root", "_text")
+    shared = nodes.sparkSession.sparkContext.broadcast(counts)
+    rare = saved(given.mapInArrow(_rarest(shared), f"_v {NODE}, _root {NODE}, _rest long, kmer long"), "rare")
+    several = _of_several_classes(rare, "kmer")
+    wanted = rare.join(several, "kmer").groupBy("_v").agg(F.max("_rest").alias("_rest"))
+    texts = mine.join(wanted, "_v").select("_v", "_root", "_size", "_rest", "_text")
+    schema = f"_v {NODE}, _root {NODE}, _size long, _rest long, _key long"
+    # A table of its own: a hot bucket is split where it is joined with itself.
+    met = saved(texts.mapInArrow(_long_sketched, schema), "long")
+    met = saved(met.join(_of_several_classes(met, "_key"), "_key"), "buckets")
+    leads = met.select("_key", *[F.col(c).alias("_lead" if c == "_v" else f"_lead{c}") for c in ("_v", "_root", "_size", "_rest")])
     shared = F.least("_rest", "_lead_rest") * (1 + SIMILAR) >= SIMILAR * (F.col("_size") + F.col("_lead_size")) - 1e-9
     apart = (F.col("_v") > F.col("_lead")) & (F.col("_root") != F.col("_lead_root"))
-    return rare.join(leads, "kmer").filter(apart & shared & rarest).select("_lead", "_v", "_lead_root", "_root")
+    found = met.join(leads, "_key").filter(apart & shared).groupBy("_lead", "_v", "_lead_root", "_root").agg(F.count("*").alias("n"))
+    return found.filter(F.col("n") >= MEETINGS).drop("n")
+
+
+def _of_several_classes(rows: DataFrame, key: str) -> DataFrame:
+    """The values of `key` that nodes of different classes have."""
+    classes = rows.groupBy(key).agg(F.min("_root").alias("_a"), F.max("_root").alias("_b"))
+    return classes.filter("_a != _b").select(key)
 
 
 def _undecided(active: DataFrame) -> DataFrame:
