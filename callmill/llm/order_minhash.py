@@ -473,15 +473,20 @@ def _long_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     shared = nodes.sparkSession.sparkContext.broadcast(counts)
     rare = saved(given.mapInArrow(_rarest(shared), f"_v {NODE}, _root {NODE}, _rest long, kmer long"), "rare")
     several = _of_several_classes(rare, "kmer")
-    wanted = rare.join(several, "kmer").groupBy("_v").agg(F.max("_rest").alias("_rest"))
+    wanted = rare.join(several, "kmer").groupBy("_v").agg(F.max("_rest").alias("_rest"), F.collect_set("kmer").alias("_rarest"))
+    wanted = saved(wanted, "wanted")
     texts = mine.join(wanted, "_v").select("_v", "_root", "_size", "_rest", "_text")
     schema = f"_v {NODE}, _root {NODE}, _size long, _rest long, _key long"
     # A table of its own: a hot bucket is split where it is joined with itself.
     met = saved(texts.mapInArrow(_long_sketched, schema), "long")
-    met = saved(met.join(_of_several_classes(met, "_key"), "_key"), "buckets")
-    leads = met.select("_key", *[F.col(c).alias("_lead" if c == "_v" else f"_lead{c}") for c in ("_v", "_root", "_size", "_rest")])
+    met = met.join(_of_several_classes(met, "_key"), "_key")
+    met = saved(met.join(wanted.select("_v", "_rarest"), "_v"), "buckets")
+    named = [F.col(c).alias("_lead" if c == "_v" else f"_lead{c}") for c in ("_v", "_root", "_size", "_rest", "_rarest")]
+    leads = met.select("_key", *named)
     shared = F.least("_rest", "_lead_rest") * (1 + SIMILAR) >= SIMILAR * (F.col("_size") + F.col("_lead_size")) - 1e-9
     apart = (F.col("_v") > F.col("_lead")) & (F.col("_root") != F.col("_lead_root"))
+    # Of the k-mers that a similar pair shares, the rarest is among the rarest of both.
+    apart = apart & F.arrays_overlap("_rarest", "_lead_rarest")
     found = met.join(leads, "_key").filter(apart & shared).groupBy("_lead", "_v", "_lead_root", "_root").agg(F.count("*").alias("n"))
     return found.filter(F.col("n") >= MEETINGS).drop("n")
 
