@@ -701,62 +701,6 @@ def test_chains_and_large_groups(spark):
     assert {got[i] for i in range(8)} == {0} and len({got[i] for i in range(48, 108)}) == 1
 
 
-def test_parts_in_other_orders_are_not_paired(spark, monkeypatch):
-    """Texts of the same parts in different orders share nearly all k-mers; a part of the pairs that grows no faster than
-    the texts is compared. Near copies of some of them are still found."""
-    r = random.Random(6)
-    parts = [" ".join(f"p{r.randrange(20_000)}" for _ in range(40)) for _ in range(12)]
-    texts = [" ".join(r.sample(parts, len(parts))) for _ in range(400)]
-    for i in range(20):
-        words = texts[i].split()
-        words[100 + i] = "changed"
-        texts.append(" ".join(words))
-    compared = []
-    verified = order_minhash._verified
-
-    def counted(pairs, rows):
-        compared.append(pairs.count())
-        return verified(pairs, rows)
-
-    monkeypatch.setattr(order_minhash, "_verified", counted)
-    for n in (200, 400):
-        compared.clear()
-        some = texts[:n] + texts[400:]
-        got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(frame(spark, some)).collect()}
-        assert got == {i: i if i < n else i - n for i in range(n + 20)}
-        # The second step. All pairs would be 24,000 and 88,000.
-        assert compared[1] <= n
-    few = texts[:12] + texts[400:412]
-    got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(frame(spark, few)).collect()}
-    assert got == brute.near_classes(list(enumerate(few)))
-
-
-def test_short_and_repeating_texts_meet_again(spark):
-    """Near copies that only the second step can pair: many classes of short texts, and texts of which lines repeat."""
-    r = random.Random(7)
-    base = [" ".join(f"b{r.randrange(900)}" for _ in range(16)) for _ in range(5)]
-    texts = []
-    for _ in range(10):
-        for words in (" ".join(r.sample(base, 5)), " ".join(x + " same line again and again here" for x in r.sample(base, 5))):
-            texts += [words, words + " end", "start " + words]
-    got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(frame(spark, texts)).collect()}
-    assert got == brute.near_classes(list(enumerate(texts)))
-
-
-def test_long_sketches_of_pairs_at_the_limit():
-    """Random pairs of the least similarity, of all sizes and with repeats, meet often enough."""
-    r = random.Random(8)
-    for size in (12, 40, 100, 127, 128, 159, 161, 300, 700):
-        for _ in range(6):
-            a = [r.randrange(10**9) for _ in range(size)]
-            b, changed = list(a), int(size / 9)
-            for i in r.sample(range(size), changed):
-                b[i] = r.randrange(10**9)
-            assert (size - changed) / (size + changed) >= 0.8
-            met = np.intersect1d(*[order_minhash.long_sketches(np.array(x, np.uint64)) for x in (a, b)])
-            assert len(met) >= order_minhash.MEETINGS
-
-
 @pytest.mark.parametrize("n", [1, 5, 60])
 def test_banded_alignment(n):
     r = random.Random(n)
