@@ -7,14 +7,19 @@ have them in the same order. At a similarity of 0.8 a sketch meets with a probab
 
 Equal texts are one node from the start. Nodes that meet in a sketch form a bucket. A bucket is not expanded into all pairs:
 its first node is compared with the others, and who is similar joins its class. Buckets whose nodes are then in one class
-are done. In the others, two nodes of different classes are only compared if they share one of their rarest k-mers. That looks
-at k-mers and not at their order: texts made of the same parts in different orders are still compared pair by pair.
+are done; in the others the next node is taken as the first one, a few times over. Of what is left, two nodes of different
+classes are only compared if they share one of their rarest k-mers and if enough of a sample of their k-mers stand in about the same place.
 
-Both steps leave out only what can't be similar. A similar pair shares at least 0.8 / 1.8 of both texts' k-mers, `a` together.
+The bounds leave out only what can't be similar. A similar pair shares at least 0.8 / 1.8 of both texts' k-mers, `a` together.
 So each must have `a` that some other candidate has, too; and of the k-mers they share, the rarest is among the `n - a + 1`
 rarest of either. This rules out most comparisons: texts that only have a passage in common, and copies of one
 text with many changes of their own each.
 
+Places rule out texts made of the same parts in different orders. What is aligned in a similar pair stands at most
+`n - a` places farther on in the text of `n` k-mers than in the other, and is 0.8 of all k-mers of both. So the k-mer with the least
+hash is the same in both, and as close, with a probability of 0.8 or more for each hash. (A k-mer that repeats in a text may stand
+anywhere.) Fewer than 160 of 256 hashes have such a one with a probability under 1e-9.
+
 Two texts are similar if the aligned shingles are at least 0.8 of all: with `c` shingles in the longest common
 subsequence, c / (n + m - c) >= 0.8. That bounds how far an alignment strays from the diagonal, hence the band.
 """
@@ -39,12 +44,24 @@ SIMILAR = 0.8
 LISTED = 100_000
 # Counters of k-mers: they set the order in which rare k-mers come first. Any order gives the same pairs in the end.
 COUNTERS = 1 << 20
+# How often the nodes of a bucket are compared with its first one, at most.
+ROUNDS = 4
+# Hashes that sample k-mers with their places, and how many of them must agree.
+PLACED = 256
+AGREED = 160
 # Nodes that are compared with one first node in one task.
 COMPARED = 500
 REMEMBERED = 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SEEDS = np.array([xxhash.xxh64_intdigest(f"sketch {j}") | 1 for j in range(SKETCHES)], np.uint64)
+
+
+def _seeds(name: str, n: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f"{name} {j}") | 1 for j in range(n)], np.uint64)
+
+
+_SEEDS = _seeds("sketch", SKETCHES)
+_PLACE_SEEDS = _seeds("place", PLACED)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -91,6 +108,14 @@ def labelled(kmers: np.ndarray) -> np.ndarray:
     return out
 
 
+def _hashed(tagged: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """A row of hashes of all k-mers for each seed."""
+    hashed = (tagged[None, :] ^ seeds[:, None]) * seeds[:, None]
+    hashed ^= hashed >> np.uint64(32)
+    hashed *= _BASE
+    return hashed
+
+
 def sketches(kmers: np.ndarray) -> np.ndarray:
     """One hash per sketch: of the labelled k-mers with the least hashes, in text order."""
     if not len(kmers):
@@ -101,16 +126,31 @@ def sketches(kmers: np.ndarray) -> np.ndarray:
     width = max(1, 1_000_000 // n)
     for j in range(0, SKETCHES, width):
         seeds = _SEEDS[j : j + width]
-        hashed = (tagged[None, :] ^ seeds[:, None]) * seeds[:, None]
-        hashed ^= hashed >> np.uint64(32)
-        hashed *= _BASE
-        places = np.argpartition(hashed, taken - 1, axis=1)[:, :taken] if taken < n else np.tile(np.arange(n), (len(seeds), 1))
+        places = np.argpartition(_hashed(tagged, seeds), taken - 1, axis=1)[:, :taken] if taken < n else np.tile(np.arange(n), (len(seeds), 1))
         places.sort(axis=1)
         for column in range(taken):
             out[j : j + width] = _mixed(out[j : j + width] * _BASE + tagged[places[:, column]])
     return out.view(np.int64)
 
 
+def placed(kmers: np.ndarray) -> np.ndarray:
+    """For each place seed the labelled k-mer with the least hash: 16 of its bits above, its place from 1 on below, or 0 if it repeats.
+
+    Places are counted in steps of size / 2 ** 15, rounded down, so that they fit.
+    """
+    if not len(kmers):
+        return np.zeros(0, np.int32)
+    tagged = labelled(kmers)
+    _, same, count = np.unique(kmers, return_inverse=True, return_counts=True)
+    steps = np.arange(len(kmers)) // max(1, len(kmers) >> 15) + 1
+    place = np.where(count[same] > 1, 0, steps).astype(np.uint32)
+    width = max(1, 1_000_000 // len(tagged))
+    at = np.concatenate(
+        [_hashed(tagged, _PLACE_SEEDS[j : j + width]).argmin(axis=1) for j in range(0, PLACED, width)]
+    )
+    return ((tagged[at] >> np.uint64(48)).astype(np.uint32) << np.uint32(16) | place[at]).view(np.int32)
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Multiset Jaccard similarity of two sequences with labelled repeats."""
     if not len(a) or not len(b):
@@ -186,11 +226,15 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rarest(shared):
+    """The rarest k-mers of each node that others may have, each with how many k-mers are as rare or more common, and all of them."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
-            row, rest, kmer, lists = [], [], [], []
-            for r, mine in enumerate(_kmers_of(batch)):
+            row, rest, kmer, lists, sampled = [], [], [], [], []
+            for r, text in enumerate(batch.column("_text").cast(pa.binary()).to_pylist()):
+                kmers = shingles(text)
+                mine = labelled(kmers) if len(kmers) else kmers
                 n = counts[mine % np.uint64(COUNTERS)]
                 order = np.lexsort((mine, n))[: int((1 - SIMILAR) * len(mine)) + 2]
                 places = np.flatnonzero(n[order] > 1)  # a count of one is of this text alone
@@ -199,6 +243,7 @@ def _rarest(shared):
                 rest += (len(mine) - places).tolist()
                 kmer.append(listed)
                 lists += [listed] * len(places)
+                sampled += [placed(kmers)] * len(places)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -206,8 +251,9 @@ def _rarest(shared):
                     pa.array(rest, pa.int64()),
                     pa.array(np.concatenate(kmer) if kmer else np.zeros(0, np.int64)),
                     pa.array(lists, pa.list_(pa.int64())),
+                    pa.array(sampled, pa.list_(pa.int32())),
                 ],
-                names=["_v", "_root", "_size", "_rest", "kmer", "_rarest"],
+                names=["_v", "_root", "_size", "_rest", "kmer", "_rarest", "_placed"],
             )
 
     return run
@@ -366,18 +412,23 @@ def _roots(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     labels = supported.select("_v", F.col("_v").alias("_root"))
     active = _undecided(met.join(supported, "_id").select("_key", "_v", "_size", "_others", F.col("_v").alias("_root")))
     settled(rows.sparkSession)
-    leads = _leads(active)
-    pairs = saved(
-        active.join(leads, "_key")
-        .filter((F.col("_v") > F.col("_lead")) & _may_be_similar())
-        .select("_lead", "_v", F.col("_lead").alias("_lead_root"), "_root")
-        .distinct(),
-        "pairs",
-    )
-    moved = _joined(pairs, texts)
-    labels = saved(_relabelled(labels, moved), "labels")
-    done = leads.select("_key", F.col("_lead").alias("_v"))
-    left = _undecided(_relabelled(active, moved).join(done, ["_key", "_v"], "left_anti"))
+    left = active
+    for _ in range(ROUNDS):
+        leads = _leads(left)
+        apart = (F.col("_v") > F.col("_lead")) & (F.col("_root") != F.col("_lead_root"))
+        pairs = saved(
+            left.join(leads, "_key")
+            .filter(apart & _may_be_similar())
+            .select("_lead", "_v", "_lead_root", "_root")
+            .distinct(),
+            "pairs",
+        )
+        moved = _joined(pairs, texts)
+        labels = saved(_relabelled(labels, moved), "labels")
+        done = leads.select("_key", F.col("_lead").alias("_v"))
+        left = _undecided(_relabelled(left, moved).join(done, ["_key", "_v"], "left_anti"))
+        if moved.isEmpty() or left.isEmpty():
+            break
     pairs = saved(_rare_pairs(left.select("_v", "_root", "_size").distinct(), texts), "pairs")
     return _relabelled(labels, _joined(pairs, texts))
 
@@ -393,25 +444,40 @@ def _joined(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _rare_pairs(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(_lead, _v, _lead_root, _root): nodes of different classes that share one of the rarest k-mers of both."""
+    """(_lead, _v, _lead_root, _root): nodes of different classes that share one of the rarest k-mers of both, in about the same places."""
     mine = saved(texts.select("_v", "_text").join(nodes, "_v"), "undecided")
     counter = F.expr(f"CAST(CAST(kmer AS BIGINT) & {COUNTERS - 1} AS INT)").alias("counter")
     listed = mine.select(F.col("_v.id").alias("_id"), "_text").mapInArrow(_listed, "kmer long, _id long")
     counted = listed.groupBy(counter).agg(F.count("*").alias("n")).toArrow()  # one row per counter at most
     counts = np.zeros(COUNTERS, np.int64)
     counts[counted.column("counter").to_numpy()] = counted.column("n").to_numpy()
-    schema = f"_v {NODE}, _root {NODE}, _size long, _rest long, kmer long, _rarest array<long>"
+    schema = f"_v {NODE}, _root {NODE}, _size long, _rest long, kmer long, _rarest array<long>, _placed array<int>"
     given = mine.select("_v", "_root", "_size", "_text")
     rare = saved(given.mapInArrow(_rarest(nodes.sparkSession.sparkContext.broadcast(counts)), schema), "rare")
     several = rare.groupBy("kmer").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a != _b")
     rare = saved(rare.join(several.select("kmer"), "kmer"), "rare")
-    others = [F.col(c).alias(f"_lead{c}") for c in ("_root", "_size", "_rest", "_rarest")]
+    others = [F.col(c).alias(f"_lead{c}") for c in ("_root", "_size", "_rest", "_rarest", "_placed")]
     leads = rare.select("kmer", F.col("_v").alias("_lead"), *others)
     # A pair comes out once, by the rarest k-mer that it shares.
     rarest = F.col("kmer") == F.get(F.array_intersect("_rarest", "_lead_rarest"), 0)
     shared = F.least("_rest", "_lead_rest") * (1 + SIMILAR) >= SIMILAR * (F.col("_size") + F.col("_lead_size")) - 1e-9
     apart = (F.col("_v") > F.col("_lead")) & (F.col("_root") != F.col("_lead_root"))
-    return rare.join(leads, "kmer").filter(apart & shared & rarest).select("_lead", "_v", "_lead_root", "_root")
+    found = rare.join(leads, "kmer").filter(apart & shared & rarest & _agreed())
+    return found.select("_lead", "_v", "_lead_root", "_root")
+
+
+def _agreed() -> Column:
+    """Enough of the sampled k-mers are the same and no farther apart than aligned ones can be."""
+    need = SIMILAR * (F.col("_size") + F.col("_lead_size")) / (1 + SIMILAR) - 1e-9
+    step, lead_step = (F.greatest(F.lit(1), F.shiftright(c, 15)) for c in ("_size", "_lead_size"))
+
+    def agree(x: Column, y: Column) -> Column:
+        a, b = x.bitwiseAND(0xFFFF), y.bitwiseAND(0xFFFF)
+        ahead = a * step - b * lead_step
+        near = ahead.between(need - F.col("_lead_size") - step, F.col("_size") - need + lead_step)
+        return (F.shiftrightunsigned(x.bitwiseXOR(y), 16) == 0) & ((a == 0) | (b == 0) | near)
+
+    return F.size(F.filter(F.zip_with("_placed", "_lead_placed", agree), lambda same: same)) >= AGREED
 
 
 def _undecided(active: DataFrame) -> DataFrame:
@@ -430,10 +496,11 @@ def _undecided(active: DataFrame) -> DataFrame:
 
 def _leads(active: DataFrame) -> DataFrame:
     """The first node of each bucket, with what is known of it."""
-    least = active.groupBy("_key").agg(F.min(F.struct("_v", "_size", "_others")).alias("_least"))
+    least = active.groupBy("_key").agg(F.min(F.struct("_v", "_root", "_size", "_others")).alias("_least"))
     return least.select(
         "_key",
         F.col("_least._v").alias("_lead"),
+        F.col("_least._root").alias("_lead_root"),
         F.col("_least._size").alias("_lead_size"),
         F.col("_least._others").alias("_lead_others"),
     )

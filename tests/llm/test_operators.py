@@ -701,6 +701,78 @@ def test_chains_and_large_groups(spark):
     assert {got[i] for i in range(8)} == {0} and len({got[i] for i in range(48, 108)}) == 1
 
 
+def test_parts_in_other_orders_are_not_paired(spark, monkeypatch):
+    """Texts of the same parts in different orders share nearly all k-mers; fewer pairs than
+    texts are compared. Near copies of some of them are still found."""
+    r = random.Random(6)
+    parts = [" ".join(f"p{r.randrange(20_000)}" for _ in range(40)) for _ in range(12)]
+    texts = [" ".join(r.sample(parts, len(parts))) for _ in range(400)]
+    for i in range(20):
+        words = texts[i].split()
+        words[100 + i] = "changed"
+        texts.append(" ".join(words))
+    compared = []
+    verified = order_minhash._verified
+
+    def counted(pairs, rows):
+        compared.append(pairs.count())
+        return verified(pairs, rows)
+
+    monkeypatch.setattr(order_minhash, "_verified", counted)
+    for n in (100, 300):
+        compared.clear()
+        some = texts[:n] + texts[400:]
+        got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(frame(spark, some)).collect()}
+        assert got == {i: i if i < n else i - n for i in range(n + 20)}
+        # The last step. All pairs would be 7,000 and 51,000.
+        assert compared[-1] <= n
+    few = texts[:12] + texts[400:412]
+    got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(frame(spark, few)).collect()}
+    assert got == brute.near_classes(list(enumerate(few)))
+
+
+def test_short_and_repeating_texts_meet_again(spark):
+    """Near copies beside many unlike texts of the same lines: many classes of short texts, and texts of which lines repeat."""
+    r = random.Random(7)
+    base = [" ".join(f"b{r.randrange(900)}" for _ in range(16)) for _ in range(5)]
+    texts = []
+    for _ in range(10):
+        for words in (" ".join(r.sample(base, 5)), " ".join(x + " same line again and again here" for x in r.sample(base, 5))):
+            texts += [words, words + " end", "start " + words]
+    got = {x.doc_id: x.class_id for x in order_minhash.near_duplicates(frame(spark, texts)).collect()}
+    assert got == brute.near_classes(list(enumerate(texts)))
+
+
+def test_places_of_pairs_at_the_limit_agree(spark):
+    """Random pairs of the least similarity, of all sizes, with repeats and with their changes at one end, pass the bound on places;
+    moved halves don't."""
+    r = random.Random(8)
+    rows, wanted = [], []
+
+    def pair(a, b, similar):
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        assert (order_minhash.aligned(x, y) >= order_minhash.SIMILAR) == similar
+        sampled = [order_minhash.placed(k).tolist() for k in (x, y)]
+        rows.append((len(rows), len(a), len(b), *sampled))
+        wanted.append(similar)
+
+    for size in (5, 12, 40, 100, 300, 2000, 70_000):
+        for kinds in (10**9, max(2, size // 3)):
+            a = [r.randrange(kinds) for _ in range(size)]
+            changed = int(size / 9)
+            at = r.sample(range(size), changed)
+            pair(a, [10**9 + i if i in set(at) else x for i, x in enumerate(a)] if size < 70_000 else a, True)
+            cut = size // 5 if size >= 5 else 0
+            pair(a, a[cut:], True)
+            pair(a[cut:], a, True)
+        if size >= 40:
+            a = [r.randrange(10**9) for _ in range(size)]
+            pair(a, a[size // 2 :] + a[: size // 2], False)
+    schema = "n int, _size long, _lead_size long, _placed array<int>, _lead_placed array<int>"
+    kept = {x.n for x in spark.createDataFrame(rows, schema).filter(order_minhash._agreed()).collect()}
+    assert kept == {n for n, similar in enumerate(wanted) if similar}
+
+
 @pytest.mark.parametrize("n", [1, 5, 60])
 def test_banded_alignment(n):
     r = random.Random(n)
