@@ -426,7 +426,8 @@ def _roots(rows: DataFrame, nodes: DataFrame) -> DataFrame:
         moved = _joined(pairs, texts)
         labels = saved(_relabelled(labels, moved), "labels")
         done = leads.select("_key", F.col("_lead").alias("_v"))
-        left = _undecided(_relabelled(left, moved).join(done, ["_key", "_v"], "left_anti"))
+        # A table of its own: what follows reads it several times.
+        left = _undecided(saved(_relabelled(left, moved).join(done, ["_key", "_v"], "left_anti"), "left"))
         if moved.isEmpty() or left.isEmpty():
             break
     pairs = saved(_rare_pairs(left.select("_v", "_root", "_size").distinct(), texts), "pairs")
