@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,17 +180,28 @@ def prepare(spark: SparkSession, sf_dir: str) -> None:
     _PREPARED[sf_dir] = path
 
 
+# Events whose documents one task makes.
+EVENTS_A_TASK = 100_000
+
+
+def _dealt(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """The events over as many tasks as they are worth: a document takes far longer to make and to read than its event, and
+    a table may lie in one row group, which one task reads."""
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(events.count() / EVENTS_A_TASK))
+    return events.repartition(tasks, *events.columns)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, copy, event_date (text) and body (NULL where a request had none)."""
     if sf_dir in _PREPARED:
         return spark.read.parquet(_PREPARED[sf_dir])
-    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    events = _dealt(spark, table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     copied = events.withColumn(
         "copy", F.explode(F.expr(f"CASE WHEN {COPIES} THEN array(0, 1) ELSE array(0) END"))
     )
-    return copied.selectExpr(
-        "event_id", "copy", "CAST(to_date(ts) AS STRING) AS event_date", f"{_document_sql()} AS body"
-    )
+    # A filter on the body stays above its making; pushed below, it would make every document a second time.
+    made = F.expr(f"array(named_struct('body', {_document_sql()}))")
+    return copied.select("event_id", "copy", F.expr("CAST(to_date(ts) AS STRING) AS event_date"), F.inline(made))
 
 
 def spend_days(spark: SparkSession, sf_dir: str) -> DataFrame:
