@@ -58,12 +58,14 @@ def flatten_documents(documents: DataFrame, text: str = "body", sep: str = "_")
         if opened.isEmpty():
             break
     leaves = reduce(DataFrame.unionByName, levels)
-    last = leaves.groupBy("row", "leaf").agg(F.max_by("value", "at").alias("value"))
+    # Dealt by document, for the grouping and the join alike.
+    last = leaves.repartition("row").groupBy("row", "leaf").agg(F.max_by("value", "at").alias("value"))
     return own.select("row", *kept).join(last, "row")
 
 
 def _opened(objects: DataFrame, sep: str) -> DataFrame:
-    """One level down: (row, leaf, at, value, raw) of every key; raw is the text of what is an object itself."""
+    """One level down: (row, leaf, at, value, raw) of every key; raw is the text of what is an object itself, which has no
+    value."""
     # Keys in the order of the text, which VARIANT does not keep; values of a repeated key from VARIANT, which keeps the last.
     keyed = objects.selectExpr(
         "row",
@@ -73,16 +75,28 @@ def _opened(objects: DataFrame, sep: str) -> DataFrame:
         "try_variant_get(try_parse_json(raw), '$', 'map<string, variant>') AS parsed",
         "map_entries(from_json(raw, 'map<string, string>')) AS texts",
     ).where("parsed IS NOT NULL")
-    each = keyed.select("*", F.posexplode("keys").alias("i", "key")).where("array_position(keys, key) = i + 1")
+    places = F.filter(
+        F.transform("keys", lambda key, i: F.struct(i.alias("i"), key.alias("key"))),
+        lambda place: F.array_position("keys", place["key"]) == place["i"] + 1,
+    )
+
+    def entry(place: Column) -> Column:
+        value = F.col("parsed")[place["key"]]
+        text = F.element_at(F.filter("texts", lambda entry: entry["key"] == place["key"]), -1)["value"]
+        return F.struct(
+            *(place["i"].alias("i"), place["key"].alias("key"), value.alias("value")),
+            F.when(K.is_object(value), text).alias("raw"),
+        )
+
+    # What a key needs is taken before the keys become rows: none of those carries the whole object along.
+    each = keyed.select("row", "parent", "above", F.inline(F.transform(places, entry)))
     name = F.when(F.col("parent") == "", F.col("key")).otherwise(F.concat("parent", F.lit(sep), "key"))
-    value = F.col("parsed")[F.col("key")]
-    text = F.element_at(F.filter("texts", lambda entry: entry["key"] == F.col("key")), -1)["value"]
     return each.select(
         "row",
         name.alias("leaf"),
         F.concat("above", F.array("i")).alias("at"),
-        F.to_json(value).alias("value"),
-        F.when(K.is_object(value), text).alias("raw"),
+        F.when(F.col("raw").isNull(), F.to_json("value")).alias("value"),
+        "raw",
     )
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callmill.functions import calendar, ratios
+from callmill.operators import flatten as flatten_step
 from callmill.operators.dedup import best_per_key
 from callmill.operators.flatten import flatten
 from callmill.plans import curated, marts
@@ -220,3 +221,15 @@ def test_employees_take_the_latest_name(spark):
     assert rows_of(curated.employees(df)) == [("u1", "New"), ("u2", "Only"), ("u3", None)]
     members = curated.memberships(df.withColumn("event", F.lit("e")))
     assert members.count() == 7
+
+
+def test_opened_objects_are_not_written_twice(spark):
+    """An object goes on to the next level as its text; its JSON besides would be written for nothing."""
+    raw = '{"b":1,"a":{"x":"y"},"b":2,"c":[{"z":1}]}'
+    opened = spark.createDataFrame([(7, "p", [3], raw)], "row bigint, leaf string, at array<int>, raw string")
+    found = flatten_step._opened(opened, "_").orderBy("leaf").collect()
+    assert [tuple(row) for row in found] == [
+        (7, "p_a", [3, 1], None, '{"x":"y"}'),
+        (7, "p_b", [3, 0], "2", None),
+        (7, "p_c", [3, 3], '[{"z":1}]', None),
+    ]
