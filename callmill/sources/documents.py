@@ -24,6 +24,8 @@ class Layout:
 FILES = Layout(".json", per_file=True)
 # One document per line of larger files, as the landing writer packs them; splittable.
 LINES = Layout(".txt", per_file=False)
+# The same, compressed: a tenth of the disk. One task reads a file, so files must be of moderate size.
+GZIPPED = Layout(".txt.gz", per_file=False)
 
 ARRIVAL = "ingest_date"
 

@@ -83,15 +83,18 @@ def _stores(spark: SparkSession, label: str, table: str | None = None) -> daily.
 
 
 def _arrive(rows: DataFrame, root: str, date: str = "event_date") -> None:
-    """Land documents as if they had arrived on their own date."""
+    """Land documents as if they had arrived on their own date, many to a compressed file."""
     dated = rows.select(F.col(date).alias(documents.ARRIVAL), documents.one_line(F.col("body")).alias("value"))
-    dated.hint("rebalance", documents.ARRIVAL).write.mode("append").partitionBy(documents.ARRIVAL).text(root)
+    dealt = dated.hint("rebalance", documents.ARRIVAL)
+    # The fastest level: a better one takes more time than the bytes that it saves are worth.
+    packed = dealt.write.mode("append").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    packed.partitionBy(documents.ARRIVAL).text(root)
 
 
 def _ran(spark: SparkSession, sf_dir: str, label: str, mode: str = daily.REBUILD) -> daily.Stores:
     stores = _stores(spark, label)
     _arrive(_with_body(spark, sf_dir), stores.raw)
-    daily.run_daily(spark, stores, documents.LINES, mode)
+    daily.run_daily(spark, stores, documents.GZIPPED, mode)
     return stores
 
 
@@ -113,7 +116,7 @@ def _snapshot_root(spark: SparkSession, sf_dir: str, label: str) -> str:
 def a1_json_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "a1")
     _arrive(_with_body(spark, sf_dir), stores.raw)
-    read = intake.read_event_types(documents.bodies(spark, stores.raw, documents.LINES))
+    read = intake.read_event_types(documents.bodies(spark, stores.raw, documents.GZIPPED))
     return _count(read, "event_type", "fault")
 
 
@@ -145,7 +148,7 @@ def a4_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "a4-stream")
     _arrive(_with_body(spark, sf_dir), f"{root}/requests")
     land_stream(
-        spark, f"{root}/requests", f"{root}/raw", f"{root}/checkpoint", ALLOWED, documents.LINES
+        spark, f"{root}/requests", f"{root}/raw", f"{root}/checkpoint", ALLOWED, documents.GZIPPED
     ).awaitTermination()
     return _landed(spark, f"{root}/raw")
 
@@ -221,11 +224,11 @@ def a12_landed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a13_folder_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "a13")
     _arrive(_with_body(spark, sf_dir), stores.raw)
-    return _count(documents.raw_documents(spark, stores.raw, documents.LINES), "event_date")
+    return _count(documents.raw_documents(spark, stores.raw, documents.GZIPPED), "event_date")
 
 
 def a14_suffix_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first copies land as .json, the others as .txt; only .json is read."""
+    """The first copies land as .json, the others as .txt.gz; only .json is read."""
     stores = _stores(spark, "a14")
     rows = _with_body(spark, sf_dir)
     _arrive(rows.where("copy = 1"), stores.raw)
@@ -240,11 +243,11 @@ def a14_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "a14-new")
     rows = _with_body(spark, sf_dir)
     _arrive(rows.where("copy = 0"), stores.raw)
-    daily.run_daily(spark, stores, documents.LINES)
+    daily.run_daily(spark, stores, documents.GZIPPED)
     _arrive(rows.where("copy = 1"), stores.raw)
     state = versions.current(spark, stores.staging)
-    found = ledger.compare(spark, stores.staging, state.ledger, stores.raw, documents.LINES)
-    return _count(documents.pending_documents(spark, stores.raw, documents.LINES, found.fresh), "event_date")
+    found = ledger.compare(spark, stores.staging, state.ledger, stores.raw, documents.GZIPPED)
+    return _count(documents.pending_documents(spark, stores.raw, documents.GZIPPED, found.fresh), "event_date")
 
 
 def a15_parse_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,7 +262,7 @@ def a16_empty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         "arrived", F.when(F.col("body") == "not json", "unreadable").otherwise(F.col("event_date"))
     )
     _arrive(rows, stores.raw, "arrived")
-    daily.run_daily(spark, stores, documents.LINES)
+    daily.run_daily(spark, stores, documents.GZIPPED)
     return tables.read_staging(spark, stores.staging).select("event_date").distinct()
 
 
@@ -276,7 +279,7 @@ def a18_partition_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a18_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: a second run over the same files adds its rows again."""
     stores = _ran(spark, sf_dir, "a18-append", daily.APPEND)
-    daily.run_daily(spark, stores, documents.LINES, daily.APPEND)
+    daily.run_daily(spark, stores, documents.GZIPPED, daily.APPEND)
     return _count(tables.read_staging(spark, stores.staging), "event_date", name="bookings")
 
 
@@ -285,7 +288,7 @@ def a19_registered_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = f"events_{root[-32:]}"
     stores = daily.Stores(f"{root}/raw", f"{root}/staging", f"{root}/quarantine", f"{root}/work", table)
     _arrive(_with_body(spark, sf_dir), stores.raw)
-    daily.run_daily(spark, stores, documents.LINES)
+    daily.run_daily(spark, stores, documents.GZIPPED)
     tables.register_all(spark, table)  # finds nothing new
     return spark.sql(f"SHOW PARTITIONS {table}")
 
@@ -295,7 +298,7 @@ def a20_consume_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "a20")
     _arrive(_with_body(spark, sf_dir), stores.raw)
     for _ in range(2):
-        daily_stream(spark, stores, f"{stores.work}-checkpoint", documents.LINES, daily.APPEND).awaitTermination()
+        daily_stream(spark, stores, f"{stores.work}-checkpoint", documents.GZIPPED, daily.APPEND).awaitTermination()
     return _count(tables.read_staging(spark, stores.staging), "event_date", name="bookings")
 
 
@@ -303,7 +306,7 @@ def a20_repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append mode: a batch that comes again after its rows were published adds nothing."""
     stores = _stores(spark, "a20-repeated")
     _arrive(_with_body(spark, sf_dir), stores.raw)
-    rows = documents.raw_documents(spark, stores.raw, documents.LINES)
+    rows = documents.raw_documents(spark, stores.raw, documents.GZIPPED)
     for _ in range(2):
         daily.ingest(spark, rows, stores, "stream-0", daily.APPEND)
     return _count(tables.read_staging(spark, stores.staging), "event_date", name="bookings")
@@ -325,7 +328,7 @@ FLATTENED = """payload struct<event: string, no_show: struct<uri: string>, track
 def b2_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     stores = _stores(spark, "b2")
     _arrive(_with_body(spark, sf_dir), stores.raw)
-    flat = flatten(spark.read.schema(FLATTENED).json(stores.raw, pathGlobFilter="*.txt", recursiveFileLookup=True))
+    flat = flatten(spark.read.schema(FLATTENED).json(stores.raw, pathGlobFilter="*.txt.gz", recursiveFileLookup=True))
     return flat.select(
         "payload_event",
         "payload_no_show_uri",
@@ -490,7 +493,7 @@ def _from_states(spark: SparkSession, sf_dir: str, label: str) -> marts.Curated:
     rows = _accepted(spark, sf_dir)
     for copy in (0, 1):
         _arrive(rows.where(F.col("copy") == copy), stores.raw)
-        daily.run_daily(spark, stores, documents.LINES)
+        daily.run_daily(spark, stores, documents.GZIPPED)
         found = states.renew(spark, stores.staging, landed, f"{stores.work}-states")
     return states.curate(spark, found, fixtures.channels(spark))
 
@@ -499,7 +502,7 @@ def _pipeline(spark: SparkSession, sf_dir: str, label: str) -> marts.Curated:
     """Intake, landing, the daily job, then the curated tables of what it stored."""
     stores = _stores(spark, label)
     _arrive(_accepted(spark, sf_dir), stores.raw)
-    daily.run_daily(spark, stores, documents.LINES)
+    daily.run_daily(spark, stores, documents.GZIPPED)
     stored = tables.read_staging(spark, stores.staging)
     return curated.curate(stored, fixtures.channels(spark), fixtures.spends(spark, sf_dir))
 
@@ -556,7 +559,7 @@ def m9_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x4_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refusals after two runs over the same files."""
     stores = _ran(spark, sf_dir, "x4")
-    daily.run_daily(spark, stores, documents.LINES)
+    daily.run_daily(spark, stores, documents.GZIPPED)
     return daily.quarantine_reasons(daily.read_quarantine(spark, stores))
 
 
@@ -579,7 +582,7 @@ def _rebuilt(spark: SparkSession, sf_dir: str, stores: daily.Stores) -> DataFram
     rows = _with_body(spark, sf_dir)
     for copy in (0, 1):
         _arrive(rows.where(F.col("copy") == copy), stores.raw)
-        daily.run_daily(spark, stores, documents.LINES)
+        daily.run_daily(spark, stores, documents.GZIPPED)
     return tables.read_staging(spark, stores.staging).select(*_plain_columns(), "event_date")
 
 

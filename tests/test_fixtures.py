@@ -5,7 +5,8 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from checks import fixtures
+from callmill.sources import documents, ledger
+from checks import fixtures, queries
 
 
 @pytest.fixture
@@ -48,3 +49,18 @@ def test_no_event_is_lost_or_repeated(spark, sf_dir):
     twice = {(row.event_id, row["copy"]) for row in found if row["count"] > 1}
     assert twice == {(10, 0), (10, 1), (12, 0)}
     assert made.where("event_id = 97").first().body is None
+
+
+def test_arrivals_land_compressed_and_read_back_whole(spark, tmp_path):
+    bodies = [(f"2024-01-0{1 + i % 3}", f'{{"payload":{{"event":"e{i}","name":"{"First Last " * 20}é"}}}}') for i in range(300)]
+    rows = spark.createDataFrame(bodies, "event_date string, body string")
+    root = str(tmp_path / "raw")
+    for part in (rows, rows.limit(5)):
+        queries._arrive(part, root)
+    names = [path for path in (tmp_path / "raw").rglob("part-*")]
+    assert names and all(path.name.endswith(".txt.gz") for path in names)
+    assert sum(path.stat().st_size for path in names) * 4 < sum(len(body) for _, body in bodies)
+    read = documents.raw_documents(spark, root, documents.GZIPPED).select("event_date", "body").collect()
+    assert sorted(map(tuple, read)) == sorted(bodies + [tuple(row) for row in rows.limit(5).collect()])
+    listed = ledger.listing(spark, root, documents.GZIPPED)
+    assert listed.count() == len(names)
