@@ -306,6 +306,23 @@ def test_a_date_that_outgrows_its_buckets_is_split_anew(spark, stores):
     assert len(entry["parts"]) == 1
 
 
+def test_many_buckets_are_listed_by_few_tasks(spark, tmp_path):
+    """A listing task of its own for each folder takes far longer than the folder."""
+    root, sc = str(tmp_path / "staging"), spark.sparkContext
+    rows = spark.range(300).selectExpr("'e' AS event", "'2024-01-01' AS event_date", "'v' AS version", "CAST(id AS INT) AS bucket")
+    rows.coalesce(1).write.partitionBy("event_date", "version", "bucket").parquet(root)
+    sc.setJobGroup("many-buckets", "many buckets")
+    try:
+        found = versions.counted(spark, root, "v", ["2024-01-01"])
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert found == {"2024-01-01": {bucket: 1 for bucket in range(300)}}
+    tracker = sc.statusTracker()
+    jobs_run = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("many-buckets")]
+    sizes = [tracker.getStageInfo(stage).numTasks for job in jobs_run for stage in job.stageIds]
+    assert sizes and max(sizes) <= 64
+
+
 @pytest.fixture
 def fast(monkeypatch):
     monkeypatch.setattr(lease, "LEASE", timedelta(seconds=1.5))
