@@ -92,8 +92,11 @@ def move(spark: SparkSession, source: str, target: str) -> None:
 def create_new(spark: SparkSession, path: str, text: str = "") -> bool:
     """Write a small file unless it is there; whether this call wrote it."""
     file_system, hadoop_path = _open(spark, path)
+    local = hadoop_path.toUri().getScheme() == "file"
+    if local and not _claimed(file_system, hadoop_path):
+        return False
     try:
-        out = file_system.create(hadoop_path, False)
+        out = file_system.create(hadoop_path, local)
     except Py4JJavaError:
         if file_system.exists(hadoop_path):
             return False
@@ -103,6 +106,17 @@ def create_new(spark: SparkSession, path: str, text: str = "") -> bool:
     return True
 
 
+def _claimed(file_system, hadoop_path) -> bool:
+    """Hadoop's local file system looks and then creates, so two callers at once may both create; the machine's own
+    exclusive open lets one."""
+    file_system.mkdirs(hadoop_path.getParent())
+    try:
+        open(hadoop_path.toUri().getPath(), "x").close()
+    except FileExistsError:
+        return False
+    return True
+
+
 def put_new(spark: SparkSession, path: str, text: str) -> bool:
     """Put a small file in one step unless one is there: readers never see a part of it. Whether this call put it."""
     fresh = f"{path}.{uuid.uuid4().hex}"

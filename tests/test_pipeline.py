@@ -4,6 +4,7 @@ import json
 import os
 import threading
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
@@ -364,6 +365,20 @@ def test_one_of_two_takes_a_dead_lease(spark, tmp_path, fast):
     got[0].__exit__()
 
 
+def test_one_of_many_creates_a_file(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        for i in range(40):
+            barrier = threading.Barrier(8)
+
+            def create(k):
+                barrier.wait()
+                return files.create_new(spark, str(tmp_path / f"new/{i}"), f"of {k}")
+
+            made = list(pool.map(create, range(8)))
+            assert made.count(True) == 1
+            assert files.read_text(spark, str(tmp_path / f"new/{i}")) == f"of {made.index(True)}"
+
+
 def test_a_run_that_lost_its_lease_cannot_publish(spark, stores, monkeypatch):
     """It comes back from a long pause when another has taken over, even past the last check of its lease."""
     for late in (False, True):
