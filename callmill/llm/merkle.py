@@ -12,6 +12,7 @@ the row that climbs holds the leaves of a run, at most FAN_OUT.
 
 from __future__ import annotations
 
+import math
 import string
 from functools import reduce
 
@@ -25,6 +26,9 @@ FAN_OUT = 8
 MISSING = "-"
 TAMPERED_DIVISOR = 3
 
+# Rows that one task writes at least: a file for each of many shuffle partitions costs far more than the few rows in it.
+ROWS_A_TASK = 10_000
+
 TOP = "top"
 NODE = "node string, parent string, left string, right string, subroot string"
 
@@ -60,15 +64,30 @@ def leaves(docs: DataFrame) -> DataFrame:
     ).withColumn("now", F.coalesce("now", "digest"))
 
 
+def _filled(df: DataFrame, rows: int) -> DataFrame:
+    """`df`, made of `rows` rows, in no more partitions than they are worth."""
+    return df.coalesce(max(1, math.ceil(rows / ROWS_A_TASK)))
+
+
 def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     """`rows` with idx, their place in their tree by `order`, and n, the size of the tree.
 
     One total per partition and tree gives every partition's offset; rows that are equal in all of `order` are parted
     by a row number, so that repeated rows spread as well.
     """
+    return _placed(*_written(rows), order)
+
+
+def _written(rows: DataFrame) -> tuple[DataFrame, int]:
+    """`rows` with a number of their own, written, and how many they are."""
     own = saved(rows.withColumn("_row", F.monotonically_increasing_id()), "merkle-rows")
+    return own, own.count()
+
+
+def _placed(own: DataFrame, count: int, order: list[str]) -> DataFrame:
     by = [*order, "_row"]
-    ranged = saved(own.repartitionByRange("tree", *by).withColumn("part", F.spark_partition_id()), "merkle-ranges")
+    ranged = own.repartitionByRange("tree", *by).withColumn("part", F.spark_partition_id())
+    ranged = saved(_filled(ranged, count), "merkle-ranges")
     before = Window.partitionBy("tree").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         ranged.groupBy("tree", "part")
@@ -122,15 +141,16 @@ def _linked(run: DataFrame, subroots: bool) -> DataFrame:
 def climbed_levels(level: DataFrame, height: int, top_tree: bool = False) -> tuple[list[DataFrame], DataFrame]:
     """NODE rows of `level` and all levels above it, and what remains of each tree (tree, key, digest).
 
-    One run of the loop for each level: as many as a tree is high. Only whether another is needed reaches the driver.
+    One run of the loop for each level: as many as a tree is high. Only the number of its nodes reaches the driver.
     """
     nodes, tops = [], []
     while True:
         tops.append(level.where("n = 1").select("tree", "key", "digest"))
         level = level.where("n > 1")
-        if level.isEmpty():
+        count = level.count()
+        if not count:
             return nodes, reduce(DataFrame.unionByName, tops)
-        run = saved(runs(level, height + 1), "merkle-level")
+        run = saved(_filled(runs(level, height + 1), count), "merkle-level")
         nodes.append(_linked(run, subroots=top_tree and height == 0))
         level, height = _above(run), height + 1
 
@@ -182,8 +202,9 @@ def manifest(docs: DataFrame) -> DataFrame:
     """
     spark = unlimited_recursion(prepare(docs.sparkSession))
     key = F.concat_ws("/", "tree", F.lit(0), F.col("idx"))
-    placed = numbered(leaves(docs), ["doc_id", "digest"]).withColumn("key", key)
-    bottom = saved(runs(placed, 1, "doc_id", "now"), "merkle-leaves")
+    own, count = _written(leaves(docs))
+    placed = _placed(own, count, ["doc_id", "digest"]).withColumn("key", key)
+    bottom = saved(_filled(runs(placed, 1, "doc_id", "now"), count), "merkle-leaves")
     lone = bottom.where("n = 1").select("tree", F.get("members", F.lit(0))["key"].alias("key"), "digest", F.get("members", F.lit(0))["digest"].alias("_leaf"))
     nodes, tops = climbed_levels(_above(bottom), 1)
     subroots = tops.unionByName(lone.select("tree", "key", F.col("_leaf").alias("digest")))
@@ -192,8 +213,9 @@ def manifest(docs: DataFrame) -> DataFrame:
     top = root.select("key", "digest").first()  # the one node that is left
     root_key, root_digest = (top.key, top.digest) if top else ("", "")
     linked = reduce(DataFrame.unionByName, [*nodes, *upper], spark.createDataFrame([], NODE))
-    linked = saved(linked, "merkle-nodes")
-    climbed = saved(spark.sql(_CLIMB, starts=_starts(bottom), nodes=linked, root=root_key), "merkle-climb")
+    linked = saved(_filled(linked, count), "merkle-nodes")
+    climbed = spark.sql(_CLIMB, starts=_starts(bottom), nodes=linked, root=root_key)
+    climbed = saved(_filled(climbed, count), "merkle-climb")
 
     digests = F.transform("members", lambda m: m["digest"])
 

@@ -100,6 +100,30 @@ def test_a_repeated_row_spreads(spark):
     assert sorted(r.idx for r in placed) == list(range(500)) and {r.n for r in placed} == {500}
 
 
+def test_small_levels_lie_in_few_files(spark, monkeypatch):
+    """Many shuffle partitions do not make a file each of the few nodes of a level."""
+    written, real = [], merkle.saved
+
+    def spied(df, label):
+        out = real(df, label)
+        written.append((label, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(merkle, "saved", spied)
+    rows = some(600, ["a", "b", None], 3)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in held}
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        assert rows_of(merkle.manifest(spark.createDataFrame(rows, SCHEMA).repartition(4))) == plain(rows)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # The documents' own rows are written where they are read.
+    assert len(written) > 8 and {n for label, n in written if label != "merkle-rows"} == {1}
+
+
 def test_tampering_shows(spark):
     got = queries.op12_merkle_manifest(spark, "/root/testdata/sf0.001").collect()
     texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
