@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmill.llm.common import matched, prepare, saved, settled, text_of, whole_rows
+from callmill.llm.common import holds_lookups, matched, prepare, saved, settled, text_of, whole_rows
 from callmill.llm.decontam import words_of
 
 SHINGLE = 5
@@ -86,6 +86,7 @@ def shingles(text: bytes) -> np.ndarray:
     n = len(words)
     if not n:
         return np.zeros(0, np.uint64)
+    holds_lookups("order_minhash", _HASHES.clear)
     h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n)
     k = min(SHINGLE, n)
     out = np.full(n - k + 1, np.uint64(k))

@@ -24,7 +24,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmill.llm.common import prepare, saved, text_of
+from callmill.llm.common import holds_lookups, prepare, saved, text_of
 
 MODEL = "word_bpe_49k.json"
 LENGTH = 4096
@@ -85,6 +85,9 @@ class WholeTexts:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
+    def forget(self) -> None:
+        """The library's own lookup is bounded."""
+
     def of(self, texts: list[str]) -> list[bytes]:
         return [_as_bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -117,6 +120,9 @@ class Ids:
         for point in (*range(0x800), *range(0x1000, 0xD000, 0x1000), 0xE000, 0xF000, *range(0x10000, 0x110000, 0x40000)):
             raw = chr(point).encode()
             self.letters.update(zip(raw, byte_level.pre_tokenize_str(chr(point))[0][0]))
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
@@ -205,9 +211,15 @@ class Ids:
 _LOADED: dict[str, Ids | WholeTexts] = {}
 
 
+def _forget() -> None:
+    for ids in _LOADED.values():
+        ids.forget()
+
+
 def _ids(shipped: str | None) -> Ids | WholeTexts:
     import public_tokenizers
 
+    holds_lookups("packing", _forget)
     path = SparkFiles.get(shipped) if shipped else public_tokenizers.path(MODEL)
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import corpus_pipeline
+from callmill.llm import order_minhash, packing
 from tests.llm import brute
 from tests.llm.test_operators import plain_removals
 
@@ -98,3 +99,15 @@ def test_pipeline_equals_plain_stages(spark):
             expected.append((doc, k, at, len(part), zlib.crc32(struct.pack(f"<{len(part)}I", *part))))
     got = corpus_pipeline.run(spark, SF_DIR).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
     assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_a_worker_holds_the_lookups_of_one_operator():
+    ids = packing._ids(None)
+    first = ids.of(["some words and some more"])
+    assert len(ids.known) > 1
+    kmers = order_minhash.shingles(b"a text of six words, here")
+    assert len(ids.known) == 1 and not ids.older and order_minhash._HASHES
+    assert packing._ids(None) is ids and not order_minhash._HASHES
+    # What was dropped is found anew.
+    assert ids.of(["some words and some more"]) == first
+    assert order_minhash.shingles(b"a text of six words, here").tolist() == kmers.tolist()
