@@ -210,3 +210,31 @@ def test_leaves_of_undeclared_keys(spark):
     assert found == {i: leaves for i, leaves in expected.items() if leaves}
     names = leaf_names(flatten_documents(rows.where(f"id = {n - 1}"))).collect()
     assert [tuple(row) for row in names] == [("deep_er_and_deep_er_still", 1)]
+
+
+def test_leaves_are_found_without_a_shuffle_or_a_turn_for_each_level(spark):
+    deep = 1
+    for i in range(40):
+        deep = {f"k{i}": deep, "x": i}
+    # Like names in order: of many objects of one, and behind repeated keys.
+    wide = {f"o{i}": {"a": i} for i in range(150)} | {"o7_a": "last"}
+    twice = '{"p_q":0,"p":{"q":1,"r_s":2,"r":{"s":3},"r_s":4},"p_q":5}'
+    # Doubles below the first level, where a text is read anew; the value as it is given above.
+    numbers = '{"n":1e5,"m":{"n":1e5,"l":[0.12345678901234567890],"t":"1.5"}}'
+    texts = [json.dumps(deep), json.dumps(wide), twice, numbers]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, body string")
+    sc = spark.sparkContext
+    sc.setJobGroup("leaves", "leaves")
+    try:
+        leaves = flatten_documents(rows)
+        found = {}
+        for row in leaves.collect():
+            found.setdefault(row.id, {})[row.leaf] = row.value
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("leaves")) < 8
+    assert "Exchange" not in leaves._jdf.queryExecution().executedPlan().toString()
+    assert {k: json.loads(v) for k, v in found[0].items()} == plain_leaves(deep) and len(found[0]) == 41
+    assert {k: json.loads(v) for k, v in found[1].items()} == plain_leaves(wide)
+    assert found[2] == {"p_q": "1", "p_r_s": "3"}
+    assert found[3] == {"n": "100000.0", "m_n": "100000", "m_l": "[0.12345678901234568]", "m_t": '"1.5"'}
