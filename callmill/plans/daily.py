@@ -9,7 +9,8 @@ and a lost driver costs at most the step it was in:
 3. publish the table's next state, which names them.
 
 Dates are split into buckets by the hash of the event, more of them the larger a date is, and a merge reads and writes the
-buckets alone that new rows fall into: one late document costs a bucket, not its day. What was published
+buckets alone that new rows fall into: one late document costs a bucket, not its day. Buckets that are too small for a folder of
+their own share folders. What was published
 stays as it was, and the table's readers see either state whole (see ``sources/versions.py``).
 
 One run at a time: a lease in the work folder says which (see ``plans/lease.py``). Of the work folder's children
@@ -56,6 +57,10 @@ NO_DATE = "none"
 BUCKET_ROWS = 2_000_000
 MOST_BUCKETS = 1024
 REGROW = 4
+# Small buckets share folders of so many rows, and a date is written whole when its folders hold a multiple of its buckets,
+# most of which no longer count.
+FOLDER_ROWS = 2_000_000
+REPACK = 2
 
 
 @dataclass(frozen=True)
@@ -194,25 +199,48 @@ def _with_batch(batches: dict[str, int], run_id: str) -> dict[str, int]:
     return {**batches, name: number or 0}
 
 
+def _of_date(rows: DataFrame, numbers: dict[str, int], name: str) -> DataFrame:
+    """``rows`` with the number of their date."""
+    # One row per date folder, in the plan itself: so Spark knows its size and need not shuffle the rows to meet it.
+    listed = ", ".join(f"({files.quoted(date)}, {n})" for date, n in sorted(numbers.items()))
+    return rows.join(rows.sparkSession.sql(f"SELECT * FROM VALUES {listed} AS t({PARTITION}, {name})"), PARTITION)
+
+
 def _bucketed(rows: DataFrame, spread: dict[str, int]) -> DataFrame:
     """``rows`` with their bucket, by the number of buckets of their date."""
     if set(spread.values()) <= {1}:
         return rows.withColumn(BUCKET, F.lit(0))
-    # One row per date folder.
-    buckets = rows.sparkSession.createDataFrame(sorted(spread.items()), f"{PARTITION} string, _buckets int")
     bucket = F.pmod(F.xxhash64("event"), F.col("_buckets")).cast("int")
-    return rows.join(buckets, PARTITION).select(*rows.columns, bucket.alias(BUCKET))
+    return _of_date(rows, spread, "_buckets").select(*rows.columns, bucket.alias(BUCKET))
+
+
+def _folders(state: State, added: dict[str, int], spread: dict[str, int]) -> dict[str, int]:
+    """Folders of each date: one for each of its buckets, or fewer where those are small."""
+    rows = {date: n + (state.dates[date]["rows"] if date in state.dates else 0) for date, n in added.items()}
+    return {date: min(spread[date], max(1, math.ceil(n / FOLDER_ROWS))) for date, n in rows.items()}
+
+
+def _write(rows: DataFrame, root: str, version: str, spread: dict[str, int], folders: dict[str, int]) -> None:
+    if folders == spread:
+        tables.write_version(rows, root, version)
+        return
+    # Adjacent buckets lie together.
+    shared = _of_date(_of_date(rows, spread, "_buckets"), folders, "_folders")
+    numbered = shared.withColumn("_folder", F.expr(f"CAST({BUCKET} * _folders DIV _buckets AS INT)"))
+    tables.write_version(numbered.select(*rows.columns, "_folder"), root, version, F.col("_folder"))
 
 
 def _spread(stores: Stores, state: State, added: dict[str, int], merge: bool) -> tuple[dict[str, int], set[str]]:
-    """Buckets of each date, and the dates that are written whole: those that are new, have outgrown their buckets, or
-    belong to a catalog table."""
+    """Buckets of each date, and the dates that are written whole: those that are new, have outgrown their buckets, hold too
+    much in shared folders that no longer counts, or belong to a catalog table."""
     spread, whole = {}, set()
     for date, n in added.items():
         stored = state.dates.get(date)
         rows = n + (stored["rows"] if stored else 0)
         wanted = 1 if stores.table else max(1, min(MOST_BUCKETS, math.ceil(rows / stores.bucket_rows)))
-        if stored and not stores.table and (not merge or wanted < REGROW * stored["buckets"]):
+        packed = sum(part.get("packed", 0) for part in stored["parts"].values()) if stored else 0
+        fits = stored and wanted < REGROW * stored["buckets"] and packed <= REPACK * stored["buckets"]
+        if stored and not stores.table and (not merge or fits):
             spread[date] = stored["buckets"]
         else:
             spread[date] = wanted
@@ -240,7 +268,8 @@ def _merged(
     rows = old.unionByName(latest_bookings(new)) if mode == APPEND else latest_bookings(old.unionByName(new))
     # Should this run die, the next one knows what it may have left.
     files.create_new(spark, f"{run}/{WRITTEN}", json.dumps({"version": version, "dates": sorted(added)}))
-    tables.write_version(rows, stores.staging, version)
+    folders = _folders(state, added, spread)
+    _write(rows, stores.staging, version, spread, folders)
     written = versions.counted(spark, stores.staging, version, sorted(added))
     dates = dict(state.dates)
     for date, n in added.items():
@@ -248,7 +277,10 @@ def _merged(
         parts = before["parts"]
         if merge:
             parts = {} if date in whole else versions.without(parts, met[date])
-        parts = {**parts, version: {"buckets": sorted(written[date]), "whole": True}}
+        part = {"buckets": sorted(written[date]), "whole": True}
+        if folders[date] < spread[date]:
+            part["packed"] = len(part["buckets"])
+        parts = {**parts, version: part}
         # How many rows a merge dropped is only known where all were written: else a bound.
         rows_now = sum(written[date].values()) if len(parts) == 1 else before["rows"] + n
         dates[date] = {"buckets": spread[date], "rows": rows_now, "parts": parts}

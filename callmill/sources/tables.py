@@ -5,19 +5,29 @@ from __future__ import annotations
 from collections.abc import Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callmill.schemas import PARTITION, SPEND_SCHEMA, STAGING_SCHEMA
 from callmill.sources import versions
+from callmill.sources.files import quoted
 
 
-def write_version(rows: DataFrame, root: str, version: str) -> None:
-    """Rows (with a bucket) as new folders of a versioned table, sized as they will be read. Nothing refers to them yet."""
-    # Groups each bucket into few files, and splits one too large for one task.
-    dealt = rows.withColumn(versions.VERSION, F.lit(version)).hint("rebalance", PARTITION, versions.BUCKET)
-    dealt.write.mode("append").partitionBy(PARTITION, versions.VERSION, versions.BUCKET).parquet(root)
+def write_version(rows: DataFrame, root: str, version: str, folder: Column | None = None) -> None:
+    """Rows (with a bucket) as new folders of a versioned table, sized as they will be read. Nothing refers to them yet.
+
+    ``folder`` is the number of the folder that a bucket shares with others, if some do.
+    """
+    folders = [PARTITION, versions.VERSION, versions.BUCKET]
+    dealt = rows.withColumn(versions.VERSION, F.lit(version))
+    if folder is not None:
+        dealt = dealt.withColumns({versions.ROW_BUCKET: F.col(versions.BUCKET), versions.BUCKET: folder})
+    # Groups each folder's rows into few files, and splits one too large for one task.
+    dealt = dealt.hint("rebalance", PARTITION, versions.BUCKET)
+    if folder is not None:
+        dealt = dealt.sortWithinPartitions(*folders, versions.ROW_BUCKET)
+    dealt.write.mode("append").partitionBy(*folders).parquet(root)
 
 
 def read_staging(
@@ -34,11 +44,6 @@ def read_spends(spark: SparkSession, path: str | list[str], root: str | None = N
     return (reader.option("basePath", root) if root else reader).json(path)
 
 
-def quoted(text: str) -> str:
-    """A SQL string literal."""
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def declare_table(spark: SparkSession, name: str, path: str, schema: T.StructType = STAGING_SCHEMA) -> None:
     """An external table over ``path``; it sees the partitions that are registered."""
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)

@@ -8,6 +8,10 @@ the last cannot publish, whatever it believes to hold.
 
 The parts of a date are keyed by version: which buckets of it count, and whether that is all that was written. Rows
 appended without a merge may lie in buckets that other versions have too.
+
+A folder for each of many small buckets would take far longer to make, to list and to open than its rows, so such buckets share
+folders: a part that says how many buckets were ``packed`` in it has their numbers in its rows, sorted by them. Those of its buckets that no longer
+count are filtered out on reading, and go when none of the part counts.
 """
 
 from __future__ import annotations
@@ -15,17 +19,22 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callmill.schemas import PARTITION
 from callmill.sources import files
+from callmill.sources.files import quoted
 
 MANIFESTS = "_manifest"
 LEDGERS = "_ledger"
 VERSION = "version"
 BUCKET = "bucket"
+# A row's bucket in a folder that several share; not there in one of a bucket's own.
+ROW_BUCKET = "_bucket"
 DIGITS = 12
 # The state before the last stays for its readers.
 KEPT = 2
@@ -39,7 +48,8 @@ class Outdated(RuntimeError):
 class State:
     """One state of a table.
 
-    dates: for each date its number of buckets, an upper bound of its rows, and its parts {version: {buckets, whole}}.
+    dates: for each date its number of buckets, an upper bound of its rows, and its parts {version: {buckets, whole}}, with
+    packed where buckets share folders.
     batches: the batches whose rows are in, by stream the last one. ledger: the version of the files that were taken.
     """
 
@@ -50,16 +60,19 @@ class State:
     ledger: str | None = None
 
     def folders(self, dates: Iterable[str] | None = None, buckets: dict[str, set[int]] | None = None) -> set[tuple]:
-        """(date, version, bucket) of the table's folders, bucket None for all of a version's; of some dates, or of some
-        buckets of them."""
+        """(date, version, bucket) of the table's folders, bucket None for all of a version's, and all that count as a tuple where they
+        share folders with others; of some dates, or of some buckets of them."""
         found = set()
         for date in self.dates if dates is None else dates:
             for version, part in self.dates.get(date, {"parts": {}})["parts"].items():
                 wanted = None if buckets is None else buckets[date]
-                if part["whole"] and (wanted is None or wanted.issuperset(part["buckets"])):
+                some = [b for b in part["buckets"] if wanted is None or b in wanted]
+                if part["whole"] and len(some) == len(part["buckets"]):
                     found.add((date, version, None))
-                else:
-                    found.update((date, version, b) for b in part["buckets"] if wanted is None or b in wanted)
+                elif "packed" not in part:
+                    found.update((date, version, b) for b in some)
+                elif some:
+                    found.add((date, version, tuple(some)))
         return found
 
 
@@ -101,26 +114,39 @@ def folder(spark: SparkSession, root: str, date: str, version: str, bucket: int
 
 def read(spark: SparkSession, root: str, folders: Iterable[tuple], schema: T.StructType) -> DataFrame:
     """The rows of these folders with the columns of ``schema``."""
-    paths = [folder(spark, root, *where) for where in sorted(folders, key=repr)]
-    if not paths:
+    places = sorted(folders, key=repr)
+    if not places:
         return spark.createDataFrame([], schema)
-    return spark.read.option("basePath", root).schema(schema).parquet(*paths).select(*schema.names)
+    shared = [where for where in places if isinstance(where[2], tuple)]
+    found = []
+    if paths := [folder(spark, root, *where) for where in places if not isinstance(where[2], tuple)]:
+        found.append(spark.read.option("basePath", root).schema(schema).parquet(*paths).select(*schema.names))
+    if shared:
+        given = [field for field in schema if field.name != PARTITION]
+        texts = [T.StructField(name, T.StringType()) for name in (PARTITION, VERSION)]
+        numbered = T.StructType([*given, *texts, T.StructField(ROW_BUCKET, T.IntegerType())])
+        rows = spark.read.option("basePath", root).schema(numbered).parquet(*[folder(spark, root, *where[:2]) for where in shared])
+        # Sorted by bucket, a file is read only where these are.
+        wanted = [f"({PARTITION} = {quoted(d)} AND {VERSION} = {quoted(v)} AND {ROW_BUCKET} IN ({', '.join(map(str, some))}))" for d, v, some in shared]
+        found.append(rows.where(" OR ".join(wanted)).select(*schema.names))
+    return reduce(DataFrame.unionByName, found)
 
 
 def only_folder(spark: SparkSession, root: str, state: State, date: str) -> str:
     """The one folder of a date that was written as a whole and in one bucket."""
-    places = [(version, b) for version, part in state.dates[date]["parts"].items() for b in part["buckets"]]
-    if len(places) != 1:
+    parts = state.dates[date]["parts"]
+    places = [(version, b) for version, part in parts.items() for b in part["buckets"]]
+    if len(places) != 1 or any("packed" in part for part in parts.values()):
         raise ValueError(f"{date} of {root} lies in {len(places)} folders")
     return folder(spark, root, date, *places[0])
 
 
 def counted(spark: SparkSession, root: str, version: str, dates: Iterable[str]) -> dict[str, dict[int, int]]:
-    """Rows by date and bucket of a version that was written for all of these dates. Only the files' footers are read."""
+    """Rows by date and bucket of a version that was written for all of these dates. Only the numbers of buckets are read."""
     paths = [folder(spark, root, date, version) for date in dates]
-    rows = spark.read.option("basePath", root).schema(f"{PARTITION} string, {BUCKET} int").parquet(*paths)
+    rows = spark.read.option("basePath", root).schema(f"{PARTITION} string, {BUCKET} int, {ROW_BUCKET} int").parquet(*paths)
     found: dict[str, dict[int, int]] = {}
-    for date, bucket, n in rows.groupBy(PARTITION, BUCKET).count().collect():
+    for date, bucket, n in rows.groupBy(PARTITION, F.coalesce(ROW_BUCKET, BUCKET)).count().collect():
         found.setdefault(date, {})[bucket] = n
     return found
 
@@ -149,7 +175,7 @@ def sweep(spark: SparkSession, root: str) -> None:
                 if (date, version) not in alive:
                     files.remove(spark, folder(spark, root, date, version))
                     continue
-                for b in part["buckets"]:
+                for b in [] if "packed" in part else part["buckets"]:
                     if (date, version, b) not in named:
                         files.remove(spark, folder(spark, root, date, version, b))
         files.remove(spark, _manifest(root, number))
@@ -171,5 +197,5 @@ def without(parts: dict[str, dict], buckets: set[int]) -> dict[str, dict]:
     for version, part in parts.items():
         rest = [b for b in part["buckets"] if b not in buckets]
         if rest:
-            left[version] = {"buckets": rest, "whole": part["whole"] and len(rest) == len(part["buckets"])}
+            left[version] = {**part, "buckets": rest, "whole": part["whole"] and len(rest) == len(part["buckets"])}
     return left

@@ -307,6 +307,59 @@ def test_a_date_that_outgrows_its_buckets_is_split_anew(spark, stores):
     assert len(entry["parts"]) == 1
 
 
+def test_small_buckets_share_folders(spark, stores, tmp_path):
+    """A folder for each takes far longer than its rows; a merge still reads and writes the buckets alone that it must."""
+    small = replace(stores, bucket_rows=2)
+    plain = replace(stores, staging=str(tmp_path / "plain"), quarantine=str(tmp_path / "q"), work=str(tmp_path / "w"))
+    date = "2024-01-01"
+    drop(stores, f"{date}/a.txt", "\n".join(body(f"e{i}") for i in range(200)))
+    drop(stores, "2024-01-02/a.txt", body("f"))
+    daily.run_daily(spark, small, documents.LINES)
+    entry = versions.current(spark, stores.staging).dates[date]
+    assert entry["buckets"] == 100 and len(bucket_files(stores, date)) <= 8
+    [(first, part)] = entry["parts"].items()
+    written = len(part["buckets"])
+    assert 50 < written <= 100
+    # Some late documents: what they replace stays in the shared folder, and no reader sees it.
+    for step in range(3):
+        late = [body(f"e{i}", "canceled", 5 + step) for i in range(step, 24, 3)]
+        drop(stores, f"{date}/late{step}.txt", "\n".join(late))
+        before = bucket_files(stores, date)
+        daily.run_daily(spark, small, documents.LINES)
+        daily.run_daily(spark, plain, documents.LINES)
+        assert stored(spark, small) == stored(spark, plain) and len(stored(spark, small)) == 201
+        assert spark.read.parquet(*(bucket_files(stores, date) - before)).count() < 60
+    parts = versions.current(spark, stores.staging).dates[date]["parts"]
+    assert len(parts[first]["buckets"]) < written
+    # What no longer counts does not heap up: a date whose folders hold more than twice its buckets is written whole.
+    for step in range(3):
+        drop(stores, f"{date}/more{step}.txt", "\n".join(body(f"e{i}", "canceled", 9 + step) for i in range(200 - step)))
+        daily.run_daily(spark, small, documents.LINES)
+        parts = versions.current(spark, stores.staging).dates[date]["parts"]
+        assert sum(part["packed"] for part in parts.values()) <= 3 * entry["buckets"]
+    daily.run_daily(spark, plain, documents.LINES)
+    assert stored(spark, small) == stored(spark, plain)
+    assert first not in {folder.rsplit("=", 1)[1] for folder in files.child_folders(spark, f"{stores.staging}/event_date={date}")}
+
+
+def test_dates_that_are_all_in_folders_of_their_buckets_are_read_with_those_that_share(spark, stores, tmp_path, monkeypatch):
+    """A table from before buckets shared folders: its next run shares them, and both are read."""
+    small = replace(stores, bucket_rows=10)
+    monkeypatch.setattr(daily, "FOLDER_ROWS", 1)
+    drop(stores, "2024-01-01/a.txt", "\n".join(body(f"e{i}") for i in range(80)))
+    daily.run_daily(spark, small, documents.LINES)
+    [part] = versions.current(spark, stores.staging).dates["2024-01-01"]["parts"].values()
+    assert "packed" not in part and len(files.child_folders(spark, files.child_folders(spark, f"{stores.staging}/event_date=2024-01-01")[0])) == len(part["buckets"])
+    monkeypatch.undo()
+    drop(stores, "2024-01-01/b.txt", "\n".join(body(f"e{i}", "canceled", 5) for i in range(2)))
+    daily.run_daily(spark, small, documents.LINES)
+    drop(stores, "2024-01-01/c.txt", body("e0", "again", 6))
+    daily.run_daily(spark, small, documents.LINES)
+    found = {event: status for _, event, status in stored(spark, small)}
+    assert len(stored(spark, small)) == 80
+    assert {e: s for e, s in found.items() if s != "active"} == {"e0": "again", "e1": "canceled"}
+
+
 def test_many_buckets_are_listed_by_few_tasks(spark, tmp_path):
     """A listing task of its own for each folder takes far longer than the folder."""
     root, sc = str(tmp_path / "staging"), spark.sparkContext
