@@ -154,26 +154,7 @@ def _ordered_leaves(text: Column, sep: str) -> Column:
     """(leaf, value) of a document in which several leaves may have one name: the last one of each, by the order of its text."""
 
     def level(objects: Column) -> Column:
-        return F.flatten(F.transform(objects, _opened))
-
-    def _opened(parent: Column) -> Column:
-        # Values of a repeated key from VARIANT, which keeps the last; places, and texts of objects, from the text itself.
-        parsed = F.map_entries(_parts(F.try_parse_json(parent["raw"])))
-        texts = F.map_entries(F.from_json(parent["raw"], "map<string, string>"))
-        placed = F.transform(texts, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("text")))
-        by_key = F.struct(F.array_sort(parsed, _by_key).alias("parsed"), F.array_sort(placed, _by_key_and_place).alias("placed"))
-        return _bound(by_key, lambda found: _bound(_runs(found["placed"]), lambda runs: F.transform(found["parsed"], entry(parent, runs))))
-
-    def entry(parent: Column, runs: Column) -> Callable[[Column, Column], Column]:
-        def one(e: Column, n: Column) -> Column:
-            return F.struct(
-                _name(parent["leaf"], e["key"], sep).alias("leaf"),
-                F.concat(parent["at"], F.array(runs["first"][n]["i"])).alias("at"),
-                e["value"].alias("value"),
-                F.when(K.is_object(e["value"]), runs["last"][n]["text"]).alias("raw"),
-            )
-
-        return one
+        return F.flatten(F.transform(objects, lambda parent: _entries(parent, sep)))
 
     def turn(state: Column, _: Column) -> Column:
         def parted(entries: Column) -> Column:
@@ -194,6 +175,33 @@ def _ordered_leaves(text: Column, sep: str) -> Column:
     return F.aggregate(_turns(text), begun, turn, end)
 
 
+def _entries(parent: Column, sep: str) -> Column:
+    """(leaf, at, value, raw) of every key of an object (leaf, at, raw): its name, its place in the text level by level, and its text if it
+    is an object itself."""
+    # Values of a repeated key from VARIANT, which keeps the last; places, and texts of objects, from the text itself.
+    parsed = F.map_entries(_parts(F.try_parse_json(parent["raw"])))
+    texts = F.map_entries(F.from_json(parent["raw"], "map<string, string>"))
+    placed = F.transform(texts, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("text")))
+    by_key = F.struct(F.array_sort(parsed, _by_key).alias("parsed"), F.array_sort(placed, _by_key_and_place).alias("placed"))
+
+    def named(runs: Column) -> Callable[[Column, Column], Column]:
+        return lambda e, n: F.struct(
+            _name(parent["leaf"], e["key"], sep).alias("leaf"),
+            F.concat(parent["at"], F.array(runs["first"][n]["i"])).alias("at"),
+            e["value"].alias("value"),
+            F.when(K.is_object(e["value"]), runs["last"][n]["text"]).alias("raw"),
+        )
+
+    return _bound(by_key, lambda found: _bound(_runs(found["placed"]), lambda runs: F.transform(found["parsed"], named(runs))))
+
+
+def _opened(objects: DataFrame, sep: str) -> DataFrame:
+    """One level down, as rows: (row, leaf, at, value, raw) of every key; raw is the text of what is an object itself, which has no
+    value."""
+    each = objects.select("row", F.inline(_entries(F.struct("leaf", "at", "raw"), sep)))
+    return each.select("row", "leaf", "at", F.when(F.col("raw").isNull(), F.to_json("value")).alias("value"), "raw")
+
+
 def _by_key(a: Column, b: Column) -> Column:
     return F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
 
